@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import quality_rules, simhash_dedup
+from granary.llm import decontamination, quality_rules, simhash_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +21,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(decontamination.findings(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op8_simhash_near_dedup)
+    f.__name__: f for f in (op1_quality_rules, op8_simhash_near_dedup, op9_decontamination)
 }
 ORACLE_SQL: dict[str, str] = {}
