@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import decontamination, packing, quality_rules, simhash_dedup
+from granary.llm import decontamination, line_dedup, packing, quality_rules, simhash_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.scored(_table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(_table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,6 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op7_best_fit_packing, op8_simhash_near_dedup, op9_decontamination)
+    f.__name__: f for f in (op1_quality_rules, op5_line_dedup, op7_best_fit_packing, op8_simhash_near_dedup, op9_decontamination)
 }
 ORACLE_SQL: dict[str, str] = {}
