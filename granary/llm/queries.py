@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import decontamination, line_dedup, packing, quality_rules, simhash_dedup
+from granary.llm import chat_format, decontamination, line_dedup, packing, quality_rules, secret_scan, simhash_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.scored(_table(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mark = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", mark), (-7, 1, "assistant", mark)], "conv_id long, turn long, role string, text string")
+    return chat_format.digest(chat_format.formatted(_table(spark, sf_dir, "conversations").select(extra.columns).unionByName(extra)))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(_table(spark, sf_dir, "documents"))
 
@@ -33,7 +39,22 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.findings(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.findings(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op5_line_dedup, op7_best_fit_packing, op8_simhash_near_dedup, op9_decontamination)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op3_chat_formatting,
+        op5_line_dedup,
+        op7_best_fit_packing,
+        op8_simhash_near_dedup,
+        op9_decontamination,
+        op10_secret_scan,
+    )
+}
+ORACLE_SQL: dict[str, str] = {
+    "op3_chat_formatting": chat_format.sql("conversations", "VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')"),
 }
-ORACLE_SQL: dict[str, str] = {}
