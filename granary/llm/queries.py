@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import chat_format, decontamination, line_dedup, packing, quality_rules, secret_scan, simhash_dedup
+from granary.llm import chat_format, decontamination, language_id, license_scan, line_dedup, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,16 +17,28 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.scored(_table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(_table(spark, sf_dir, "documents"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     mark = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", mark), (-7, 1, "assistant", mark)], "conv_id long, turn long, role string, text string")
     return chat_format.digest(chat_format.formatted(_table(spark, sf_dir, "conversations").select(extra.columns).unionByName(extra)))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(_table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
@@ -47,8 +59,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_license_scan,
         op3_chat_formatting,
+        op4_language_id,
         op5_line_dedup,
+        op6_quality_classifier,
         op7_best_fit_packing,
         op8_simhash_near_dedup,
         op9_decontamination,
