@@ -13,7 +13,8 @@ Defined cases: null, empty and all-white texts have no words and the
 fingerprint zero, and are linked like any other; a text of fewer words than a
 shingle is one shingle; repeated rows have equal fingerprints and so one
 component, whose id is its smallest non-null key (null if it has none); an
-empty table gives an empty result; further columns do not matter.
+empty table gives an empty result; further columns pass through, but names that
+begin with ``__`` are reserved.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ SHINGLE = 3
 BUDGET = 3
 BLOCKS = 4
 SEED = 42
-UID = "__uid"
+UID, PRINT = "__uid", "__fp"
 #: Pairs of nodes of at most so many fingerprints are compared at once.
 LEAF_PAIRS = 64
 FRONTIER = 1 << 19
@@ -194,25 +195,25 @@ def links(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
     return turned.repartition("block", "value").select("block", "turned").mapInArrow(run, "a long, b long")
 
 
-def _fingerprinted(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("fp", T.LongType())])
+def _fingerprinted(docs: DataFrame, text: str, keep: list[str], name: str = "fp") -> DataFrame:
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(name, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tb.slices(batches, text):
             fp = fingerprints(tb.texts(part.column(text)))
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(fp.view(np.int64))], [*keep, "fp"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(fp.view(np.int64))], [*keep, name])
 
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
 def _classes(rows: DataFrame, key: str, budget: int) -> DataFrame:
-    """``fp`` and ``component``: the smallest key in the fingerprint's component."""
+    """``fp``, the least fingerprint (``root``) and the least key (``component``) of its component."""
     prints = cut(rows.groupBy("fp").agg(F.min(key).alias("least")), "prints")
     found = components(links(prints, budget))
     linked = found.withColumnRenamed("node", "fp").join(prints, "fp")
     least = linked.groupBy("root").agg(F.min("least").alias("component"))
-    linked = linked.join(least, "root").select("fp", "component")
-    return prints.join(linked, "fp", "left").select("fp", F.coalesce("component", "least").alias("component"))
+    linked = linked.join(least, "root").select("fp", "root", "component")
+    return prints.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component")).alias("component"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", budget: int = BUDGET) -> DataFrame:
@@ -230,11 +231,10 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", budge
     a row number of their own; the rows that go are few and are broadcast up to
     a checked number, beyond it joined by a shuffle.
     """
-    whole = cut(_fingerprinted(docs, text, docs.columns).withColumn(UID, F.monotonically_increasing_id()), "documents")
-    rows = whole.select(UID, F.col(key).alias("key"), "fp")
-    classes = cut(rows.join(_classes(rows, "key", budget).withColumnRenamed("fp", "of"), F.col("fp") == F.col("of")).select(UID, "key", F.coalesce("component", F.lit(None).cast("long")).alias("component"), "fp"), "classes")
-    root = F.coalesce(F.col("component").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string"))).alias("root")
-    best = classes.groupBy(root).agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", UID)).alias("best"))
+    whole = cut(_fingerprinted(docs, text, docs.columns, PRINT).withColumn(UID, F.monotonically_increasing_id()), "documents")
+    rows = whole.select(UID, F.col(key).alias("key"), F.col(PRINT).alias("fp"))
+    classes = cut(rows.join(_classes(rows, "key", budget), "fp").select(UID, "key", "root"), "classes")
+    best = classes.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", UID)).alias("best"))
     stay = best.select(F.col(f"best.{UID}").alias(UID))
     gone = cut(classes.select(UID).join(stay, UID, "left_anti"), "dropped")
     if gone.count() <= BROADCAST_ROWS:
