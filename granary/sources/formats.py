@@ -24,7 +24,7 @@ def read_bed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     f = F.split("value", "\t")
     last = F.element_at(f, -1)
     info = F.when(last.contains("="), key_values(last)).otherwise(F.create_map().cast("map<string,array<string>>"))
-    return x.select(f[0].alias("contig"), f[1].try_cast("long").alias("lo"), f[2].try_cast("long").alias("hi"), F.coalesce(F.get(f, F.lit(3)), F.lit(".")).alias("name"), info.alias("info"))
+    return x.select(F.get(f, F.lit(0)).alias("contig"), F.get(f, F.lit(1)).try_cast("long").alias("lo"), F.get(f, F.lit(2)).try_cast("long").alias("hi"), F.coalesce(F.get(f, F.lit(3)), F.lit(".")).alias("name"), info.alias("info"))
 
 
 def bed_faults(bed: DataFrame, contigs: DataFrame) -> DataFrame:
@@ -50,23 +50,23 @@ def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Alignments with flags taken apart, CIGAR operations, the range on the reference, and tags as a map."""
     x = _lines(spark, path).filter(~F.col("value").startswith("@"))
     f = F.split("value", "\t")
-    flag = f[1].cast("int")
-    ops = cigar_ops(f[5])
+    flag = F.get(f, F.lit(1)).cast("int")
+    ops = cigar_ops(F.get(f, F.lit(5)))
     tags = F.map_from_entries(F.transform(F.slice(f, 12, F.greatest(F.size(f) - 11, F.lit(0))), lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.regexp_replace(t, "^[^:]*:[^:]*:", "").alias("v"))))
-    lo = f[3].cast("long") - 1
+    lo = F.get(f, F.lit(3)).cast("long") - 1
     return x.select(
-        f[0].alias("read_id"),
+        F.get(f, F.lit(0)).alias("read_id"),
         flag.alias("flag"),
         (flag.bitwiseAND(F.lit(4)) == 0).alias("mapped"),
         (flag.bitwiseAND(F.lit(16)) == 0).alias("forward"),
         (flag.bitwiseAND(F.lit(512)) != 0).alias("failed"),
         (flag.bitwiseAND(F.lit(1024)) != 0).alias("duplicate"),
-        f[2].alias("contig"),
+        F.get(f, F.lit(2)).alias("contig"),
         lo.alias("lo"),
         (lo + cigar_length(ops, "MDN=X")).alias("hi"),
-        f[4].cast("int").alias("mapq"),
+        F.get(f, F.lit(4)).cast("int").alias("mapq"),
         ops.alias("cigar"),
-        f[9].alias("seq"),
+        F.get(f, F.lit(9)).alias("seq"),
         f[10].alias("qual"),
         tags.alias("tags"),
     )
@@ -91,7 +91,7 @@ def read_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
     f = F.split("value", "\t")
     names, values = F.split(F.get(f, F.lit(8)), ":"), F.split(F.get(f, F.lit(9)), ":")
     sample = F.when(F.size(f) > 9, F.map_from_arrays(names, F.transform(names, lambda _, i: F.get(values, i))))
-    return x.select(f[0].alias("contig"), (f[1].cast("long") - 1).alias("pos"), f[2].alias("id"), f[3].alias("ref"), F.split(f[4], ",").alias("alt"), f[5].try_cast("double").alias("quality"), f[6].alias("filter"), key_values(f[7]).alias("info"), sample.alias("sample"))
+    return x.select(F.get(f, F.lit(0)).alias("contig"), (F.get(f, F.lit(1)).cast("long") - 1).alias("pos"), F.get(f, F.lit(2)).alias("id"), F.get(f, F.lit(3)).alias("ref"), F.split(F.get(f, F.lit(4)), ",").alias("alt"), F.get(f, F.lit(5)).try_cast("double").alias("quality"), F.get(f, F.lit(6)).alias("filter"), key_values(F.get(f, F.lit(7))).alias("info"), sample.alias("sample"))
 
 
 def vcf_lines(variants: DataFrame, contigs: DataFrame) -> DataFrame:
