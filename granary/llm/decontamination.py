@@ -38,6 +38,8 @@ WIDTH = 13
 SHARE = 20
 #: Terms of a proximity match may stand so many words from their place.
 SLOP = 3
+#: The rarest terms of a window that a proximity match needs.
+NEAR_TERMS = 3
 #: Benchmark words that are broadcast at once.
 BLOCK_WORDS = 200_000
 FOUND_AS = "__found"
@@ -69,6 +71,15 @@ class Windows:
     first: np.ndarray  # of each term: its windows as rarest term, in by_first
     by_first: np.ndarray
 
+    def proximity(self, frequency: np.ndarray, terms: int) -> Windows:
+        """The same windows by their rarest terms that do occur in the corpus."""
+        absent = (self.terms < 0) | (np.append(frequency, 0)[self.terms] == 0)
+        order = np.argsort(absent, axis=1, kind="stable")[:, :terms]
+        found, places = (np.where(np.take_along_axis(absent, order, axis=1), -1, np.take_along_axis(x, order, axis=1)) for x in (self.terms, self.places))
+        by = np.argsort(found[:, 0], kind="stable")
+        first = np.searchsorted(found[by, 0], np.arange(len(self.vocabulary) + 1))
+        return Windows(self.item, self.length, found, places, self.vocabulary, first, by)
+
 
 def words(found: tb.Texts) -> tuple[tb.Spans, np.ndarray]:
     lowered = found.lowered()
@@ -121,16 +132,14 @@ def matches(codes: np.ndarray, owner: np.ndarray, w: Windows) -> tuple[np.ndarra
 
 
 def nearby(codes: np.ndarray, owner: np.ndarray, w: Windows, slop: int) -> np.ndarray:
-    """(text, item) pairs with the three rarest terms of a window near their places, the words between be as they may."""
+    """(text, item) pairs with the rarest terms of a window near their places, the words between be as they may."""
     n = np.diff(w.first)
     anchors = np.flatnonzero(codes >= 0)
     anchors = anchors[n[codes[anchors]] > 0]
     many = n[codes[anchors]]
     at = np.repeat(anchors, many)
     window = w.by_first[np.repeat(w.first[codes[anchors]], many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)]
-    for k in (1, 2):
-        if k >= w.terms.shape[1]:
-            break
+    for k in range(1, w.terms.shape[1]):
         term = w.terms[window, k]
         aim = at + w.places[window, k].astype(np.int64) - w.places[window, 0]
         good = term < 0
@@ -192,12 +201,13 @@ def _searched(docs: DataFrame, benchmark: DataFrame, text: str, item_text: str,
 def _search(docs: DataFrame, text: str, columns: list[str], block: list[tuple[int, np.ndarray]], width: int, slop: int) -> DataFrame:
     keep = [c for c in columns if c != FOUND_AS]
     vocabulary = np.unique(np.concatenate([h for _, h in block])) if block else np.zeros(0, np.uint64)
-    w = windows(block, vocabulary, _frequencies(docs, text, vocabulary) if block else np.zeros(0, np.int64), width)
-    shared = docs.sparkSession.sparkContext.broadcast(w)
+    frequency = _frequencies(docs, text, vocabulary) if block else np.zeros(0, np.int64)
+    exact = windows(block, vocabulary, frequency, width)
+    shared = docs.sparkSession.sparkContext.broadcast((exact, exact.proximity(frequency, NEAR_TERMS)))
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(FOUND_AS, FOUND)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
+        w, near_w = shared.value
         for part in tb.slices(batches, text):
             found = tb.texts(part.column(text))
             at, hashed = words(found)
@@ -218,7 +228,7 @@ def _search(docs: DataFrame, text: str, columns: list[str], block: list[tuple[in
                 np.add.at(cover, start + w.length[window], -1)
                 for owner, item in np.unique(np.stack([at.owner[start], w.item[window]], axis=1), axis=0).tolist():
                     items[owner].append(item)
-                for owner, item in nearby(codes, at.owner, w, slop).tolist():
+                for owner, item in nearby(codes, at.owner, near_w, slop).tolist():
                     near[owner].append(item)
             hit = np.cumsum(cover)[:-1] > 0
             hits = np.bincount(at.owner[hit], minlength=n)
