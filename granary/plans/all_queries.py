@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from granary.plans import coverage_queries, read_queries, signal_queries, stream_queries, table_queries
+from granary.plans import coverage_queries, more_queries, read_queries, signal_queries, stream_queries, table_queries
 from granary.plans.catalog import ORACLE_SQL, QUERIES
 
-MODULES = (coverage_queries, read_queries, signal_queries, stream_queries, table_queries)
+MODULES = (coverage_queries, more_queries, read_queries, signal_queries, stream_queries, table_queries)
 
 __all__ = ["MODULES", "ORACLE_SQL", "QUERIES"]
