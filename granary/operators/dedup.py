@@ -22,6 +22,24 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
     return x.withColumn("duplicate", (F.col("__n") > 1) & ~distinct).drop("__anchor", "__n", "__least")
 
 
+def duplicate_counts(reads: DataFrame) -> DataFrame:
+    """``mark_duplicates`` as counts of reads and duplicates by contig, adapter, strand, ends, flow and adapter mark.
+
+    Equal reads are counted before they are ranked, so a position that very
+    many reads begin at is no more rows than it has flows.  Of equal reads one
+    at most stays.
+    """
+    cell = ["contig", "adapter", "forward", "lo", "hi", "flow", "has_adapter"]
+    cells = reads.groupBy(*cell).agg(F.count("*").alias("reads"))
+    anchored = cells.withColumn("__anchor", F.when(F.col("forward"), F.col("lo")).otherwise(F.col("hi")))
+    w = Window.partitionBy("contig", "adapter", "forward", "__anchor").orderBy(F.desc("flow"), F.desc("has_adapter"), "lo", "hi")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    least = F.min(F.when(F.col("has_adapter"), F.col("flow"))).over(before)
+    x = anchored.withColumns({"__n": F.row_number().over(w), "__least": least})
+    stays = (F.col("__n") == 1) | (F.col("has_adapter") & (F.col("__least").isNull() | (F.col("flow") < F.col("__least"))))
+    return x.select(*cell, "reads", (F.col("reads") - stays.cast("long")).alias("duplicates"))
+
+
 def majority(df: DataFrame, family: list[str], value: Column, name: str) -> DataFrame:
     """Each family's most frequent value (ties: the least), its votes and the family's size."""
     votes = df.groupBy(*family, value.alias(name)).agg(F.count("*").alias("votes"))

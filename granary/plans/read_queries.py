@@ -92,7 +92,7 @@ SELECT CAST(floor(p * 20 / c) AS BIGINT) AS bin, count(*) AS n, round(min(v), 6)
 )
 def clip_and_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    x = ranked(x, [], "o_totalprice", F.floor(F.col("o_totalprice") / 4096), ["o_orderkey"])
+    x = ranked(x, [], "o_totalprice", F.floor(F.col("o_totalprice") / 16), ["o_orderkey"])
     n = load(spark, sf_dir, "orders").count()
     y = filters.clip_and_bin(x, "rank", F.lit(n), 0.05, 0.95, 20)
     v = "o_totalprice"
@@ -218,14 +218,14 @@ d AS (SELECT *, n > 1 AND NOT (has_adapter AND (least_flow IS NULL OR flow < lea
 
 @query(f"WITH {_DUP_SQL} SELECT contig, lo, hi, forward, adapter, has_adapter, count(*) AS reads, count(*) FILTER (duplicate) AS duplicates FROM d GROUP BY ALL")
 def mark_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = dedup.mark_duplicates(reads(spark, sf_dir))
-    return x.groupBy("contig", "lo", "hi", "forward", "adapter", "has_adapter").agg(F.count("*").alias("reads"), F.count_if("duplicate").alias("duplicates"))
+    x = dedup.duplicate_counts(reads(spark, sf_dir))
+    return x.groupBy("contig", "lo", "hi", "forward", "adapter", "has_adapter").agg(F.sum("reads").alias("reads"), F.sum("duplicates").alias("duplicates"))
 
 
 @query(f"WITH {_DUP_SQL} SELECT adapter, count(*) AS reads, count(*) FILTER (duplicate) AS duplicates, round(100.0 * count(*) FILTER (duplicate) / count(*), 6) AS pct FROM d GROUP BY adapter")
 def duplicate_stats_by_adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = dedup.mark_duplicates(reads(spark, sf_dir))
-    return x.groupBy("adapter").agg(F.count("*").alias("reads"), F.count_if("duplicate").alias("duplicates"), _r(100.0 * F.count_if("duplicate") / F.count("*")).alias("pct"))
+    x = dedup.duplicate_counts(reads(spark, sf_dir)).groupBy("adapter").agg(F.sum("reads").alias("reads"), F.sum("duplicates").alias("duplicates"))
+    return x.withColumn("pct", _r(100.0 * F.col("duplicates") / F.col("reads")))
 
 
 @query("SELECT sha256(text) AS digest, count(*) AS copies, min(doc_id) AS first FROM documents GROUP BY text HAVING count(*) > 1")

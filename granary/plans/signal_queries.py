@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import arrays, sequence
+from granary.operators import coverage
+from granary.operators.prefix import running_sums
 from granary.plans.catalog import query
 from granary.sources.tables import READS_SQL, load, reads
 
@@ -172,8 +174,6 @@ def local_alignment_of_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {READS_SQL}, o AS (SELECT contig, lo, flow, lag(lo) OVER (PARTITION BY contig, adapter ORDER BY lo, flow) AS p FROM reads) SELECT contig, count(*) FILTER (p IS NULL) AS firsts, CAST(max(lo - p) AS BIGINT) AS widest, count(*) FILTER (lo - p > 2) AS jumps FROM o GROUP BY contig")
 def lag_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    p = F.lag("lo").over(Window.partitionBy("contig", "adapter").orderBy("lo", "flow"))
-    x = reads(spark, sf_dir).withColumn("p", p)
-    return x.groupBy("contig").agg(F.count_if(F.col("p").isNull()).alias("firsts"), F.max(F.col("lo") - F.col("p")).alias("widest"), F.count_if(F.col("lo") - F.col("p") > 2).alias("jumps"))
+    x = running_sums(reads(spark, sf_dir), ["contig", "adapter"], "lo", coverage.chunk("lo", 256), {"n": F.lit(1)}, ["flow"])
+    gap = F.col("__next") - F.col("lo")
+    return x.groupBy("contig").agg(F.count_if(F.col("__next").isNull()).alias("firsts"), F.max(gap).alias("widest"), F.count_if(gap > 2).alias("jumps"))

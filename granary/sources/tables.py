@@ -26,10 +26,11 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tiles(found: DataFrame, step: int, width: int) -> DataFrame:
     """Regions ``[k * step, k * step + width)`` over the span of the reads of each contig."""
-    ends = found.groupBy("contig").agg(F.max("hi").alias("top"))
-    return ends.select("contig", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("top") / step).cast("long"))).alias("k")).select(
-        "contig", (F.col("k") * step).alias("lo"), (F.col("k") * step + width).alias("hi")
-    )
+    ends = found.groupBy("contig").agg(F.floor(F.max("hi") / step).cast("long").alias("top"))
+    # in two steps, so that no row holds all regions of a contig
+    blocks = ends.select("contig", "top", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("top") / 1024).cast("long"))).alias("b"))
+    places = F.explode(F.sequence(F.col("b") * 1024, F.least(F.col("b") * 1024 + 1023, "top")))
+    return blocks.select("contig", places.alias("k")).select("contig", (F.col("k") * step).alias("lo"), (F.col("k") * step + width).alias("hi"))
 
 
 #: The same views for the SQL counterparts.

@@ -99,6 +99,15 @@ def test_duplicates_with_ties_and_adapters(spark):
     assert sorted([got[1], got[2]]) == [False, True]
 
 
+def test_duplicate_counts_are_those_of_marked_reads(spark):
+    rng = random.Random(2)
+    data = [("a", 1, rng.random() < 0.5, lo := rng.randint(0, 3), lo + (n := rng.randint(1, 6)), n, rng.random() < 0.5) for _ in range(300)]
+    x = spark.createDataFrame(data, "contig string, adapter long, forward boolean, lo long, hi long, flow long, has_adapter boolean")
+    marked = dedup.mark_duplicates(x).groupBy("forward").agg(F.count("*").alias("n"), F.count_if("duplicate").alias("d"))
+    counted = dedup.duplicate_counts(x).groupBy("forward").agg(F.sum("reads").alias("n"), F.sum("duplicates").alias("d"))
+    assert rows(marked) == rows(counted)
+
+
 def test_majority_breaks_ties_by_value(spark):
     x = spark.createDataFrame([("f", "b"), ("f", "a"), ("g", "c")], "fam string, v string")
     assert rows(dedup.majority(x, ["fam"], F.col("v"), "v")) == [("f", 2, "a", 1), ("g", 1, "c", 1)]
