@@ -257,7 +257,25 @@ def findings(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
     """The findings with the items as a count and a digest of their sorted ids."""
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    return found.select(key, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), "contaminated", F.size("near_items").cast("long").alias("n_near"))
+    return found.select(key, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), "contaminated")
+
+
+def sql(docs: str, benchmark: str, width: int = WIDTH, share: int = SHARE) -> str:
+    """The digest by DuckDB, for tables small enough to write all windows out."""
+
+    def tokens(table: str, key: str) -> str:
+        lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return rf"(SELECT {key}, regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table})"
+
+    return f"""
+WITH d AS {tokens(docs, "doc_id")}, b AS {tokens(benchmark, "item_id")},
+items AS (SELECT DISTINCT item_id, least(len(w), {width}) AS n, array_to_string(w[i : i + {width} - 1], ' ') AS win FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - {width} + 1, 1) + 1)) AS i FROM b WHERE len(w) > 0 AND item_id IS NOT NULL)),
+places AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS win FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM items) WHERE len(w) >= n)),
+hits AS (SELECT DISTINCT doc_id, i, n, item_id FROM places JOIN items USING (n, win)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS said FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(said, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {share} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", width: int = WIDTH, share: int = SHARE) -> DataFrame:

@@ -148,3 +148,34 @@ def scanned(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
         F.array_join(F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>"))))), ",").alias("labels"),
         F.round(score, 9).alias("score"),
     )
+
+
+def sql(docs: str, rarest: int = RAREST) -> str:
+    """The scan by DuckDB, with every vocabulary word of every document as a row."""
+
+    def listed(words: list[str]) -> str:
+        return ", ".join(f"'{w}'" for w in words)
+
+    postings = ", ".join(f"({t}, '{label}', {place}, '{word}', {str(needed).lower()})" for t, label, place, word, needed in _postings())
+    phrases = ", ".join(f"({rank}, '{phrase}', '{label}')" for rank, (phrase, label) in enumerate(BASE))
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {docs}),
+u AS (SELECT doc_id, word, pos FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d) WHERE word IN ({listed(VOCABULARY)})),
+postings AS (SELECT * FROM (VALUES {postings}) AS v(template, label, place, word, needed)),
+phrases AS (SELECT rank, string_split(phrase, ' ') AS p, label FROM (VALUES {phrases}) AS v(rank, phrase, label)),
+base AS (SELECT d.doc_id, label, pos FROM d JOIN u ON d.doc_id = u.doc_id JOIN phrases ON u.word = p[1] WHERE w[pos + 1 : pos + len(p)] = p),
+based AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list_sort(list(DISTINCT label)) AS labels FROM base GROUP BY doc_id),
+seen AS (SELECT * FROM u WHERE word IN ({listed(LOOKED_UP)})),
+idf AS (SELECT word, ln(1 + (SELECT count(*) FROM d) / count(DISTINCT doc_id)) AS idf FROM seen GROUP BY word),
+rare AS (SELECT * FROM (SELECT doc_id, word, pos, dense_rank() OVER (PARTITION BY doc_id ORDER BY idf DESC, word) AS place FROM seen JOIN idf USING (word)) WHERE place <= {rarest}),
+votes AS (SELECT doc_id, template, pos - p.place AS shift, count(*) AS agree FROM rare JOIN postings p USING (word) GROUP BY ALL),
+weighed AS (SELECT p.*, coalesce(idf, 0) AS idf FROM postings p LEFT JOIN idf USING (word)),
+totals AS (SELECT template, sum(idf) AS total, count(*) FILTER (needed) AS all_needed, count(*) FILTER (word IN ({listed(LOOKED_UP)})) AS most FROM weighed GROUP BY template),
+met AS (SELECT v.doc_id, v.template, v.shift, x.label, any_value(total) AS total, any_value(all_needed) AS all_needed, count(*) FILTER (needed) AS have, sum(idf) AS weight
+ FROM votes v JOIN totals t ON v.template = t.template AND agree >= least(2, most) JOIN weighed x ON x.template = v.template JOIN u ON u.doc_id = v.doc_id AND u.word = x.word AND u.pos = v.shift + x.place GROUP BY ALL),
+more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(weight / nullif(total, 0)) AS share FROM met WHERE have = all_needed GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(b.labels, ','), '') AS base_labels,
+ coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, m.labels))), ','), '') AS labels,
+ round(CASE WHEN m.labels IS NOT NULL THEN least(share, 1.0) WHEN n_base > 0 THEN 0.5 ELSE 0.0 END, 9) AS score
+FROM d LEFT JOIN based b ON d.doc_id = b.doc_id LEFT JOIN more m ON d.doc_id = m.doc_id"""

@@ -71,5 +71,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": license_scan.sql("documents"),
+    "op9_decontamination": decontamination.sql("documents", "benchmark"),
+    "op10_secret_scan": secret_scan.sql("documents"),
     "op3_chat_formatting": chat_format.sql("conversations", "VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')"),
 }

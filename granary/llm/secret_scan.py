@@ -104,3 +104,24 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
     ranks = F.transform("spans", lambda x: x["rank"])
     counts = [(F.size(ranks) - F.size(F.array_remove(ranks, k))).cast("long").alias(f"n_{kind[0]}") for k, kind in enumerate(BASE)]
     return found.select(key, *counts, F.sha2(_said(base), 256).alias("base_sha256"), _said(F.col("spans")).alias("spans"), "n_live", "n_copied")
+
+
+def sql(docs: str, copied: int = COPIED_OWNERS) -> str:
+    """The digest by DuckDB; matches and the texts between them are taken apart in the same way."""
+    parts = []
+    for rank, (kind, pattern, group, least) in enumerate(KINDS):
+        p = pattern.replace("'", "''")
+        parts.append(
+            f"""SELECT doc_id, owner, {rank} AS rank, '{kind}' AS kind, {least} AS least, unnest(regexp_extract_all(t, '{p}')) AS m, unnest(regexp_extract_all(t, '{p}', {group})) AS v,
+ unnest(list_slice(string_split_regex(t, '{p}'), 1, len(regexp_extract_all(t, '{p}')))) AS gap, unnest(range(len(regexp_extract_all(t, '{p}')))) AS k FROM d WHERE regexp_matches(t, '{p}')"""
+        )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM {docs}), m AS ({" UNION ALL ".join(parts)}),
+p AS (SELECT *, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, rank ORDER BY k) AS BIGINT) AS stop FROM m),
+s AS (SELECT *, stop - length(m) AS start FROM p WHERE length(v) >= least),
+o AS (SELECT v, count(DISTINCT owner) >= {copied} AS copied FROM s GROUP BY v),
+a AS (SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+ string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < {len(BASE)}) AS base, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans,
+ count(*) FILTER (NOT copied) AS n_live, count(*) FILTER (copied) AS n_copied FROM s JOIN o USING (v) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+ coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied FROM d LEFT JOIN a USING (doc_id)"""

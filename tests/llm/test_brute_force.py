@@ -69,8 +69,9 @@ def test_license_base(spark, texts):
         assert labels <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
 
 
-def test_chat_equals_sql(spark):
-    assert not differences(queries.op3_chat_formatting(spark, SF), queries.ORACLE_SQL["op3_chat_formatting"], SF)
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_rows_equal_those_of_sql(spark, name):
+    assert not differences(queries.QUERIES[name](spark, SF), queries.ORACLE_SQL[name], SF)
 
 
 def test_language_held_out_accuracy(spark):
