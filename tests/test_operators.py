@@ -191,3 +191,40 @@ def test_mixture_finds_two_normals(spark):
     x = spark.createDataFrame([(rng.gauss(0, 1) if rng.random() < 0.4 else rng.gauss(10, 2),) for _ in range(4000)], "v double")
     r = arrays.mixture(x, "v").first()
     assert r["mean0"] == pytest.approx(0, abs=0.2) and r["mean1"] == pytest.approx(10, abs=0.3) and r["share1"] == pytest.approx(0.6, abs=0.05)
+
+
+def test_probabilities(spark):
+    from math import comb, log
+
+    from granary.functions import probability
+
+    x = spark.createDataFrame([(3, 20, 0.1, [-1000.0, -1000.0])], "k long, n long, p double, l array<double>")
+    r = x.select(
+        probability.log_sum_exp(F.col("l")).alias("lse"),
+        probability.log_binomial(F.col("k"), F.col("n"), F.col("p")).alias("b"),
+        probability.call_score(F.lit(10), F.lit(20), 0.1).alias("high"),
+        probability.call_score(F.lit(0), F.lit(20), 0.1).alias("low"),
+        probability.detection_limit(F.lit(1000.0), 0.001, 20.0).alias("lod"),
+    ).first()
+    assert r["lse"] == pytest.approx(-1000 + log(2)) and r["b"] == pytest.approx(log(comb(20, 3) * 0.1**3 * 0.9**17), abs=1e-7)
+    assert r["high"] > 30 > 5 > r["low"] and 0.001 < r["lod"] < 0.05
+    lod = r["lod"]
+    assert lod * log(lod / 0.001) - (lod - 0.001) == pytest.approx(2 * log(10) / 1000, rel=1e-6)
+
+
+def test_trims_and_alleles(spark):
+    from granary.functions import trims
+
+    x = spark.createDataFrame([("TCAGACGTATCACC", [0.1, 0.1, 0.5, 0.1], "10A3^ACC2T", "GENE_ID=A;X=1;GENE_ID=B")], "s string, e array<double>, md string, info string")
+    r = x.select(
+        trims.without_prefix(F.col("s"), "TCAG").alias("key"),
+        trims.trimmed(F.col("s"), "ATCACC").alias("t"),
+        trims.trimmed(F.lit("GGGGATCA"), "ATCACC").alias("tail"),
+        trims.expected_error_length(F.col("e"), 0.5).alias("n"),
+        trims.trimmed_alleles(F.lit(10), F.lit("GCACA"), F.lit("GCA")).alias("a"),
+        trims.trimmed_alleles(F.lit(10), F.lit("AT"), F.lit("AG")).alias("snp"),
+        trims.mismatches(F.col("md")).alias("md"),
+        trims.gene_label(F.col("info")).alias("g"),
+    ).first()
+    assert (r["key"], r["t"], r["tail"], r["n"]) == ("ACGTATCACC", "TCAGACGT", "GGGG", 2)
+    assert tuple(r["a"]) == (10, "GCA", "G") and tuple(r["snp"]) == (11, "T", "G") and r["md"] == ["A", "T"] and r["g"] == "A-/-B"

@@ -79,3 +79,49 @@ def test_stream_of_shuffled_rows_is_given_out_in_order(spark, tmp_path):
     stream = events.read(spark, str(tmp_path / "in"), "ts", files_per_trigger=100)
     got = events.materialised(events.released(stream, "k", "pos", "id", 5), "append")
     assert sorted(r["pos"] for r in got.filter("not late").collect()) == [1, 3, 5, 7, 9, 20]
+
+
+def test_sorted_store_reads_a_range(spark, tmp_path):
+    from granary.sources import stores
+
+    x = spark.range(1000).selectExpr("if(id % 2 = 0, 'a', 'b') AS contig", "id AS pos")
+    stores.write_sorted(x, str(tmp_path / "cov"), ["contig", "pos"], 4)
+    got = stores.read_range(spark, str(tmp_path / "cov"), "a", 10, 20)
+    assert sorted(r["pos"] for r in got.collect()) == [10, 12, 14, 16, 18]
+    assert "PushedFilters: [IsNotNull(contig), IsNotNull(pos), EqualTo(contig,a)" in got._jdf.queryExecution().toString()
+
+
+def test_reference_bases(spark, tmp_path):
+    from granary.sources import stores
+
+    ref = stores.read_fasta(spark, write(tmp_path, "r.fa", ">chr1 first\nACGT\nacgt\n>chr2\nTT\n"), block=3)
+    points = spark.createDataFrame([("chr1", 0), ("chr1", 7), ("chr1", 9), ("chr2", 1), ("chr3", 0)], "contig string, pos long")
+    assert sorted(map(tuple, stores.with_base(points, ref, 3).collect()), key=str) == sorted([("chr1", 0, "A"), ("chr1", 7, "T"), ("chr1", 9, None), ("chr2", 1, "T"), ("chr3", 0, None)], key=str)
+
+
+def test_formats_and_names(spark, tmp_path):
+    from granary.sources import stores
+
+    x = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    for form, more in (("json", {}), ("csv", {}), ("orc", {}), ("xml", {"rowTag": "row"})):
+        stores.write(x, str(tmp_path / form), form, **more)
+        back = spark.read.format(form).options(**({"header": "true"} if form == "csv" else {}), **more).schema("k int, v string").load(str(tmp_path / form))
+        assert sorted(map(tuple, back.collect())) == [(1, "a"), (2, "b")]
+    twice = x.select("k", F.col("v").alias("k"), F.col("v").alias("k"))
+    assert stores.renamed(twice).columns == ["k", "k_1", "k_2"]
+    nested = x.select(F.struct("k", F.struct("v").alias("s")).alias("r"), "v")
+    assert stores.flattened(nested).columns == ["r.k", "r.s.v", "v"]
+
+
+def test_registry_checks_columns(spark):
+    import pytest
+
+    from granary.operators import registry
+
+    x = spark.createDataFrame([("a", 0, 5), ("a", 7, 9)], "contig string, lo long, hi long")
+    assert registry.run("gaps", x).collect() == [("a", 5, 7)]
+    with pytest.raises(ValueError):
+        registry.run("gaps", x.drop("hi"))
+    registry.operator("odd", {"n": "string"})(lambda df: df.selectExpr("1 AS n"))
+    with pytest.raises(TypeError):
+        registry.run("odd", x)
