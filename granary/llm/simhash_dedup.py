@@ -219,7 +219,8 @@ def _classes(rows: DataFrame, key: str, budget: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", budget: int = BUDGET) -> DataFrame:
     """One row a document: key, ``fingerprint`` (16 hex digits) and ``component_id``."""
     rows = cut(_fingerprinted(docs, text, [key]), "fingerprints")
-    classes = _classes(rows, key, budget)
+    # written first, so that both sides of the join are dealt by fingerprint just for it and Spark can split a hot one
+    classes = cut(_classes(rows, key, budget), "components")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return rows.join(classes, "fp").select(key, digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
@@ -233,7 +234,8 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", budge
     """
     whole = cut(_fingerprinted(docs, text, docs.columns, PRINT).withColumn(UID, F.monotonically_increasing_id()), "documents")
     rows = whole.select(UID, F.col(key).alias("key"), F.col(PRINT).alias("fp"))
-    classes = cut(rows.join(_classes(rows, "key", budget), "fp").select(UID, "key", "root"), "classes")
+    known = cut(_classes(rows, "key", budget), "components")
+    classes = cut(rows.join(known, "fp").select(UID, "key", "root"), "classes")
     best = classes.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", UID)).alias("best"))
     stay = best.select(F.col(f"best.{UID}").alias(UID))
     gone = cut(classes.select(UID).join(stay, UID, "left_anti"), "dropped")
