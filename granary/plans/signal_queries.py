@@ -28,11 +28,11 @@ SELECT vec_id, near, round(d, 6) AS distance FROM (SELECT *, row_number() OVER (
 def nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "embeddings").select("vec_id", "label", _trace().alias("e"))
     means = e.select("label", F.posexplode("e").alias("i", "v")).groupBy("label", "i").agg(F.avg("v").alias("v"))
-    # labels are a fixed set of codes (as barcodes are), so their centroids are one small array
-    codes = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("c")).agg(F.collect_list(F.struct("label", "c")).alias("codes"))
-    distance = F.transform("codes", lambda k: F.struct(F.aggregate(F.zip_with("e", k["c"], lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x).alias("d"), k["label"].alias("near")))
-    best = F.array_min(F.transform(distance, lambda x: F.struct(F.round(x["d"], 9).alias("k"), x["near"].alias("near"), x["d"].alias("d"))))
-    return e.join(F.broadcast(codes)).select("vec_id", best.alias("b")).select("vec_id", "b.near", _r("b.d").alias("distance"))
+    # labels are a fixed set of codes (as barcodes are), so their centroids are a few literal arrays
+    codes = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("c")).collect()
+    scored = [(F.aggregate(F.zip_with("e", F.array(*map(F.lit, c)), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x), label) for label, c in codes]
+    best = F.array_min(F.array(*(F.struct(F.round(d, 9).alias("k"), F.lit(label).alias("near"), d.alias("d")) for d, label in scored)))
+    return e.select("vec_id", best.alias("b")).select("vec_id", "b.near", _r("b.d").alias("distance"))
 
 
 @query("WITH w AS (SELECT text FROM benchmark WHERE length(text) >= 5), k AS (SELECT lower(substr(text, CAST(i AS INTEGER), 5)) AS kmer FROM (SELECT text, unnest(range(1, length(text) - 3)) AS i FROM w)) SELECT kmer, count(*) AS n FROM k GROUP BY kmer HAVING count(*) >= 3")
