@@ -44,6 +44,8 @@ LARGE = 1 / 8
 UID = "__uid"
 #: Pieces of one length that one task numbers, about.
 SALT_ROWS = 1 << 21
+#: Bytes of text encoded at once; words that come again are looked up once.
+ENCODE_BYTES = 4 << 20
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -66,7 +68,7 @@ def pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        for part in tb.slices(batches, text):
+        for part in tb.slices(batches, text, ENCODE_BYTES):
             bare, first = encoder.encode([x or "" for x in part.column(text).to_pylist()])
             sizes = np.diff(first) + 1
             flat = np.full(int(sizes.sum()), end_id, np.dtype("<u4"))

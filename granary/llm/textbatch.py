@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
@@ -187,7 +187,3 @@ def repeated(keys: np.ndarray) -> np.ndarray:
     ordered = np.sort(keys)
     return among(keys, np.unique(ordered[1:][ordered[1:] == ordered[:-1]]))
 
-
-def strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[bytes]:
-    whole = data.tobytes()
-    return [whole[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
