@@ -3,8 +3,9 @@
 Alternating stars: every node's neighbours are hung on the smallest of them,
 first the larger neighbours, then the smaller ones, until nothing changes.  The
 number of rounds grows with the logarithm of the longest path.  Each round
-aggregates with partial sums and joins on a node, so a node with a large share
-of all edges costs no task more than Spark's split of a skewed join leaves it.
+aggregates with partial minima and joins on a node; the minima are broadcast
+while they are few, and else Spark splits the join of a node with a large share
+of all edges.
 """
 
 from __future__ import annotations
@@ -12,17 +13,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.storage import drop, read_back, written
+from granary.llm.storage import cut, drop, read_back, written
 
+#: Up to so many edges the nodes' minima (two longs, two for each edge at most) are broadcast, beyond it they are shuffled.
+BROADCAST_EDGES = 500_000
 
-def _stars(edges: DataFrame) -> DataFrame:
+
+def _stars(edges: DataFrame, few: bool) -> DataFrame:
     """One large and one small star over edges ``a > b``."""
+
+    def side(minima: DataFrame, name: str) -> DataFrame:
+        # written first if many, so that both sides of the join are dealt just for it and Spark can split a hot node
+        return F.broadcast(minima) if few else cut(minima, name)
+
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("u"), F.least("a", "low").alias("low"))
     # larger neighbours hang on the least of the neighbourhood
-    large = edges.join(least, edges["b"] == least["u"]).select("a", F.col("low").alias("b")).distinct()
+    large = edges.join(side(least, "least"), F.col("b") == F.col("u")).select("a", F.col("low").alias("b")).distinct()
     down = large.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("u"), "low")
-    small = large.join(down, large["a"] == down["u"]).select("a", "b", "low")
+    small = large.join(side(down, "down"), F.col("a") == F.col("u")).select("a", "b", "low")
     return (
         small.select(F.col("b").alias("a"), F.col("low").alias("b"))
         .union(small.select("a", F.col("low").alias("b")))
@@ -48,7 +57,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not now[0]:
             break
-        after = written(_stars(read_back(spark, path)), "edges")
+        after = written(_stars(read_back(spark, path), now[0] <= BROADCAST_EDGES), "edges")
         drop(spark, path)
         path, before = after, now
         now = state(read_back(spark, path))

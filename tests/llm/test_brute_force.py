@@ -171,7 +171,9 @@ def test_trie_pairs_are_all_pairs(seed):
     assert got == want
 
 
-def test_components_of_paths_stars_and_loops(spark):
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_components_of_paths_stars_and_loops(spark, monkeypatch, few):
+    monkeypatch.setattr("granary.llm.components.BROADCAST_EDGES", few)
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     want = {k: 0 for k in range(41)} | {k: 100 for k in range(100, 160)} | {200: 200, 201: 200}
