@@ -1,6 +1,6 @@
 """Fuzzy line dedup: SimHash, pigeonhole blocks, edit similarity, one line a group.
 
-Lines are normalised to their lower-cased words with digits folded.  Equal
+Lines are normalised to their lower-cased words.  Equal
 normalised lines are one class.  Classes that agree in one of four blocks of
 their 128-bit SimHash are compared there; a class is paired with the nearest
 and with the first earlier class of its block within a Hamming distance, and
@@ -45,14 +45,10 @@ UID, LINE = "__uid", "__line"
 #: Rows of 16 bytes that are broadcast at most; beyond it the same join shuffles.
 BROADCAST_ROWS = 1_000_000
 
-_FOLD = tb.LOWER.copy()
-_FOLD[0x30:0x3A] = 0x30
-
-
 def normalised(found: tb.Texts) -> tuple[tb.Spans, np.ndarray, np.ndarray, tb.Spans]:
     """Lines, where each line's words begin (one more number than lines), word hashes, word places."""
     rows = tb.lines(found)
-    folded = tb.Texts(_FOLD[found.data], found.offsets)
+    folded = found.lowered()
     words = tb.spans(folded, tb.NOT_WORD)
     return rows, np.concatenate([np.searchsorted(words.start, rows.start), [len(words.start)]]) if len(rows.start) else np.zeros(1, np.int64), tb.hashes(folded.data, words.start, words.end), words
 
