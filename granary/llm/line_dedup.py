@@ -1,24 +1,28 @@
-"""Fuzzy line dedup: SimHash, pigeonhole blocks, edit similarity, one line a group.
-
-Lines are normalised to their lower-cased words.  Equal
-normalised lines are one class.  Classes that agree in one of four blocks of
-their 128-bit SimHash are compared there; a class is paired with the nearest
-and with the first earlier class of its block within a Hamming distance, and
-each such pair is verified by the edit similarity of the two lines' words.
-Verified pairs are joined to connected groups, and of each group the line of
-the smallest document stays, wherever the others stand.
-
-A block is as wide as the logarithm of the number of classes asks for, so the
-classes that share a block by chance stay few at every size.  Classes, not
-lines, are compared, so a line that a third of all documents hold is one row;
-within a block each class leaves two pairs at most, not one for each of its
-likes.
+"""Fuzzy line dedup: bigram prefixes, edit similarity, connected groups, one line a group.
+
+Lines are normalised to their lower-cased words.  Equal normalised lines are one
+class.  Two lines of M words at most whose edit similarity is S or more differ by
+(1 - S) M edits at most, and each edit costs two pairs of adjacent words at most;
+so if all lines' pairs of words stand in one order, the first 2 (1 - S) m + 1 of a
+line of m words hold one that the other line's first have too.  Rare pairs come
+first.  The classes of a pair of words are compared by their numbers of words and
+by the parities of their words' hashes, neither of which loses a pair, and what
+is left is verified by the edit similarity of the two lines' words.  Verified
+pairs are joined to connected groups, and of each group the line of the smallest
+document stays, wherever the others stand.
+
+All classes of a pair of words are compared where there are ``SMALL`` of them at
+most.  Where there are more, each is first compared with a few others; groups are
+built from these, and then all classes that are not yet in one group are
+compared, in pairs of chunks dealt over the cluster.  So no pair that could join
+two groups is left out.
 
 Defined cases: null texts stay null, empty texts stay empty, lines of fewer
 than ``min_words`` words are never touched; a repeated row loses the lines that
 an earlier one holds (so that a text can become empty); ties go to the smaller
 key, then to the earlier row and line; empty tables give empty results; columns
 of any name pass through, except that names beginning with ``__`` are reserved.
+Words and lines are compared by 64-bit hashes before they are verified.
 """
 
 from __future__ import annotations
@@ -33,24 +37,29 @@ from pyspark.sql import types as T
 
 from granary.llm import textbatch as tb
 from granary.llm.components import components
-from granary.llm.simhash_dedup import majority
 from granary.llm.storage import cut
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
-#: Of 128 bits; lines of a similarity of 0.8 differ in about 26, unrelated ones in 64.
-DISTANCE = 26
-LONG_WORD = 4
+#: Up to so many classes of a pair of words are all compared at once; of more, each is compared with so many before it first.
+SMALL, FIRST_LAGS = 32, 8
+#: Classes in a chunk of a pair of words that has more than SMALL.
+CHUNK = 2048
+#: Documents whose pairs of words are counted, and counters of them; any order of pairs is right, rare ones first is quick.
+SAMPLE_ROWS, COUNTERS = 20_000, 1 << 20
 UID, LINE = "__uid", "__line"
 #: Rows of 16 bytes that are broadcast at most; beyond it the same join shuffles.
 BROADCAST_ROWS = 1_000_000
 
-def normalised(found: tb.Texts) -> tuple[tb.Spans, np.ndarray, np.ndarray, tb.Spans]:
-    """Lines, where each line's words begin (one more number than lines), word hashes, word places."""
+_LENGTH_BITS = 20
+
+
+def normalised(found: tb.Texts) -> tuple[tb.Spans, np.ndarray, np.ndarray]:
+    """Lines, where each line's words begin (one more number than lines), word hashes."""
     rows = tb.lines(found)
-    folded = found.lowered()
-    words = tb.spans(folded, tb.NOT_WORD)
-    return rows, np.concatenate([np.searchsorted(words.start, rows.start), [len(words.start)]]) if len(rows.start) else np.zeros(1, np.int64), tb.hashes(folded.data, words.start, words.end), words
+    lowered = found.lowered()
+    words = tb.spans(lowered, tb.NOT_WORD)
+    return rows, np.concatenate([np.searchsorted(words.start, rows.start), [len(words.start)]]) if len(rows.start) else np.zeros(1, np.int64), tb.hashes(lowered.data, words.start, words.end)
 
 
 def _sequence_hash(codes: np.ndarray, first: np.ndarray, seed: int) -> np.ndarray:
@@ -67,66 +76,204 @@ def _line_numbers(rows: tb.Spans, n: int) -> np.ndarray:
 
 
 def line_table(whole: DataFrame, text: str, key: str, min_words: int) -> DataFrame:
-    """One row a line with enough words: row, line number, key, class hashes, SimHash."""
-    schema = T.StructType([T.StructField(UID, T.LongType()), T.StructField(LINE, T.LongType()), T.StructField("key", whole.schema[key].dataType), *(T.StructField(c, T.LongType()) for c in ("h1", "h2", "s1", "s2"))])
+    """One row a line with enough words: row, line number, key, class hashes."""
+    schema = T.StructType([T.StructField(UID, T.LongType()), T.StructField(LINE, T.LongType()), T.StructField("key", whole.schema[key].dataType), *(T.StructField(c, T.LongType()) for c in ("h1", "h2"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tb.slices(batches, text):
             found = tb.texts(part.column(text))
-            rows, first, code, words = normalised(found)
+            rows, first, code = normalised(found)
             number = _line_numbers(rows, len(found))
             full = np.flatnonzero(np.diff(first) >= min_words)
-            # the words of short lines fall between the stretches of full ones
             h1, h2 = (_sequence_hash(code, first, s) for s in (1, 2))
-            # frequent short words would make all lines alike, so where there are enough longer ones only these count
-            long = (words.end - words.start) >= LONG_WORD
-            longer = np.concatenate([[0], np.cumsum(long)])
-            telling = long | np.repeat(np.diff(longer[first]) < MIN_WORDS, np.diff(first))
-            chosen = np.concatenate([[0], np.cumsum(telling)])[first]
-            s1, s2 = (majority(c, chosen) for c in (code[telling], tb.mix(code[telling] ^ np.uint64(0xA5A5A5A5DEADBEEF))))
             owner = pa.array(rows.owner[full])
-            yield pa.RecordBatch.from_arrays(
-                [part.column(UID).take(owner), pa.array(number[full]), part.column(key).take(owner), *(pa.array(x[full].view(np.int64)) for x in (h1, h2, s1, s2))], schema.names
-            )
+            yield pa.RecordBatch.from_arrays([part.column(UID).take(owner), pa.array(number[full]), part.column(key).take(owner), *(pa.array(x[full].view(np.int64)) for x in (h1, h2))], schema.names)
 
     return whole.select(*dict.fromkeys([UID, key, text])).mapInArrow(run, schema)
 
 
-def _blocks(classes: DataFrame, width: int) -> DataFrame:
-    parts = [F.shiftrightunsigned(c, shift).bitwiseAND(F.lit((1 << 32) - 1)) for c in ("s1", "s2") for shift in (0, 32)]
-    values = [F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(x, 32 - width).alias("value")) for k, x in enumerate(parts)]
-    return classes.select("cid", "s1", "s2", F.explode(F.array(*values)).alias("b")).select("cid", "s1", "s2", (F.col("b.value") * 4 + F.col("b.block")).alias("bucket"))
+def _bigrams(code: np.ndarray) -> np.ndarray:
+    """A hash of each two adjacent words."""
+    return tb.window_hashes(code, 2)
+
+
+def _places(first: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the chosen lines' bigrams: the line's place in ``chosen``, the bigram's place, its number in its line."""
+    n = np.maximum(first[chosen + 1] - first[chosen] - 1, 0)
+    owner = np.repeat(np.arange(len(chosen)), n)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    return owner, first[chosen][owner] + number, number
+
 
+def bigram_ranks(whole: DataFrame, text: str, min_words: int) -> np.ndarray:
+    """How frequent the bigrams of each counter are, as a logarithm in a byte."""
 
-def candidates(classes: DataFrame, width: int, distance: int = DISTANCE) -> DataFrame:
-    """Pairs ``a``, ``b`` of classes: each with its nearest and its first earlier like in a block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for part in tb.slices(batches, text):
+            _, first, code = normalised(tb.texts(part.column(text)))
+            _, at, _ = _places(first, np.flatnonzero(np.diff(first) >= min_words))
+            total += np.bincount((_bigrams(code)[at] & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["counter", "n"])
+
+    step = max(1, whole.count() // SAMPLE_ROWS)
+    sample = whole.filter(F.pmod(F.xxhash64(UID), F.lit(step)) == 0).select(text)
+    # one row a counter at most, whatever the size of the corpus
+    got = sample.mapInArrow(run, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(COUNTERS, np.int64)
+    total[got.column("counter").to_numpy()] = got.column("n").to_numpy()
+    return np.minimum(8 * np.log2(1.0 + total), 255).astype(np.uint8)
+
+
+def signatures(code: np.ndarray, first: np.ndarray, chosen: np.ndarray, ranks: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each line of ``chosen`` its first bigrams: the line's place in ``chosen``, the 44 bits of the bigram.
+
+    Rank and hash are one number, so that the order is the same in all lines; a
+    bigram that comes again in its line is another one.
+    """
+    out = []
+    for low in range(0, len(chosen), 1 << 19):
+        part = chosen[low : low + (1 << 19)]
+        owner, at, number = _places(first, part)
+        if not len(at):
+            continue
+        gram = _bigrams(code)[at]
+        key = (owner.astype(np.uint64) << np.uint64(44)) | (ranks[(gram & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(36)) | (gram >> np.uint64(28))
+        key.sort()
+        own = first[part + 1] - first[part]
+        taken = number < np.floor(2 * (1 - similarity) * own + 1e-6).astype(np.int64)[owner] + 1
+        place = np.arange(len(key))
+        again = place - np.maximum.accumulate(np.where(np.concatenate([[True], key[1:] != key[:-1]]), place, 0))
+        token = key & np.uint64((1 << 44) - 1)
+        token = np.where(again > 0, tb.mix(token ^ (again.astype(np.uint64) << np.uint64(44))) >> np.uint64(20), token)
+        out.append((owner[taken] + low, token[taken]))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _members(whole: DataFrame, text: str, min_words: int, ranks: np.ndarray, similarity: float) -> DataFrame:
+    """``sign`` (bigram and number of words), ``cid``, ``parity``: a class once a task for each of its first bigrams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [[c.to_numpy() for c in b.columns] for b in batches]
-        if not rows:
+        seen = np.zeros(0, np.uint64)
+        for part in tb.slices(batches, text):
+            _, first, code = normalised(tb.texts(part.column(text)))
+            n = np.diff(first)
+            cid = _sequence_hash(code, first, 1)
+            full = np.flatnonzero(n >= min_words)
+            _, once = np.unique(cid[full], return_index=True)
+            full = full[once]
+            full = full[~tb.among(cid[full], seen)]
+            seen = np.union1d(seen, cid[full])
+            bits = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(np.uint64(1) << (code >> np.uint64(58)))])
+            parity = bits[first[full + 1]] ^ bits[first[full]]
+            owner, token = signatures(code, first, full, ranks, similarity)
+            sign = (token << np.uint64(_LENGTH_BITS)) | np.minimum(n[full], (1 << _LENGTH_BITS) - 1).astype(np.uint64)[owner]
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (sign, cid[full][owner], parity[owner])], ["sign", "cid", "parity"])
+
+    return whole.select(text).mapInArrow(run, "sign long, cid long, parity long")
+
+
+def _edits(n: np.ndarray | int, similarity: float) -> np.ndarray:
+    return np.floor(n * (1 - similarity) + 1e-9).astype(np.int64)
+
+
+def _possible(n: np.ndarray, parity: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs can be similar: an edit changes two parities at most and the number of words by one."""
+    most = _edits(np.maximum(n[a], n[b]), similarity)
+    most = np.where(np.maximum(n[a], n[b]) == (1 << _LENGTH_BITS) - 1, 1 << _LENGTH_BITS, most)  # clipped
+    return (np.abs(n[a] - n[b]) <= most) & (np.bitwise_count(parity[a] ^ parity[b]) <= 2 * most)
+
+
+def _columns(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+    rows = [[c.to_numpy() for c in b.columns] for b in batches]
+    return [np.concatenate(x) for x in zip(*rows, strict=True)]
+
+
+def _ordered(cid: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.unique(np.stack([np.minimum(cid[a], cid[b]), np.maximum(cid[a], cid[b])], axis=1), axis=0)
+
+
+def first_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """Rows ``a``, ``b``: all possible pairs of few classes, the first ones of many.
+
+    Of bigrams with many classes the members come too: ``a`` is null, ``b`` is
+    the class, and ``sign``, ``parity`` and the number ``many`` of members follow.
+    """
+    names = ["a", "b", "sign", "parity", "many"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = _columns(batches)
+        if not got:
             return
-        cid, s1, s2, bucket = (np.concatenate(x) for x in zip(*rows, strict=True))
-        order = np.lexsort((cid, bucket))
-        cid, s1, s2, bucket = cid[order], s1[order].view(np.uint64), s2[order].view(np.uint64), bucket[order]
-        heads = np.concatenate([[True], bucket[1:] != bucket[:-1]])
-        place = np.arange(len(cid)) - np.maximum.accumulate(np.where(heads, np.arange(len(cid)), 0))
-        nearest, first = np.full(len(cid), -1), np.full(len(cid), -1)
-        best = np.full(len(cid), distance + 1)
+        sign, cid, parity = got
+        order = np.lexsort((cid, sign.view(np.uint64) >> np.uint64(_LENGTH_BITS)))
+        sign, cid, parity = sign[order], cid[order], parity[order].view(np.uint64)
+        bucket = sign.view(np.uint64) >> np.uint64(_LENGTH_BITS)
+        new = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (cid[1:] != cid[:-1])])
+        sign, cid, parity, bucket = (x[new] for x in (sign, cid, parity, bucket))
+        n = sign & ((1 << _LENGTH_BITS) - 1)
+        heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        size = np.diff(np.concatenate([heads, [len(cid)]]))
+        place = np.arange(len(cid)) - np.repeat(heads, size)
+        many = np.repeat(size, size)
+        found = []
+        at = np.flatnonzero((many > SMALL) & (place > FIRST_LAGS))
+        head = at - place[at]
+        good = _possible(n, parity, at, head, similarity)
+        found.append(_ordered(cid, at[good], head[good]))
         lag, at = 1, np.flatnonzero(place >= 1)
         while len(at):
-            far = np.bitwise_count(s1[at] ^ s1[at - lag]).astype(np.int64) + np.bitwise_count(s2[at] ^ s2[at - lag])
-            near = far <= distance
-            first[at[near]] = at[near] - lag
-            better = far < best[at]
-            best[at[better]] = far[better]
-            nearest[at[better]] = at[better] - lag
+            good = _possible(n, parity, at, at - lag, similarity)
+            found.append(_ordered(cid, at[good], at[good] - lag))
             lag += 1
-            at = at[place[at] >= lag]
-        some = np.flatnonzero(first >= 0)
-        both = np.unique(np.concatenate([np.stack([cid[x[some]], cid[some]], axis=1) for x in (nearest, first)]), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+            at = at[(place[at] >= lag) & ((many[at] <= SMALL) | (lag <= FIRST_LAGS))]
+        pairs = np.unique(np.concatenate(found), axis=0)
+        none = pa.nulls(len(pairs), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none, none], names)
+        hot = np.flatnonzero(many > SMALL)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(hot), pa.int64()), *(pa.array(x[hot]) for x in (cid, sign, parity.view(np.int64), many))], names)
 
-    return _blocks(classes, width).repartition("bucket").mapInArrow(run, "a long, b long")
+    return members.repartition(F.shiftrightunsigned("sign", _LENGTH_BITS)).mapInArrow(run, ", ".join(f"{x} long" for x in names))
+
+
+def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """``a``, ``b``: all possible pairs of classes of a bigram that stand in different groups."""
+    bucket = F.shiftrightunsigned("sign", _LENGTH_BITS)
+    rows = hot.join(roots.withColumnRenamed("node", "b"), "b", "left").select(bucket.alias("bucket"), "b", "sign", "parity", "many", F.coalesce("root", "b").alias("root"))
+    split = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("bucket")
+    chunks = F.ceil(F.col("many") / CHUNK).cast("int")
+    own = rows.join(split, "bucket").withColumn("own", F.pmod(F.xxhash64("b"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    dealt = own.select("b", "sign", "parity", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = _columns(batches)
+        if not got:
+            return
+        cid, sign, parity, root, own, i, j = got
+        parity, n = parity.view(np.uint64), sign & ((1 << _LENGTH_BITS) - 1)
+        bucket = sign.view(np.uint64) >> np.uint64(_LENGTH_BITS)
+        order = np.lexsort((cid, own, j, i, bucket))
+        cid, parity, n, root, own, i, j, bucket = (x[order] for x in (cid, parity, n, root, own, i, j, bucket))
+        new = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+        heads = np.flatnonzero(new)
+        ends = np.concatenate([heads[1:], [len(cid)]])
+        for low, high in zip(heads.tolist(), ends.tolist(), strict=True):
+            # of two chunks each class of the first meets the second, in one chunk each meets those behind it
+            second = low + int(np.searchsorted(own[low:high], j[low])) if i[low] != j[low] else None
+            found = []
+            for a in range(low, high if second is None else second):
+                b = np.arange(a + 1 if second is None else second, high)
+                b = b[root[b] != root[a]]
+                b = b[_possible(n, parity, np.full(len(b), a), b, similarity)]
+                found.append(_ordered(cid, np.full(len(b), a), b))
+            if found:
+                pairs = np.concatenate(found)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return dealt.repartition(F.shiftrightunsigned("sign", _LENGTH_BITS), "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
 def _symbols(whole: DataFrame, wanted: DataFrame, text: str, size: int) -> DataFrame:
@@ -137,7 +284,7 @@ def _symbols(whole: DataFrame, wanted: DataFrame, text: str, size: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tb.slices(batches, text):
             found = tb.texts(part.column(text))
-            rows, first, code, _ = normalised(found)
+            rows, first, code = normalised(found)
             symbol = (code % np.uint64(0xE0000)).astype(np.uint32) + np.uint32(0x10000)
             begin = rows.first_of(len(found))
             cids, lines = [], []
@@ -151,24 +298,37 @@ def _symbols(whole: DataFrame, wanted: DataFrame, text: str, size: int) -> DataF
     return whole.select(UID, text).join(by_row, UID).select(text, "__wanted").mapInArrow(run, "cid long, symbols string")
 
 
-def dropped_lines(whole: DataFrame, text: str, key: str, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """Lines that go: ``__uid``, ``__line``, and the key and line of the one that stays for it."""
-    lines = cut(line_table(whole, text, key, min_words), "lines")
-    place = F.struct(F.col("key").isNull().alias("none"), "key", UID, LINE)
-    classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.min("s1").alias("s1"), F.min("s2").alias("s2"))
-    classes = cut(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    count = classes.count()
-    width = int(np.clip(int(count).bit_length() - 4, 16, 32))
-    pairs = cut(candidates(classes, width), "candidates")
+def _verified(whole: DataFrame, classes: DataFrame, pairs: DataFrame, text: str, similarity: float) -> DataFrame:
+    """The pairs whose lines' words have the edit similarity."""
     nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
     wanted = cut(nodes.join(classes, "cid").select("cid", F.col(f"first.{UID}").alias(UID), F.col(f"first.{LINE}").alias(LINE)), "wanted")
     symbols = cut(_symbols(whole, wanted, text, wanted.count()), "symbols")
     left, right = (symbols.select(F.col("cid").alias(c), F.col("symbols").alias(f"{c}_symbols")) for c in "ab")
     most = F.greatest(F.length("a_symbols"), F.length("b_symbols"))
     allowed = F.floor(most * (1 - similarity) + 1e-9).cast("int")
-    apart = F.levenshtein("a_symbols", "b_symbols")
-    near = (F.abs(F.length("a_symbols") - F.length("b_symbols")) <= allowed) & (apart <= allowed)
-    linked = components(pairs.join(left, "a").join(right, "b").filter(near).select("a", "b"))
+    close = pairs.join(left, "a").join(right, "b").withColumn("allowed", allowed).filter(F.abs(F.length("a_symbols") - F.length("b_symbols")) <= F.col("allowed"))
+    # -1 beyond what is allowed, so that only a band of the matrix is worked out
+    return close.filter(F.expr("levenshtein(a_symbols, b_symbols, allowed) >= 0")).select("a", "b")
+
+
+def dropped_lines(whole: DataFrame, text: str, key: str, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """Lines that go: ``__uid``, ``__line``, and the key and line of the one that stays for it."""
+    words = np.arange(min_words, 1000)
+    if ((words - 1 - 2 * _edits(words, similarity) < 1) & (_edits(words, similarity) > 0)).any():
+        raise ValueError(f"lines of a similarity of {similarity} need not share a bigram")
+    lines = cut(line_table(whole, text, key, min_words), "lines")
+    place = F.struct(F.col("key").isNull().alias("none"), "key", UID, LINE)
+    classes = cut(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).withColumn("cid", F.col("h1")), "classes")
+    members = _members(whole, text, min_words, bigram_ranks(whole, text, min_words), similarity)
+    found = cut(first_pairs(members, similarity), "candidates")
+    pairs = cut(found.filter("a IS NOT NULL").select("a", "b").distinct(), "pairs")
+    linked = components(_verified(whole, classes, pairs, text, similarity))
+    hot = found.filter("a IS NULL")
+    if not hot.isEmpty():
+        linked = cut(linked, "groups")
+        others = cut(other_pairs(hot, linked, similarity), "pairs")
+        if not others.isEmpty():
+            linked = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")).union(_verified(whole, classes, others, text, similarity)))
     grouped = classes.join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     stays = grouped.groupBy("root").agg(F.min("first").alias("stays"), F.sum("n").alias("lines"))
     several = grouped.select("h1", "h2", "root").join(stays.filter("lines > 1"), "root").select("h1", "h2", "stays")
