@@ -46,6 +46,15 @@ def test_lines_that_differ_in_numbers_stay(spark):
     assert kept(spark, texts) == {0, 1, 2, 3, 4}
 
 
+def test_a_pair_is_found_beside_a_permuted_line(spark):
+    rng = random.Random(1)
+    line = [f"word{k}" for k in range(20)]
+    shuffled = [" ".join(rng.sample(line, 20)) for _ in range(60)]
+    near = " ".join([*line[:7], "other", *line[8:]])
+    texts = [*shuffled, near, " ".join(line)]
+    assert kept(spark, texts) == kept_by_all_pairs(texts) == set(range(61))
+
+
 def test_all_pairs_of_the_whole_radius(spark):
     rng = random.Random(2)
     vocabulary = [f"w{k}" for k in range(60)]
@@ -61,3 +70,12 @@ def test_all_pairs_of_the_whole_radius(spark):
             texts.append(" ".join(other))
     rng.shuffle(texts)
     assert kept(spark, texts) == kept_by_all_pairs(texts)
+
+
+def test_all_pairs_of_a_pair_of_words_in_every_line(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SMALL", 4)
+    monkeypatch.setattr(line_dedup, "FIRST_LAGS", 1)
+    monkeypatch.setattr(line_dedup, "CHUNK", 16)
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices("abcd", k=rng.randint(5, 9))) for _ in range(150)]
+    assert kept(spark, texts) == kept_by_all_pairs(texts)
