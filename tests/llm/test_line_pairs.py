@@ -55,6 +55,12 @@ def test_a_pair_is_found_beside_a_permuted_line(spark):
     assert kept(spark, texts) == kept_by_all_pairs(texts) == set(range(61))
 
 
+def test_short_words_count(spark):
+    line = "a cat sat on my big old mat as it was so wet in the telephone exchange building yesterday morning"
+    texts = [line, line.replace("telephone", "wooden").replace("yesterday", "tomorrow")]
+    assert kept(spark, texts) == {0}
+
+
 def test_all_pairs_of_the_whole_radius(spark):
     rng = random.Random(2)
     vocabulary = [f"w{k}" for k in range(60)]
