@@ -1,10 +1,10 @@
-"""License scans by a positional index of rare license words; Spark expressions only.
+"""License scans by a positional index of license words; Spark expressions only.
 
 The words of whole texts that belong to the vocabulary of the license templates
 are kept with their positions.  Document frequencies over the whole corpus say
-which of them are rare; each document's rarest license words are looked up in
-the templates' postings, and a template is a candidate at the offset on which
-several of them agree.  A candidate counts when every word of the template's
+which of them are rare; all but function words are looked up in the templates'
+postings, wherever they stand, and a template is a candidate at each offset on
+which two of them agree.  A candidate counts when every word of the template's
 mandatory key phrases stands at its place; its score is the share of the
 template's weight (inverse document frequency) that stands at its place.
 
@@ -15,13 +15,13 @@ an empty result; further columns do not matter.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.storage import cut
 
 UID = "__uid"
-#: Rare license words looked up for each document.
+#: License words of a document that the SQL counterpart looks up; ``candidates`` looks all up.
 RAREST = 6
 
 #: The base phrases and their labels.
@@ -103,7 +103,7 @@ def _postings() -> list[tuple[int, str, int, str, bool]]:
     return out
 
 
-def candidates(found: DataFrame, rarest: int = RAREST) -> DataFrame:
+def candidates(found: DataFrame) -> DataFrame:
     """``__uid``, ``label`` and ``share`` of each template that a document holds."""
     spark = found.sparkSession
     postings = spark.createDataFrame(_postings(), "template int, label string, place long, word string, needed boolean")
@@ -113,10 +113,8 @@ def candidates(found: DataFrame, rarest: int = RAREST) -> DataFrame:
     frequency = seen.groupBy("word").agg(F.count_distinct(UID).alias("n"))
     # one row a vocabulary word, so it is broadcast
     idf = F.broadcast(cut(frequency.select("word", F.log1p(F.lit(float(documents)) / F.col("n")).alias("idf")), "idf"))
-    ranked = seen.join(idf, "word").withColumn("rank", F.dense_rank().over(Window.partitionBy(UID).orderBy(F.desc("idf"), "word")))
-    rare = ranked.filter(F.col("rank") <= rarest)
     votes = (
-        rare.join(F.broadcast(postings), "word")
+        seen.join(F.broadcast(postings), "word")
         .groupBy(UID, "template", (F.col("pos") - F.col("place")).alias("offset"))
         .agg(F.count("*").alias("agree"))
     )
