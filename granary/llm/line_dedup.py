@@ -1,28 +1,39 @@
-"""Fuzzy line dedup: bigram prefixes, edit similarity, connected groups, one line a group.
+"""Fuzzy line dedup: signatures of adjacent words, edit similarity, connected groups, one line a group.
 
 Lines are normalised to their lower-cased words.  Equal normalised lines are one
-class.  Two lines of M words at most whose edit similarity is S or more differ by
-(1 - S) M edits at most, and each edit costs two pairs of adjacent words at most;
-so if all lines' pairs of words stand in one order, the first 2 (1 - S) m + 1 of a
-line of m words hold one that the other line's first have too.  Rare pairs come
-first.  The classes of a pair of words are compared by their numbers of words and
-by the parities of their words' hashes, neither of which loses a pair, and what
-is left is verified by the edit similarity of the two lines' words.  Verified
-pairs are joined to connected groups, and of each group the line of the smallest
-document stays, wherever the others stand.
-
-All classes of a pair of words are compared where there are ``SMALL`` of them at
-most.  Where there are more, each is first compared with a few others; groups are
-built from these, and then all classes that are not yet in one group are
-compared, in pairs of chunks dealt over the cluster.  So no pair that could join
-two groups is left out.
+class.  Two lines are alike when the edit distance of their words is a share of
+1 - S of the longer one's words at most.  SimHash blocks can't find these pairs
+(README), so the candidates come from signatures that lose none of them:
+
+* A gram is three adjacent words (two in the shortest lines).  All grams of all
+  lines stand in one order, and a line's signatures are its first grams in that
+  order: as many as no edits that the similarity allows could all destroy.  An
+  edit of a word destroys the grams in a window of three places, a word put in
+  those in a window of two, so what is counted is how many such windows the
+  places of the chosen grams need.  Of two alike lines one signature at least is
+  left over, aligned, and is a signature of the other.
+* Rare grams come first in the order, and among these the ones whose middle word
+  has the least hash of the three: they are never adjacent, so fewer are needed.
+* Classes that share a signature are candidates if their numbers of words and the
+  places of the signature in them allow the similarity.  Candidates are verified
+  by the edit distance of all their words.
+
+Each class is verified first with the nearest candidate before it.  Groups are
+built from these links, and then all candidates that are not yet in one group
+are verified, so no pair that could join two groups is left out.  A signature
+with more than ``SMALL`` classes gives but a few candidates at first; later all
+its classes that are in different groups are compared, in pairs of chunks dealt
+over the cluster.  Of each group the line of the smallest document stays.
+
+Signatures travel as arrays, one row for each task and bucket of signatures; very
+frequent signatures are dealt over several buckets.
 
 Defined cases: null texts stay null, empty texts stay empty, lines of fewer
 than ``min_words`` words are never touched; a repeated row loses the lines that
 an earlier one holds (so that a text can become empty); ties go to the smaller
-key, then to the earlier row and line; empty tables give empty results; columns
-of any name pass through, except that names beginning with ``__`` are reserved.
-Words and lines are compared by 64-bit hashes before they are verified.
+key, then to the earlier row and line, null keys last; empty tables give empty
+results; columns of any name pass through.  Words and lines are compared by
+64-bit hashes before they are verified.
 """
 
 from __future__ import annotations
@@ -37,21 +48,28 @@ from pyspark.sql import types as T
 
 from granary.llm import textbatch as tb
 from granary.llm.components import components
-from granary.llm.storage import cut
+from granary.llm.storage import col, cut, free_name
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
-#: Up to so many classes of a pair of words are all compared at once; of more, each is compared with so many before it first.
+#: Up to so many classes of a signature are all candidates at once; of more, each with so many before it first.
 SMALL, FIRST_LAGS = 32, 8
-#: Classes in a chunk of a pair of words that has more than SMALL.
+#: Classes in a chunk of a signature that has more than SMALL.
 CHUNK = 2048
-#: Documents whose pairs of words are counted, and counters of them; any order of pairs is right, rare ones first is quick.
+#: Documents whose grams are counted, about, and counters of them; any order of grams is right, rare ones first is quick.
 SAMPLE_ROWS, COUNTERS = 20_000, 1 << 20
-UID, LINE = "__uid", "__line"
-#: Rows of 16 bytes that are broadcast at most; beyond it the same join shuffles.
-BROADCAST_ROWS = 1_000_000
+#: A signature that is counted more often is dealt over so many more buckets.
+SALT_CLASSES = 200_000
+#: Lines of more words take a number of signatures that is enough wherever they stand.
+COUNTED_WORDS = 1024
+#: Signatures in a bucket, about, and in the arrays that a task holds before it passes them on.
+BUCKET_ROWS, HELD_ROWS = 1 << 24, 1 << 21
+#: Rows of up to 100 bytes that are broadcast at most; beyond it the same join shuffles.
+BROADCAST_ROWS = 200_000
 
-_LENGTH_BITS = 20
+_LINES = 1 << 16  # sorted together
+_TOKEN_BITS, _PLACE_BITS, _NONE = 48, 14, (1 << 14) - 1
+_NO_SALT = -1
 
 
 def normalised(found: tb.Texts) -> tuple[tb.Spans, np.ndarray, np.ndarray]:
@@ -62,247 +80,367 @@ def normalised(found: tb.Texts) -> tuple[tb.Spans, np.ndarray, np.ndarray]:
     return rows, np.concatenate([np.searchsorted(words.start, rows.start), [len(words.start)]]) if len(rows.start) else np.zeros(1, np.int64), tb.hashes(lowered.data, words.start, words.end)
 
 
-def _sequence_hash(codes: np.ndarray, first: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit hash of each stretch of codes."""
-    n = len(codes)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(tb.mix(codes + np.uint64(seed)) * tb._power(tb._ODD, n + 1)[:n], out=sums[1:])
-    low, high = first[:-1], first[1:]
-    return tb.mix((sums[high] - sums[low]) * tb._power(tb._INVERSE, n + 1)[low] + (high - low).astype(np.uint64))
-
-
 def _line_numbers(rows: tb.Spans, n: int) -> np.ndarray:
     return np.arange(len(rows.owner)) - rows.first_of(n)[:-1][rows.owner]
 
 
-def line_table(whole: DataFrame, text: str, key: str, min_words: int) -> DataFrame:
-    """One row a line with enough words: row, line number, key, class hashes."""
-    schema = T.StructType([T.StructField(UID, T.LongType()), T.StructField(LINE, T.LongType()), T.StructField("key", whole.schema[key].dataType), *(T.StructField(c, T.LongType()) for c in ("h1", "h2"))])
+def line_table(whole: DataFrame, min_words: int) -> DataFrame:
+    """One row a line with enough words: ``uid``, ``line``, ``key``, class hashes ``h1`` and ``h2``."""
+    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("line", T.LongType()), T.StructField("key", whole.schema["key"].dataType), *(T.StructField(c, T.LongType()) for c in ("h1", "h2"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tb.slices(batches, text):
-            found = tb.texts(part.column(text))
+        for part in tb.slices(batches, "text"):
+            found = tb.texts(part.column("text"))
             rows, first, code = normalised(found)
             number = _line_numbers(rows, len(found))
             full = np.flatnonzero(np.diff(first) >= min_words)
-            h1, h2 = (_sequence_hash(code, first, s) for s in (1, 2))
+            h1, h2 = (tb.sequence_hashes(code, first, s) for s in (1, 2))
             owner = pa.array(rows.owner[full])
-            yield pa.RecordBatch.from_arrays([part.column(UID).take(owner), pa.array(number[full]), part.column(key).take(owner), *(pa.array(x[full].view(np.int64)) for x in (h1, h2))], schema.names)
+            yield pa.RecordBatch.from_arrays([part.column("uid").take(owner), pa.array(number[full]), part.column("key").take(owner), *(pa.array(x[full].view(np.int64)) for x in (h1, h2))], schema.names)
+
+    return whole.select("uid", "key", "text").mapInArrow(run, schema)
+
 
-    return whole.select(*dict.fromkeys([UID, key, text])).mapInArrow(run, schema)
+def _edits(n: np.ndarray | int, similarity: float) -> np.ndarray:
+    return np.floor(n * (1 - similarity) + 1e-9).astype(np.int64)
 
 
-def _bigrams(code: np.ndarray) -> np.ndarray:
-    """A hash of each two adjacent words."""
-    return tb.window_hashes(code, 2)
+class Grams:
+    """How many words make a gram, and when the chosen ones are enough for the similarity.
 
+    With w windows of ``size`` places needed to cover all chosen grams and v of
+    ``size`` - 1 places, a line of m words is safe from another of n words if
+    the edits e = (1 - S) max(m, n) can't cover them: for n <= m if w > e; for
+    n = m + d, of whose e edits d put words in, if w > e or v > 2 e - d.
+    """
 
-def _places(first: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the chosen lines' bigrams: the line's place in ``chosen``, the bigram's place, its number in its line."""
-    n = np.maximum(first[chosen + 1] - first[chosen] - 1, 0)
+    def __init__(self, similarity: float, min_words: int) -> None:
+        self.similarity, self.ratio = similarity, 1 / (1 - similarity) if similarity < 1 else np.inf
+        words = np.arange(min_words, 1000)
+        whole3, whole2 = (self.enough(words, self._windows(words - size + 1, size), self._windows(words - size + 1, size - 1)) for size in (3, 2))
+        #: Lines of so many words have grams of three words; those of fewer, and all that could be alike to them, of two.
+        self.three = min_words + int(np.flatnonzero(~whole3).max(initial=-1)) + 1
+        self.two = int(np.floor((self.three - 1) / similarity + 1e-9)) if self.three > min_words else 0
+        if not whole2[words <= self.two].all():
+            raise ValueError(f"lines of {min_words} words and a similarity of {similarity} need not share two adjacent words")
+
+    @staticmethod
+    def _windows(places: np.ndarray, size: int) -> np.ndarray:
+        return -(-np.maximum(places, 0) // size)
+
+    def enough(self, m: np.ndarray, w: np.ndarray, v: np.ndarray) -> np.ndarray:
+        if self.similarity >= 1:
+            return w >= 1
+        return (w > _edits(m, self.similarity)) & ((self.ratio * w > m / self.similarity + 1e-6) | (v + (self.ratio - 2) * w > m + 1e-6))
+
+    def always(self, m: np.ndarray, size: int) -> np.ndarray:
+        """Chosen places that are enough wherever they are."""
+        return np.floor(size * (1 - self.similarity) * m + 1e-6).astype(np.int64) + 1
+
+
+def _places(first: np.ndarray, chosen: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the chosen lines' grams: the line's place in ``chosen``, the first word's place, its number in its line."""
+    n = np.maximum(first[chosen + 1] - first[chosen] - size + 1, 0)
     owner = np.repeat(np.arange(len(chosen)), n)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
     return owner, first[chosen][owner] + number, number
 
 
-def bigram_ranks(whole: DataFrame, text: str, min_words: int) -> np.ndarray:
-    """How frequent the bigrams of each counter are, as a logarithm in a byte."""
+def _counter(gram: np.ndarray) -> np.ndarray:
+    return (gram & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def gram_counts(whole: DataFrame, rows: int, grams: Grams, min_words: int) -> np.ndarray:
+    """How often the grams of each counter occur in the corpus, about."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
-        for part in tb.slices(batches, text):
-            _, first, code = normalised(tb.texts(part.column(text)))
-            _, at, _ = _places(first, np.flatnonzero(np.diff(first) >= min_words))
-            total += np.bincount((_bigrams(code)[at] & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        for part in tb.slices(batches, "text"):
+            _, first, code = normalised(tb.texts(part.column("text")))
+            n = np.diff(first)
+            for size, low, high in ((2, min_words, grams.two), (3, grams.three, n.max(initial=0))):
+                _, at, _ = _places(first, np.flatnonzero((n >= low) & (n <= high)), size)
+                total += np.bincount(_counter(tb.window_hashes(code, size)[at]), minlength=COUNTERS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["counter", "n"])
 
-    step = max(1, whole.count() // SAMPLE_ROWS)
-    sample = whole.filter(F.pmod(F.xxhash64(UID), F.lit(step)) == 0).select(text)
+    step = max(1, rows // SAMPLE_ROWS)
+    sample = whole.filter(F.pmod(F.xxhash64("uid"), F.lit(step)) == 0).select("text")
     # one row a counter at most, whatever the size of the corpus
     got = sample.mapInArrow(run, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(COUNTERS, np.int64)
     total[got.column("counter").to_numpy()] = got.column("n").to_numpy()
-    return np.minimum(8 * np.log2(1.0 + total), 255).astype(np.uint8)
-
-
-def signatures(code: np.ndarray, first: np.ndarray, chosen: np.ndarray, ranks: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """For each line of ``chosen`` its first bigrams: the line's place in ``chosen``, the 44 bits of the bigram.
-
-    Rank and hash are one number, so that the order is the same in all lines; a
-    bigram that comes again in its line is another one.
-    """
+    return total * step
+
+
+class Order:
+    """The order of all grams, and over how many buckets a frequent one is dealt."""
+
+    def __init__(self, counts: np.ndarray) -> None:
+        usual = max(1.0, float(counts.mean()))
+        # 0 to 13, 0 for what is not much more frequent than usual
+        self.level = np.clip(np.ceil(np.log2(np.maximum(counts, 1) / usual)) - 2, 0, 13).astype(np.uint8)
+        self.salts = np.clip(-(-counts // SALT_CLASSES), 1, 1 << 20).astype(np.int32)
+
+    def tokens(self, code: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+        """48 bits for each gram: its level, whether it is the lesser choice there, its hash."""
+        gram = tb.window_hashes(code, size)[at]
+        level = self.level[_counter(gram)].astype(np.uint64)
+        if size == 3:
+            lesser = (code[at + 1] > code[at]) | (code[at + 1] > code[at + 2])
+            level = np.minimum(2 * level + lesser, 15).astype(np.uint64)
+        return (level << np.uint64(44)) | (gram & np.uint64((1 << 44) - 1))
+
+
+def _windows_needed(place: np.ndarray, line: np.ndarray, lines: int, size: int) -> np.ndarray:
+    """For each line how many windows of ``size`` places cover all of its places, which rise over all lines."""
+    out = np.zeros(lines, np.int64)
+    if not len(place):
+        return out
+    then = np.searchsorted(place, place + size)
+    ends = np.searchsorted(line, np.arange(lines), side="right")
+    active = np.flatnonzero(ends > np.searchsorted(line, np.arange(lines)))
+    at = np.searchsorted(line, active)
+    while len(active):
+        out[active] += 1
+        at = then[at]
+        more = at < ends[active]
+        at, active = at[more], active[more]
+    return out
+
+
+def signatures(code: np.ndarray, first: np.ndarray, chosen: np.ndarray, size: int, order: Order, grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each line of ``chosen`` its first grams: the line's place in ``chosen``, the token, its place in the line or none if it has several."""
     out = []
-    for low in range(0, len(chosen), 1 << 19):
-        part = chosen[low : low + (1 << 19)]
-        owner, at, number = _places(first, part)
+    for low in range(0, len(chosen), _LINES):
+        part = chosen[low : low + _LINES]
+        owner, at, number = _places(first, part, size)
         if not len(at):
             continue
-        gram = _bigrams(code)[at]
-        key = (owner.astype(np.uint64) << np.uint64(44)) | (ranks[(gram & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(36)) | (gram >> np.uint64(28))
-        key.sort()
-        own = first[part + 1] - first[part]
-        taken = number < np.floor(2 * (1 - similarity) * own + 1e-6).astype(np.int64)[owner] + 1
-        place = np.arange(len(key))
-        again = place - np.maximum.accumulate(np.where(np.concatenate([[True], key[1:] != key[:-1]]), place, 0))
-        token = key & np.uint64((1 << 44) - 1)
-        token = np.where(again > 0, tb.mix(token ^ (again.astype(np.uint64) << np.uint64(44))) >> np.uint64(20), token)
-        out.append((owner[taken] + low, token[taken]))
+        m = first[part + 1] - first[part]
+        key = (owner.astype(np.uint64) << np.uint64(_TOKEN_BITS)) | order.tokens(code, at, size)
+        by = np.argsort(key, kind="stable")
+        ordered = key[by]
+        begin = np.searchsorted(owner, np.arange(len(part) + 1))
+        # the number of grams is searched between what is needed at least and what is always enough
+        most = np.minimum(grams.always(m, size), np.diff(begin))
+        least = np.minimum(_edits(m, grams.similarity) + 1, most)
+        least = np.where(m > COUNTED_WORDS, most, least)
+        while (open_ := np.flatnonzero(least < most)).size:
+            half = (least + most) // 2
+            limit = ordered[begin[:-1] + half - 1]
+            is_open = np.zeros(len(part), bool)
+            is_open[open_] = True
+            taken = np.flatnonzero((key <= limit[owner]) & is_open[owner])
+            w, v = (_windows_needed(at[taken], owner[taken], len(part), s) for s in (size, size - 1))
+            good = grams.enough(m, w, v)
+            most = np.where(is_open & good, half, most)
+            least = np.where(is_open & ~good, half + 1, least)
+        limit = ordered[begin[:-1] + np.maximum(most, 1) - 1]
+        line = owner[by]
+        new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        several = np.concatenate([~new[1:], [False]])
+        use = np.flatnonzero(new & (ordered <= limit[line]))
+        place = np.where(several[use], _NONE, np.minimum(number[by[use]], _NONE))
+        out.append((line[use] + low, ordered[use] & np.uint64((1 << _TOKEN_BITS) - 1), place))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _members(whole: DataFrame, text: str, min_words: int, ranks: np.ndarray, similarity: float) -> DataFrame:
-    """``sign`` (bigram and number of words), ``cid``, ``parity``: a class once a task for each of its first bigrams."""
+def _members(whole: DataFrame, order: Order, grams: Grams, min_words: int, bits: int) -> DataFrame:
+    """``bucket``, ``salt`` and the arrays ``sign`` (rest of the token, words, place) and ``cid``; a class once a task for each signature."""
+    shared = whole.sparkSession.sparkContext.broadcast(order)  # two small numbers a counter
+    buckets = np.uint64((1 << bits) - 1)
+
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        token, salt, words, place, cid = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        bucket = (token & buckets).astype(np.int64)
+        by = np.lexsort((salt, bucket))
+        bucket, salt = bucket[by], salt[by]
+        sign = ((token >> np.uint64(bits)) << np.uint64(2 * _PLACE_BITS)) | (words.astype(np.uint64) << np.uint64(_PLACE_BITS)) | place.astype(np.uint64)
+        heads = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])]))
+        offsets = pa.array(np.concatenate([heads, [len(by)]]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[by].view(np.int64))) for x in (sign, cid)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[heads].astype(np.int32)), pa.array(salt[heads].astype(np.int32)), *lists], ["bucket", "salt", "sign", "cid"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.uint64)
-        for part in tb.slices(batches, text):
-            _, first, code = normalised(tb.texts(part.column(text)))
+        seen, held, many = np.zeros(0, np.uint64), [], 0
+        for part in tb.slices(batches, "text", 4 * tb.SLICE_BYTES):
+            _, first, code = normalised(tb.texts(part.column("text")))
             n = np.diff(first)
-            cid = _sequence_hash(code, first, 1)
+            cid = tb.sequence_hashes(code, first, 1)
             full = np.flatnonzero(n >= min_words)
             _, once = np.unique(cid[full], return_index=True)
             full = full[once]
-            full = full[~tb.among(cid[full], seen)]
+            full = np.sort(full[~tb.among(cid[full], seen)])
             seen = np.union1d(seen, cid[full])
-            bits = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(np.uint64(1) << (code >> np.uint64(58)))])
-            parity = bits[first[full + 1]] ^ bits[first[full]]
-            owner, token = signatures(code, first, full, ranks, similarity)
-            sign = (token << np.uint64(_LENGTH_BITS)) | np.minimum(n[full], (1 << _LENGTH_BITS) - 1).astype(np.uint64)[owner]
-            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (sign, cid[full][owner], parity[owner])], ["sign", "cid", "parity"])
-
-    return whole.select(text).mapInArrow(run, "sign long, cid long, parity long")
-
-
-def _edits(n: np.ndarray | int, similarity: float) -> np.ndarray:
-    return np.floor(n * (1 - similarity) + 1e-9).astype(np.int64)
-
-
-def _possible(n: np.ndarray, parity: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
-    """Which pairs can be similar: an edit changes two parities at most and the number of words by one."""
-    most = _edits(np.maximum(n[a], n[b]), similarity)
-    most = np.where(np.maximum(n[a], n[b]) == (1 << _LENGTH_BITS) - 1, 1 << _LENGTH_BITS, most)  # clipped
-    return (np.abs(n[a] - n[b]) <= most) & (np.bitwise_count(parity[a] ^ parity[b]) <= 2 * most)
-
-
-def _columns(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
-    rows = [[c.to_numpy() for c in b.columns] for b in batches]
-    return [np.concatenate(x) for x in zip(*rows, strict=True)]
+            for size, low, high in ((2, min_words, grams.two), (3, grams.three, n.max(initial=0))):
+                chosen = full[(n[full] >= low) & (n[full] <= high)]
+                line, token, place = signatures(code, first, chosen, size, shared.value, grams)
+                own = cid[chosen][line]
+                salts = shared.value.salts[_counter(token)]
+                salt = np.where(salts > 1, (tb.mix(own) % salts.astype(np.uint64)).astype(np.int64), _NO_SALT)
+                held.append((token, salt, np.minimum(n[chosen], _NONE)[line], place, own))
+                many += len(token)
+            if many >= HELD_ROWS:
+                yield packed(held)
+                many = 0
+        if many:
+            yield packed(held)
+
+    return whole.select("text").mapInArrow(run, "bucket int, salt int, sign array<long>, cid array<long>")
+
+
+def _possible(n: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs can be alike: words put in or left out before and behind an aligned signature are edits."""
+    longer = np.maximum(n[a], n[b])
+    most = np.where(longer == _NONE, np.iinfo(np.int64).max, _edits(longer, similarity))  # clipped
+    shift, all_of = place[a] - place[b], n[a] - n[b]
+    apart = np.where((place[a] == _NONE) | (place[b] == _NONE), np.abs(all_of), np.abs(shift) + np.abs(all_of - shift))
+    return apart <= most
+
+
+def _unpacked(sign: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rest of the token, words, place."""
+    return sign.view(np.uint64) >> np.uint64(2 * _PLACE_BITS), (sign >> _PLACE_BITS) & _NONE, sign & _NONE
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of each stretch of equal keys, in one batch; a task holds one stretch and one batch at a time."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not len(b):
+            continue
+        values = [b.column(k).to_numpy() for k in keys]
+        change = np.flatnonzero(np.logical_or.reduce([v[1:] != v[:-1] for v in values])) + 1
+        for low, high in zip([0, *change.tolist()], [*change.tolist(), len(b)], strict=True):
+            if held and not low and any(held[-1].column(k)[-1].as_py() != v[0] for k, v in zip(keys, values, strict=True)):
+                yield pa.concat_batches(held)
+                held = []
+            elif held and low:
+                yield pa.concat_batches(held)
+                held = []
+            held.append(b.slice(low, high - low))
+    if held:
+        yield pa.concat_batches(held)
 
 
-def _ordered(cid: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.unique(np.stack([np.minimum(cid[a], cid[b]), np.maximum(cid[a], cid[b])], axis=1), axis=0)
+CANDIDATES = "a long, b long, nearest boolean, token long, words int, place int"
 
 
-def first_pairs(members: DataFrame, similarity: float) -> DataFrame:
-    """Rows ``a``, ``b``: all possible pairs of few classes, the first ones of many.
+def candidates(members: DataFrame, similarity: float, bits: int) -> DataFrame:
+    """Rows ``a``, ``b``, ``nearest``: all possible pairs of few classes, the first ones of many.
 
-    Of bigrams with many classes the members come too: ``a`` is null, ``b`` is
-    the class, and ``sign``, ``parity`` and the number ``many`` of members follow.
+    Of signatures with many classes, or dealt over several buckets, the classes
+    come too: ``a`` is null, ``b`` is the class, ``token``, ``words`` and ``place`` follow.
     """
-    names = ["a", "b", "sign", "parity", "many"]
+    names = ["a", "b", "nearest", "token", "words", "place"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _columns(batches)
-        if not got:
-            return
-        sign, cid, parity = got
-        order = np.lexsort((cid, sign.view(np.uint64) >> np.uint64(_LENGTH_BITS)))
-        sign, cid, parity = sign[order], cid[order], parity[order].view(np.uint64)
-        bucket = sign.view(np.uint64) >> np.uint64(_LENGTH_BITS)
-        new = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (cid[1:] != cid[:-1])])
-        sign, cid, parity, bucket = (x[new] for x in (sign, cid, parity, bucket))
-        n = sign & ((1 << _LENGTH_BITS) - 1)
-        heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    def pairs_of(cid: np.ndarray, token: np.ndarray, n: np.ndarray, place: np.ndarray, salted: bool) -> Iterator[tuple[np.ndarray, ...]]:
+        heads = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.concatenate([heads, [len(cid)]]))
-        place = np.arange(len(cid)) - np.repeat(heads, size)
-        many = np.repeat(size, size)
-        found = []
-        at = np.flatnonzero((many > SMALL) & (place > FIRST_LAGS))
-        head = at - place[at]
-        good = _possible(n, parity, at, head, similarity)
-        found.append(_ordered(cid, at[good], head[good]))
-        lag, at = 1, np.flatnonzero(place >= 1)
+        number, many = np.arange(len(cid)) - np.repeat(heads, size), np.repeat(size, size)
+        alone = np.ones(len(cid), bool)
+        at = np.flatnonzero((many > SMALL) & (number > FIRST_LAGS))
+        head = at - number[at]
+        good = _possible(n, place, at, head, similarity)
+        yield cid[head[good]], cid[at[good]], np.zeros(int(good.sum()), bool)
+        lag, at = 1, np.flatnonzero(number >= 1)
         while len(at):
-            good = _possible(n, parity, at, at - lag, similarity)
-            found.append(_ordered(cid, at[good], at[good] - lag))
+            to = at[_possible(n, place, at, at - lag, similarity)]
+            yield cid[to - lag], cid[to], alone[to]
+            alone[to] = False
             lag += 1
-            at = at[(place[at] >= lag) & ((many[at] <= SMALL) | (lag <= FIRST_LAGS))]
-        pairs = np.unique(np.concatenate(found), axis=0)
-        none = pa.nulls(len(pairs), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none, none], names)
-        hot = np.flatnonzero(many > SMALL)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(hot), pa.int64()), *(pa.array(x[hot]) for x in (cid, sign, parity.view(np.int64), many))], names)
+            at = at[(number[at] >= lag) & ((many[at] <= SMALL) | (lag <= FIRST_LAGS))]
 
-    return members.repartition(F.shiftrightunsigned("sign", _LENGTH_BITS)).mapInArrow(run, ", ".join(f"{x} long" for x in names))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, ["bucket", "salt"]):
+            sign, cid = (rows.column(c).flatten().to_numpy() for c in ("sign", "cid"))
+            token, n, place = _unpacked(sign)
+            by = np.lexsort((cid, token))
+            cid, token, n, place = cid[by], token[by], n[by], place[by]
+            new = np.concatenate([[True], (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])])
+            cid, token, n, place = cid[new], token[new], n[new], place[new]
+            salted = rows.column("salt")[0].as_py() != _NO_SALT
+            first = np.concatenate([[True], token[1:] != token[:-1]])
+            several = ~(first & np.concatenate([first[1:], [True]]))  # signatures of one class have no pairs
+            if not salted:
+                cid, token, n, place = cid[several], token[several], n[several], place[several]
+            if not len(cid):
+                continue
+            a, b, nearest = (np.concatenate(x) for x in zip(*pairs_of(cid, token, n, place, salted), strict=True))
+            by = np.lexsort((~nearest, b, a))
+            a, b, nearest = a[by], b[by], nearest[by]
+            new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)]
+            none = [pa.nulls(int(new.sum()), t) for t in (pa.int64(), pa.int32(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(nearest[new]), *none], names)
+            if salted:
+                hot = np.arange(len(cid))
+            else:
+                _, which, many = np.unique(token, return_inverse=True, return_counts=True)
+                hot = np.flatnonzero(many[which] > SMALL)
+            whole = ((token[hot] << np.uint64(bits)) | np.uint64(rows.column("bucket")[0].as_py())).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(hot), pa.int64()), pa.array(cid[hot]), pa.nulls(len(hot), pa.bool_()), pa.array(whole), pa.array(n[hot].astype(np.int32)), pa.array(place[hot].astype(np.int32))], names)
+
+    return members.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt").mapInArrow(run, CANDIDATES)
+
+
+def _looked_up(few: DataFrame, name: str) -> DataFrame:
+    """A table for the small side of a join: broadcast up to a checked size, else written, so that Spark can split a hot key."""
+    few = cut(few, name)
+    return F.broadcast(few) if few.count() <= BROADCAST_ROWS else few
 
 
 def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """``a``, ``b``: all possible pairs of classes of a bigram that stand in different groups."""
-    bucket = F.shiftrightunsigned("sign", _LENGTH_BITS)
-    rows = hot.join(roots.withColumnRenamed("node", "b"), "b", "left").select(bucket.alias("bucket"), "b", "sign", "parity", "many", F.coalesce("root", "b").alias("root"))
-    split = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("bucket")
+    """``a``, ``b``: all possible pairs of classes of a frequent signature that stand in different groups."""
+    rows = cut(hot.join(roots.withColumnRenamed("node", "b"), "b", "left").select("token", "b", "words", "place", F.coalesce("root", "b").alias("root")), "members")
+    split = rows.groupBy("token").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token", "many")
     chunks = F.ceil(F.col("many") / CHUNK).cast("int")
-    own = rows.join(split, "bucket").withColumn("own", F.pmod(F.xxhash64("b"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    dealt = own.select("b", "sign", "parity", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    own = rows.join(_looked_up(split, "split"), "token").withColumn("own", F.pmod(F.xxhash64("b"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    dealt = own.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "b", "words", "place", "root")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _columns(batches)
-        if not got:
-            return
-        cid, sign, parity, root, own, i, j = got
-        parity, n = parity.view(np.uint64), sign & ((1 << _LENGTH_BITS) - 1)
-        bucket = sign.view(np.uint64) >> np.uint64(_LENGTH_BITS)
-        order = np.lexsort((cid, own, j, i, bucket))
-        cid, parity, n, root, own, i, j, bucket = (x[order] for x in (cid, parity, n, root, own, i, j, bucket))
-        new = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
-        heads = np.flatnonzero(new)
-        ends = np.concatenate([heads[1:], [len(cid)]])
-        for low, high in zip(heads.tolist(), ends.tolist(), strict=True):
+        for rows in _runs(batches, ["token", "i", "j"]):
+            by = np.lexsort((rows.column("b").to_numpy(), rows.column("own").to_numpy()))
+            own, cid, n, place, root = (rows.column(c).to_numpy().astype(np.int64)[by] for c in ("own", "b", "words", "place", "root"))
+            i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
             # of two chunks each class of the first meets the second, in one chunk each meets those behind it
-            second = low + int(np.searchsorted(own[low:high], j[low])) if i[low] != j[low] else None
+            second = int(np.searchsorted(own, j)) if i != j else None
             found = []
-            for a in range(low, high if second is None else second):
-                b = np.arange(a + 1 if second is None else second, high)
+            for a in range(len(cid) if second is None else second):
+                b = np.arange(a + 1 if second is None else second, len(cid))
                 b = b[root[b] != root[a]]
-                b = b[_possible(n, parity, np.full(len(b), a), b, similarity)]
-                found.append(_ordered(cid, np.full(len(b), a), b))
+                b = b[_possible(n, place, np.full(len(b), a), b, similarity)]
+                found.append(np.stack([np.minimum(cid[a], cid[b]), np.maximum(cid[a], cid[b])]))
             if found:
-                pairs = np.concatenate(found)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                a, b = np.concatenate(found, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return dealt.repartition(F.shiftrightunsigned("sign", _LENGTH_BITS), "i", "j").mapInArrow(run, "a long, b long").distinct()
+    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def _symbols(whole: DataFrame, wanted: DataFrame, text: str, size: int) -> DataFrame:
+def _symbols(whole: DataFrame, wanted: DataFrame) -> DataFrame:
     """``cid`` and the words of its line, one character for each distinct word."""
-    by_row = wanted.groupBy(UID).agg(F.collect_list(F.struct(F.col(LINE).alias("line"), "cid")).alias("__wanted"))
-    by_row = F.broadcast(by_row) if size <= BROADCAST_ROWS else by_row
+    by_row = _looked_up(wanted.groupBy("uid").agg(F.collect_list(F.struct("line", "cid")).alias("wanted")), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tb.slices(batches, text):
-            found = tb.texts(part.column(text))
+        for part in tb.slices(batches, "text"):
+            found = tb.texts(part.column("text"))
             rows, first, code = normalised(found)
             symbol = (code % np.uint64(0xE0000)).astype(np.uint32) + np.uint32(0x10000)
             begin = rows.first_of(len(found))
-            cids, lines = [], []
-            for i, lot in enumerate(part.column("__wanted").to_pylist()):
-                for x in lot:
-                    k = begin[i] + x["line"]
-                    cids.append(x["cid"])
-                    lines.append(symbol[first[k] : first[k + 1]].tobytes().decode("utf-32-le"))
-            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(lines, pa.string())], ["cid", "symbols"])
+            lists = part.column("wanted")
+            k = begin[np.repeat(np.arange(len(found)), lists.value_lengths().to_numpy())] + lists.flatten().field("line").to_numpy()
+            lines = [symbol[a:b].tobytes().decode("utf-32-le") for a, b in zip(first[k].tolist(), first[k + 1].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([lists.flatten().field("cid"), pa.array(lines, pa.string())], ["cid", "symbols"])
 
-    return whole.select(UID, text).join(by_row, UID).select(text, "__wanted").mapInArrow(run, "cid long, symbols string")
+    return whole.select("uid", "text").join(by_row, "uid").select("text", "wanted").mapInArrow(run, "cid long, symbols string")
 
 
-def _verified(whole: DataFrame, classes: DataFrame, pairs: DataFrame, text: str, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, symbols: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose lines' words have the edit similarity."""
-    nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-    wanted = cut(nodes.join(classes, "cid").select("cid", F.col(f"first.{UID}").alias(UID), F.col(f"first.{LINE}").alias(LINE)), "wanted")
-    symbols = cut(_symbols(whole, wanted, text, wanted.count()), "symbols")
     left, right = (symbols.select(F.col("cid").alias(c), F.col("symbols").alias(f"{c}_symbols")) for c in "ab")
     most = F.greatest(F.length("a_symbols"), F.length("b_symbols"))
     allowed = F.floor(most * (1 - similarity) + 1e-9).cast("int")
@@ -311,53 +449,59 @@ def _verified(whole: DataFrame, classes: DataFrame, pairs: DataFrame, text: str,
     return close.filter(F.expr("levenshtein(a_symbols, b_symbols, allowed) >= 0")).select("a", "b")
 
 
-def dropped_lines(whole: DataFrame, text: str, key: str, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """Lines that go: ``__uid``, ``__line``, and the key and line of the one that stays for it."""
-    words = np.arange(min_words, 1000)
-    if ((words - 1 - 2 * _edits(words, similarity) < 1) & (_edits(words, similarity) > 0)).any():
-        raise ValueError(f"lines of a similarity of {similarity} need not share a bigram")
-    lines = cut(line_table(whole, text, key, min_words), "lines")
-    place = F.struct(F.col("key").isNull().alias("none"), "key", UID, LINE)
-    classes = cut(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).withColumn("cid", F.col("h1")), "classes")
-    members = _members(whole, text, min_words, bigram_ranks(whole, text, min_words), similarity)
-    found = cut(first_pairs(members, similarity), "candidates")
-    pairs = cut(found.filter("a IS NOT NULL").select("a", "b").distinct(), "pairs")
-    linked = components(_verified(whole, classes, pairs, text, similarity))
+def _groups(whole: DataFrame, classes: DataFrame, lines: int, min_words: int, similarity: float) -> DataFrame:
+    """``node`` and ``root`` of each class that is alike to another one, or to one that is, and so on."""
+    grams = Grams(similarity, min_words)
+    bits = max(12, int(20 * lines // BUCKET_ROWS).bit_length())
+    order = Order(gram_counts(whole, whole.count(), grams, min_words))
+    found = cut(candidates(_members(whole, order, grams, min_words, bits), similarity, bits), "candidates")
+    pairs = cut(found.filter("a IS NOT NULL").groupBy("a", "b").agg(F.max("nearest").alias("nearest")), "pairs")
     hot = found.filter("a IS NULL")
-    if not hot.isEmpty():
-        linked = cut(linked, "groups")
-        others = cut(other_pairs(hot, linked, similarity), "pairs")
-        if not others.isEmpty():
-            linked = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")).union(_verified(whole, classes, others, text, similarity)))
-    grouped = classes.join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    stays = grouped.groupBy("root").agg(F.min("first").alias("stays"), F.sum("n").alias("lines"))
-    several = grouped.select("h1", "h2", "root").join(stays.filter("lines > 1"), "root").select("h1", "h2", "stays")
-    found = lines.select(UID, LINE, "h1", "h2").join(several, ["h1", "h2"])
-    return found.filter((F.col(UID) != F.col(f"stays.{UID}")) | (F.col(LINE) != F.col(f"stays.{LINE}"))).select(UID, LINE, F.col("stays.key").alias("key"), F.col(f"stays.{LINE}").alias("line"))
-
-
-def _numbered(docs: DataFrame) -> DataFrame:
-    return cut(docs.withColumn(UID, F.monotonically_increasing_id()), "documents")
+    nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(hot.select(F.col("b").alias("cid"))).distinct()
+    symbols = cut(_symbols(whole, nodes.join(classes, "cid").select("cid", "first.uid", "first.line")), "symbols")
+    linked = cut(components(_verified(pairs.filter("nearest").select("a", "b"), symbols, similarity)), "groups")
+    a, b = (linked.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "ab")
+    apart = pairs.filter("NOT nearest").join(a, "a", "left").join(b, "b", "left").filter(~F.coalesce("a_root", "a").eqNullSafe(F.coalesce("b_root", "b"))).select("a", "b")
+    others = cut(apart.union(other_pairs(hot, linked, similarity)).distinct() if not hot.isEmpty() else apart, "pairs")
+    if others.isEmpty():
+        return linked
+    return components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")).union(_verified(others, symbols, similarity)))
+
+
+def dropped_lines(whole: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """Lines of ``whole`` (``uid``, ``key``, ``text``) that go: ``uid``, ``line``, and ``stays``, the place of the one that stays for it."""
+    lines = cut(line_table(whole, min_words), "lines")
+    place = F.struct(F.col("key").isNull().alias("none"), "key", "uid", "line")
+    classes = cut(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).withColumn("cid", F.col("h1")), "classes")
+    linked = _groups(whole, classes, lines.count(), min_words, similarity)
+    grouped = cut(classes.join(linked.withColumnRenamed("node", "cid"), "cid", "left").filter("n > 1 OR root IS NOT NULL").select("h1", "h2", "n", "first", F.coalesce("root", "cid").alias("root")), "grouped")
+    stays = cut(grouped.groupBy("root").agg(F.min("first").alias("stays")), "stays")
+    several = cut(grouped.select("h1", "h2", "root").join(stays, "root").select("h1", "h2", "stays"), "several")
+    found = lines.select("uid", "line", "h1", "h2").join(several, ["h1", "h2"])
+    return found.filter((F.col("uid") != F.col("stays.uid")) | (F.col("line") != F.col("stays.line"))).select("uid", "line", "stays")
 
 
 def report(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """One row a document: key, its lines, how many go, and each of them with the place of the line that stays."""
-    whole = _numbered(docs.select(*dict.fromkeys([key, text])))
-    gone = dropped_lines(whole, text, key, min_words, similarity)
-    said = F.format_string("%d:%s:%d", LINE, F.col("key").cast("string"), "line")
-    by_row = gone.groupBy(UID).agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(LINE, said.alias("said")))), lambda x: x["said"]), ",").alias("removed"))
-    lines = F.length(F.coalesce(text, F.lit(""))) - F.length(F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(""))) + 1
-    all_rows = whole.select(UID, key, lines.cast("long").alias("n_lines"))
-    return all_rows.join(by_row, UID, "left").select(key, "n_lines", F.coalesce("n", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", F.lit("")).alias("removed"))
+    whole = cut(docs.select(F.monotonically_increasing_id().alias("uid"), col(key).alias("key"), col(text).alias("text")), "documents")
+    gone = dropped_lines(whole, min_words, similarity)
+    said = F.format_string("%d:%s:%d", "line", F.col("stays.key").cast("string"), F.col("stays.line"))
+    by_row = gone.groupBy("uid").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", said.alias("said")))), lambda x: x["said"]), ",").alias("removed"))
+    lines = F.length(F.coalesce("text", F.lit(""))) - F.length(F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(""))) + 1
+    all_rows = whole.select("uid", "key", lines.cast("long").alias("n_lines"))
+    return all_rows.join(by_row, "uid", "left").select(F.col("key").alias(key), "n_lines", F.coalesce("n", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", F.lit("")).alias("removed"))
 
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` without the lines that go; the columns as they were."""
-    whole = _numbered(docs)
-    gone = dropped_lines(whole, text, key, min_words, similarity)
-    by_row = cut(gone.groupBy(UID).agg(F.collect_list(LINE).alias("__gone")), "gone")
-    if by_row.agg(F.coalesce(F.sum(F.size("__gone")), F.lit(0))).first()[0] <= BROADCAST_ROWS:
-        by_row = F.broadcast(by_row)
-    kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("__gone", i.cast("long")))
-    out = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    return whole.join(by_row, UID, "left").withColumn(text, out).select(*docs.columns)
+    uid = free_name(docs, "__uid")
+    whole = cut(docs.withColumn(uid, F.monotonically_increasing_id()), "documents")
+    gone = dropped_lines(whole.select(F.col(uid).alias("uid"), col(key).alias("key"), col(text).alias("text")), min_words, similarity)
+    by_row = cut(gone.groupBy(F.col("uid").alias(uid)).agg(F.collect_list("line").alias("gone")), "gone")
+    if by_row.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0] <= BROADCAST_ROWS * 10:
+        by_row = F.broadcast(by_row)  # 8 bytes a line
+    own = free_name(docs, "__gone")
+    kept = F.filter(F.split(col(text), "\n", -1), lambda _, i: ~F.array_contains(own, i.cast("long")))
+    out = F.when(F.col(own).isNull(), col(text)).otherwise(F.array_join(kept, "\n"))
+    joined = whole.join(by_row.withColumnRenamed("gone", own), uid, "left")
+    return joined.select(*(out.alias(c) if c == text else col(c) for c in docs.columns))

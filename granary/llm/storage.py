@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -27,6 +28,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def col(name: str) -> Column:
+    """The column of just this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, or that with as many underscores behind it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it back.
 

@@ -16,8 +16,10 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_powers: dict[int, np.ndarray] = {}
+_PLACE = np.uint64(0xA0761D6478BD642F)
+_LENGTH = np.uint64(0x2545F4914F6CDD1D)
+#: The lowest 0 to 8 bytes of a word.
+_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 #: Bytes that separate words: one table for white space, one for all ASCII but letters and digits.
 WHITE = np.zeros(256, bool)
@@ -128,28 +130,39 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _power(base: np.uint64, n: int) -> np.ndarray:
-    have = _powers.get(int(base))
-    if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + (SLICE_BYTES >> 2))
-        row = np.full(size, base, np.uint64)
-        row[0] = 1
-        have = np.multiply.accumulate(row)
-        if size <= 4 * SLICE_BYTES:
-            _powers[int(base)] = have
-    return have
+def _scaled(number: int) -> np.uint64:
+    return np.uint64(number * int(_PLACE) & 0xFFFFFFFFFFFFFFFF)
 
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each stretch: a polynomial in its bytes, then spread.
+    """A 64-bit hash of each stretch of bytes.
 
-    Equal bytes give equal hashes in every task and run.
+    Eight bytes at a time are set apart by their place and spread by ``mix``
+    before they are added up, so that no rearrangement of the same bytes has the
+    same sum but by chance.  Equal bytes give equal hashes in every task and run.
     """
-    n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1 + seed)) * _power(_ODD, n + 1)[:n], out=sums[1:])
-    own = (sums[end] - sums[start]) * _power(_INVERSE, n + 1)[start]
-    return mix(own + (end - start).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D) + np.uint64(seed))
+    size = end - start
+    words = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), 0, (1,))
+    lead = _scaled(seed + 1)
+    out = mix((words[start] & _BYTES[np.minimum(size, 8)]) ^ lead)
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        more = (size[long] - 1) >> 3
+        first = np.cumsum(more) - more
+        place = np.arange(int(more.sum())) - np.repeat(first, more) + 1
+        at = np.repeat(start[long], more) + 8 * place
+        part = words[at] & _BYTES[np.minimum(np.repeat(end[long], more) - at, 8)]
+        out[long] += np.add.reduceat(mix(part ^ (lead + place.astype(np.uint64) * _ODD)), first)
+    return mix(out ^ (size.astype(np.uint64) * _LENGTH + np.uint64(seed)))
+
+
+def sequence_hashes(codes: np.ndarray, first: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit hash of each stretch ``first[i]:first[i + 1]`` of codes, made as in ``hashes``."""
+    size = np.diff(first)
+    place = np.arange(len(codes)) - np.repeat(first[:-1], size) + 1 if len(codes) else np.zeros(0, np.int64)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(mix(codes ^ (_scaled(seed) + place.astype(np.uint64) * _ODD)), out=sums[1:])
+    return mix((sums[first[1:]] - sums[first[:-1]]) ^ (size.astype(np.uint64) * _LENGTH + np.uint64(seed)))
 
 
 def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -157,8 +170,9 @@ def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
     n = len(codes) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
+    out = np.full(n, _scaled(width), np.uint64)
     for i in range(width):
+        out ^= out >> np.uint64(29)
         out *= np.uint64(0xD6E8FEB86659FD93)
         out += codes[i : i + n]
     return mix(out)
