@@ -1,8 +1,8 @@
 """Chat formatting: conversations as one marked text with a loss mask, and back.
 
 Only Spark expressions.  A conversation's turns are collected as structs and
-sorted; adjacent turns of one role become one block, its texts set apart by a
-mark; blocks are concatenated:
+sorted; adjacent turns of one role are merged to one block by looking at the
+neighbours in the array, its texts set apart by a mark; blocks are concatenated:
 
     <|turn|>role<|text|>first text<|more|>second text<|end|>
 
@@ -18,15 +18,20 @@ matter.  A conversation is one row of the result and so is held by one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm.storage import col
+
 TURN, TEXT, MORE, END = "<|turn|>", "<|text|>", "<|more|>", "<|end|>"
 #: Control strings and what they are in a text; each differs by one backslash.
 ESCAPES = (("<|", "<\\|"), ("<s>", "<\\s>"), ("</s>", "<\\/s>"), ("[INST]", "[\\INST]"), ("[/INST]", "[\\/INST]"))
 LEARNED = "assistant"
+#: Turns whose lengths are added up in one array, and code points that are walked through to find a stretch.
+CHUNK = 512
 
 
 def escaped(text: Column) -> Column:
@@ -38,62 +43,79 @@ def unescaped(text: Column) -> Column:
     return F.replace(reduce(lambda t, e: F.replace(t, F.lit(e[1]), F.lit(e[0])), reversed(ESCAPES), text), F.lit("\\\\"), F.lit("\\"))
 
 
-def _blocks(turns: Column) -> Column:
-    """Adjacent turns of one role as (role, texts)."""
-    kind = "array<struct<role:string,texts:array<string>>>"
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(lengths: Column) -> Column:
+    """Sums of the lengths before each place: ``inner`` in its chunk, ``before`` of its chunk; no long array is copied at each step."""
 
-    def step(done: Column, x: Column) -> Column:
-        last = F.element_at(done, -1)
-        same = (F.size(done) > 0) & (last["role"] == x["role"])
-        grown = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(x["role"].alias("role"), F.concat(last["texts"], F.array(x["text"])).alias("texts"))))
-        return F.when(same, grown).otherwise(F.concat(done, F.array(F.struct(x["role"].alias("role"), F.array(x["text"]).alias("texts")))))
+    def sums(x: Column) -> Column:
+        return F.aggregate(x, F.array(F.lit(0).cast("long")), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n)))
 
-    return F.aggregate(turns, F.array().cast(kind), step)
+    starts = F.sequence(F.lit(1), F.greatest(F.size(lengths), F.lit(1)), F.lit(CHUNK))
+    inner = F.transform(starts, lambda k: sums(F.slice(lengths, k, F.lit(CHUNK))))
+    return _bound(inner, lambda chunks: F.struct(chunks.alias("inner"), sums(F.transform(chunks, lambda c: F.element_at(c, -1))).alias("before")))
 
 
 def formatted(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row a conversation: its id, ``formatted`` and ``loss``, the stretches (start, end) of code points to learn."""
-    row = F.struct(F.col(turn).alias("turn"), escaped(F.coalesce(role, F.lit(""))).alias("role"), escaped(F.coalesce(text, F.lit(""))).alias("text"))
-    collected = conversations.groupBy(conv).agg(F.array_sort(F.collect_list(row)).alias("turns")).withColumn("blocks", _blocks(F.col("turns")))
-    # the parts of the output in order, each with whether it is learned
-    parts = F.flatten(
-        F.transform(
-            "blocks",
-            lambda b: F.concat(
-                F.array(_part(F.concat(F.lit(TURN), b["role"], F.lit(TEXT)), F.lit(False))),
-                F.flatten(F.transform(b["texts"], lambda t, i: F.when(i > 0, F.array(_part(F.lit(MORE), F.lit(False)), _part(t, b["role"] == LEARNED))).otherwise(F.array(_part(t, b["role"] == LEARNED))))),
-                F.array(_part(F.lit(END + "\n"), F.lit(False))),
-            ),
-        )
+    row = F.struct(col(turn).alias("turn"), escaped(F.coalesce(col(role), F.lit(""))).alias("role"), escaped(F.coalesce(col(text), F.lit(""))).alias("text"))
+    collected = conversations.groupBy(col(conv).alias(conv)).agg(F.array_sort(F.collect_list(row)).alias("turns"))
+
+    def like(x: Column, i: Column) -> Column:
+        """Whether the turn at place i has the role of x."""
+        return F.coalesce(F.get("turns", i)["role"] == x["role"], F.lit(False))
+
+    # adjacent turns of one role share a head and an end
+    parts = F.transform(
+        "turns",
+        lambda x, i: F.struct(
+            F.when(like(x, i - 1), F.lit(MORE)).otherwise(F.concat(F.lit(TURN), x["role"], F.lit(TEXT))).alias("head"),
+            x["text"].alias("text"),
+            F.when(like(x, i + 1), F.lit("")).otherwise(F.lit(END + "\n")).alias("tail"),
+            (x["role"] == LEARNED).alias("learn"),
+        ),
     )
-    whole = collected.select(conv, parts.alias("parts"))
-    start = F.struct(F.array().cast("array<struct<start:bigint,end:bigint>>").alias("out"), F.lit(0).cast("long").alias("at"))
 
-    def step(state: Column, x: Column) -> Column:
-        high = state["at"] + F.length(x["text"])
-        return F.struct(F.when(x["learn"], F.concat(state["out"], F.array(F.struct(state["at"].alias("start"), high.alias("end"))))).otherwise(state["out"]).alias("out"), high.alias("at"))
+    def stretches(p: Column) -> Column:
+        lengths = F.transform(p, lambda x: (F.length(x["head"]) + F.length(x["text"]) + F.length(x["tail"])).cast("long"))
+
+        def places(s: Column) -> Column:
+            def place(x: Column, i: Column) -> Column:
+                k = F.floor(i / CHUNK).cast("int")
+                start = F.get(s["before"], k) + F.get(F.get(s["inner"], k), i % CHUNK) + F.length(x["head"])
+                return F.when(x["learn"], F.struct(start.alias("start"), (start + F.length(x["text"])).alias("end")))
 
-    return whole.select(conv, F.array_join(F.col("parts.text"), "").alias("formatted"), F.aggregate("parts", start, step, lambda s: s["out"]).alias("loss"))
+            return F.filter(F.transform(p, place), lambda x: x.isNotNull())
 
+        return _bound(lengths, lambda n: _bound(_running(n), places))
 
-def _part(text: Column, learn: Column) -> Column:
-    return F.struct(text.alias("text"), learn.alias("learn"))
+    both = _bound(parts, lambda p: F.struct(F.array_join(F.transform(p, lambda x: F.concat(x["head"], x["text"], x["tail"])), "").alias("formatted"), stretches(p).alias("loss")))
+    return collected.select(col(conv), both.alias("both")).select(col(conv), "both.formatted", "both.loss")
 
 
 def parsed(output: DataFrame, conv: str = "conv_id") -> DataFrame:
     """The turns (role, text) read back from ``formatted``, and the learned text by its stretches."""
     blocks = F.filter(F.split("formatted", r"<\|turn\|>", -1), lambda _, i: i > 0)
-    turns = F.flatten(
-        F.transform(
-            blocks,
-            lambda b: F.transform(
-                F.split(F.regexp_replace(F.substring_index(b, END, 1), r"(?s)^.*?<\|text\|>", ""), r"<\|more\|>", -1),
-                lambda t: F.struct(unescaped(F.substring_index(b, TEXT, 1)).alias("role"), unescaped(t).alias("text")),
-            ),
+
+    def turns_of(block: Column) -> Column:
+        body = F.regexp_replace(F.substring_index(block, END, 1), r"(?s)^.*?<\|text\|>", "")
+        return _bound(
+            F.struct(unescaped(F.substring_index(block, TEXT, 1)).alias("role"), F.split(body, r"<\|more\|>", -1).alias("texts")),
+            lambda b: F.transform(b["texts"], lambda t: F.struct(b["role"].alias("role"), unescaped(t).alias("text"))),
         )
-    )
-    learned = F.transform("loss", lambda x: unescaped(F.substr("formatted", (x["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int"))))
-    return output.select(conv, "formatted", "loss", turns.alias("turns"), learned.alias("learned"))
+
+    def stretch(chunks: Column, x: Column) -> Column:
+        """Only the chunks that a stretch touches are walked through."""
+        first = F.floor(x["start"] / CHUNK).cast("int")
+        some = F.array_join(F.slice(chunks, first + 1, F.floor(x["end"] / CHUNK).cast("int") - first + 1), "")
+        return unescaped(F.substr(some, (x["start"] - first * CHUNK + 1).cast("int"), (x["end"] - x["start"]).cast("int")))
+
+    chunks = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    learned = _bound(chunks, lambda c: F.transform("loss", lambda x: stretch(c, x)))
+    return output.select(col(conv), "formatted", "loss", F.flatten(F.transform(blocks, turns_of)).alias("turns"), learned.alias("learned"))
 
 
 def digest(output: DataFrame, conv: str = "conv_id") -> DataFrame:
@@ -101,7 +123,7 @@ def digest(output: DataFrame, conv: str = "conv_id") -> DataFrame:
     lines = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     loss = F.array_join("learned", "")
     return parsed(output, conv).select(
-        conv,
+        col(conv),
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(lines, 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"),

@@ -135,6 +135,15 @@ def test_chat_of_nulls_ties_and_control_strings(spark):
     assert chat_format.formatted(spark.createDataFrame([], schema)).count() == 0
 
 
+@pytest.mark.parametrize("roles", [("user", "assistant"), ("assistant",)])
+def test_chat_of_very_many_turns(spark, roles):
+    turns = [(1, k, roles[k % len(roles)], f"turn é {k} <|end|>") for k in range(20_000)]
+    out = chat_format.formatted(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    got = chat_format.parsed(out).collect()[0]
+    assert [tuple(t) for t in got["turns"]] == [t[2:] for t in turns]
+    assert got["learned"] == [t[3] for t in turns if t[2] == "assistant"]
+
+
 def test_secret_of_null_text(docs):
     got = {r["doc_id"]: r for r in secret_scan.digest(secret_scan.findings(docs)).collect()}
     assert got[1]["spans"] == "" and got[1]["n_hex"] == 0
