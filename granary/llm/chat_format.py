@@ -18,19 +18,19 @@ matter.  A conversation is one row of the result and so is held by one task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm.arrays import bound, running, sum_before
 from granary.llm.storage import col
 
 TURN, TEXT, MORE, END = "<|turn|>", "<|text|>", "<|more|>", "<|end|>"
 #: Control strings and what they are in a text; each differs by one backslash.
 ESCAPES = (("<|", "<\\|"), ("<s>", "<\\s>"), ("</s>", "<\\/s>"), ("[INST]", "[\\INST]"), ("[/INST]", "[\\/INST]"))
 LEARNED = "assistant"
-#: Turns whose lengths are added up in one array, and code points that are walked through to find a stretch.
+#: Code points that are walked through to find a stretch.
 CHUNK = 512
 
 
@@ -43,22 +43,6 @@ def unescaped(text: Column) -> Column:
     return F.replace(reduce(lambda t, e: F.replace(t, F.lit(e[1]), F.lit(e[0])), reversed(ESCAPES), text), F.lit("\\\\"), F.lit("\\"))
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once, however often ``use`` names it."""
-    return F.transform(F.array(value), use)[0]
-
-
-def _running(lengths: Column) -> Column:
-    """Sums of the lengths before each place: ``inner`` in its chunk, ``before`` of its chunk; no long array is copied at each step."""
-
-    def sums(x: Column) -> Column:
-        return F.aggregate(x, F.array(F.lit(0).cast("long")), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n)))
-
-    starts = F.sequence(F.lit(1), F.greatest(F.size(lengths), F.lit(1)), F.lit(CHUNK))
-    inner = F.transform(starts, lambda k: sums(F.slice(lengths, k, F.lit(CHUNK))))
-    return _bound(inner, lambda chunks: F.struct(chunks.alias("inner"), sums(F.transform(chunks, lambda c: F.element_at(c, -1))).alias("before")))
-
-
 def formatted(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row a conversation: its id, ``formatted`` and ``loss``, the stretches (start, end) of code points to learn."""
     row = F.struct(col(turn).alias("turn"), escaped(F.coalesce(col(role), F.lit(""))).alias("role"), escaped(F.coalesce(col(text), F.lit(""))).alias("text"))
@@ -84,15 +68,14 @@ def formatted(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn
 
         def places(s: Column) -> Column:
             def place(x: Column, i: Column) -> Column:
-                k = F.floor(i / CHUNK).cast("int")
-                start = F.get(s["before"], k) + F.get(F.get(s["inner"], k), i % CHUNK) + F.length(x["head"])
+                start = sum_before(s, i) + F.length(x["head"])
                 return F.when(x["learn"], F.struct(start.alias("start"), (start + F.length(x["text"])).alias("end")))
 
             return F.filter(F.transform(p, place), lambda x: x.isNotNull())
 
-        return _bound(lengths, lambda n: _bound(_running(n), places))
+        return bound(lengths, lambda n: bound(running(n), places))
 
-    both = _bound(parts, lambda p: F.struct(F.array_join(F.transform(p, lambda x: F.concat(x["head"], x["text"], x["tail"])), "").alias("formatted"), stretches(p).alias("loss")))
+    both = bound(parts, lambda p: F.struct(F.array_join(F.transform(p, lambda x: F.concat(x["head"], x["text"], x["tail"])), "").alias("formatted"), stretches(p).alias("loss")))
     return collected.select(col(conv), both.alias("both")).select(col(conv), "both.formatted", "both.loss")
 
 
@@ -102,7 +85,7 @@ def parsed(output: DataFrame, conv: str = "conv_id") -> DataFrame:
 
     def turns_of(block: Column) -> Column:
         body = F.regexp_replace(F.substring_index(block, END, 1), r"(?s)^.*?<\|text\|>", "")
-        return _bound(
+        return bound(
             F.struct(unescaped(F.substring_index(block, TEXT, 1)).alias("role"), F.split(body, r"<\|more\|>", -1).alias("texts")),
             lambda b: F.transform(b["texts"], lambda t: F.struct(b["role"].alias("role"), unescaped(t).alias("text"))),
         )
@@ -114,7 +97,7 @@ def parsed(output: DataFrame, conv: str = "conv_id") -> DataFrame:
         return unescaped(F.substr(some, (x["start"] - first * CHUNK + 1).cast("int"), (x["end"] - x["start"]).cast("int")))
 
     chunks = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
-    learned = _bound(chunks, lambda c: F.transform("loss", lambda x: stretch(c, x)))
+    learned = bound(chunks, lambda c: F.transform("loss", lambda x: stretch(c, x)))
     return output.select(col(conv), "formatted", "loss", F.flatten(F.transform(blocks, turns_of)).alias("turns"), learned.alias("learned"))
 
 

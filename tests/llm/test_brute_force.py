@@ -253,6 +253,11 @@ def test_copied_and_owned_credentials(spark):
     data = [(k, f"x {key} é {'AKIAZZZZZZZZZZZZZZZ' + str(k)}", f"owner{k}") for k in range(4)]
     got = secret_scan.findings(spark.createDataFrame(data, "doc_id long, text string, source string")).collect()
     assert {(r["n_live"], r["n_copied"]) for r in got} == {(1, 1)}
+    # two owners: copied once ten repositories hold it
+    for n, live in ((9, 1), (10, 0)):
+        data = [(k, key, f"owner{k % 2}", f"repo{k}") for k in range(n)] * 2
+        got = secret_scan.findings(spark.createDataFrame(data, "doc_id long, text string, source string, repo string"), repository="repo").collect()
+        assert {(r["n_live"], r["n_copied"]) for r in got} == {(live, 1 - live)}
 
 
 def test_pipeline(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +146,24 @@ def test_chat_of_very_many_turns(spark, roles):
     assert got["learned"] == [t[3] for t in turns if t[2] == "assistant"]
 
 
+HOSTILE = {
+    "one letter": ("a" * 1_000_000, ["hex:0:1000000"]),
+    "begun tokens": ("eyJ" * 300_000, []),
+    "begun schemes": ("ab+.-" * 200_000 + "://x:y@h", []),
+    "words of assignments": ("token " * 100_000 + " " * 100_000, []),
+    "begun keys": ("-----BEGIN " + "A " * 300_000, []),
+    "very many": (" ".join(f"0123456789abcdef{k:04x}" for k in range(50_000)), [f"hex:{21 * k}:{21 * k + 20}" for k in range(50_000)]),
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_secret_scans_take_a_time_in_proportion_to_the_text(spark, name):
+    text, spans = HOSTILE[name]
+    began = time.monotonic()
+    got = secret_scan.digest(secret_scan.findings(spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string"))).collect()[0]
+    assert got["spans"] == ",".join(spans) and time.monotonic() - began < 60
+
+
 def test_secret_of_null_text(docs):
     got = {r["doc_id"]: r for r in secret_scan.digest(secret_scan.findings(docs)).collect()}
     assert got[1]["spans"] == "" and got[1]["n_hex"] == 0
