@@ -14,16 +14,16 @@ class.  Two lines are alike when the edit distance of their words is a share of
   left over, aligned, and is a signature of the other.
 * Rare grams come first in the order, and among these the ones whose middle word
   has the least hash of the three: they are never adjacent, so fewer are needed.
-* Classes that share a signature are candidates if their numbers of words and the
-  places of the signature in them allow the similarity.  Candidates are verified
-  by the edit distance of all their words.
+* Classes that share a signature are candidates if their numbers of words, the
+  places of the signature in them and the parities of their words' hashes allow
+  the similarity.  Candidates are verified by the edit distance of all their words.
 
-Each class is verified first with the nearest candidate before it.  Groups are
-built from these links, and then all candidates that are not yet in one group
-are verified, so no pair that could join two groups is left out.  A signature
-with more than ``SMALL`` classes gives but a few candidates at first; later all
-its classes that are in different groups are compared, in pairs of chunks dealt
-over the cluster.  Of each group the line of the smallest document stays.
+Each class is verified first with one candidate before it.  Groups are built from
+these links, and then all candidates that are not yet in one group are verified,
+so no pair that could join two groups is left out.  A signature with more than
+``SMALL`` classes gives but a few candidates at first; later all its classes that
+are in different groups are compared, in pairs of chunks dealt over the cluster.
+Of each group the line of the smallest document stays.
 
 Signatures travel as arrays, one row for each task and bucket of signatures; very
 frequent signatures are dealt over several buckets.
@@ -57,7 +57,7 @@ SMALL, FIRST_LAGS = 32, 8
 #: Classes in a chunk of a signature that has more than SMALL.
 CHUNK = 2048
 #: Documents whose grams are counted, about, and counters of them; any order of grams is right, rare ones first is quick.
-SAMPLE_ROWS, COUNTERS = 20_000, 1 << 20
+SAMPLE_ROWS, COUNTERS = 8_000, 1 << 22
 #: A signature that is counted more often is dealt over so many more buckets.
 SALT_CLASSES = 200_000
 #: Lines of more words take a number of signatures that is enough wherever they stand.
@@ -66,6 +66,10 @@ COUNTED_WORDS = 1024
 BUCKET_ROWS, HELD_ROWS = 1 << 24, 1 << 21
 #: Rows of up to 100 bytes that are broadcast at most; beyond it the same join shuffles.
 BROADCAST_ROWS = 200_000
+#: Bits that say which classes' words are wanted; what they let through in error falls away in a join.
+WANTED_BITS = 24
+#: Pairs that a task looks at together.
+PAIRS = 1 << 18
 
 _LINES = 1 << 16  # sorted together
 _TOKEN_BITS, _PLACE_BITS, _NONE = 48, 14, (1 << 14) - 1
@@ -85,8 +89,9 @@ def _line_numbers(rows: tb.Spans, n: int) -> np.ndarray:
 
 
 def line_table(whole: DataFrame, min_words: int) -> DataFrame:
-    """One row a line with enough words: ``uid``, ``line``, ``key``, class hashes ``h1`` and ``h2``."""
-    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("line", T.LongType()), T.StructField("key", whole.schema["key"].dataType), *(T.StructField(c, T.LongType()) for c in ("h1", "h2"))])
+    """One row a line with enough words: ``uid``, ``line``, ``key``, class hashes ``h1`` and ``h2``, ``words``, parities ``odd1`` and ``odd2``."""
+    longs = ("h1", "h2", "words", "odd1", "odd2")
+    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("line", T.LongType()), T.StructField("key", whole.schema["key"].dataType), *(T.StructField(c, T.LongType()) for c in longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tb.slices(batches, "text"):
@@ -96,11 +101,20 @@ def line_table(whole: DataFrame, min_words: int) -> DataFrame:
             full = np.flatnonzero(np.diff(first) >= min_words)
             h1, h2 = (tb.sequence_hashes(code, first, s) for s in (1, 2))
             owner = pa.array(rows.owner[full])
-            yield pa.RecordBatch.from_arrays([part.column("uid").take(owner), pa.array(number[full]), part.column("key").take(owner), *(pa.array(x[full].view(np.int64)) for x in (h1, h2))], schema.names)
+            found = (h1[full], h2[full], (first[full + 1] - first[full]), *_parities(code, first, full))
+            yield pa.RecordBatch.from_arrays([part.column("uid").take(owner), pa.array(number[full]), part.column("key").take(owner), *(pa.array(x.view(np.int64)) for x in found)], schema.names)
 
     return whole.select("uid", "key", "text").mapInArrow(run, schema)
 
 
+def _parities(code: np.ndarray, first: np.ndarray, chosen: np.ndarray) -> Iterator[np.ndarray]:
+    """Twice 64 bits: of how many words with one value of seven hash bits a line has an odd number; an edit changes two at most."""
+    bit, half = np.uint64(1) << (code >> np.uint64(58)), (code >> np.uint64(57)) & np.uint64(1)
+    for k in (0, 1):
+        upto = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(np.where(half == k, bit, np.uint64(0)))])
+        yield upto[first[chosen + 1]] ^ upto[first[chosen]]
+
+
 def _edits(n: np.ndarray | int, similarity: float) -> np.ndarray:
     return np.floor(n * (1 - similarity) + 1e-9).astype(np.int64)
 
@@ -192,15 +206,17 @@ class Order:
         return (level << np.uint64(44)) | (gram & np.uint64((1 << 44) - 1))
 
 
-def _windows_needed(place: np.ndarray, line: np.ndarray, lines: int, size: int) -> np.ndarray:
-    """For each line how many windows of ``size`` places cover all of its places, which rise over all lines."""
-    out = np.zeros(lines, np.int64)
-    if not len(place):
-        return out
-    then = np.searchsorted(place, place + size)
-    ends = np.searchsorted(line, np.arange(lines), side="right")
-    active = np.flatnonzero(ends > np.searchsorted(line, np.arange(lines)))
-    at = np.searchsorted(line, active)
+def _windows_needed(place: np.ndarray, chosen: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
+    """For each line how many windows of ``size`` places cover all of its places.
+
+    The places rise over all lines; ``ends``: where each line's end among them;
+    ``chosen``: how many of them are before each place.
+    """
+    out = np.zeros(len(ends), np.int64)
+    begins = np.concatenate([[0], ends[:-1]])
+    then = chosen[np.minimum(place + size, len(chosen) - 1)]
+    active = np.flatnonzero(ends > begins)
+    at = begins[active]
     while len(active):
         out[active] += 1
         at = then[at]
@@ -231,8 +247,13 @@ def signatures(code: np.ndarray, first: np.ndarray, chosen: np.ndarray, size: in
             limit = ordered[begin[:-1] + half - 1]
             is_open = np.zeros(len(part), bool)
             is_open[open_] = True
-            taken = np.flatnonzero((key <= limit[owner]) & is_open[owner])
-            w, v = (_windows_needed(at[taken], owner[taken], len(part), s) for s in (size, size - 1))
+            taken = (key <= limit[owner]) & is_open[owner]
+            ends = np.concatenate([[0], np.cumsum(taken)])[begin[1:]]
+            place = at[taken]
+            mark = np.zeros(len(code) + 2, bool)
+            mark[place + 1] = True
+            chosen_before = np.cumsum(mark)
+            w, v = (_windows_needed(place, chosen_before, ends, s) for s in (size, size - 1))
             good = grams.enough(m, w, v)
             most = np.where(is_open & good, half, most)
             least = np.where(is_open & ~good, half + 1, least)
@@ -327,31 +348,29 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Rec
         yield pa.concat_batches(held)
 
 
-CANDIDATES = "a long, b long, nearest boolean, token long, words int, place int"
+CANDIDATES = "a long, b long, token long, words int, place int"
 
 
 def candidates(members: DataFrame, similarity: float, bits: int) -> DataFrame:
-    """Rows ``a``, ``b``, ``nearest``: all possible pairs of few classes, the first ones of many.
+    """Rows ``a``, ``b``: all possible pairs of few classes, the first ones of many.
 
     Of signatures with many classes, or dealt over several buckets, the classes
     come too: ``a`` is null, ``b`` is the class, ``token``, ``words`` and ``place`` follow.
     """
-    names = ["a", "b", "nearest", "token", "words", "place"]
+    names = ["a", "b", "token", "words", "place"]
 
-    def pairs_of(cid: np.ndarray, token: np.ndarray, n: np.ndarray, place: np.ndarray, salted: bool) -> Iterator[tuple[np.ndarray, ...]]:
+    def pairs_of(cid: np.ndarray, token: np.ndarray, n: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         heads = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.concatenate([heads, [len(cid)]]))
         number, many = np.arange(len(cid)) - np.repeat(heads, size), np.repeat(size, size)
-        alone = np.ones(len(cid), bool)
         at = np.flatnonzero((many > SMALL) & (number > FIRST_LAGS))
         head = at - number[at]
         good = _possible(n, place, at, head, similarity)
-        yield cid[head[good]], cid[at[good]], np.zeros(int(good.sum()), bool)
+        yield cid[head[good]], cid[at[good]]
         lag, at = 1, np.flatnonzero(number >= 1)
         while len(at):
             to = at[_possible(n, place, at, at - lag, similarity)]
-            yield cid[to - lag], cid[to], alone[to]
-            alone[to] = False
+            yield cid[to - lag], cid[to]
             lag += 1
             at = at[(number[at] >= lag) & ((many[at] <= SMALL) | (lag <= FIRST_LAGS))]
 
@@ -370,19 +389,19 @@ def candidates(members: DataFrame, similarity: float, bits: int) -> DataFrame:
                 cid, token, n, place = cid[several], token[several], n[several], place[several]
             if not len(cid):
                 continue
-            a, b, nearest = (np.concatenate(x) for x in zip(*pairs_of(cid, token, n, place, salted), strict=True))
-            by = np.lexsort((~nearest, b, a))
-            a, b, nearest = a[by], b[by], nearest[by]
+            a, b = (np.concatenate(x) for x in zip(*pairs_of(cid, token, n, place), strict=True))
+            by = np.lexsort((b, a))
+            a, b = a[by], b[by]
             new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)]
             none = [pa.nulls(int(new.sum()), t) for t in (pa.int64(), pa.int32(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(nearest[new]), *none], names)
+            yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), *none], names)
             if salted:
                 hot = np.arange(len(cid))
             else:
                 _, which, many = np.unique(token, return_inverse=True, return_counts=True)
                 hot = np.flatnonzero(many[which] > SMALL)
             whole = ((token[hot] << np.uint64(bits)) | np.uint64(rows.column("bucket")[0].as_py())).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(hot), pa.int64()), pa.array(cid[hot]), pa.nulls(len(hot), pa.bool_()), pa.array(whole), pa.array(n[hot].astype(np.int32)), pa.array(place[hot].astype(np.int32))], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(hot), pa.int64()), pa.array(cid[hot]), pa.array(whole), pa.array(n[hot].astype(np.int32)), pa.array(place[hot].astype(np.int32))], names)
 
     return members.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt").mapInArrow(run, CANDIDATES)
 
@@ -395,24 +414,34 @@ def _looked_up(few: DataFrame, name: str) -> DataFrame:
 
 def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """``a``, ``b``: all possible pairs of classes of a frequent signature that stand in different groups."""
-    rows = cut(hot.join(roots.withColumnRenamed("node", "b"), "b", "left").select("token", "b", "words", "place", F.coalesce("root", "b").alias("root")), "members")
+    rows = cut(hot.join(roots.withColumnRenamed("node", "b"), "b", "left").select("token", "b", "words", "place", "odd1", "odd2", F.coalesce("root", "b").alias("root")), "members")
     split = rows.groupBy("token").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token", "many")
     chunks = F.ceil(F.col("many") / CHUNK).cast("int")
     own = rows.join(_looked_up(split, "split"), "token").withColumn("own", F.pmod(F.xxhash64("b"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    dealt = own.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "b", "words", "place", "root")
+    dealt = own.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "b", "words", "place", "root", "odd1", "odd2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches, ["token", "i", "j"]):
-            by = np.lexsort((rows.column("b").to_numpy(), rows.column("own").to_numpy()))
-            own, cid, n, place, root = (rows.column(c).to_numpy().astype(np.int64)[by] for c in ("own", "b", "words", "place", "root"))
+            own, cid, n, place, root, odd1, odd2 = (rows.column(c).to_numpy().astype(np.int64) for c in ("own", "b", "words", "place", "root", "odd1", "odd2"))
+            by = np.lexsort((cid, n))
+            own, cid, n, place, root, odd1, odd2 = (x[by] for x in (own, cid, n, place, root, odd1, odd2))
             i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
-            # of two chunks each class of the first meets the second, in one chunk each meets those behind it
-            second = int(np.searchsorted(own, j)) if i != j else None
+            # of two chunks the classes of the first meet those of the second, in one chunk each meets those behind it
+            left, right = (np.flatnonzero(own == k) for k in (i, j))
+            low = np.searchsorted(n[right], np.where(n[left] == _NONE, 0, np.ceil(n[left] * similarity - 1e-9)))
+            high = np.searchsorted(n[right], np.where(n[left] >= _NONE * similarity, _NONE, np.floor(n[left] / similarity + 1e-9)), side="right")
+            if i == j:
+                low = np.maximum(low, np.arange(len(left)) + 1)
+            many = np.maximum(high - low, 0)
+            block = np.cumsum(many) // PAIRS
             found = []
-            for a in range(len(cid) if second is None else second):
-                b = np.arange(a + 1 if second is None else second, len(cid))
-                b = b[root[b] != root[a]]
-                b = b[_possible(n, place, np.full(len(b), a), b, similarity)]
+            for k in np.unique(block[many > 0]).tolist():
+                some = np.flatnonzero(block == k)
+                a = np.repeat(left[some], many[some])
+                b = right[np.arange(len(a)) - np.repeat(np.cumsum(many[some]) - many[some] - low[some], many[some])]
+                for good in (lambda: root[a] != root[b], lambda: _possible(n, place, a, b, similarity), lambda: _odd_enough(n[a], n[b], (odd1[a] ^ odd1[b], odd2[a] ^ odd2[b]), similarity)):
+                    keep = good()
+                    a, b = a[keep], b[keep]
                 found.append(np.stack([np.minimum(cid[a], cid[b]), np.maximum(cid[a], cid[b])]))
             if found:
                 a, b = np.concatenate(found, axis=1)
@@ -421,22 +450,38 @@ def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float) -> DataFram
     return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def _symbols(whole: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``cid`` and the words of its line, one character for each distinct word."""
-    by_row = _looked_up(wanted.groupBy("uid").agg(F.collect_list(F.struct("line", "cid")).alias("wanted")), "wanted")
+def _odd_enough(n: np.ndarray, m: np.ndarray, differ: tuple[np.ndarray, ...], similarity: float) -> np.ndarray:
+    longer = np.maximum(n, m)
+    return (sum(np.bitwise_count(x.view(np.uint64)).astype(np.int64) for x in differ) <= 2 * _edits(longer, similarity)) | (longer == _NONE)
+
+
+def _with_like_parities(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose parities differ in no more than two for each edit that the similarity allows."""
+    a, b = (classes.select(F.col("cid").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("words", "odd1", "odd2"))) for c in "ab")
+    differ = F.bit_count(F.col("a_odd1").bitwiseXOR(F.col("b_odd1"))) + F.bit_count(F.col("a_odd2").bitwiseXOR(F.col("b_odd2")))
+    return pairs.join(a, "a").join(b, "b").filter(differ <= 2 * F.floor(F.greatest("a_words", "b_words") * (1 - similarity) + 1e-9)).select("a", "b")
+
+
+def _symbols(whole: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
+    """``cid`` and the words of its line, one character for each distinct word, of all that are wanted and perhaps a few more."""
+    low = np.int64((1 << WANTED_BITS) - 1)
+    bits = np.zeros(1 << WANTED_BITS, bool)
+    bits[wanted.select(F.col("cid").bitwiseAND(F.lit(int(low))).cast("int").alias("bit")).distinct().toArrow().column(0).to_numpy()] = True  # bounded by the number of bits
+    shared = whole.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(shared.value).view(bool)
         for part in tb.slices(batches, "text"):
-            found = tb.texts(part.column("text"))
-            rows, first, code = normalised(found)
+            _, first, code = normalised(tb.texts(part.column("text")))
             symbol = (code % np.uint64(0xE0000)).astype(np.uint32) + np.uint32(0x10000)
-            begin = rows.first_of(len(found))
-            lists = part.column("wanted")
-            k = begin[np.repeat(np.arange(len(found)), lists.value_lengths().to_numpy())] + lists.flatten().field("line").to_numpy()
+            cid = tb.sequence_hashes(code, first, 1).view(np.int64)
+            full = np.flatnonzero((np.diff(first) >= min_words) & bits[cid & low])
+            own, once = np.unique(cid[full], return_index=True)
+            k = full[once]
             lines = [symbol[a:b].tobytes().decode("utf-32-le") for a, b in zip(first[k].tolist(), first[k + 1].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([lists.flatten().field("cid"), pa.array(lines, pa.string())], ["cid", "symbols"])
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(lines, pa.string())], ["cid", "symbols"])
 
-    return whole.select("uid", "text").join(by_row, "uid").select("text", "wanted").mapInArrow(run, "cid long, symbols string")
+    return whole.select("text").mapInArrow(run, "cid long, symbols string").dropDuplicates(["cid"])
 
 
 def _verified(pairs: DataFrame, symbols: DataFrame, similarity: float) -> DataFrame:
@@ -455,13 +500,12 @@ def _groups(whole: DataFrame, classes: DataFrame, lines: int, min_words: int, si
     bits = max(12, int(20 * lines // BUCKET_ROWS).bit_length())
     order = Order(gram_counts(whole, whole.count(), grams, min_words))
     found = cut(candidates(_members(whole, order, grams, min_words, bits), similarity, bits), "candidates")
-    pairs = cut(found.filter("a IS NOT NULL").groupBy("a", "b").agg(F.max("nearest").alias("nearest")), "pairs")
-    hot = found.filter("a IS NULL")
-    nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(hot.select(F.col("b").alias("cid"))).distinct()
-    symbols = cut(_symbols(whole, nodes.join(classes, "cid").select("cid", "first.uid", "first.line")), "symbols")
-    linked = cut(components(_verified(pairs.filter("nearest").select("a", "b"), symbols, similarity)), "groups")
+    pairs = cut(_with_like_parities(found.filter("a IS NOT NULL").select("a", "b").distinct(), classes, similarity), "pairs")
+    hot = found.filter("a IS NULL").select("b", "token", "words", "place").join(classes.select(F.col("cid").alias("b"), "odd1", "odd2"), "b")
+    symbols = cut(_symbols(whole, pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(found.filter("a IS NULL").select(F.col("b").alias("cid"))), min_words), "symbols")
+    linked = cut(components(_verified(pairs.groupBy("b").agg(F.max("a").alias("a")).select("a", "b"), symbols, similarity)), "groups")
     a, b = (linked.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "ab")
-    apart = pairs.filter("NOT nearest").join(a, "a", "left").join(b, "b", "left").filter(~F.coalesce("a_root", "a").eqNullSafe(F.coalesce("b_root", "b"))).select("a", "b")
+    apart = pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
     others = cut(apart.union(other_pairs(hot, linked, similarity)).distinct() if not hot.isEmpty() else apart, "pairs")
     if others.isEmpty():
         return linked
@@ -472,7 +516,7 @@ def dropped_lines(whole: DataFrame, min_words: int = MIN_WORDS, similarity: floa
     """Lines of ``whole`` (``uid``, ``key``, ``text``) that go: ``uid``, ``line``, and ``stays``, the place of the one that stays for it."""
     lines = cut(line_table(whole, min_words), "lines")
     place = F.struct(F.col("key").isNull().alias("none"), "key", "uid", "line")
-    classes = cut(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).withColumn("cid", F.col("h1")), "classes")
+    classes = cut(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *(F.min(c).alias(c) for c in ("words", "odd1", "odd2"))).withColumn("cid", F.col("h1")), "classes")
     linked = _groups(whole, classes, lines.count(), min_words, similarity)
     grouped = cut(classes.join(linked.withColumnRenamed("node", "cid"), "cid", "left").filter("n > 1 OR root IS NOT NULL").select("h1", "h2", "n", "first", F.coalesce("root", "cid").alias("root")), "grouped")
     stays = cut(grouped.groupBy("root").agg(F.min("first").alias("stays")), "stays")
