@@ -1,84 +1,67 @@
-"""Benchmark decontamination with a positional inverted index sharded by document.
-
-Every task indexes the documents it reads: the positions of each benchmark term
-in them, in order.  A benchmark window is looked up by the terms that are
-rarest in the whole corpus: the rarest term's positions give the places where
-the window could begin, and the offset-adjusted positions of its other terms,
-by rising frequency, strike places out until the exact phrases are left.  The
-terms' frequencies come from a first pass over all documents, the second pass
-searches them; no posting leaves its task.  The benchmark is broadcast in
-blocks of a bounded number of words, each block searched in its own pass.
+"""Benchmark decontamination by a stored positional inverted index of training terms.
+
+The benchmark is the query: every 13 successive words of an item are a window.
+
+1. One pass over the texts counts how often each benchmark term occurs in the
+   corpus, so each window knows its rarest terms.
+2. A second pass writes the index: postings (term, document, positions) of the
+   rarest terms of all windows, stored by term, those of a frequent term dealt
+   over several partitions.
+3. For each window the list of its rarest term is intersected with those of the
+   next two, positions adjusted by the terms' places in the window: what is left
+   are the starts at which the three stand at their places, or near them.
+4. At these starts, and in the documents that have some, the other terms of the
+   window are looked at: all at their places is an exact phrase, most of them
+   near their places is a proximity match.
+
+All tables are joined by Spark; what goes to each task is two bitmaps of a fixed
+size (which terms may be of interest), whose errors fall away in a later join.
+So one index serves a benchmark of any size.
 
 Words are runs of ASCII letters, digits and characters beyond ASCII, with A-Z
 lower-cased, and are compared by 64-bit hashes of their bytes.
 
 Defined cases: null and empty texts have no words and are never contaminated;
 items without words are left out; an item of fewer words than a window is one
-window; repeated documents are judged row by row; repeated items count by their
-id, null ids not at all; empty tables give an empty result or no hits; columns
-of any name pass through ``clean_documents``.
+window; a window with a term that no document has can only be near, one of fewer
+than ``NEAR_WORDS`` words only exact; ties of rarity go to the earlier place in
+the window; repeated documents are judged row by row; repeated items count by
+their id, null ids not at all; empty tables give an empty result or no hits;
+columns of any name pass through ``clean_documents``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from granary.llm import textbatch as tb
-from granary.llm.storage import cut
+from granary.llm.storage import col, cut, free_name
 
 WIDTH = 13
 #: A document is contaminated when at least one in so many of its words is hit.
 SHARE = 20
-#: Terms of a proximity match may stand so many words from their place.
+#: Terms of a proximity match may stand so many words from their place,
 SLOP = 3
-#: The rarest terms of a window that a proximity match needs.
-NEAR_TERMS = 3
-#: Benchmark words that are broadcast at once.
-BLOCK_WORDS = 200_000
-FOUND_AS = "__found"
-
-FOUND = T.StructType(
-    [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("n_hit", T.LongType()),
-        T.StructField("items", T.ArrayType(T.LongType())),
-        T.StructField("near_items", T.ArrayType(T.LongType())),
-        T.StructField("stretches", T.ArrayType(T.LongType())),
-    ]
-)
-
-
-@dataclass
-class Windows:
-    """Windows of a block of items, each with its terms from the rarest on.
-
-    ``terms[w, k]`` is the number of a term in ``vocabulary`` and ``places[w, k]``
-    its place in the window; -1 ends a short window.
-    """
-
-    item: np.ndarray
-    length: np.ndarray
-    terms: np.ndarray
-    places: np.ndarray
-    vocabulary: np.ndarray  # sorted hashes
-    first: np.ndarray  # of each term: its windows as rarest term, in by_first
-    by_first: np.ndarray
-
-    def proximity(self, frequency: np.ndarray, terms: int) -> Windows:
-        """The same windows by their rarest terms that do occur in the corpus."""
-        absent = (self.terms < 0) | (np.append(frequency, 0)[self.terms] == 0)
-        order = np.argsort(absent, axis=1, kind="stable")[:, :terms]
-        found, places = (np.where(np.take_along_axis(absent, order, axis=1), -1, np.take_along_axis(x, order, axis=1)) for x in (self.terms, self.places))
-        by = np.argsort(found[:, 0], kind="stable")
-        first = np.searchsorted(found[by, 0], np.arange(len(self.vocabulary) + 1))
-        return Windows(self.item, self.length, found, places, self.vocabulary, first, by)
+#: and so many percent of a window's words must.
+NEAR_PERCENT = 60
+#: Windows of fewer words are looked for by exact phrase only.
+NEAR_WORDS = 5
+#: Rarest terms of a window whose lists are intersected.
+LISTS = 3
+#: Bits of a bitmap of terms.
+BITS = 24
+#: Postings of a term in one partition of the index, about.
+SALT_PLACES = 1 << 20
+#: Rows of windows, places or documents (to 200 bytes) that are broadcast at most; beyond it the same join shuffles.
+BROADCAST_ROWS = 100_000
+_OFFSET = 1 << 20
 
 
 def words(found: tb.Texts) -> tuple[tb.Spans, np.ndarray]:
@@ -87,199 +70,255 @@ def words(found: tb.Texts) -> tuple[tb.Spans, np.ndarray]:
     return at, tb.hashes(lowered.data, at.start, at.end)
 
 
-def windows(items: list[tuple[int, np.ndarray]], vocabulary: np.ndarray, frequency: np.ndarray, width: int) -> Windows:
-    """All windows of the items (id, word hashes), with terms ordered by corpus frequency."""
-    item, length, rows = [], [], []
-    for number, hashed in items:
-        codes = np.searchsorted(vocabulary, hashed)
-        for k in range(max(1, len(codes) - width + 1)):
-            part = codes[k : k + width]
-            row = np.full(width, -1)
-            row[: len(part)] = part
-            item.append(number)
-            length.append(len(part))
-            rows.append(row)
-    grid = np.array(rows, np.int64).reshape(-1, width)
-    cost = np.where(grid < 0, np.iinfo(np.int64).max, frequency[grid] if len(frequency) else grid)
-    places = np.argsort(cost, axis=1, kind="stable")
-    terms = np.take_along_axis(grid, places, axis=1)
-    order = np.argsort(terms[:, 0], kind="stable")
-    first = np.searchsorted(terms[order, 0], np.arange(len(vocabulary) + 1))
-    return Windows(np.array(item, np.int64), np.array(length, np.int64), terms.astype(np.int32), np.where(terms < 0, -1, places).astype(np.int8 if width < 128 else np.int64), vocabulary, first, order)
-
-
-def matches(codes: np.ndarray, owner: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndarray]:
-    """Window and first position of each exact phrase.
-
-    ``codes``: the term at each position of the shard, -1 for words that no item has.
-    """
-    n = np.diff(w.first)
-    anchors = np.flatnonzero(codes >= 0)
-    anchors = anchors[n[codes[anchors]] > 0]
-    many = n[codes[anchors]]
-    at = np.repeat(anchors, many)
-    window = w.by_first[np.repeat(w.first[codes[anchors]], many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)]
-    start = at - w.places[window, 0]
-    inside = (start >= 0) & (start + w.length[window] <= len(codes))
-    start, window = start[inside], window[inside]
-    one = owner[start] == owner[start + w.length[window] - 1]
-    start, window = start[one], window[one]
-    for k in range(1, w.terms.shape[1]):
-        term, place = w.terms[window, k], w.places[window, k].astype(np.int64)
-        good = (term < 0) | (codes[np.minimum(start + np.maximum(place, 0), len(codes) - 1)] == term)
-        start, window = start[good], window[good]
-    return window, start
-
-
-def nearby(codes: np.ndarray, owner: np.ndarray, w: Windows, slop: int) -> np.ndarray:
-    """(text, item) pairs with the rarest terms of a window near their places, the words between be as they may."""
-    n = np.diff(w.first)
-    anchors = np.flatnonzero(codes >= 0)
-    anchors = anchors[n[codes[anchors]] > 0]
-    many = n[codes[anchors]]
-    at = np.repeat(anchors, many)
-    window = w.by_first[np.repeat(w.first[codes[anchors]], many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)]
-    for k in range(1, w.terms.shape[1]):
-        term = w.terms[window, k]
-        aim = at + w.places[window, k].astype(np.int64) - w.places[window, 0]
-        good = term < 0
-        for shift in range(-slop, slop + 1):
-            there = np.clip(aim + shift, 0, len(codes) - 1)
-            good |= (there == aim + shift) & (codes[there] == term) & (owner[there] == owner[at])
-        at, window = at[good], window[good]
-    return np.unique(np.stack([owner[at], w.item[window]], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
-
-
-def _benchmark(benchmark: DataFrame, text: str, key: str) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """The items in blocks of a bounded number of words, streamed by way of the driver."""
-    block, size = [], 0
-    for number, body in benchmark.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long"), text).toLocalIterator(prefetchPartitions=False):
-        hashed = words(tb.texts(pa.array([body])))[1]
-        if not len(hashed):
-            continue
-        block.append((number, hashed))
-        size += len(hashed)
-        if size >= BLOCK_WORDS:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
-
-
-def _frequencies(docs: DataFrame, text: str, vocabulary: np.ndarray) -> np.ndarray:
-    """How often each term occurs in all documents; one number a term comes back."""
-    terms = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def _few(df: DataFrame, name: str) -> DataFrame:
+    """A table for one side of a join: written, and broadcast up to a checked size; Spark can split the other side."""
+    df = cut(df, name)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _bitmap(terms: DataFrame) -> np.ndarray:
+    """Which of ``BITS`` low bits the terms (column ``term``) have; as large for any number of terms."""
+    bits = np.zeros(1 << BITS, bool)
+    bits[terms.select(F.col("term").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int").alias("bit")).distinct().toArrow().column(0).to_numpy()] = True
+    return np.packbits(bits)
+
+
+def _passing(bits: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    low = hashed & np.uint64((1 << BITS) - 1)
+    return (bits[(low >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (low & np.uint64(7))).astype(np.uint8)) & np.uint8(1) > 0
+
+
+def item_windows(benchmark: DataFrame, text: str, key: str, width: int) -> DataFrame:
+    """``item``, ``window`` (a hash of its terms) and ``terms`` (hashes) of each window of each item."""
+    kind = benchmark.schema[key].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in tb.slices(batches, "text"):
+            found = tb.texts(part.column("text"))
+            at, hashed = words(found)
+            first = at.first_of(len(found))
+            n = np.diff(first)
+            count = np.where(n > 0, np.maximum(n - width + 1, 1), 0)
+            owner = np.repeat(np.arange(len(n)), count)
+            low = first[:-1][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            size = np.minimum(n, width)[owner]
+            offsets = np.concatenate([[0], np.cumsum(size)])
+            flat = hashed[np.repeat(low, size) + np.arange(offsets[-1]) - np.repeat(offsets[:-1], size)]
+            window = tb.sequence_hashes(flat, offsets, 5)
+            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([part.column("item").take(pa.array(owner)), pa.array(window.view(np.int64)), lists], ["item", "window", "terms"])
+
+    schema = T.StructType([T.StructField("item", kind), T.StructField("window", T.LongType()), T.StructField("terms", T.ArrayType(T.LongType()))])
+    rows = benchmark.select(col(key).alias("item"), col(text).alias("text")).filter("item IS NOT NULL AND text IS NOT NULL")
+    return rows.mapInArrow(run, schema)
+
+
+def counted(whole: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """Of each text ``uid``, ``key`` and ``n_words``; and ``term`` and ``n``, how often a term that may be of interest occurs in a task."""
+    shared = whole.sparkSession.sparkContext.broadcast(bitmap)
+    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("key", whole.schema["key"].dataType), *(T.StructField(c, T.LongType()) for c in ("n_words", "term", "n"))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, total = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for part in tb.slices(batches, "text"):
+            found = tb.texts(part.column("text"))
+            at, hashed = words(found)
+            none = pa.nulls(len(found), pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("uid"), part.column("key"), pa.array(np.diff(at.first_of(len(found))), pa.int64()), none, none], schema.names)
+            own, n = np.unique(hashed[_passing(shared.value, hashed)], return_counts=True)
+            both = np.concatenate([seen, own])
+            seen, which = np.unique(both, return_inverse=True)
+            total = np.bincount(which, np.concatenate([total, n]), minlength=len(seen)).astype(np.int64)
+        none = pa.nulls(len(seen), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.nulls(len(seen), to_arrow_type(schema["key"].dataType)), none, pa.array(seen.view(np.int64)), pa.array(total)], schema.names)
+
+    return whole.mapInArrow(run, schema)
+
+
+def plans(windows: DataFrame, frequency: DataFrame) -> DataFrame:
+    """Of each distinct window ``window``, ``terms``, ``n_terms``, ``complete`` (each term occurs) and ``lists``, the (n, place, term) of its rarest terms that occur."""
+    each = windows.groupBy("window").agg(F.first("terms").alias("terms"))
+    terms = each.select("window", F.posexplode("terms").alias("place", "term")).join(frequency, "term")
+    rarest = F.slice(F.array_sort(F.collect_list(F.struct("n", "place", "term"))), 1, LISTS)
+    ranked = terms.groupBy("window").agg(rarest.alias("lists"), F.count("*").alias("occur"))
+    return each.join(ranked, "window").select("window", "terms", F.size("terms").alias("n_terms"), (F.col("occur") == F.size("terms")).alias("complete"), "lists").filter(F.col("complete") | ((F.col("n_terms") >= NEAR_WORDS) & (F.size("lists") == LISTS)))
+
+
+def index(whole: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The stored index: ``term``, ``uid``, ``places`` (rising) of the wanted terms (``term``, ``salts``), by term."""
+    shared = whole.sparkSession.sparkContext.broadcast(_bitmap(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in tb.slices(batches, "text"):
+            found = tb.texts(part.column("text"))
+            at, hashed = words(found)
+            some = np.flatnonzero(_passing(shared.value, hashed))
+            owner, term = at.owner[some], hashed[some]
+            by = np.lexsort((some, term, owner))
+            some, owner, term = some[by], owner[by], term[by]
+            heads = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (term[1:] != term[:-1])])) if len(some) else some
+            place = (some - at.first_of(len(found))[:-1][owner]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([heads, [len(some)]]).astype(np.int32)), pa.array(place))
+            yield pa.RecordBatch.from_arrays([pa.array(term[heads].view(np.int64)), part.column("uid").take(pa.array(owner[heads])), lists], ["term", "uid", "places"])
+
+    postings = whole.select("uid", "text").mapInArrow(run, "term long, uid long, places array<int>")
+    dealt = postings.join(wanted, "term").withColumn("salt", F.pmod(F.xxhash64("uid"), "salts"))
+    return cut(dealt.repartition("term", "salt").sortWithinPartitions("term", "uid").select("term", "uid", "places"), "index")
+
+
+def starts(stored: DataFrame, planned: DataFrame, slop: int) -> DataFrame:
+    """``uid``, ``window``, ``start``: where a window's rarest terms stand at their places, or up to ``slop`` words from them."""
+    rows = planned.select("window", *(F.get("lists", F.lit(k))[c].alias(f"{c}{k}") for k in range(LISTS) for c in ("place", "term")))
+    lists = [stored.select(F.col("term").alias(f"term{k}"), F.col("uid"), F.col("places").alias(f"places{k}")) for k in range(LISTS)]
+    found = lists[0].join(rows, "term0")
+    for k in range(1, LISTS):
+        found = found.join(lists[k], [f"term{k}", "uid"], "left").filter(F.col(f"term{k}").isNull() | F.col(f"places{k}").isNotNull())
+    found = found.select("uid", "window", *(x for k in range(LISTS) for x in (f"place{k}", f"places{k}")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(len(terms.value), np.int64)
-        for part in tb.slices(batches, text):
-            hashed = words(tb.texts(part.column(text)))[1]
-            hit = hashed[tb.among(hashed, terms.value)]
-            seen += np.bincount(np.searchsorted(terms.value, hit), minlength=len(seen))
-        some = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], ["term", "n"])
-
-    out = np.zeros(len(vocabulary), np.int64)
-    for term, n in docs.select(text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n")).collect():
-        out[term] = n
-    return out
-
-
-def _searched(docs: DataFrame, benchmark: DataFrame, text: str, item_text: str, key: str, keep: list[str], width: int, slop: int) -> DataFrame:
-    """The kept columns and a struct ``__found``; a pass over the documents for each block of items.
-
-    What one block found is written before the next one is searched, with the
-    stretches of words that are hit so far.
-    """
-    out = None
-    for block in _benchmark(benchmark, item_text, key):
-        out = _search(docs if out is None else cut(out, "hits"), text, docs.columns if out is None else [*docs.columns, FOUND_AS], block, width, slop)
-    out = _search(docs, text, docs.columns, [], width, slop) if out is None else out
-    return out.select(*keep, FOUND_AS)
-
-
-def _search(docs: DataFrame, text: str, columns: list[str], block: list[tuple[int, np.ndarray]], width: int, slop: int) -> DataFrame:
-    keep = [c for c in columns if c != FOUND_AS]
-    vocabulary = np.unique(np.concatenate([h for _, h in block])) if block else np.zeros(0, np.uint64)
-    frequency = _frequencies(docs, text, vocabulary) if block else np.zeros(0, np.int64)
-    exact = windows(block, vocabulary, frequency, width)
-    shared = docs.sparkSession.sparkContext.broadcast((exact, exact.proximity(frequency, NEAR_TERMS)))
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(FOUND_AS, FOUND)])
+        for b in batches:
+            first = b.column("places0")
+            row = np.repeat(np.arange(len(b)), first.value_lengths().to_numpy())
+            begin = first.flatten().to_numpy().astype(np.int64) - b.column("place0").to_numpy()[row]
+            for k in range(1, LISTS):
+                other = b.column(f"places{k}")
+                free = other.is_null().to_numpy(zero_copy_only=False)
+                size = other.value_lengths().fill_null(0).to_numpy()
+                owner = np.repeat(np.arange(len(b)), size)
+                shift = b.column(f"place{k}").fill_null(0).to_numpy()
+                have = (owner << 32) + other.flatten().to_numpy() - shift[owner] + _OFFSET
+                want = (row << 32) + begin + _OFFSET
+                near = np.searchsorted(have, want - slop) < np.searchsorted(have, want + slop, side="right")
+                keep = near | free[row]
+                row, begin = row[keep], begin[keep]
+            yield pa.RecordBatch.from_arrays([b.column("uid").take(pa.array(row)), b.column("window").take(pa.array(row)), pa.array(begin)], ["uid", "window", "start"])
+
+    return found.mapInArrow(run, "uid long, window long, start long")
+
+
+FOUND = "uid long, n_words long, n_hit long, exact array<long>, near array<long>"
+
+
+def verified(whole: DataFrame, candidates: DataFrame, planned: DataFrame, slop: int) -> DataFrame:
+    """Of each document with candidates ``uid``, ``n_words``, ``n_hit`` and the windows found as ``exact`` phrases and ``near``."""
+    full = candidates.join(_few(planned.select("window", "terms"), "windows"), "window")
+    by_row = _few(full.groupBy("uid").agg(F.collect_list(F.struct("window", "start", "terms")).alias("places")), "places")
+
+    def judged(codes: np.ndarray, window: np.ndarray, start: np.ndarray, terms: np.ndarray, size: np.ndarray) -> tuple[int, list[int], list[int]]:
+        n, width = len(codes), terms.shape[1]
+        inside, near = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        for k in range(width):
+            used = k < size
+            there = np.zeros(len(start), bool)
+            for shift in range(-slop, slop + 1):
+                at = start + k + shift
+                same = used & (at >= 0) & (at < n) & (codes[np.clip(at, 0, n - 1)] == terms[:, k])
+                there |= same
+                if not shift:
+                    inside += same
+            near += there
+        exact = inside == size
+        cover = np.zeros(n + 1, np.int64)
+        np.add.at(cover, start[exact], 1)
+        np.add.at(cover, (start + size)[exact], -1)
+        close = (100 * near >= NEAR_PERCENT * size) & (size >= NEAR_WORDS)
+        return int((np.cumsum(cover)[:-1] > 0).sum()), np.unique(window[exact]).tolist(), np.unique(window[close]).tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, near_w = shared.value
-        for part in tb.slices(batches, text):
-            found = tb.texts(part.column(text))
+        for part in tb.slices(batches, "text"):
+            found = tb.texts(part.column("text"))
             at, hashed = words(found)
-            n, first = len(found), at.first_of(len(found))
-            items, near = [[] for _ in range(n)], [[] for _ in range(n)]
-            cover = np.zeros(len(hashed) + 1, np.int64)
-            if FOUND_AS in columns:
-                for i, old in enumerate(part.column(FOUND_AS).to_pylist()):
-                    items[i], near[i] = old["items"], old["near_items"]
-                    np.add.at(cover, first[i] + np.array(old["stretches"][::2], np.int64), 1)
-                    np.add.at(cover, first[i] + np.array(old["stretches"][1::2], np.int64), -1)
-            known = tb.among(hashed, w.vocabulary)
-            if known.any():
-                codes = np.full(len(hashed), -1)
-                codes[known] = np.searchsorted(w.vocabulary, hashed[known])
-                window, start = matches(codes, at.owner, w)
-                np.add.at(cover, start, 1)
-                np.add.at(cover, start + w.length[window], -1)
-                for owner, item in np.unique(np.stack([at.owner[start], w.item[window]], axis=1), axis=0).tolist():
-                    items[owner].append(item)
-                for owner, item in nearby(codes, at.owner, near_w, slop).tolist():
-                    near[owner].append(item)
-            hit = np.cumsum(cover)[:-1] > 0
-            hits = np.bincount(at.owner[hit], minlength=n)
-            begins = np.flatnonzero(hit & ~(np.concatenate([[False], hit[:-1]]) & np.concatenate([[False], at.owner[1:] == at.owner[:-1]])[: len(hit)]))
-            ends = np.flatnonzero(hit & ~(np.concatenate([hit[1:], [False]]) & np.concatenate([at.owner[1:] == at.owner[:-1], [False]])[: len(hit)])) + 1
-            stretches = [[] for _ in range(n)]
-            for owner, a, b in zip(at.owner[begins].tolist(), begins.tolist(), ends.tolist(), strict=True):
-                stretches[owner] += [a - int(first[owner]), b - int(first[owner])]
+            first = at.first_of(len(found))
+            places = part.column("places")
+            edge = np.concatenate([[0], np.cumsum(places.value_lengths().to_numpy())])
+            flat = places.flatten()
+            window, start, lists = flat.field("window").to_numpy(), flat.field("start").to_numpy(), flat.field("terms")
+            size = lists.value_lengths().to_numpy().astype(np.int64)
+            terms = np.zeros((len(size), int(size.max(initial=1))), np.int64)
+            terms[np.arange(terms.shape[1]) < size[:, None]] = lists.flatten().to_numpy()
+            rows = [judged(hashed[first[i] : first[i + 1]].view(np.int64), *(x[edge[i] : edge[i + 1]] for x in (window, start, terms, size))) for i in range(len(found))]
             longs = pa.list_(pa.int64())
-            struct = pa.StructArray.from_arrays([pa.array(np.diff(first), pa.int64()), pa.array(hits, pa.int64()), *(pa.array([sorted(set(x)) for x in y], longs) for y in (items, near)), pa.array(stretches, longs)], FOUND.names)
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), struct], [*keep, FOUND_AS])
+            yield pa.RecordBatch.from_arrays([part.column("uid"), pa.array(np.diff(first), pa.int64()), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), longs, longs)))], ["uid", "n_words", "n_hit", "exact", "near"])
 
-    return docs.mapInArrow(run, schema)
+    return whole.select("uid", "text").join(by_row, "uid").select("uid", "text", "places").mapInArrow(run, FOUND)
+
+
+def _searched(whole: DataFrame, benchmark: DataFrame, text: str, item: str, width: int, slop: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What ``counted`` says of each document (``uid``, ``key``, ``n_words``), what is found in those with candidates, and the items' windows."""
+    windows = cut(item_windows(benchmark, text, item, width), "item-windows")
+    terms = windows.select(F.explode("terms").alias("term")).distinct()
+    seen = cut(counted(whole, _bitmap(terms)), "counts")
+    frequency = _few(seen.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).join(terms, "term", "left_semi"), "frequency")
+    planned = cut(plans(windows, frequency), "plans")
+    salts = F.ceil(F.max("l.n") / SALT_PLACES).cast("long")
+    wanted = _few(planned.select(F.explode("lists").alias("l")).groupBy(F.col("l.term").alias("term")).agg(salts.alias("salts")), "terms")
+    stored = index(whole, wanted)
+    few = F.broadcast(planned) if planned.count() <= BROADCAST_ROWS else planned
+    candidates = cut(starts(stored, few, slop), "starts")
+    found = cut(verified(whole, candidates, planned, slop), "found")
+    return seen.filter("uid IS NOT NULL").select("uid", "key", "n_words"), found, windows.select("window", "item").distinct()
 
 
 def _contaminated(n_words: F.Column, n_hit: F.Column, share: int) -> F.Column:
     return (n_hit > 0) & (n_hit * share >= n_words)
 
 
-def findings(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", width: int = WIDTH, share: int = SHARE, slop: int = SLOP) -> DataFrame:
-    """One row a document: key, n_words, n_hit, the items by exact phrase and by proximity, contaminated."""
-    out = _searched(docs.select(*dict.fromkeys([key, text])), benchmark, text, text, item, [key], width, slop)
-    return out.select(key, *(F.col(f"{FOUND_AS}.{c}").alias(c) for c in ("n_words", "n_hit", "items", "near_items"))).withColumn("contaminated", _contaminated(F.col("n_words"), F.col("n_hit"), share))
+def findings(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text", width: int = WIDTH, share: int = SHARE, slop: int = SLOP) -> DataFrame:
+    """One row a document: key, n_words, n_hit, ``items`` by exact phrase and ``near_items`` by proximity only, contaminated."""
+    whole = cut(docs.select(F.monotonically_increasing_id().alias("uid"), col(key).alias("key"), col(text).alias("text")), "documents")
+    rows, found, windows = _searched(whole, benchmark, item_text, item, width, slop)
+    windows = _few(windows, "items")
+    exact, near = (found.select("uid", F.explode(c).alias("window")).join(windows, "window").groupBy("uid").agg(F.collect_set("item").alias(c)) for c in ("exact", "near"))
+    # all of the documents with hits, so far fewer than documents
+    hits = cut(found.select("uid", "n_hit").join(exact, "uid", "left").join(near, "uid", "left"), "hits")
+    none = F.array().cast(T.ArrayType(benchmark.schema[item].dataType))
+    items, near_items = (F.coalesce(c, none) for c in ("exact", "near"))
+    return rows.join(hits, "uid", "left").select(
+        F.col("key").alias(key), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), items.alias("items"), F.array_except(near_items, items).alias("near_items")
+    ).withColumn("contaminated", _contaminated(F.col("n_words"), F.col("n_hit"), share))
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The findings with the items as a count and a digest of their sorted ids."""
-    names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    return found.select(key, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), "contaminated")
+    """The findings with the items as counts and digests of their sorted ids."""
+
+    def sha(items: str) -> F.Column:
+        return F.sha2(F.array_join(F.array_sort(F.transform(items, lambda x: x.cast("string"))), ","), 256)
+
+    return found.select(col(key), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), sha("items").alias("items_sha256"), "contaminated", F.size("near_items").cast("long").alias("n_near"), sha("near_items").alias("near_sha256"))
 
 
-def sql(docs: str, benchmark: str, width: int = WIDTH, share: int = SHARE) -> str:
-    """The digest by DuckDB, for tables small enough to write all windows out."""
+def sql(docs: str, benchmark: str, width: int = WIDTH, share: int = SHARE, slop: int = SLOP) -> str:
+    """The digest by DuckDB, for tables small enough to write all windows and words out."""
 
     def tokens(table: str, key: str) -> str:
         lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
         return rf"(SELECT {key}, regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table})"
 
+    near = "".join(f" JOIN p p{k} ON p{k}.doc_id = p0.doc_id AND p{k}.word = rarest[{k + 1}].word AND p{k}.place - rarest[{k + 1}].place BETWEEN p0.place - rarest[1].place - {slop} AND p0.place - rarest[1].place + {slop}" for k in range(1, LISTS))
     return f"""
 WITH d AS {tokens(docs, "doc_id")}, b AS {tokens(benchmark, "item_id")},
-items AS (SELECT DISTINCT item_id, least(len(w), {width}) AS n, array_to_string(w[i : i + {width} - 1], ' ') AS win FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - {width} + 1, 1) + 1)) AS i FROM b WHERE len(w) > 0 AND item_id IS NOT NULL)),
+items AS (SELECT DISTINCT item_id, least(len(w), {width}) AS n, w[i : i + {width} - 1] AS ws, array_to_string(w[i : i + {width} - 1], ' ') AS win FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - {width} + 1, 1) + 1)) AS i FROM b WHERE len(w) > 0 AND item_id IS NOT NULL)),
 places AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS win FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM items) WHERE len(w) >= n)),
 hits AS (SELECT DISTINCT doc_id, i, n, item_id FROM places JOIN items USING (n, win)),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
-found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS said FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
-SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(said, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {share} * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
-
-
-def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", width: int = WIDTH, share: int = SHARE) -> DataFrame:
+exact AS (SELECT DISTINCT doc_id, item_id FROM hits),
+p AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS place FROM d),
+f AS (SELECT word, count(*) AS n FROM p GROUP BY word),
+u AS (SELECT DISTINCT win, ws FROM items WHERE len(ws) >= {NEAR_WORDS}),
+r AS (SELECT win, ws, list(struct_pack(word := word, place := place) ORDER BY f.n, place) AS rarest FROM (SELECT win, ws, unnest(ws) AS word, unnest(range(len(ws))) AS place FROM u) JOIN f USING (word) GROUP BY win, ws HAVING count(*) >= {LISTS}),
+s AS (SELECT DISTINCT p0.doc_id, win, ws, p0.place - rarest[1].place AS start FROM r JOIN p p0 ON p0.word = rarest[1].word{near}),
+near AS (SELECT DISTINCT doc_id, item_id FROM (SELECT DISTINCT s.doc_id, s.win FROM s JOIN d USING (doc_id) WHERE len(list_filter(range(len(ws)), lambda k: list_contains(d.w[greatest(start + k - {slop}, 0) + 1 : greatest(start + k + {slop} + 1, 0)], ws[k + 1]))) * 100 >= {NEAR_PERCENT} * len(ws)) JOIN items USING (win) ANTI JOIN exact USING (doc_id, item_id)),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS said FROM exact GROUP BY doc_id),
+nearby AS (SELECT doc_id, count(*) AS n_near, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS near_said FROM near GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(said, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {share} * coalesce(n_hit, 0) >= len(w) AS contaminated,
+ coalesce(n_near, 0) AS n_near, sha256(coalesce(near_said, '')) AS near_sha256
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN nearby USING (doc_id)"""
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", width: int = WIDTH, share: int = SHARE) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with its columns as they were."""
-    out = _searched(docs, benchmark, text, text, item, docs.columns, width, 0)
-    return out.filter(~_contaminated(F.col(f"{FOUND_AS}.n_words"), F.col(f"{FOUND_AS}.n_hit"), share)).select(*docs.columns)
-
+    uid = free_name(docs, "__uid")
+    whole = cut(docs.withColumn(uid, F.monotonically_increasing_id()), "documents")
+    _, found, _ = _searched(whole.select(F.col(uid).alias("uid"), F.lit(0).cast("long").alias("key"), col(text).alias("text")), benchmark, item_text, item, width, 0)
+    gone = _few(found.filter(_contaminated(F.col("n_words"), F.col("n_hit"), share)).select(F.col("uid").alias(uid)), "contaminated")
+    return whole.join(gone, uid, "left_anti").select(*(col(c) for c in docs.columns))
