@@ -1,12 +1,14 @@
 """Best-fit packing of token pieces into sequences of a fixed capacity.
 
 Linear grouping: the large lengths, from the longest down, are cut into groups
-of about equally many pieces and rounded up to the longest of their group; for
-these few sizes configurations (how many pieces of each size share a sequence)
-are chosen one after another, each the fullest that holds the largest size
-left, and used as often as the pieces last; then the actual pieces take the
-places of the rounded ones, and the small pieces are put by best fit into what
-is left.
+of about equally many pieces and rounded up to the longest of their group.  For
+these few sizes the configurations (how many pieces of each size share a
+sequence) and their uses are optimised by a linear program: those of a greedy way
+enter first, then new ones, each the best knapsack at the prices so far.  Whole uses
+are taken, and the actual pieces take the places of the rounded ones.  The few
+pieces that the fractions leave over, as many sequences as there are groups at
+most, are put together by exact subset sums of their own lengths.  Then the small
+pieces are put by best fit into what is free.
 
 All of this needs no more than how many pieces there are of each length, at
 most as many numbers as the capacity, so it is planned on the driver from that
@@ -38,7 +40,10 @@ from granary.llm.tokens import Encoder
 
 CAPACITY = 1024
 END_ID = 2
-GROUPS = 512
+#: Groups of large lengths, so sizes of the linear program.
+GROUPS = 256
+#: Columns made at most, and the gain of a column for which no more is made; any numbers give a valid plan.
+COLUMNS, TOLERANCE = 100, 1e-3
 #: Lengths over this share of the capacity are large.
 LARGE = 1 / 8
 UID = "__uid"
@@ -131,37 +136,95 @@ def _fullest(room: int, sizes: list[int], left: list[int]) -> list[int]:
     return taken
 
 
-def _configurations(p: Plan, sizes: list[int], queues: list[list[list[int]]]) -> None:
-    """Fills new sequences with all that is queued; sizes fall, queues hold [length, rank, count]."""
-    left = [sum(x[2] for x in q) for q in queues]
-    while True:
-        alive = [g for g in range(len(sizes)) if left[g]]
-        if not alive:
-            return
+def _knapsack(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray:
+    """How many of each size fill the capacity with the largest price."""
+    best, took = np.zeros(capacity + 1), []
+    for g in np.flatnonzero(prices > 1e-12).tolist():
+        step, most = 1, capacity // int(sizes[g])
+        while most > 0:
+            step = min(step, most)
+            room = step * int(sizes[g])
+            better = best[:-room] + step * prices[g] > best[room:] + 1e-12
+            then = best.copy()
+            then[room:][better] = best[:-room][better] + step * prices[g]
+            best = then
+            took.append((g, step, room, better))
+            most -= step
+            step *= 2
+    counts, at = np.zeros(len(sizes), np.int64), capacity
+    for g, step, room, better in reversed(took):
+        if at >= room and better[at - room]:
+            counts[g] += step
+            at -= room
+    return counts
+
+
+def _greedy(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[np.ndarray, int]]:
+    """Configurations one after another, each the fullest that holds the largest size left, and their uses."""
+    left, out = list(demand), []
+    while alive := [g for g in range(len(sizes)) if left[g]]:
         g = alive[0]
         left[g] -= 1
-        own = [sizes[a] for a in alive]
-        chosen = [g, *(alive[k] for k in _fullest(p.capacity - sizes[g], own, [left[a] for a in alive]))]
+        chosen = [g, *(alive[k] for k in _fullest(capacity - sizes[g], [sizes[a] for a in alive], [left[a] for a in alive]))]
         left[g] += 1
-        uses: dict[int, int] = {}
-        for c in chosen:
-            uses[c] = uses.get(c, 0) + 1
-        times = min(left[c] // n for c, n in uses.items())
-        slots = []
-        for c in sorted(chosen):
-            left[c] -= times
-            need, slot = times, []
-            while need:
-                head = queues[c][0]
-                n = min(need, head[2])
-                slot.append((head[0], head[1], n))
-                head[1] += n
-                head[2] -= n
-                need -= n
-                if not head[2]:
-                    queues[c].pop(0)
-            slots.append(slot)
-        _substituted(p, slots, times)
+        counts = np.bincount(chosen, minlength=len(sizes))
+        times = min(left[c] // int(counts[c]) for c in set(chosen))
+        for c in set(chosen):
+            left[c] -= times * int(counts[c])
+        out.append((counts, times))
+    return out
+
+
+def optimised(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[list[int], int]]:
+    """Configurations (how many of each size) and whole uses of them, by column generation; what they leave over is less than a use each.
+
+    The configurations of the greedy way are priced first, then the best ones of all.
+    """
+    size, need = np.array(sizes, np.int64), np.array(demand, float)
+    if not len(size):
+        return []
+    pool = np.array([counts for counts, _ in _greedy(sizes, demand, capacity)], float)
+    basis = np.diag((capacity // size).astype(float))
+    uses, made = need / np.diag(basis), 0
+    while made <= COLUMNS:
+        prices = np.linalg.solve(basis.T, np.ones(len(size)))
+        column = pool[np.argmax(pool @ prices)]
+        if prices @ column <= 1 + TOLERANCE:
+            column, made = _knapsack(prices, size, capacity).astype(float), made + 1
+        if prices @ column <= 1 + TOLERANCE:
+            break
+        turn = np.linalg.solve(basis, column)
+        steps = np.where(turn > 1e-9, uses / np.where(turn > 1e-9, turn, 1), np.inf)
+        leaves = int(np.argmin(steps))
+        if not np.isfinite(steps[leaves]):
+            break
+        basis[:, leaves] = column
+        uses = np.maximum(np.linalg.solve(basis, need), 0)
+    whole = np.floor(uses + 1e-9).astype(np.int64)
+    while len(over := np.flatnonzero(basis.astype(np.int64) @ whole > need)):  # rounding errors only
+        whole[np.flatnonzero(basis[over[0]] > 0)[np.argmax(whole[basis[over[0]] > 0])]] -= 1
+    return [(basis[:, k].astype(np.int64).tolist(), int(n)) for k, n in enumerate(whole) if n > 0]
+
+
+def _taken(queue: list[list[int]], need: int) -> list[tuple[int, int, int]]:
+    """The first ``need`` pieces of a queue of [length, rank, count]."""
+    slot = []
+    while need:
+        head = queue[0]
+        n = min(need, head[2])
+        slot.append((head[0], head[1], n))
+        head[1] += n
+        head[2] -= n
+        need -= n
+        if not head[2]:
+            queue.pop(0)
+    return slot
+
+
+def _configurations(p: Plan, sizes: list[int], queues: list[list[list[int]]]) -> None:
+    """Fills new sequences with all that is queued; sizes fall, queues hold [length, rank, count]."""
+    for counts, times in _greedy(sizes, [sum(x[2] for x in q) for q in queues], p.capacity):
+        _substituted(p, [_taken(queues[g], times) for g in np.flatnonzero(counts).tolist() for _ in range(int(counts[g]))], times)
 
 
 def _substituted(p: Plan, slots: list[list[tuple[int, int, int]]], times: int) -> None:
@@ -202,7 +265,10 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
             last = group
         queues[-1].append([n, 0, histogram[n]])
         seen += histogram[n]
-    _configurations(p, sizes, queues)
+    for counts, times in optimised(sizes, [sum(x[2] for x in q) for q in queues], capacity):
+        _substituted(p, [_taken(queues[g], times) for g, n in enumerate(counts) for _ in range(n)], times)
+    over = [x for q in queues for x in q]
+    _configurations(p, [x[0] for x in over], [[x] for x in over])
     rest = []
     for n in lengths[len(big) :]:
         rank, left = 0, histogram[n]
