@@ -13,8 +13,8 @@ Defined cases: null, empty and all-white texts have no words and the
 fingerprint zero, and are linked like any other; a text of fewer words than a
 shingle is one shingle; repeated rows have equal fingerprints and so one
 component, whose id is its smallest non-null key (null if it has none); an
-empty table gives an empty result; further columns pass through, but names that
-begin with ``__`` are reserved.
+empty table gives an empty result; further columns pass through, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -30,13 +30,12 @@ from pyspark.sql import types as T
 
 from granary.llm import textbatch as tb
 from granary.llm.components import components
-from granary.llm.storage import cut
+from granary.llm.storage import col, cut, free_name
 
 SHINGLE = 3
 BUDGET = 3
 BLOCKS = 4
 SEED = 42
-UID, PRINT = "__uid", "__fp"
 #: Pairs of nodes of at most so many fingerprints are compared at once.
 LEAF_PAIRS = 64
 FRONTIER = 1 << 19
@@ -203,26 +202,28 @@ def _fingerprinted(docs: DataFrame, text: str, keep: list[str], name: str = "fp"
             fp = fingerprints(tb.texts(part.column(text)))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(fp.view(np.int64))], [*keep, name])
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    return docs.select(*map(col, dict.fromkeys([*keep, text]))).mapInArrow(run, schema)
 
 
-def _classes(rows: DataFrame, key: str, budget: int) -> DataFrame:
-    """``fp``, the least fingerprint (``root``) and the least key (``component``) of its component."""
-    prints = cut(rows.groupBy("fp").agg(F.min(key).alias("least")), "prints")
-    found = components(links(prints, budget))
-    linked = found.withColumnRenamed("node", "fp").join(prints, "fp")
-    least = linked.groupBy("root").agg(F.min("least").alias("component"))
+def _classes(rows: DataFrame, budget: int) -> DataFrame:
+    """``fp``, the least fingerprint (``root``) and the least ``key`` (``component``) of its component.
+
+    All sides of the joins are tables that are written first, so that Spark can split a giant component.
+    """
+    prints = cut(rows.groupBy("fp").agg(F.min("key").alias("least")), "prints")
+    linked = cut(components(links(prints, budget)).withColumnRenamed("node", "fp").join(prints, "fp"), "linked")
+    least = cut(linked.groupBy("root").agg(F.min("least").alias("component")), "least")
     linked = linked.join(least, "root").select("fp", "root", "component")
     return prints.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component")).alias("component"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", budget: int = BUDGET) -> DataFrame:
     """One row a document: key, ``fingerprint`` (16 hex digits) and ``component_id``."""
-    rows = cut(_fingerprinted(docs, text, [key]), "fingerprints")
+    rows = cut(_fingerprinted(docs.select(col(key).alias("key"), col(text).alias("text")), "text", ["key"]), "fingerprints")
     # written first, so that both sides of the join are dealt by fingerprint just for it and Spark can split a hot one
-    classes = cut(_classes(rows, key, budget), "components")
+    classes = cut(_classes(rows, budget), "components")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return rows.join(classes, "fp").select(key, digits.alias("fingerprint"), F.col("component").alias("component_id"))
+    return rows.join(classes, "fp").select(F.col("key").alias(key), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", budget: int = BUDGET) -> DataFrame:
@@ -232,13 +233,14 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", budge
     a row number of their own; the rows that go are few and are broadcast up to
     a checked number, beyond it joined by a shuffle.
     """
-    whole = cut(_fingerprinted(docs, text, docs.columns, PRINT).withColumn(UID, F.monotonically_increasing_id()), "documents")
-    rows = whole.select(UID, F.col(key).alias("key"), F.col(PRINT).alias("fp"))
-    known = cut(_classes(rows, "key", budget), "components")
-    classes = cut(rows.join(known, "fp").select(UID, "key", "root"), "classes")
-    best = classes.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", UID)).alias("best"))
-    stay = best.select(F.col(f"best.{UID}").alias(UID))
-    gone = cut(classes.select(UID).join(stay, UID, "left_anti"), "dropped")
+    uid, fp = free_name(docs, "__uid"), free_name(docs, "__fp")
+    whole = cut(_fingerprinted(docs, text, docs.columns, fp).withColumn(uid, F.monotonically_increasing_id()), "documents")
+    rows = whole.select(F.col(uid).alias("uid"), col(key).alias("key"), F.col(fp).alias("fp"))
+    known = cut(_classes(rows, budget), "components")
+    classes = cut(rows.join(known, "fp").select("uid", "key", "root"), "classes")
+    best = classes.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "uid")).alias("best"))
+    stay = best.select("best.uid")
+    gone = cut(classes.select("uid").join(stay, "uid", "left_anti").select(F.col("uid").alias(uid)), "dropped")
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    return whole.join(gone, UID, "left_anti").select(*docs.columns)
+    return whole.join(gone, uid, "left_anti").select(*(col(c) for c in docs.columns))

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from granary.llm import chat_format, decontamination, language_id, license_scan, line_dedup, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, key string, n_words long, kept boolean, owner string, length long, symbols string, h1 long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, key string, n_words long, kept boolean, owner string, length long, symbols string, h1 long, uid long, `__uid` long, `__fp` string, `__found` string, `__gone` int, term string"
 LONG = " ".join(f"word{k % 977} and other{k % 31}." for k in range(40_000))
 GOOD = "The quick brown fox, who is not lazy, jumps over the dog. " * 2 + "Then it goes home to sleep for a while, and all is well."
 
 
 def row(doc_id, text, lang="en", source="s"):
-    return (doc_id, text, lang, source, 0, 1, "k", 2, True, "o", 3, "x", 4)
+    return (doc_id, text, lang, source, 0, 1, "k", 2, True, "o", 3, "x", 4, 5, 6, "f", "g", 7, "t")
 
 
 @pytest.fixture(scope="module")
