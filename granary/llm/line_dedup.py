@@ -18,12 +18,14 @@ class.  Two lines are alike when the edit distance of their words is a share of
   places of the signature in them and the parities of their words' hashes allow
   the similarity.  Candidates are verified by the edit distance of all their words.
 
-Each class is verified first with one candidate before it.  Groups are built from
-these links, and then all candidates that are not yet in one group are verified,
-so no pair that could join two groups is left out.  A signature with more than
-``SMALL`` classes gives but a few candidates at first; later all its classes that
-are in different groups are compared, in pairs of chunks dealt over the cluster.
-Of each group the line of the smallest document stays.
+Each class is verified first with the candidates whose parities are likest.
+Groups are built from these links, and then all candidates that are not yet in
+one group are verified, so no pair that could join two groups is left out.  A
+signature with more than ``SMALL`` classes gives but a few candidates at first;
+later all its classes that are in different groups are compared, in pairs of
+chunks dealt over the cluster: first each with the few likest ones, then, when
+groups have grown by these, all that are still apart.  Of each group the line of
+the smallest document stays.
 
 Signatures travel as arrays, one row for each task and bucket of signatures; very
 frequent signatures are dealt over several buckets.
@@ -54,8 +56,8 @@ MIN_WORDS = 5
 SIMILARITY = 0.8
 #: Up to so many classes of a signature are all candidates at once; of more, each with so many before it first.
 SMALL, FIRST_LAGS = 32, 8
-#: Classes in a chunk of a signature that has more than SMALL.
-CHUNK = 2048
+#: Classes in a chunk of a signature that has more than SMALL, and candidates of a class in another chunk that are verified first.
+CHUNK, BEST = 2048, 3
 #: Documents whose grams are counted, about, and counters of them; any order of grams is right, rare ones first is quick.
 SAMPLE_ROWS, COUNTERS = 8_000, 1 << 22
 #: A signature that is counted more often is dealt over so many more buckets.
@@ -412,8 +414,8 @@ def _looked_up(few: DataFrame, name: str) -> DataFrame:
     return F.broadcast(few) if few.count() <= BROADCAST_ROWS else few
 
 
-def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """``a``, ``b``: all possible pairs of classes of a frequent signature that stand in different groups."""
+def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float, best: int | None = None) -> DataFrame:
+    """``a``, ``b``: all possible pairs of classes of a frequent signature that stand in different groups, or the ``best`` of each class."""
     rows = cut(hot.join(roots.withColumnRenamed("node", "b"), "b", "left").select("token", "b", "words", "place", "odd1", "odd2", F.coalesce("root", "b").alias("root")), "members")
     split = rows.groupBy("token").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token", "many")
     chunks = F.ceil(F.col("many") / CHUNK).cast("int")
@@ -439,9 +441,13 @@ def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float) -> DataFram
                 some = np.flatnonzero(block == k)
                 a = np.repeat(left[some], many[some])
                 b = right[np.arange(len(a)) - np.repeat(np.cumsum(many[some]) - many[some] - low[some], many[some])]
-                for good in (lambda: root[a] != root[b], lambda: _possible(n, place, a, b, similarity), lambda: _odd_enough(n[a], n[b], (odd1[a] ^ odd1[b], odd2[a] ^ odd2[b]), similarity)):
+                for good in (lambda: root[a] != root[b], lambda: _possible(n, place, a, b, similarity), lambda: _odd_enough(n[a], n[b], _differ(odd1, odd2, a, b), similarity)):
                     keep = good()
                     a, b = a[keep], b[keep]
+                if best:
+                    differ = _differ(odd1, odd2, a, b)
+                    keep = _likest(a, differ, best) | _likest(b, differ, best)
+                    a, b = a[keep], b[keep]
                 found.append(np.stack([np.minimum(cid[a], cid[b]), np.maximum(cid[a], cid[b])]))
             if found:
                 a, b = np.concatenate(found, axis=1)
@@ -450,16 +456,31 @@ def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float) -> DataFram
     return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def _odd_enough(n: np.ndarray, m: np.ndarray, differ: tuple[np.ndarray, ...], similarity: float) -> np.ndarray:
+def _differ(odd1: np.ndarray, odd2: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return sum(np.bitwise_count((x[a] ^ x[b]).view(np.uint64)).astype(np.int64) for x in (odd1, odd2))
+
+
+def _odd_enough(n: np.ndarray, m: np.ndarray, differ: np.ndarray, similarity: float) -> np.ndarray:
     longer = np.maximum(n, m)
-    return (sum(np.bitwise_count(x.view(np.uint64)).astype(np.int64) for x in differ) <= 2 * _edits(longer, similarity)) | (longer == _NONE)
+    return (differ <= 2 * _edits(longer, similarity)) | (longer == _NONE)
+
+
+def _likest(of: np.ndarray, differ: np.ndarray, best: int) -> np.ndarray:
+    """Which are among the ``best`` of each number of ``of``, by least ``differ``."""
+    by = np.lexsort((differ, of))
+    heads = np.concatenate([[True], of[by][1:] != of[by][:-1]])[: len(by)]
+    number = np.arange(len(by)) - np.maximum.accumulate(np.where(heads, np.arange(len(by)), 0))
+    out = np.zeros(len(of), bool)
+    out[by[number < best]] = True
+    return out
 
 
 def _with_like_parities(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose parities differ in no more than two for each edit that the similarity allows."""
+    """The pairs whose parities differ in no more than two for each edit that the similarity allows, and how much they ``differ``."""
     a, b = (classes.select(F.col("cid").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("words", "odd1", "odd2"))) for c in "ab")
     differ = F.bit_count(F.col("a_odd1").bitwiseXOR(F.col("b_odd1"))) + F.bit_count(F.col("a_odd2").bitwiseXOR(F.col("b_odd2")))
-    return pairs.join(a, "a").join(b, "b").filter(differ <= 2 * F.floor(F.greatest("a_words", "b_words") * (1 - similarity) + 1e-9)).select("a", "b")
+    both = pairs.join(a, "a").join(b, "b").withColumn("differ", differ)
+    return both.filter(F.col("differ") <= 2 * F.floor(F.greatest("a_words", "b_words") * (1 - similarity) + 1e-9)).select("a", "b", "differ")
 
 
 def _symbols(whole: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
@@ -501,15 +522,25 @@ def _groups(whole: DataFrame, classes: DataFrame, lines: int, min_words: int, si
     order = Order(gram_counts(whole, whole.count(), grams, min_words))
     found = cut(candidates(_members(whole, order, grams, min_words, bits), similarity, bits), "candidates")
     pairs = cut(_with_like_parities(found.filter("a IS NOT NULL").select("a", "b").distinct(), classes, similarity), "pairs")
-    hot = found.filter("a IS NULL").select("b", "token", "words", "place").join(classes.select(F.col("cid").alias("b"), "odd1", "odd2"), "b")
-    symbols = cut(_symbols(whole, pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(found.filter("a IS NULL").select(F.col("b").alias("cid"))), min_words), "symbols")
-    linked = cut(components(_verified(pairs.groupBy("b").agg(F.max("a").alias("a")).select("a", "b"), symbols, similarity)), "groups")
+    hot = cut(found.filter("a IS NULL").select("b", "token", "words", "place").join(classes.select(F.col("cid").alias("b"), "odd1", "odd2"), "b"), "hot")
+    symbols = cut(_symbols(whole, pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(hot.select(F.col("b").alias("cid"))), min_words), "symbols")
+
+    def grown(linked: DataFrame | None, more: DataFrame) -> DataFrame:
+        """The groups with what is verified of further pairs."""
+        more = cut(more.select("a", "b").distinct(), "more")
+        if linked is not None and more.isEmpty():
+            return linked
+        edges = _verified(more, symbols, similarity)
+        return cut(components(edges if linked is None else linked.select(F.col("node").alias("a"), F.col("root").alias("b")).union(edges)), "groups")
+
+    likest = pairs.groupBy("b").agg(F.min_by("a", "differ").alias("a")).select("a", "b").union(pairs.groupBy("a").agg(F.min_by("b", "differ").alias("b")).select("a", "b"))
+    linked = grown(None, likest)
     a, b = (linked.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "ab")
-    apart = pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
-    others = cut(apart.union(other_pairs(hot, linked, similarity)).distinct() if not hot.isEmpty() else apart, "pairs")
-    if others.isEmpty():
+    linked = grown(linked, pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")))
+    if hot.isEmpty():
         return linked
-    return components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")).union(_verified(others, symbols, similarity)))
+    linked = grown(linked, other_pairs(hot, linked, similarity, BEST))
+    return grown(linked, other_pairs(hot, linked, similarity))
 
 
 def dropped_lines(whole: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
