@@ -64,8 +64,8 @@ def change_point(a: Column) -> Column:
     return split(a)
 
 
-def weighted_edit(swap: int = 0, substitute: int = 2, insert: int = 1, delete: int = 3):
-    """Edit distance with a cost for each operation and, if ``swap`` is over 0, for swapping neighbours."""
+def weighted_edit(swap: int | None = None, substitute: int = 2, insert: int = 1, delete: int = 3):
+    """Edit distance with a cost for each operation and, if ``swap`` is given, for swapping neighbours."""
 
     @F.pandas_udf("int")
     def distance(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -77,7 +77,7 @@ def weighted_edit(swap: int = 0, substitute: int = 2, insert: int = 1, delete: i
                 row = [i * delete]
                 for j, y in enumerate(t, 1):
                     best = min(before[j - 1] + (0 if x == y else substitute), before[j] + delete, row[j - 1] + insert)
-                    if swap and i > 1 and j > 1 and x == t[j - 2] and y == s[i - 2]:
+                    if swap is not None and i > 1 and j > 1 and x == t[j - 2] and y == s[i - 2]:
                         best = min(best, before2[j - 2] + swap)
                     row.append(best)
                 before2, before = before, row

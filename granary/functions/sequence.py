@@ -59,6 +59,58 @@ def covered_blocks(start: Column, ops: Column) -> Column:
     return F.aggregate(ops, zero, step, lambda s: s["out"])
 
 
+def md_substitutions(md: Column) -> Column:
+    """Places on the reference, from the alignment's start on, at which an MD string says that the base differs."""
+    parts = F.regexp_extract_all(md, F.lit(r"(\d+|\^[A-Za-z]+|[A-Za-z])"), F.lit(1))
+    zero = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("long").alias("at"))
+
+    def step(s: Column, x: Column) -> Column:
+        number, gone = x.rlike("^[0-9]"), x.startswith("^")
+        size = F.when(number, F.try_to_number(x, F.lit("999999")).cast("long")).when(gone, F.length(x) - 1).otherwise(1)
+        out = F.when(number | gone, s["out"]).otherwise(F.concat(s["out"], F.array(s["at"])))
+        return F.struct(out.alias("out"), (s["at"] + size).cast("long").alias("at"))
+
+    return F.aggregate(parts, zero, step, lambda s: s["out"])
+
+
+def alignment_errors(ops: Column, md: Column) -> Column:
+    """Errors as (pos, kind, n) in order: ``pos`` counts the aligned bases of the read before it.
+
+    ``ins`` and ``del`` come from the CIGAR, ``sub`` from the MD string; a
+    deletion takes no base of the read, clipped bases are not counted.
+    """
+    kind = "array<struct<ref:bigint,pos:bigint,n:bigint>>"
+    zero = F.struct(F.array().cast(kind).alias("ins"), F.array().cast(kind).alias("gone"), F.lit(0).cast("long").alias("ref"), F.lit(0).cast("long").alias("pos"))
+
+    def step(s: Column, x: Column) -> Column:
+        n, here = x["len"].cast("long"), F.array(F.struct(s["ref"].alias("ref"), s["pos"].alias("pos"), x["len"].cast("long").alias("n")))
+        return F.struct(
+            F.when(x["op"] == "I", F.concat(s["ins"], here)).otherwise(s["ins"]).alias("ins"),
+            F.when(x["op"] == "D", F.concat(s["gone"], here)).otherwise(s["gone"]).alias("gone"),
+            F.when(x["op"].isin("M", "=", "X", "D", "N"), s["ref"] + n).otherwise(s["ref"]).alias("ref"),
+            F.when(x["op"].isin("M", "=", "X", "I"), s["pos"] + n).otherwise(s["pos"]).alias("pos"),
+        )
+
+    def total(some: Column) -> Column:
+        return F.aggregate(some, F.lit(0).cast("long"), lambda t, x: t + x["n"])
+
+    def said(pos: Column, name: str, n: Column) -> Column:
+        return F.struct(pos.alias("pos"), F.lit(name).alias("kind"), n.alias("n"))
+
+    def errors(w: Column) -> Column:
+        subs = F.transform(md_substitutions(md), lambda r: said(r - total(F.filter(w["gone"], lambda g: g["ref"] < r)) + total(F.filter(w["ins"], lambda i: i["ref"] <= r)), "sub", F.lit(1).cast("long")))
+        return F.array_sort(F.concat(F.transform(w["ins"], lambda i: said(i["pos"], "ins", i["n"])), F.transform(w["gone"], lambda g: said(g["pos"], "del", g["n"])), subs))
+
+    return F.transform(F.array(F.aggregate(ops, zero, step)), errors)[0]
+
+
+def read_name_fields(name: Column) -> Column:
+    """``RUN1:12:345`` as (run, row, col); nulls where it is not of that form."""
+    form = r"^([^:]+):(\d+):(\d+)$"
+    part = lambda k: F.nullif(F.regexp_extract(name, form, k), F.lit(""))
+    return F.struct(part(1).alias("run"), part(2).cast("int").alias("row"), part(3).cast("int").alias("col"))
+
+
 def runs(s: Column) -> Column:
     """Homopolymers of a string as an array of (base, n)."""
     kind = "array<struct<base:string,n:int>>"

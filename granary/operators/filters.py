@@ -92,14 +92,19 @@ def lookup(**conditions: object) -> Column:
 def trimmed_length(quality: Column, threshold: int, least: int = 1) -> Column:
     """Length left after a trim from the far end: windows of a tenth of the length, integer means.
 
-    The scan goes from the end and stops at the first window whose mean reaches
-    the threshold; if none does, the length is 0, as it is below ``least``.
+    The scan goes from the last place to the first and stops at the first window
+    (cut short at the end) whose mean reaches the threshold; what stands before
+    that window is kept, and nothing if no window does or it is below ``least``.
     """
     size = F.size(quality)
     window = F.greatest(F.lit(1), F.floor(size / 10).cast("int"))
-    ends = F.sequence(size, window, F.lit(-1))
-    good = F.filter(ends, lambda e: F.floor(F.aggregate(F.slice(quality, e - window + 1, window), F.lit(0), lambda a, x: a + x) / window) >= threshold)
-    found = F.when(size > 0, F.coalesce(F.get(good, F.lit(0)), F.lit(0))).otherwise(0)
+    starts = F.sequence(size - 1, F.lit(0), F.lit(-1))
+
+    def good(k: Column) -> Column:
+        width = F.least(window, size - k)
+        return F.floor(F.aggregate(F.slice(quality, k + 1, width), F.lit(0), lambda a, x: a + x) / width) >= threshold
+
+    found = F.when(size > 0, F.coalesce(F.get(F.filter(starts, good), F.lit(0)), F.lit(0))).otherwise(0)
     return F.when(found >= least, found).otherwise(0)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -51,6 +51,18 @@ def orphans(df: DataFrame, known: DataFrame, on: str) -> DataFrame:
     return df.join(known.select(on).distinct(), on, "left_anti")
 
 
-def running_best(df: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("total", F.sum(value).over(w))
+#: Labels whose centroids are literals of the plan at most; of more they are joined.
+LITERAL_LABELS = 256
+
+
+def nearest(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
+    """``key``, ``label`` and ``distance`` (squared) of the nearest mean vector of a label; ties go to the smaller label."""
+    each = df.select(key, label, F.posexplode(vector).alias("i", "v"))
+    means = each.groupBy(label, "i").agg(F.avg("v").alias("mean"))
+    if df.select(label).distinct().count() > LITERAL_LABELS:
+        apart = each.select(key, "i", "v").join(means, "i").groupBy(key, label).agg(F.sum((F.col("v") - F.col("mean")) * (F.col("v") - F.col("mean"))).alias("d"))
+        return apart.groupBy(key).agg(F.min(F.struct(F.round("d", 9).alias("k"), F.col(label).alias("label"), "d")).alias("b")).select(key, F.col("b.label").alias(label), F.col("b.d").alias("distance"))
+    codes = means.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "mean"))), lambda x: x["mean"]).alias("c")).collect()  # as many as LITERAL_LABELS
+    scored = [(F.aggregate(F.zip_with(vector, F.array(*map(F.lit, c)), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x), name) for name, c in codes]
+    least = F.array_min(F.array(*(F.struct(F.round(d, 9).alias("k"), F.lit(name).alias("label"), d.alias("d")) for d, name in scored)))
+    return df.select(key, least.alias("b")).select(key, F.col("b.label").alias(label), F.col("b.d").alias("distance"))

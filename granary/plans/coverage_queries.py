@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.operators import coverage, intervals
 from granary.plans.catalog import query
-from granary.sources.tables import READS_SQL, load, reads, tiles, tiles_sql
+from granary.sources.tables import READS_SQL, load, reads, sparse_reads, tiles, tiles_sql
 
 _POSITIONS = f"""{READS_SQL},
 ends AS (SELECT contig, min(lo) AS a, max(hi) AS b FROM reads GROUP BY contig),
@@ -219,8 +219,7 @@ def smallest_enclosing_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.groupBy("contig", F.col("r_lo").alias("lo"), F.col("r_hi").alias("hi")).agg(F.sum("l_n").alias("points"))
 
 
-_FEW = "flow <= 2 AND adapter = 1"
-_UNION_SQL = f"""{READS_SQL}, r AS (SELECT * FROM reads WHERE {_FEW}),
+_UNION_SQL = """r AS (SELECT l_returnflag || ':' || l_suppkey AS contig, s AS lo, s + 1 + CAST(l_quantity AS BIGINT) // 5 AS hi FROM (SELECT *, date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS s FROM lineitem)),
 m AS (SELECT contig, lo, hi, max(hi) OVER (PARTITION BY contig ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r),
 g AS (SELECT *, count(*) FILTER (before IS NULL OR lo > before) OVER (PARTITION BY contig ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS island FROM m),
 u AS (SELECT contig, min(lo) AS lo, max(hi) AS hi FROM g GROUP BY contig, island)"""
@@ -228,12 +227,12 @@ u AS (SELECT contig, min(lo) AS lo, max(hi) AS hi FROM g GROUP BY contig, island
 
 @query(f"WITH {_UNION_SQL} SELECT contig, lo, hi FROM u")
 def interval_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return intervals.union(reads(spark, sf_dir).filter(_FEW))
+    return intervals.union(sparse_reads(spark, sf_dir))
 
 
 @query(f"WITH {_UNION_SQL} SELECT contig, hi AS lo, nxt AS hi FROM (SELECT *, lead(lo) OVER (PARTITION BY contig ORDER BY lo) AS nxt FROM u) WHERE nxt IS NOT NULL")
 def interval_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return intervals.gaps(reads(spark, sf_dir).filter(_FEW))
+    return intervals.gaps(sparse_reads(spark, sf_dir))
 
 
 @query(

@@ -185,9 +185,10 @@ def adapter_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("doc_id", trims.trimmed(F.col("s"), "ATCACC").alias("trimmed"))
 
 
-@query("SELECT o_orderpriority, count(*) AS runs, round(sum(best), 2) AS cumulative, round(max(best), 2) AS top FROM (SELECT o_orderpriority, o_custkey, max(o_totalprice) AS best FROM orders GROUP BY ALL) GROUP BY o_orderpriority")
+@query("SELECT o_orderpriority, count(*) AS runs, round(sum(best), 2) AS cumulative, round(max(best), 2) AS top FROM (SELECT o_orderpriority, o_custkey, max(o_totalprice) AS best FROM orders WHERE o_totalprice > 0 GROUP BY ALL) GROUP BY o_orderpriority")
 def cumulative_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = load(spark, sf_dir, "orders").groupBy("o_orderpriority", "o_custkey").agg(F.max("o_totalprice").alias("best"))
+    """What the best result of each customer adds up to; results of zero or less do not count."""
+    best = load(spark, sf_dir, "orders").filter("o_totalprice > 0").groupBy("o_orderpriority", "o_custkey").agg(F.max("o_totalprice").alias("best"))
     return best.groupBy("o_orderpriority").agg(F.count("*").alias("runs"), _r(F.sum("best"), 2).alias("cumulative"), _r(F.max("best"), 2).alias("top"))
 
 
@@ -200,3 +201,26 @@ def linear_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey, '{\"status\":\"' || o_orderstatus || '\",\"customer\":' || o_custkey || '}' AS payload FROM orders")
 def serialize_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select("o_orderkey", F.to_json(F.struct(F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("customer"))).alias("payload"))
+
+
+_FOLD_SQL = "SELECT l_suppkey, log2(avg(l_extendedprice) FILTER (l_linestatus = 'F') / avg(l_extendedprice) FILTER (l_linestatus = 'O')) AS fold FROM lineitem GROUP BY l_suppkey"
+
+
+@query(f"WITH f AS (SELECT l_suppkey, round(fold, 6) AS fold FROM ({_FOLD_SQL}) WHERE fold IS NOT NULL), r AS (SELECT *, row_number() OVER (ORDER BY fold, l_suppkey) AS low, row_number() OVER (ORDER BY fold DESC, l_suppkey) AS high FROM f) SELECT l_suppkey, fold, CASE WHEN low <= 5 THEN 'lowest' ELSE 'highest' END AS side FROM r WHERE low <= 5 OR high <= 5")
+def top_bottom_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five least and the five largest fold changes; the report is this short by its nature."""
+    price = F.col("l_extendedprice")
+    mean = lambda status: F.avg(F.when(F.col("l_linestatus") == status, price))
+    f = load(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.log2(mean("F") / mean("O")).alias("fold")).filter("fold IS NOT NULL").select("l_suppkey", _r("fold").alias("fold"))
+    low, high = f.orderBy("fold", "l_suppkey").limit(5), f.orderBy(F.desc("fold"), "l_suppkey").limit(5)
+    high = high.join(low.select("l_suppkey"), "l_suppkey", "left_anti")
+    return low.withColumn("side", F.lit("lowest")).unionByName(high.withColumn("side", F.lit("highest")))
+
+
+@query("SELECT x, y, bit_or(bits) AS bits, count(*) AS blocks FROM (SELECT l_linenumber + CASE WHEN l_linestatus = 'F' THEN 0 ELSE 4 END AS x, l_suppkey % 64 + CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'N' THEN 32 ELSE 48 END AS y, 1 << (l_partkey % 8) AS bits FROM lineitem) GROUP BY x, y")
+def merged_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masks of blocks, each moved by its block's offset, as one mask; what stands in several blocks has the bits of all."""
+    move_x = F.when(F.col("l_linestatus") == "F", 0).otherwise(4)
+    move_y = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 32).otherwise(48)
+    cells = load(spark, sf_dir, "lineitem").select((F.col("l_linenumber") + move_x).alias("x"), (F.col("l_suppkey") % 64 + move_y).alias("y"), F.expr("1L << CAST(l_partkey % 8 AS INT)").alias("bits"))
+    return cells.groupBy("x", "y").agg(F.bit_or("bits").alias("bits"), F.count("*").alias("blocks"))

@@ -78,8 +78,8 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH e AS (SELECT vec_id, {_QUALITY} AS q FROM embeddings), w AS (SELECT *, greatest(1, len(q) // 10) AS w FROM e),
-p AS (SELECT vec_id, q, w, unnest(range(w, len(q) + 1)) AS e FROM w)
-SELECT w.vec_id, CAST(coalesce(max(e) FILTER (list_sum(q[e - p.w + 1 : e]) // p.w >= 8), 0) AS INTEGER) AS trimmed FROM w LEFT JOIN p USING (vec_id) GROUP BY w.vec_id""".replace("list_sum(q[", "list_sum(p.q[")
+p AS (SELECT vec_id, q, w, unnest(range(len(q))) AS k FROM w)
+SELECT w.vec_id, CAST(coalesce(max(k) FILTER (list_sum(p.q[k + 1 : k + p.w]) // len(p.q[k + 1 : k + p.w]) >= 8), 0) AS INTEGER) AS trimmed FROM w LEFT JOIN p USING (vec_id) GROUP BY w.vec_id"""
 )
 def windowed_quality_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality(spark, sf_dir).select("vec_id", filters.trimmed_length(F.col("q"), 8).cast("int").alias("trimmed"))

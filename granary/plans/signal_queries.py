@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import arrays, sequence
-from granary.operators import coverage
+from granary.operators import coverage, relational
 from granary.operators.prefix import running_sums
 from granary.plans.catalog import query
 from granary.sources.tables import READS_SQL, load, reads
@@ -27,12 +27,8 @@ SELECT vec_id, near, round(d, 6) AS distance FROM (SELECT *, row_number() OVER (
 )
 def nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "embeddings").select("vec_id", "label", _trace().alias("e"))
-    means = e.select("label", F.posexplode("e").alias("i", "v")).groupBy("label", "i").agg(F.avg("v").alias("v"))
-    # labels are a fixed set of codes (as barcodes are), so their centroids are a few literal arrays
-    codes = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("c")).collect()
-    scored = [(F.aggregate(F.zip_with("e", F.array(*map(F.lit, c)), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x), label) for label, c in codes]
-    best = F.array_min(F.array(*(F.struct(F.round(d, 9).alias("k"), F.lit(label).alias("near"), d.alias("d")) for d, label in scored)))
-    return e.select("vec_id", best.alias("b")).select("vec_id", "b.near", _r("b.d").alias("distance"))
+    out = relational.nearest(e, "vec_id", "e", "label")
+    return out.select("vec_id", F.col("label").alias("near"), _r("distance").alias("distance"))
 
 
 @query("WITH w AS (SELECT text FROM benchmark WHERE length(text) >= 5), k AS (SELECT lower(substr(text, CAST(i AS INTEGER), 5)) AS kmer FROM (SELECT text, unnest(range(1, length(text) - 3)) AS i FROM w)) SELECT kmer, count(*) AS n FROM k GROUP BY kmer HAVING count(*) >= 3")
@@ -128,14 +124,27 @@ def homopolymer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.groupBy("r.base", F.col("r.n").cast("long").alias("length")).agg(F.count("*").alias("runs"))
 
 
-@query()
+@query(
+    """WITH b AS (SELECT item_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') AS s FROM benchmark), c AS (SELECT item_id, strpos('TACG', unnest(string_split(s, ''))) - 1 AS f, unnest(range(length(s))) AS i FROM b WHERE s <> ''),
+g AS (SELECT item_id, f, coalesce(lag(f) OVER (PARTITION BY item_id ORDER BY i), -1) AS before FROM c), n AS (SELECT item_id, CAST(sum((f - before + 3) % 4 + 1) AS INTEGER) AS n FROM g WHERE f <> before GROUP BY item_id)
+SELECT item_id, coalesce(n, 0) AS n_flows, TRUE AS same FROM b LEFT JOIN n USING (item_id)"""
+)
 def flow_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.regexp_replace(F.upper("text"), "[^ACGT]", "")
     x = load(spark, sf_dir, "benchmark").select("item_id", s.alias("s")).withColumn("flows", sequence.flows(F.col("s")))
     return x.select("item_id", F.size("flows").alias("n_flows"), (sequence.sequence_of(F.col("flows")) == F.col("s")).alias("same"))
 
 
-@query()
+def _line_sql(rows: str) -> str:
+    """Sum of squares about a line."""
+    return f"(SELECT vec_id, k, greatest(regr_syy(v, i) - coalesce(regr_sxy(v, i) ** 2 / nullif(regr_sxx(v, i), 0), 0), 0) AS sse FROM e JOIN ks USING (vec_id) WHERE {rows} GROUP BY vec_id, k)"
+
+
+@query(
+    f"""WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, CAST(unnest(range(len(embedding))) AS DOUBLE) AS i FROM embeddings), ks AS (SELECT vec_id, unnest(range(3, len(embedding) - 2)) AS k FROM embeddings),
+s AS (SELECT vec_id, a.k, a.sse + b.sse AS sse FROM {_line_sql("i < k")} a JOIN {_line_sql("i >= k")} b USING (vec_id, k)), o AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(sse, 12), k) AS n FROM s)
+SELECT e.vec_id, CAST(k AS INTEGER) AS "at", round(sse, 6) AS sse FROM embeddings e LEFT JOIN o ON o.vec_id = e.vec_id AND n = 1"""
+)
 def trace_change_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = load(spark, sf_dir, "embeddings").select("vec_id", arrays.change_point(_trace()).alias("c"))
     return x.select("vec_id", "c.at", _r("c.sse").alias("sse"))
@@ -149,9 +158,9 @@ def two_normal_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def depth_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = reads(spark, sf_dir).groupBy("contig", "lo").agg(F.count("*").alias("n"))
-    chunked = x.withColumn("chunk", F.concat_ws(":", "contig", F.floor(F.col("lo") / 4096).cast("string")))
-    return arrays.segments(chunked, "chunk", "lo", "n")
+    x = coverage.per_base(reads(spark, sf_dir)).select("contig", "pos", (F.col("fwd") + F.col("rev")).alias("n"))
+    chunked = x.withColumn("chunk", F.concat_ws(":", "contig", F.floor(F.col("pos") / 4096).cast("string")))
+    return arrays.segments(chunked, "chunk", "pos", "n")
 
 
 @query()

@@ -24,6 +24,36 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sparse_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All line items as short ranges on a contig for each supplier and flag, so that there are gaps between them."""
+    start = F.datediff("l_shipdate", F.lit("1995-01-01").cast("date")).cast("long")
+    return load(spark, sf_dir, "lineitem").select(F.concat_ws(":", "l_returnflag", F.col("l_suppkey").cast("string")).alias("contig"), start.alias("lo"), (start + 1 + F.floor(F.col("l_quantity") / 5)).cast("long").alias("hi"))
+
+
+def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as alignments with flags, CIGAR and MD strings: three matching parts, between them an insertion and a deletion."""
+    part = (F.floor(F.col("l_quantity") / 3) + 1).cast("long")
+    put, gone, clip = F.col("l_partkey") % 3, F.col("l_suppkey") % 4, F.col("l_linenumber") % 3
+    first, last = F.col("l_orderkey") % 5 == 0, F.col("l_orderkey") % 7 == 0
+
+    def op(n: F.Column, kind: str) -> F.Column:
+        return F.when(n > 0, F.concat(n.cast("string"), F.lit(kind))).otherwise("")
+
+    cigar = F.concat(op(clip, "S"), op(part, "M"), op(put, "I"), op(part, "M"), op(gone, "D"), op(part, "M"))
+    begun, left = F.when(first, F.concat(part.cast("string"), F.lit("A"))).otherwise(""), F.when(first, part - 1).otherwise(2 * part)
+    break_, rest = F.when(gone > 0, F.concat(left.cast("string"), F.lit("^"), F.repeat(F.lit("C"), gone.cast("int")))).otherwise(""), F.when(gone > 0, 0).otherwise(left)
+    end = F.when(last, F.concat((rest + part - 1).cast("string"), F.lit("G0"))).otherwise((rest + part).cast("string"))
+    flag = F.when(F.col("l_linestatus") == "F", 0).otherwise(16) + F.when(F.col("l_orderkey") % 16 == 0, 4).otherwise(0) + F.when(F.col("l_partkey") % 8 == 0, 1024).otherwise(0) + F.when(F.col("l_suppkey") % 8 == 0, 512).otherwise(0)
+    return load(spark, sf_dir, "lineitem").select(
+        F.concat_ws(":", F.lit("L"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("name"),
+        F.col("l_returnflag").alias("contig"),
+        F.datediff("l_shipdate", F.lit("1990-01-01").cast("date")).cast("long").alias("start"),
+        flag.alias("flag"),
+        cigar.alias("cigar"),
+        F.concat(begun, break_, end).alias("md"),
+    )
+
+
 def tiles(found: DataFrame, step: int, width: int) -> DataFrame:
     """Regions ``[k * step, k * step + width)`` over the span of the reads of each contig."""
     ends = found.groupBy("contig").agg(F.floor(F.max("hi") / step).cast("long").alias("top"))
@@ -40,6 +70,16 @@ READS_SQL = """reads AS (
   FROM (SELECT *, date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS s FROM lineitem))"""
 
 
+#: What the CIGAR and MD strings of ``alignments`` say, worked out without them: p bases in each part, i put in, d gone.
+ALIGNMENTS_SQL = """alignments AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, 'L:' || l_orderkey || ':' || l_linenumber AS name, l_returnflag AS contig, date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS start, l_linestatus = 'F' AS forward,
+         CAST(l_quantity AS BIGINT) // 3 + 1 AS p, l_partkey % 3 AS i, l_suppkey % 4 AS d, l_orderkey % 5 = 0 AS x, l_orderkey % 7 = 0 AS y,
+         l_orderkey % 16 = 0 AS unmapped, l_partkey % 8 = 0 AS duplicate, l_suppkey % 8 = 0 AS failed, 3 * (CAST(l_quantity AS BIGINT) // 3 + 1) + l_partkey % 3 AS bases FROM lineitem),
+alignment_errors AS (SELECT id, name, contig, bases, 'ins' AS kind, p AS pos, i AS n FROM alignments WHERE i > 0 UNION ALL SELECT id, name, contig, bases, 'del', 2 * p + i, d FROM alignments WHERE d > 0
+  UNION ALL SELECT id, name, contig, bases, 'sub', p + i, 1 FROM alignments WHERE x UNION ALL SELECT id, name, contig, bases, 'sub', 3 * p + i - 1, 1 FROM alignments WHERE y),
+single_errors AS (SELECT name, contig, kind, CASE WHEN kind = 'ins' THEN pos + k ELSE pos END AS pos FROM (SELECT *, unnest(range(n)) AS k FROM alignment_errors))"""
+
+
 def tiles_sql(name: str, step: int, width: int) -> str:
     return f"""{name} AS (SELECT contig, k * {step} AS lo, k * {step} + {width} AS hi
   FROM (SELECT contig, unnest(range(0, max(hi) // {step} + 1)) AS k FROM reads GROUP BY contig))"""

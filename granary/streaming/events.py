@@ -66,17 +66,21 @@ def to_batches(df: DataFrame, mode: str, act: Callable[[DataFrame, int], None],
 
 
 def materialised(df: DataFrame, mode: str) -> DataFrame:
-    """Runs a stream over all that is there and returns its table: the last state, or all rows if appended."""
+    """Runs a stream over all that is there and returns its table: the last state, or all rows if appended.
+
+    Each batch has a folder of its own, written anew if the batch is run again.
+    """
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-granary-")
     at = f"{base}/stream-{uuid.uuid4().hex}"
 
     def put(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{at}/out")
+        batch.write.mode("overwrite").parquet(f"{at}/out" if mode == "complete" else f"{at}/out/__epoch={epoch}")
 
     to_batches(df, mode, put, f"{at}/state").awaitTermination()
-    return spark.read.parquet(f"{at}/out")
+    # a path that says which folders to read, so that names beginning with two underscores are read too
+    return spark.read.schema(df.schema).parquet(f"{at}/out" if mode == "complete" else f"{at}/out/__epoch=*")

@@ -21,7 +21,10 @@ def test_rows_equal_those_of_sql(spark, name):
 def test_without_sql_gives_rows(spark, name):
     df = all_queries.QUERIES[name](spark, SF)
     assert len(df.columns) == len(set(df.columns))
-    assert df.count() >= 0
+    rows, again = (sorted(map(repr, all_queries.QUERIES[name](spark, SF).collect())) for _ in range(2))
+    # the benchmark's few items need not share a 12-mer
+    assert rows == again and (rows or name == "local_alignment_of_items")
+    assert "nan" not in repr(rows).lower()
 
 
 def test_entry_module(spark):
