@@ -59,8 +59,8 @@ LISTS = 3
 BITS = 24
 #: Postings of a term in one partition of the index, about.
 SALT_PLACES = 1 << 20
-#: Rows of windows, places or documents (to 200 bytes) that are broadcast at most; beyond it the same join shuffles.
-BROADCAST_ROWS = 100_000
+#: Rows of windows, places or terms (to 200 bytes) that are broadcast at most; beyond it the same join shuffles.
+BROADCAST_ROWS = 50_000
 _OFFSET = 1 << 20
 
 
@@ -70,10 +70,10 @@ def words(found: tb.Texts) -> tuple[tb.Spans, np.ndarray]:
     return at, tb.hashes(lowered.data, at.start, at.end)
 
 
-def _few(df: DataFrame, name: str) -> DataFrame:
-    """A table for one side of a join: written, and broadcast up to a checked size; Spark can split the other side."""
+def _few(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """A table for one side of a join: written, and broadcast up to a checked size (``rows``, where a row holds several); Spark can split the other side."""
     df = cut(df, name)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
 
 
 def _bitmap(terms: DataFrame) -> np.ndarray:
@@ -202,7 +202,7 @@ FOUND = "uid long, n_words long, n_hit long, exact array<long>, near array<long>
 def verified(whole: DataFrame, candidates: DataFrame, planned: DataFrame, slop: int) -> DataFrame:
     """Of each document with candidates ``uid``, ``n_words``, ``n_hit`` and the windows found as ``exact`` phrases and ``near``."""
     full = candidates.join(_few(planned.select("window", "terms"), "windows"), "window")
-    by_row = _few(full.groupBy("uid").agg(F.collect_list(F.struct("window", "start", "terms")).alias("places")), "places")
+    by_row = _few(full.groupBy("uid").agg(F.collect_list(F.struct("window", "start", "terms")).alias("places")), "places", candidates.count())
 
     def judged(codes: np.ndarray, window: np.ndarray, start: np.ndarray, terms: np.ndarray, size: np.ndarray) -> tuple[int, list[int], list[int]]:
         n, width = len(codes), terms.shape[1]

@@ -181,7 +181,7 @@ def test_components_of_paths_stars_and_loops(spark, monkeypatch, few):
     assert got == want
 
 
-@pytest.mark.parametrize("few", [0, 100_000])
+@pytest.mark.parametrize("few", [0, 50_000])
 def test_decontamination(spark, texts, monkeypatch, few):
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", few)
     monkeypatch.setattr(decontamination, "SALT_PLACES", 10 if not few else 1 << 20)
