@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import arrays, sequence
-from granary.operators import expression, relational
+from granary.operators import expression, metrics, relational
 from granary.plans.catalog import query
 from granary.sources.tables import load
 
@@ -83,7 +83,8 @@ def correlation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_COUNTS_SQL} SELECT sample, count(*) AS genes, round(quantile_cont(log2(n + 1), 0.05), 6) AS q05, round(quantile_cont(log2(n + 1), 0.95), 6) AS q95 FROM c WHERE n > 0 GROUP BY sample")
 def nonzero_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = _counts(spark, sf_dir).filter("n > 0").withColumn("v", F.log2(F.col("n") + 1))
-    return x.groupBy("sample").agg(F.count("*").alias("genes"), _r(F.percentile("v", F.lit(0.05))).alias("q05"), _r(F.percentile("v", F.lit(0.95))).alias("q95"))
+    ends = metrics.quantiles(x, ["sample"], "v", {"q05": 0.05, "q95": 0.95})
+    return x.groupBy("sample").agg(F.count("*").alias("genes")).join(ends, "sample").select("sample", "genes", _r("q05").alias("q05"), _r("q95").alias("q95"))
 
 
 @query("WITH t AS (SELECT p_brand AS gene, sum(l_quantity) AS f, count(*) AS n FROM part JOIN lineitem ON p_partkey = l_partkey GROUP BY gene) SELECT gene, CAST(rank() OVER (ORDER BY n DESC, gene) AS INTEGER) AS place, n FROM t ORDER BY n DESC, gene LIMIT 5")
@@ -103,7 +104,9 @@ SELECT round(low, 6) AS low, round(mid, 6) AS mid, round(high, 6) AS high, round
 def gc_bias_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = load(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n"))
     g = load(spark, sf_dir, "part").join(n, F.col("p_partkey") == F.col("l_partkey"), "left").select((F.col("p_size") / 50.0).alias("gc"), F.coalesce("n", F.lit(0)).alias("n"))
-    ends = g.agg(F.percentile("gc", F.lit(0.25)).alias("a"), F.percentile("gc", F.lit(0.75)).alias("b"), (0.75 * F.avg("n")).alias("t")).first()  # one row
+    one = metrics.quantiles(g.withColumn("all", F.lit(1)), ["all"], "gc", {"a": 0.25, "b": 0.75})
+    ends = (one.first() or {"a": None, "b": None}), g.agg((0.75 * F.avg("n")).alias("t")).first()  # two single rows
+    ends = {"a": ends[0]["a"], "b": ends[0]["b"], "t": ends[1]["t"]}
     gc, few = F.col("gc"), F.col("n") < ends["t"]
 
     def share(cond):

@@ -30,3 +30,19 @@ def test_rules_sums_and_ratios(spark):
     assert {tuple(r) for r in reports.control_ratios(kinds, ["g"], "kind", "ctl").collect()} == {("a", "ctl", 1, 1.0), ("a", "x", 2, 2.0), ("b", "x", 1, None)}
     with pytest.raises(ValueError, match="twice"):
         reports.processed(x, ["k"], [("n", F.count("*")), ("n", F.max("v"))])
+
+
+def test_quantiles_are_exact(spark):
+    import random
+    import statistics
+
+    from granary.operators import metrics
+
+    rng = random.Random(2)
+    rows = [(g, rng.choice([1.5, 2.0, rng.uniform(-9, 9)])) for g in "aab" for _ in range(rng.randint(30, 90))] + [("c", 4.0), ("c", None), ("d", None)]
+    got = {r["g"]: r for r in metrics.quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, chunks=8).collect()}
+    for g in "ab":
+        want = statistics.quantiles([v for k, v in rows if k == g], n=4, method="inclusive")
+        assert [got[g][q] for q in ("q1", "q2", "q3")] == pytest.approx(want)
+    assert got["c"]["q1"] == got["c"]["q3"] == 4 and "d" not in got
+    assert metrics.quantiles(spark.createDataFrame([], "g string, v double"), ["g"], "v", {"q": 0.5}).count() == 0
