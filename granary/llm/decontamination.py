@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from granary.llm import textbatch as tb
-from granary.llm.storage import col, cut, free_name
+from granary.llm.storage import col, cut, discard, free_name
 
 WIDTH = 13
 #: A document is contaminated when at least one in so many of its words is hit.
@@ -256,6 +256,7 @@ def _searched(whole: DataFrame, benchmark: DataFrame, text: str, item: str, widt
     few = F.broadcast(planned) if planned.count() <= BROADCAST_ROWS else planned
     candidates = cut(starts(stored, few, slop), "starts")
     found = cut(verified(whole, candidates, planned, slop), "found")
+    discard(stored, candidates, planned)
     return seen.filter("uid IS NOT NULL").select("uid", "key", "n_words"), found, windows.select("window", "item").distinct()
 
 

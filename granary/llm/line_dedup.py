@@ -50,7 +50,7 @@ from pyspark.sql import types as T
 
 from granary.llm import textbatch as tb
 from granary.llm.components import components
-from granary.llm.storage import col, cut, free_name
+from granary.llm.storage import col, cut, discard, free_name
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
@@ -414,8 +414,8 @@ def _looked_up(few: DataFrame, name: str) -> DataFrame:
     return F.broadcast(few) if few.count() <= BROADCAST_ROWS else few
 
 
-def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float, best: int | None = None) -> DataFrame:
-    """``a``, ``b``: all possible pairs of classes of a frequent signature that stand in different groups, or the ``best`` of each class."""
+def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float, best: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``a``, ``b``: all possible pairs of classes of a frequent signature that stand in different groups, or the ``best`` of each class; and a table that they are read from."""
     rows = cut(hot.join(roots.withColumnRenamed("node", "b"), "b", "left").select("token", "b", "words", "place", "odd1", "odd2", F.coalesce("root", "b").alias("root")), "members")
     split = rows.groupBy("token").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token", "many")
     chunks = F.ceil(F.col("many") / CHUNK).cast("int")
@@ -453,7 +453,7 @@ def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float, best: int |
                 a, b = np.concatenate(found, axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long")
+    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long"), rows
 
 
 def _differ(odd1: np.ndarray, odd2: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -529,18 +529,25 @@ def _groups(whole: DataFrame, classes: DataFrame, lines: int, min_words: int, si
         """The groups with what is verified of further pairs."""
         more = cut(more.select("a", "b").distinct(), "more")
         if linked is not None and more.isEmpty():
+            discard(more)
             return linked
         edges = _verified(more, symbols, similarity)
-        return cut(components(edges if linked is None else linked.select(F.col("node").alias("a"), F.col("root").alias("b")).union(edges)), "groups")
+        out = cut(components(edges if linked is None else linked.select(F.col("node").alias("a"), F.col("root").alias("b")).union(edges)), "groups")
+        discard(more, *([] if linked is None else [linked]))
+        return out
 
     likest = pairs.groupBy("b").agg(F.min_by("a", "differ").alias("a")).select("a", "b").union(pairs.groupBy("a").agg(F.min_by("b", "differ").alias("b")).select("a", "b"))
     linked = grown(None, likest)
     a, b = (linked.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "ab")
     linked = grown(linked, pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")))
-    if hot.isEmpty():
-        return linked
-    linked = grown(linked, other_pairs(hot, linked, similarity, BEST))
-    return grown(linked, other_pairs(hot, linked, similarity))
+    discard(found, pairs)
+    if not hot.isEmpty():
+        for best in (BEST, None):
+            others, members = other_pairs(hot, linked, similarity, best)
+            linked = grown(linked, others)
+            discard(members)
+    discard(hot, symbols)
+    return linked
 
 
 def dropped_lines(whole: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:

@@ -47,7 +47,16 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     What stands above the result is computed from these files, so a lost
     executor costs the tasks that read them and not the work before them.
     """
-    return read_back(df.sparkSession, written(df, name))
+    path = written(df, name)
+    out = read_back(df.sparkSession, path)
+    out.granary_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by ``cut`` when all that was to be read from them has been written elsewhere."""
+    for t in tables:
+        drop(t.sparkSession, t.granary_path)
 
 
 def written(df: DataFrame, name: str) -> str:
