@@ -68,6 +68,8 @@ COUNTED_WORDS = 1024
 BUCKET_ROWS, HELD_ROWS = 1 << 24, 1 << 21
 #: Rows of up to 100 bytes that are broadcast at most; beyond it the same join shuffles.
 BROADCAST_ROWS = 200_000
+#: Classes (8 bytes each) that are broadcast at most.
+BROADCAST_NODES = 500_000
 #: Bits that say which classes' words are wanted; what they let through in error falls away in a join.
 WANTED_BITS = 24
 #: Pairs that a task looks at together.
@@ -507,6 +509,9 @@ def _symbols(whole: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, symbols: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose lines' words have the edit similarity."""
+    nodes = cut(pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct(), "nodes")
+    if nodes.count() <= BROADCAST_NODES:
+        symbols = symbols.join(F.broadcast(nodes), "cid", "left_semi")  # so that only words of these lines are shuffled
     left, right = (symbols.select(F.col("cid").alias(c), F.col("symbols").alias(f"{c}_symbols")) for c in "ab")
     most = F.greatest(F.length("a_symbols"), F.length("b_symbols"))
     allowed = F.floor(most * (1 - similarity) + 1e-9).cast("int")
