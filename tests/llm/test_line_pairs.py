@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
+
 from granary.llm import line_dedup
 
 
@@ -78,7 +80,9 @@ def test_all_pairs_of_the_whole_radius(spark):
     assert kept(spark, texts) == kept_by_all_pairs(texts)
 
 
-def test_all_pairs_of_a_pair_of_words_in_every_line(spark, monkeypatch):
+@pytest.mark.parametrize("salt", [200_000, 5])
+def test_all_pairs_of_a_pair_of_words_in_every_line(spark, monkeypatch, salt):
+    monkeypatch.setattr(line_dedup, "SALT_CLASSES", salt)
     monkeypatch.setattr(line_dedup, "SMALL", 4)
     monkeypatch.setattr(line_dedup, "FIRST_LAGS", 1)
     monkeypatch.setattr(line_dedup, "CHUNK", 16)
