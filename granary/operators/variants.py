@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.functions.trims import trimmed_alleles
+
 
 def allele_counts(df: DataFrame, locus: list[str], allele: str, forward: Column) -> DataFrame:
     """Per locus and allele: depth, forward and reverse counts, and the share of the locus."""
@@ -35,3 +37,13 @@ def priority_union(sources: list[DataFrame], key: list[str], tie: list[str]) ->
         rows = rows.unionByName(s.withColumn("source", F.lit(k).cast("long")))
     w = Window.partitionBy(*key).orderBy("source", *tie)
     return rows.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+
+
+def normalised(df: DataFrame, pos: str = "pos", ref: str = "ref", alt: str = "alt") -> DataFrame:
+    """Alleles without the bases that both share, so that one change is written in one way."""
+    return df.withColumn("__a", trimmed_alleles(F.col(pos), F.col(ref), F.col(alt))).withColumns({c: F.col(f"__a.{n}") for c, n in ((pos, "pos"), (ref, "ref"), (alt, "alt"))}).drop("__a")
+
+
+def annotated(calls: DataFrame, hints: DataFrame, by: list[str]) -> DataFrame:
+    """Calls with the columns of the hints of the same change, however either is written; ``by`` and pos, ref and alt are the key."""
+    return normalised(calls).join(normalised(hints), [*by, "pos", "ref", "alt"], "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.operators import reports
+from granary.operators import reports, variants
 from granary.plans.catalog import query
 from granary.sources.tables import READS_SQL, load, reads
 
@@ -82,3 +82,30 @@ def log_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = load(spark, sf_dir, "orders").select("o_orderkey", said.alias("said"))
     time = reports.parsed_time(F.col("said"), ["yyyy-MM-dd HH:mm:ss", "dd.MM.yyyy HH.mm.ss"], F.lit("2000-01-01 00:00:00").cast("timestamp"))
     return x.select("o_orderkey", time.cast("timestamp_ntz").alias("time"))
+
+
+def _allele_sql(kind: str, size: str) -> str:
+    return f"CASE {kind} % 3 WHEN 0 THEN ['A', CASE WHEN {size} % 2 = 0 THEN 'C' ELSE 'G' END] WHEN 1 THEN ['A', 'A' || repeat('T', CAST(1 + {size} % 2 AS INTEGER))] ELSE ['A' || repeat('T', CAST(1 + {size} % 2 AS INTEGER)), 'A'] END"
+
+
+def _allele(kind: F.Column, size: F.Column) -> tuple[F.Column, F.Column]:
+    more = F.concat(F.lit("A"), F.repeat(F.lit("T"), (1 + size % 2).cast("int")))
+    return F.when(kind % 3 == 2, more).otherwise("A"), F.when(kind % 3 == 0, F.when(size % 2 == 0, "C").otherwise("G")).when(kind % 3 == 1, more).otherwise("A")
+
+
+@query(
+    f"""WITH c AS (SELECT l_partkey * 10 AS pos, {_allele_sql("l_linenumber", "l_suppkey")} AS a FROM lineitem), h AS (SELECT p_partkey * 10 AS pos, {_allele_sql("p_size", "p_partkey")} AS a, p_brand AS hint FROM part)
+SELECT c.pos, c.a[1] AS ref, c.a[2] AS alt, hint, count(*) AS n FROM c LEFT JOIN h ON c.pos = h.pos AND c.a = h.a GROUP BY ALL"""
+)
+def hints_by_normal_allele(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the calls are written with bases around the change; the hints are found all the same."""
+    ref, alt = _allele(F.col("l_linenumber"), F.col("l_suppkey"))
+    wide = F.col("l_quantity").cast("long") % 2 == 0
+
+    def written(allele: F.Column) -> F.Column:
+        return F.when(wide, F.concat(F.lit("GC"), allele, F.lit("GA"))).otherwise(allele)
+
+    calls = load(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 10 - F.when(wide, 2).otherwise(0)).alias("pos"), written(ref).alias("ref"), written(alt).alias("alt"))
+    ref, alt = _allele(F.col("p_size"), F.col("p_partkey"))
+    hints = load(spark, sf_dir, "part").select((F.col("p_partkey") * 10).alias("pos"), ref.alias("ref"), alt.alias("alt"), F.col("p_brand").alias("hint"))
+    return variants.annotated(calls, hints, []).groupBy("pos", "ref", "alt", "hint").agg(F.count("*").alias("n"))
