@@ -61,6 +61,8 @@ BITS = 24
 SALT_PLACES = 1 << 20
 #: Rows of windows, places or terms (to 200 bytes) that are broadcast at most; beyond it the same join shuffles.
 BROADCAST_ROWS = 50_000
+#: Row numbers (8 bytes each) that are broadcast at most.
+BROADCAST_UIDS = 500_000
 _OFFSET = 1 << 20
 
 
@@ -240,7 +242,10 @@ def verified(whole: DataFrame, candidates: DataFrame, planned: DataFrame, slop:
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([part.column("uid"), pa.array(np.diff(first), pa.int64()), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), longs, longs)))], ["uid", "n_words", "n_hit", "exact", "near"])
 
-    return whole.select("uid", "text").join(by_row, "uid").select("uid", "text", "places").mapInArrow(run, FOUND)
+    texts, some = whole.select("uid", "text"), candidates.select("uid").distinct()
+    if candidates.count() > BROADCAST_ROWS and (some := cut(some, "candidates")).count() <= BROADCAST_UIDS:
+        texts = texts.join(F.broadcast(some), "uid", "left_semi")  # so that no other texts are shuffled
+    return texts.join(by_row, "uid").select("uid", "text", "places").mapInArrow(run, FOUND)
 
 
 def _searched(whole: DataFrame, benchmark: DataFrame, text: str, item: str, width: int, slop: int) -> tuple[DataFrame, DataFrame, DataFrame]:

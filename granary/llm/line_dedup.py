@@ -65,7 +65,7 @@ SALT_CLASSES = 200_000
 #: Lines of more words take a number of signatures that is enough wherever they stand.
 COUNTED_WORDS = 1024
 #: Signatures in a bucket, about, and in the arrays that a task holds before it passes them on.
-BUCKET_ROWS, HELD_ROWS = 1 << 24, 1 << 21
+BUCKET_ROWS, HELD_ROWS = 1 << 24, 1 << 19
 #: Rows of up to 100 bytes that are broadcast at most; beyond it the same join shuffles.
 BROADCAST_ROWS = 200_000
 #: Classes (8 bytes each) that are broadcast at most.
