@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import chat_format, decontamination, language_id, license_scan, line_dedup, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup
+from granary.llm import chat_format, decontamination, language_id, license_scan, line_dedup, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup, token_alignment
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.findings(_table(spark, sf_dir, "documents")))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_near_dedup,
         op9_decontamination,
         op10_secret_scan,
+        op13_token_alignment,
     )
 }
 ORACLE_SQL: dict[str, str] = {

@@ -41,11 +41,13 @@ def _classes() -> np.ndarray:
 class Encoder:
     """Ids of texts, with a cache of words; one for each task."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain_special: bool = False) -> None:
+        """With ``plain_special`` the strings of special tokens in a text are plain text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain_special
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.classes = _classes()
         self.cache: dict[str, bytes] = {}
