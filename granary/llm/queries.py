@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import chat_format, decontamination, language_id, license_scan, line_dedup, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup, token_alignment
+from granary.llm import chat_format, decontamination, language_id, license_scan, line_dedup, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup, spelling, token_alignment
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.findings(_table(spark, sf_dir, "documents")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(_table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.report(_table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_near_dedup,
         op9_decontamination,
         op10_secret_scan,
+        op12_spelling_variants,
         op13_token_alignment,
     )
 }
@@ -79,5 +84,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": license_scan.sql("documents"),
     "op9_decontamination": decontamination.sql("documents", "benchmark"),
     "op10_secret_scan": secret_scan.sql("documents"),
+    "op12_spelling_variants": spelling.sql("documents"),
     "op3_chat_formatting": chat_format.sql("conversations", "VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')"),
 }
