@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from granary.llm import textbatch as tb
 from granary.llm.packing import tokenizer_path
 from granary.llm.storage import col, cut
-from granary.llm.tokens import Encoder
+from granary.llm.tokens import Encoder, PieceEncoder
 
 #: Id pairs whose counts are broadcast at a time, about: 16 bytes each.
 BLOCK_PAIRS = 4_000_000
@@ -83,23 +83,18 @@ class Pair:
     """Both tokenizers; one for each task."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        import sentencepiece
-
-        self.a = Encoder(path_a, plain_special=True)
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        words = self.a.tokenizer
+        self.a, self.b = Encoder(path_a, plain_special=True), PieceEncoder(path_b)
+        words, pieces = self.a.tokenizer, self.b.model
         self.bytes_a = Bytes([byte_level(words.id_to_token(i)) for i in range(words.get_vocab_size())])
-        self.bytes_b = Bytes([piece_bytes(self.b.id_to_piece(i), self.b.is_byte(i)) for i in range(self.b.get_piece_size())])
+        self.bytes_b = Bytes([piece_bytes(pieces.id_to_piece(i), pieces.is_byte(i)) for i in range(pieces.get_piece_size())])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
         """Which texts have tokens, and of these for A and B: ids, and where each text's begin."""
         good = np.fromiter((bool(x) for x in texts), bool, len(texts))
         some = [x for x in texts if x]
         ids_a, first_a = self.a.encode([f" {x}" for x in some])
-        lists = self.b.encode(some, num_threads=1) if some else []
-        counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids_b = np.fromiter((i for x in lists for i in x), np.int64, int(counts.sum()))
-        sides = [(self.bytes_a, ids_a.astype(np.int64), np.diff(first_a)), (self.bytes_b, ids_b, counts)]
+        ids_b, first_b = self.b.encode(some)
+        sides = [(self.bytes_a, ids_a.astype(np.int64), np.diff(first_a)), (self.bytes_b, ids_b, np.diff(first_b))]
         data = np.frombuffer("".join(f" {x}" for x in some).encode(), np.uint8)
         size = np.fromiter((len(x.encode()) + 1 for x in some), np.int64, len(some))
         same = np.ones(len(some), bool)

@@ -148,3 +148,61 @@ class Encoder:
                 cache.update((words[i], found[i]) for i in new)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return sizes, np.frombuffer(b"".join(found), np.uint32)
+
+
+class PieceEncoder:
+    """Ids of texts by a piece model that marks blanks, each with a blank before it; one for each task.
+
+    A piece holds blanks at its start alone (looked up when the model is loaded), so no
+    piece reaches over the start of a run of blanks: what stands between two such places
+    is encoded by itself, once in a task.
+    """
+
+    BLANK = "▁"
+    #: Longer stretches, in bytes, are not kept.
+    LONGEST = 64
+
+    def __init__(self, path: str) -> None:
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.apart = not any(self.BLANK in p.lstrip(self.BLANK) for p in pieces)
+        # the model puts no blank before an empty text, so a blank by itself is looked up
+        self.cache: dict[str, bytes] = {" ": np.array([self.model.piece_to_id(self.BLANK)], np.uint32).tobytes()}
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and where each text's begin (one more number than texts); no text is empty."""
+        if not texts:
+            return np.zeros(0, np.int64), np.zeros(1, np.int64)
+        if not self.apart:
+            found = self.model.encode(texts, num_threads=1)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter((i for x in found for i in x), np.int64, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
+        whole = "".join(f" {x}" for x in texts).encode()
+        data = np.frombuffer(whole, np.uint8)
+        begin = np.cumsum([0, *(len(x.encode()) + 1 for x in texts)])
+        start = data == 0x20
+        start[1:] &= data[:-1] != 0x20
+        start[begin[:-1]] = True
+        marks = np.flatnonzero(start)
+        offsets = np.concatenate([marks, [len(data)]]).astype(np.int64)
+        parts = pa.LargeStringArray.from_buffers(len(marks), pa.py_buffer(offsets), pa.py_buffer(whole)).dictionary_encode()
+        which = parts.indices.to_numpy()
+        sizes_of, flat = self._ids(parts.dictionary.to_pylist())
+        first = np.concatenate([[0], np.cumsum(sizes_of)])
+        count = sizes_of[which]
+        total = np.concatenate([[0], np.cumsum(count)])
+        ids = flat[np.repeat(first[which] - total[:-1], count) + np.arange(total[-1])]
+        return ids.astype(np.int64), total[np.searchsorted(marks, begin)]
+
+    def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        cache = self.cache
+        found = [cache.get(p) for p in parts]
+        new = [i for i, x in enumerate(found) if x is None]
+        for i, x in zip(new, self.model.encode([parts[i][1:] for i in new], num_threads=1), strict=True):
+            found[i] = np.array(x, np.uint32).tobytes()
+            if len(cache) < CACHE_WORDS and len(parts[i]) <= self.LONGEST:
+                cache[parts[i]] = found[i]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return sizes, np.frombuffer(b"".join(found), np.uint32)
