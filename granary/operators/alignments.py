@@ -5,11 +5,17 @@ Columns: ``contig``, ``start`` (0-based), ``flag``, ``cigar``, ``md``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from granary.functions import sequence
+from granary.functions import cigars
 from granary.operators import coverage
+from granary.operators.arrow import lists, with_arrays
 
 UNMAPPED, REVERSE, FAILED, DUPLICATE = 4, 16, 512, 1024
 #: Errors a base at most, as one in so many bases, for lengths at quality 7, 10, 17 and 20.
@@ -27,14 +33,98 @@ def core(df: DataFrame) -> DataFrame:
 
 def depth(df: DataFrame) -> DataFrame:
     """Stretches of equal depth by strand: M, N, = and X cover, a deletion breaks (see ``coverage.steps``)."""
-    blocks = df.select("contig", (~has(F.col("flag"), REVERSE)).alias("forward"), F.explode(sequence.covered_blocks(F.col("start"), sequence.cigar_ops(F.col("cigar")))).alias("b"))
-    return coverage.steps(blocks.select("contig", "b.lo", "b.hi", "forward"))
+    place = T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])
+
+    def work(c: dict[str, pa.Array]) -> list[pa.Array]:
+        walk = cigars.walked(c["cigar"])
+        covers = np.isin(walk.kind, list(b"MN=X"))
+        owner, ref, _, size = walk.take(covers)
+        low = c["start"].to_numpy(zero_copy_only=False)[owner] + ref
+        return [lists(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=walk.n))]), ("lo", pa.array(low.astype(np.int64))), ("hi", pa.array((low + size).astype(np.int64))))]
+
+    found = with_arrays(df.select("contig", "start", "flag", "cigar").filter("start is not null"), [T.StructField("blocks", T.ArrayType(place))], work)
+    return coverage.steps(found.select("contig", (~has(F.col("flag"), REVERSE)).alias("forward"), F.explode("blocks").alias("b")).select("contig", "b.lo", "b.hi", "forward"))
 
 
 def with_errors(df: DataFrame) -> DataFrame:
-    """Adds ``bases`` (aligned ones, with what is put in) and ``errors``: array of (pos, kind, n) in the order of pos."""
-    ops = sequence.cigar_ops(F.col("cigar"))
-    return df.withColumns({"bases": sequence.cigar_length(ops, "MI=X"), "errors": sequence.alignment_errors(ops, F.col("md"))})
+    """Adds ``bases`` (aligned ones, with what is put in) and ``errors``: array of (pos, kind, n) in the order of pos.
+
+    ``ins`` and ``del`` come from the CIGAR, ``sub`` from the MD string; ``pos`` counts the
+    aligned bases of the read before the error, clipped ones not among them.
+    """
+    error = T.StructType([T.StructField("pos", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("n", T.LongType())])
+    names = pa.array(cigars.ERROR_KINDS)
+
+    def work(c: dict[str, pa.Array]) -> list[pa.Array]:
+        walk = cigars.walked(c["cigar"])
+        found = cigars.errors(walk, c["md"])
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(found.owner, minlength=walk.n))])
+        bases = walk.total(np.isin(np.arange(256), list(b"MI=X")))
+        return [pa.array(bases, pa.int32()), lists(offsets, ("pos", pa.array(found.pos)), ("kind", names.take(pa.array(found.kind))), ("n", pa.array(found.n)))]
+
+    return with_arrays(df, [T.StructField("bases", T.IntegerType()), T.StructField("errors", T.ArrayType(error))], work)
+
+
+def pileup(df: DataFrame) -> DataFrame:
+    """contig, pos, coverage and counts of bases by strand, of deletions, of discounted bases and of insertions behind the place.
+
+    A read with an insertion on either side of its base there is discounted: it counts in
+    ``coverage`` and ``discounted`` alone.  Counts are summed in each batch and again map-side,
+    so a place under any number of reads is a few rows a task.
+    """
+    names = [*cigars.PILED]
+    schema = T.StructType([df.schema["contig"], T.StructField("pos", T.LongType()), *(T.StructField(n, T.LongType()) for n in names)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 1024):
+                part = batch.slice(low, 1024)
+                walk = cigars.walked(part.column("cigar"))
+                reverse = (part.column("flag").to_numpy(zero_copy_only=False) & REVERSE) != 0
+                whose, where, column = cigars.piled(walk, part.column("start").to_numpy(zero_copy_only=False).astype(np.int64), reverse, part.column("seq"))
+                contigs = part.column("contig").dictionary_encode()
+                which = contigs.indices.to_numpy(zero_copy_only=False)[whose]
+                places, at = np.unique(np.stack([which.astype(np.int64), where]), axis=1, return_inverse=True)
+                counts = np.bincount(at.ravel() * len(names) + column, minlength=places.shape[1] * len(names)).reshape(-1, len(names))
+                yield pa.RecordBatch.from_arrays([contigs.dictionary.take(pa.array(places[0])), pa.array(places[1]), *(pa.array(counts[:, k]) for k in range(len(names)))], schema.names)
+
+    known = df.filter("contig is not null and start is not null and flag is not null").select("contig", "start", "flag", "cigar", "seq")
+    summed = known.mapInArrow(run, schema).groupBy("contig", "pos").agg(*(F.sum(n).alias(n) for n in names))
+    covered = sum((F.col(n) for n in names[1:-1]), F.col(names[0]))
+    return summed.select("contig", "pos", covered.alias("coverage"), *names)
+
+
+def with_md(df: DataFrame, ref: str = "ref") -> DataFrame:
+    """Adds ``md`` from ``cigar``, ``seq`` and the reference bases from the alignment's start on (see ``reference.with_window``)."""
+    return with_arrays(df, [T.StructField("md", T.StringType())], lambda c: [cigars.md_strings(cigars.walked(c["cigar"]), c["seq"], c[ref])])
+
+
+def rebuilt(df: DataFrame) -> DataFrame:
+    """Adds ``ref``, the reference under each alignment as its bases, CIGAR and MD string tell it, skips left out."""
+
+    def work(c: dict[str, pa.Array]) -> list[pa.Array]:
+        found = cigars.reference(cigars.walked(c["cigar"]), c["seq"], c["md"])
+        return [cigars.strings(found.base, np.diff(found.first))]
+
+    return with_arrays(df, [T.StructField("ref", T.StringType())], work)
+
+
+def homopolymer_errors(df: DataFrame, by: list[str], longest: int = 10) -> DataFrame:
+    """Runs of the reference by ``by``, base, length and length in the read, both ``longest`` at most: ``base``, ``ref_len``, ``read_len``, ``runs``."""
+    run = T.StructType([T.StructField("base", T.StringType()), T.StructField("ref_len", T.LongType()), T.StructField("read_len", T.LongType()), T.StructField("runs", T.LongType())])
+
+    def work(c: dict[str, pa.Array]) -> list[pa.Array]:
+        walk = cigars.walked(c["cigar"])
+        owner, base, length, read = cigars.homopolymers(walk, c["seq"], c["md"])
+        cell = ((owner * 256 + base) * (longest + 1) + np.minimum(length, longest)) * (longest + 1) + np.clip(read, 0, longest)
+        cell, n = np.unique(cell, return_counts=True)
+        who, cell = np.divmod(cell, 256 * (longest + 1) ** 2)
+        base, cell = np.divmod(cell, (longest + 1) ** 2)
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=walk.n))])
+        return [lists(offsets, ("base", pa.array([chr(b) for b in base.tolist()], pa.string())), ("ref_len", pa.array(cell // (longest + 1))), ("read_len", pa.array(cell % (longest + 1))), ("runs", pa.array(n)))]
+
+    found = with_arrays(df.select(*dict.fromkeys([*by, "cigar", "seq", "md"])), [T.StructField("found", T.ArrayType(run))], work)
+    return found.select(*by, F.explode("found").alias("f")).groupBy(*by, "f.base", "f.ref_len", "f.read_len").agg(F.sum("f.runs").alias("runs"))
 
 
 def length_at(errors: Column, bases: Column, one_in: int) -> Column:

@@ -54,6 +54,63 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CONTIGS = 5
+
+
+def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as the bases of five contigs, in the order of their keys: contig, pos, base; T is frequent, so there are repeats."""
+    base = F.substr(F.lit("ACGT"), F.least(F.col("p_size") % 7, F.lit(3)) + 1, F.lit(1))
+    return load(spark, sf_dir, "part").select(F.concat(F.lit("C"), (F.col("p_partkey") % CONTIGS).cast("string")).alias("contig"), F.floor(F.col("p_partkey") / CONTIGS).cast("long").alias("pos"), base.alias("base"))
+
+
+#: Bases under one read of ``sequenced`` at most.
+LONGEST = 60
+
+
+def sequenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as alignments with bases: clip, match, insertion, match, deletion, match on the contigs of ``base_table``.
+
+    One base in eleven, by order and place, is read otherwise; reads over a contig's end are left out.
+    Columns: name, contig, start, flag, cigar, seq.
+    """
+    from granary.operators import reference
+
+    part, put, gone, clip = (F.floor(F.col("l_quantity") / 3) + 1).cast("long"), F.col("l_suppkey") % 3, F.col("l_linenumber") % 4, F.col("l_linenumber") % 3
+    bases = base_table(spark, sf_dir)
+    ends = bases.groupBy("contig").agg((F.max("pos") + 1).alias("top"))  # five rows
+    x = load(spark, sf_dir, "lineitem").select(
+        F.concat_ws(":", F.lit("L"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("name"),
+        F.concat(F.lit("C"), (F.col("l_partkey") % CONTIGS).cast("string")).alias("contig"),
+        F.floor(F.col("l_partkey") / CONTIGS).cast("long").alias("start"),
+        F.when(F.col("l_linestatus") == "F", 0).otherwise(16).alias("flag"),
+        *(c.cast("int").alias(n) for n, c in (("p", part), ("i", put), ("d", gone), ("s", clip))),
+        F.col("l_orderkey").alias("k"),
+        F.substr(F.lit("ACGT"), (F.col("l_linenumber") % 4 + 1).cast("int"), F.lit(1)).alias("b"),
+    )
+    x = x.join(F.broadcast(ends), "contig").filter("start + 3 * p + d <= top")
+    x = reference.with_window(x, reference.blocks(bases), F.col("start"), F.col("start") + 3 * F.col("p") + F.col("d"), LONGEST)
+
+    def matched(offset: F.Column) -> F.Column:
+        piece = F.split(F.substr("ref", (offset + 1).cast("int"), F.col("p")), "")
+        return F.array_join(F.transform(piece, lambda c, n: F.when((F.col("k") + F.col("start") + offset + n) % 11 == 0, F.translate(c, "ACGT", "CATG")).otherwise(c)), "")
+
+    def op(n: F.Column, kind: str) -> F.Column:
+        return F.when(n > 0, F.concat(n.cast("string"), F.lit(kind))).otherwise("")
+
+    p, i, d, s = (F.col(c) for c in "pids")
+    seq = F.concat(F.repeat(F.lit("A"), s), matched(F.lit(0)), F.repeat(F.col("b"), i), matched(p), matched(2 * p + d))
+    cigar = F.concat(op(s, "S"), op(p, "M"), op(i, "I"), op(p, "M"), op(d, "D"), op(p, "M"))
+    return x.select("name", "contig", "start", "flag", cigar.alias("cigar"), seq.alias("seq"), "ref")
+
+
+#: The same bases and reads for the SQL counterparts, one row a base: kind M, I or D, base as read, and the reference's.
+SEQUENCED_SQL = f"""bases AS MATERIALIZED (SELECT 'C' || (p_partkey % {CONTIGS}) AS contig, p_partkey // {CONTIGS} AS pos, substr('ACGT', CAST(least(p_size % 7, 3) + 1 AS BIGINT), 1) AS base FROM part),
+seqs AS MATERIALIZED (SELECT row_number() OVER () AS id, x.* FROM (SELECT 'C' || (l_partkey % {CONTIGS}) AS contig, l_partkey // {CONTIGS} AS start, l_linestatus = 'F' AS forward, CAST(l_quantity AS BIGINT) // 3 + 1 AS p, l_suppkey % 3 AS i, CAST(l_linenumber % 4 AS BIGINT) AS d,
+  l_orderkey AS k, substr('ACGT', CAST(l_linenumber % 4 + 1 AS BIGINT), 1) AS b FROM lineitem) x JOIN (SELECT contig, max(pos) + 1 AS top FROM bases GROUP BY contig) t ON x.contig = t.contig AND start + 3 * p + d <= top),
+on_ref AS MATERIALIZED (SELECT id, s.contig, start, forward, p, i, d, s.pos, off, base AS ref, CASE WHEN off >= 2 * p AND off < 2 * p + d THEN 'D' WHEN (k + s.pos) % 11 = 0 THEN translate(base, 'ACGT', 'CATG') ELSE base END AS base, b
+  FROM (SELECT *, start + off AS pos FROM (SELECT *, unnest(range(3 * p + d)) AS off FROM seqs)) s JOIN bases USING (contig, pos))"""
+
+
 def tiles(found: DataFrame, step: int, width: int) -> DataFrame:
     """Regions ``[k * step, k * step + width)`` over the span of the reads of each contig."""
     ends = found.groupBy("contig").agg(F.floor(F.max("hi") / step).cast("long").alias("top"))
