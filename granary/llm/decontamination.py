@@ -26,7 +26,8 @@ items without words are left out; an item of fewer words than a window is one
 window; a window with a term that no document has can only be near, one of fewer
 than ``NEAR_WORDS`` words only exact; ties of rarity go to the earlier place in
 the window; repeated documents are judged row by row; repeated items count by
-their id, null ids not at all; empty tables give an empty result or no hits;
+their id, null ids not at all; a text of any length is held whole by one task;
+empty tables give an empty result or no hits;
 columns of any name pass through ``clean_documents``.
 """
 

@@ -8,7 +8,7 @@ probabilities and adds up its rows for each text with numpy.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0;
 rows without text or language are not learned from; repeated rows count as
-often as they occur; ties go to the language first in the alphabet; with
+often as they occur; a text of any length is held whole by one task; ties go to the language first in the alphabet; with
 nothing to learn from every text is ``und``; further columns do not matter.
 """
 

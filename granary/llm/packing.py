@@ -18,7 +18,8 @@ length that a large share of all pieces have is dealt over many tasks) and
 looks their places up.
 
 Defined cases: a null text is empty and has the end token alone; repeated rows
-are packed as often as they occur; ties of length are broken by row number; an
+are packed as often as they occur; a text of any length is encoded whole by one task;
+ties of length are broken by row number; an
 empty table gives an empty result; further columns do not matter.
 """
 

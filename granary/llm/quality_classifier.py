@@ -10,7 +10,8 @@ Defined cases: null and empty texts have the statistics of an empty text and
 get a score; rows without a label are not learned from; a document labelled
 more than once counts once, with its least label; if a class has no rows, every
 score is the other class's share (0.5 if there are none); repeated documents
-are scored each; an empty table gives an empty result; further columns do not
+are scored each; a text of any length is held whole by one task; an empty table gives an
+empty result; further columns do not
 matter.
 """
 

@@ -10,7 +10,9 @@ threshold and the base rules do not fail it.
 
 Defined cases: a null text has no words, lines or symbols and fails the base
 rules; repeated rows and ties are scored row by row, with equal results; an
-empty table gives an empty result with the prior as the model; further columns
+empty table gives an empty result with the prior as the model; a text of any length
+is a row held whole by one task, in memory of some dozens of bytes for each byte
+of it; further columns
 pass through and may have any name (the operator's own columns replace columns
 of the same name in ``scored``, and are dropped again in ``kept_documents``).
 """
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.llm import textbatch as tb
-from granary.llm.storage import cut
+from granary.llm.storage import by_number, cut
 
 WINDOW = 8
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -212,13 +214,14 @@ def scored(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold:
 def kept_documents(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that pass, with its columns as they were."""
     allowed = _quality(features(docs, text, [])) >= threshold
-    names, schema = docs.columns, docs.schema
+    plain, own = by_number(docs), f"c{docs.columns.index(text)}"
+    names = plain.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tb.slices(batches, text):
-            c = counts(tb.texts(part.column(text)))
+        for part in tb.slices(batches, own):
+            c = counts(tb.texts(part.column(own)))
             fails = (c["n_words"] < 20) | (c["n_repeat_words"] * 100 > c["n_words"] * 30)
             yield pa.RecordBatch.from_arrays(part.columns, names).filter(pa.array(allowed[pattern(votes(c))] & ~fails))
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 

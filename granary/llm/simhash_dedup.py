@@ -13,8 +13,8 @@ Defined cases: null, empty and all-white texts have no words and the
 fingerprint zero, and are linked like any other; a text of fewer words than a
 shingle is one shingle; repeated rows have equal fingerprints and so one
 component, whose id is its smallest non-null key (null if it has none); an
-empty table gives an empty result; further columns pass through, whatever their
-names.
+empty table gives an empty result; a text of any length is a row held whole by one
+task; further columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from granary.llm import textbatch as tb
 from granary.llm.components import components
-from granary.llm.storage import col, cut, free_name
+from granary.llm.storage import by_number, col, cut, free_name
 
 SHINGLE = 3
 BUDGET = 3
@@ -195,14 +195,16 @@ def links(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
 
 
 def _fingerprinted(docs: DataFrame, text: str, keep: list[str], name: str = "fp") -> DataFrame:
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(name, T.LongType())])
+    needed = [*dict.fromkeys([*keep, text])]
+    plain, own, n = by_number(docs.select(*map(col, needed))), f"c{needed.index(text)}", len(keep)
+    schema = T.StructType([*plain.schema[:n], T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tb.slices(batches, text):
-            fp = fingerprints(tb.texts(part.column(text)))
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(fp.view(np.int64))], [*keep, name])
+        for part in tb.slices(batches, own):
+            fp = fingerprints(tb.texts(part.column(own)))
+            yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(fp.view(np.int64))], schema.names)
 
-    return docs.select(*map(col, dict.fromkeys([*keep, text]))).mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema).toDF(*keep, name)
 
 
 def _classes(rows: DataFrame, budget: int) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,11 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def by_number(df: DataFrame) -> DataFrame:
+    """The same columns named c0, c1 and so on: a function over Arrow batches is given columns by bare name, which not every name stands."""
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns))))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, or that with as many underscores behind it as no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}
@@ -59,8 +66,24 @@ def discard(*tables: DataFrame) -> None:
         drop(t.sparkSession, t.granary_path)
 
 
+_journals: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders of the tables that are written meanwhile."""
+    paths: list[str] = []
+    _journals.append(paths)
+    try:
+        yield paths
+    finally:
+        _journals.remove(paths)
+
+
 def written(df: DataFrame, name: str) -> str:
     path = f"{shared_dir(df.sparkSession)}/granary-{name}-{uuid.uuid4().hex}"
+    for paths in _journals:
+        paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return path
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from granary.llm import chat_format, decontamination, language_id, license_scan, line_dedup, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup
+from granary.llm import chat_format, decontamination, language_id, license_scan, line_dedup, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup, token_alignment, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, key string, n_words long, kept boolean, owner string, length long, symbols string, h1 long, uid long, `__uid` long, `__fp` string, `__found` string, `__gone` int, term string"
 LONG = " ".join(f"word{k % 977} and other{k % 31}." for k in range(40_000))
@@ -51,10 +51,15 @@ def checks(bench, labels):
         "op8": simhash_dedup.near_duplicates,
         "op9": lambda d: decontamination.digest(decontamination.findings(d, bench)),
         "op10": lambda d: secret_scan.digest(secret_scan.findings(d)),
+        "op11": lambda d: toxicity.scored(d, labels.withColumnRenamed("quality", "toxic")),
+        "op13": token_alignment.report,
     }
 
 
-@pytest.mark.parametrize("op", ["op1", "op2", "op4", "op5", "op6", "op8", "op9", "op10"])
+OPS = ["op1", "op2", "op4", "op5", "op6", "op8", "op9", "op10", "op11", "op13"]
+
+
+@pytest.mark.parametrize("op", OPS)
 def test_one_row_a_document_and_equal_rows_for_equal_texts(docs, none, bench, labels, op):
     run = checks(bench, labels)[op]
     got = run(docs).collect()
@@ -98,6 +103,44 @@ def test_stages_return_the_columns_of_documents(spark, docs, none, bench, tmp_pa
     assert run(spark, none, str(tmp_path)).count() == 0
 
 
+ODD_NAMES = {"a.b": 1, "back`tick": 2, "pattern": 3, "c0": 4, "word": 5, "__row": 6, "__key": 7, "label": 8}
+
+
+@pytest.mark.parametrize("stage", [k for k, _ in corpus_pipeline.STAGES])
+def test_stages_take_columns_of_any_name(spark, docs, bench, tmp_path, stage):
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    odd = docs.select("*", *(F.lit(v).alias(k) for k, v in ODD_NAMES.items()))
+    run = dict(corpus_pipeline.STAGES)[stage]
+    got, plain = run(spark, odd, str(tmp_path)), run(spark, docs, str(tmp_path))
+    if stage != "best-fit packing":
+        assert got.columns == odd.columns
+        rows = got.collect()
+        assert all(r.asDict()[k] == v for r in rows for k, v in ODD_NAMES.items())
+        assert sorted(map(str, (r[: len(docs.columns)] for r in rows))) == sorted(map(str, map(tuple, plain.collect())))
+    else:
+        assert got.schema == plain.schema and got.count() == plain.count()
+
+
+@pytest.mark.parametrize("op", OPS)
+def test_operators_take_columns_of_any_name(docs, bench, labels, op):
+    odd = docs.select("*", *(F.lit(v).alias(k) for k, v in ODD_NAMES.items()))
+    run = checks(bench, labels)[op]
+    assert run(odd).count() == run(docs).count()
+
+
+def test_a_stage_deletes_the_tables_of_those_before_it(spark, docs, tmp_path):
+    import os
+
+    _, second = corpus_pipeline.STAGES[1]
+    _, third = corpus_pipeline.STAGES[2]
+    second(spark, docs, "").write.parquet(str(tmp_path / "lines"))
+    folders = [p.removeprefix("file:") for p in corpus_pipeline._tables[2]]
+    assert any(map(os.path.isdir, folders))
+    out = third(spark, spark.read.parquet(str(tmp_path / "lines")), "")
+    assert not any(map(os.path.isdir, folders))
+    assert out.count()
+
+
 def test_near_dedup_keeps_one_row_of_each_group(docs):
     got = simhash_dedup.deduplicated(docs).collect()
     assert sum(r["text"] == GOOD for r in got) == 1 and [r["doc_id"] for r in got if r["text"] == GOOD] == [4]
