@@ -111,29 +111,34 @@ class Letters:
     gone: np.ndarray
 
 
-def letters(column: pa.Array) -> Letters:
+def _md(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of MD strings, whose each is, and how far each moves on the reference (a number at its last digit)."""
     data, offsets = flat(column)
-    n = len(column)
-    digit, letter = _DIGIT[data], _LETTER[data]
-    last = np.flatnonzero(digit & ~np.concatenate([digit[1:], [False]])) if len(data) else np.zeros(0, np.int64)
-    # two numbers can't stand side by side in one string, but they can at the border of two
-    inner = np.searchsorted(offsets, np.arange(len(data)), side="right") - 1
-    border = np.flatnonzero(digit[:-1] & digit[1:] & (inner[:-1] != inner[1:])) if len(data) else last
-    if len(border):
-        cut = np.insert(data, border + 1, 0x5E)
-        moved = np.arange(len(data)) + np.searchsorted(border, np.arange(len(data)), side="left")
-        last = np.union1d(last, border)
-        value = _numbers(cut, _DIGIT[cut], moved[last])
-    else:
-        value = _numbers(data, digit, last)
-    moves = letter.astype(np.int64)
-    moves[last] += value
-    place = before(moves, inner, n) if len(data) else moves
-    other = np.where(letter, -1, np.arange(len(data)))
-    lead = np.maximum.accumulate(other) if len(data) else other
-    at = np.flatnonzero(letter)
-    gone = (lead[at] >= 0) & (data[np.maximum(lead[at], 0)] == 0x5E) & (inner[np.maximum(lead[at], 0)] == inner[at])
-    return Letters(data[at], inner[at], place[at], gone)
+    owner = np.searchsorted(offsets, np.arange(len(data)), side="right") - 1
+    moves = _LETTER[data].astype(np.int64)
+    if len(data):
+        digit = _DIGIT[data]
+        # two numbers can stand side by side at the border of two strings alone: a mark is put between them
+        last = np.flatnonzero(digit & ~np.concatenate([digit[1:] & (owner[1:] == owner[:-1]), [False]]))
+        border = np.flatnonzero(digit[:-1] & digit[1:] & (owner[:-1] != owner[1:]))
+        apart = np.insert(data, border + 1, 0x5E)
+        moves[last] += _numbers(apart, _DIGIT[apart], last + np.searchsorted(border, last, side="left"))
+    return data, owner, moves
+
+
+def md_lengths(column: pa.Array) -> np.ndarray:
+    """Reference bases of each MD string."""
+    _, owner, moves = _md(column)
+    return np.bincount(owner, moves, len(column)).astype(np.int64)
+
+
+def letters(column: pa.Array) -> Letters:
+    data, owner, moves = _md(column)
+    place = before(moves, owner, len(column)) if len(data) else moves
+    lead = np.maximum.accumulate(np.where(_LETTER[data], -1, np.arange(len(data)))) if len(data) else moves
+    at = np.flatnonzero(_LETTER[data])
+    gone = (lead[at] >= 0) & (data[np.maximum(lead[at], 0)] == 0x5E) & (owner[np.maximum(lead[at], 0)] == owner[at])
+    return Letters(data[at], owner[at], place[at], gone)
 
 
 @dataclass

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.functions import cigars
+from granary.functions import cigars, gapped
 from granary.operators import coverage
 from granary.operators.arrow import lists, with_arrays
 
@@ -109,6 +109,75 @@ def rebuilt(df: DataFrame) -> DataFrame:
     return with_arrays(df, [T.StructField("ref", T.StringType())], work)
 
 
+#: Costs of a realignment: a missing or additional base of a homopolymer costs less the longer it is.
+CONTEXT = gapped.Scores(4, -6, 5, 2, "both")
+
+
+def realigned(df: DataFrame, scores: gapped.Scores = CONTEXT, band: int = 10) -> DataFrame:
+    """Alignments with gaps where they cost least in their context: new ``start``, ``cigar`` and ``md``, and ``changed``.
+
+    The reference comes from the read's bases, CIGAR and MD string; all of the read between
+    its clips is aligned to it anew, ``band`` places around the old path.  Reads that can't be
+    (no bases or MD string, skips or pads, an MD string of another length, or errors at both ends
+    of what the band reaches) stay as they are, and so do those whose new path scores no more.
+    """
+
+    def work(c: dict[str, pa.Array]) -> list[pa.Array]:
+        walk = cigars.walked(c["cigar"])
+        known = cigars.reference(walk, c["seq"], c["md"])
+        data, begins = cigars.flat(c["seq"])
+        old, md, start = c["cigar"].to_pylist(), c["md"].to_pylist(), c["start"].to_pylist()
+        first = np.searchsorted(walk.owner, np.arange(walk.n + 1))
+        on_read = walk.total(np.isin(np.arange(256), list(b"MIS=X")))
+        said = cigars.letters(c["md"])
+        length = cigars.md_lengths(c["md"])
+        gone = np.bincount(walk.owner, walk.size * (walk.kind == ord("D")), walk.n).astype(np.int64)
+        deleted = np.bincount(said.owner, said.gone, walk.n).astype(np.int64)
+        rows, queries, references, centres, clips, paths = [], [], [], [], [], []
+        for k in range(walk.n):
+            ops = [(chr(o), int(n)) for o, n in zip(walk.kind[first[k] : first[k + 1]].tolist(), walk.size[first[k] : first[k + 1]].tolist(), strict=True) if o != ord("H")]
+            own = data[begins[k] : begins[k + 1]]
+            ref = known.base[known.first[k] : known.first[k + 1]]
+            if not ops or md[k] is None or start[k] is None or len(own) != on_read[k] or length[k] != len(ref) or gone[k] != deleted[k] or any(o in "NP" for o, _ in ops):
+                continue
+            before, after = (ops[0][1] if ops[0][0] == "S" else 0), (ops[-1][1] if ops[-1][0] == "S" and len(ops) > 1 else 0)
+            inner = [x for x in ops if x[0] != "S"]
+            path, j = [0], 0
+            for o, n in inner:
+                if o == "D":
+                    j += n
+                    path[-1] = j
+                else:
+                    path += [j] * n if o == "I" else range(j + 1, j + n + 1)
+                    j += n if o != "I" else 0
+            rows.append(k)
+            queries.append(own[before : len(own) - after])
+            references.append(ref)
+            centres.append(np.array(path))
+            clips.append((before, after))
+            paths.append(inner)
+        found = gapped.align(queries, references, scores, "read", centres, band)
+        changed, seqs, refs = np.zeros(walk.n, bool), c["seq"].to_pylist(), [None] * walk.n
+        hard = [(x[: len(x) - len(x.lstrip("0123456789")) + 1] if x and x.lstrip("0123456789")[:1] == "H" else "", x[len(x[:-1].rstrip("0123456789")) :] if x and x.endswith("H") else "") for x in old]
+        for k, row in enumerate(rows):
+            if np.isnan(found.score[k]) or not found.ops[k] or found.score[k] <= gapped.path_score(queries[k], references[k], paths[k], scores) + 1e-9:
+                continue
+            lead, tail = hard[row]
+            fresh = lead + gapped.cigar(found.ops[k], *clips[k]) + tail
+            if fresh == old[row] and not found.r_lo[k]:
+                continue
+            old[row], changed[row] = fresh, True
+            start[row] += int(found.r_lo[k])
+            refs[row] = references[k][found.r_lo[k] : found.r_hi[k]].tobytes().decode()
+        at = np.flatnonzero(changed)
+        new_md = cigars.md_strings(cigars.walked(pa.array([old[k] for k in at], pa.string())), pa.array([seqs[k] for k in at], pa.string()), pa.array([refs[k] for k in at], pa.string())).to_pylist()
+        for k, text in zip(at.tolist(), new_md, strict=True):
+            md[k] = text
+        return [pa.array(start, pa.int64()), pa.array(old, pa.string()), pa.array(md, pa.string()), pa.array(changed)]
+
+    return with_arrays(df, [T.StructField("start", T.LongType()), T.StructField("cigar", T.StringType()), T.StructField("md", T.StringType()), T.StructField("changed", T.BooleanType())], work)
+
+
 def homopolymer_errors(df: DataFrame, by: list[str], longest: int = 10) -> DataFrame:
     """Runs of the reference by ``by``, base, length and length in the read, both ``longest`` at most: ``base``, ``ref_len``, ``read_len``, ``runs``."""
     run = T.StructType([T.StructField("base", T.StringType()), T.StructField("ref_len", T.LongType()), T.StructField("read_len", T.LongType()), T.StructField("runs", T.LongType())])

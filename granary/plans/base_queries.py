@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.functions import cigars
+from granary.functions import cigars, gapped
 from granary.operators import alignments as al
 from granary.operators import reference
 from granary.plans.catalog import query
@@ -74,3 +74,18 @@ SELECT contig, base, least(ref_len, 10) AS ref_len, least(ref_len - gone + CASE
 )
 def homopolymer_error_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return al.homopolymer_errors(al.with_md(sequenced(spark, sf_dir)), ["contig"])
+
+
+@query()
+def realigned_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads whose gaps cost less elsewhere in their context, by contig and strand; tests hold each against a plain version."""
+    x = al.realigned(al.with_md(sequenced(spark, sf_dir)))
+    return x.groupBy("contig", "flag").agg(F.count("*").alias("reads"), F.count_if("changed").alias("changed"), F.sum(F.length("cigar")).alias("cigar_chars"), F.sum("start").alias("starts"))
+
+
+@query()
+def read_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every read aligned anew to the reference around it: score, start and CIGAR string of the best path."""
+    x = sequenced(spark, sf_dir)
+    a = gapped.gapped_alignment(gapped.Scores(), "read")("seq", "ref")
+    return x.select("name", "contig", "start", a.alias("a")).select("name", "contig", (F.col("start") + F.col("a.r_start")).alias("start"), F.col("a.score").alias("score"), F.col("a.cigar").alias("cigar"))
