@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
+@dataclass
+class Ends:
+    """A folder of rows far behind all others: once they are read, everything before them is closed."""
+
+    path: str
+    rows: DataFrame
+
+    def add(self) -> None:
+        self.rows.write.mode("append").parquet(self.path)
+
+
 def read(spark: SparkSession, path: str, time: str, files_per_trigger: int = 8) -> DataFrame:
     """A stream of Parquet files; files a trigger takes are limited, so a backlog is read in steps."""
     schema = spark.read.parquet(path).schema
@@ -19,8 +33,19 @@ def read(spark: SparkSession, path: str, time: str, files_per_trigger: int = 8)
     return out.withColumn(time, F.col(time).cast("timestamp"))
 
 
+def read_to_end(spark: SparkSession, path: str, time: str, files_per_trigger: int = 8) -> tuple[DataFrame, Ends]:
+    """The stream of what is there, and the end of it for ``materialised``: a row without values, years behind the last."""
+    stream, known = read(spark, path, time, files_per_trigger), spark.read.parquet(path)
+    at = f"{_shared(spark)}/stream-ends-{uuid.uuid4().hex}"
+    last = known.agg(F.coalesce(F.max(time).cast("timestamp"), F.lit(0).cast("timestamp")).alias("last"))
+    late = (F.col("last") + F.expr("INTERVAL 20 YEARS")).cast(known.schema[time].dataType)
+    rows = last.select(*((late if f.name == time else F.lit(None).cast(f.dataType)).alias(f.name) for f in known.schema))
+    rows.limit(0).write.parquet(at)
+    return stream.unionByName(spark.readStream.schema(known.schema).parquet(at).withColumn(time, F.col(time).cast("timestamp"))), Ends(at, rows)
+
+
 def tumbling(df: DataFrame, time: str, width: str, by: list[str], late: str, *aggregates) -> DataFrame:
-    """Aggregates of windows; rows later than ``late`` are left out of windows that are closed."""
+    """Aggregates of windows; in append mode a window comes out when the watermark passes it, and rows later than ``late`` are left out of it."""
     return df.withWatermark(time, late).groupBy(F.window(time, width).alias("w"), *by).agg(*aggregates)
 
 
@@ -36,28 +61,44 @@ def deduplicated(df: DataFrame, time: str, key: list[str], late: str) -> DataFra
     return df.withWatermark(time, late).dropDuplicatesWithinWatermark(key)
 
 
-def released(df: DataFrame, key: str, position: str, row: str, lag: int) -> DataFrame:
-    """Rows of each key in the order of position, once the key has gone ``lag`` beyond them.
+def in_order(df: DataFrame, key: str, time: str, row: str, late: int, grace: int = 30 * 86_400) -> DataFrame:
+    """Rows of each key in the order of time, as the watermark (``late`` seconds behind the latest row of all) passes them.
 
-    Rows wait in the key's state; one that comes after its position was passed
-    is given out as late and not kept.  Columns: key, position, row, late.
+    Rows wait in the key's state until then; a timer at the earliest of them brings them out
+    although the key has no more rows, so a key's state is what is not yet passed, and none
+    when nothing waits.  A row that comes behind the watermark is given out at once as late;
+    one that comes more than ``grace`` seconds later than that is dropped and counted by Spark.
+    Columns: key, time, row, late.
     """
-    schema = f"{key} {df.schema[key].dataType.simpleString()}, {position} long, {row} long, late boolean"
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, at long, {row} long, late boolean"
+    more = grace * 1_000_000
 
-    def walk(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        top, waiting, ids = state.get if state.exists else (-(1 << 62), [], [])
-        new = pd.concat(list(parts))
-        done = top - lag
-        late = new[new[position] <= done]
-        rows = sorted(zip([*waiting, *new.loc[new[position] > done, position].tolist()], [*ids, *new.loc[new[position] > done, row].tolist()], strict=True))
-        top = max([top, *new[position].tolist()])
-        out = [r for r in rows if r[0] <= top - lag]
-        rest = rows[len(out) :]
-        state.update((top, [int(r[0]) for r in rest], [int(r[1]) for r in rest]))
-        said = [(k[0], *r, False) for r in out] + [(k[0], p, i, True) for p, i in zip(late[position].tolist(), late[row].tolist(), strict=True)]
-        yield pd.DataFrame(said, columns=[key, position, row, "late"])
+    def place(r: tuple[int, int | None]) -> tuple[int, bool, int]:
+        return r[0], r[1] is None, r[1] or 0
 
-    return df.select(key, F.col(position).cast("long").alias(position), F.col(row).cast("long").alias(row)).groupBy(key).applyInPandasWithState(walk, schema, "top long, waiting array<long>, ids array<long>", "append", GroupStateTimeout.NoTimeout)
+    def walk(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        watermark = state.getCurrentWatermarkMs() * 1000
+        passed = watermark + more if watermark > 0 else -(1 << 62)
+        waiting = list(zip(*state.get, strict=True)) if state.exists else []
+        behind, fresh = [], []
+        for part in [] if state.hasTimedOut else parts:
+            for at, i in zip(part["at"].tolist(), part[row].tolist(), strict=True):
+                (behind if at <= passed else fresh).append((int(at), None if pd.isna(i) else int(i)))
+        waiting = list(heapq.merge(waiting, sorted(fresh, key=place), key=place))
+        n = bisect.bisect_right(waiting, passed, key=lambda r: r[0])
+        out, rest = waiting[:n], waiting[n:]
+        if rest:
+            state.update(([r[0] for r in rest], [r[1] for r in rest]))
+            # Spark's own watermark is behind this one by the grace
+            state.setTimeoutTimestamp(max((rest[0][0] - more) // 1000, watermark // 1000 + 1))
+        elif state.exists:
+            state.remove()
+        said = [(k[0], *r, False) for r in out] + [(k[0], *r, True) for r in sorted(behind, key=place)]
+        yield pd.DataFrame(said, columns=[key, "at", row, "late"])
+
+    rows = df.select(key, F.col(time), F.unix_micros(time).alias("at"), F.col(row).cast("long").alias(row)).withWatermark(time, f"{late + grace} seconds")
+    found = rows.groupBy(key).applyInPandasWithState(walk, schema, "times array<long>, ids array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+    return found.select(key, F.timestamp_micros("at").alias(time), row, "late")
 
 
 def to_batches(df: DataFrame, mode: str, act: Callable[[DataFrame, int], None], checkpoint: str):
@@ -65,22 +106,32 @@ def to_batches(df: DataFrame, mode: str, act: Callable[[DataFrame, int], None],
     return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(act).start()
 
 
-def materialised(df: DataFrame, mode: str) -> DataFrame:
-    """Runs a stream over all that is there and returns its table: the last state, or all rows if appended.
-
-    Each batch has a folder of its own, written anew if the batch is run again.
-    """
-    spark = df.sparkSession
+def _shared(spark: SparkSession) -> str:
+    """The folder that all executors share."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
         if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="spark-granary-")
-    at = f"{base}/stream-{uuid.uuid4().hex}"
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-granary-"))
+        base = spark.sparkContext.getCheckpointDir()
+    return base.rstrip("/")
+
+
+def materialised(df: DataFrame, mode: str, ends: Ends | None = None) -> DataFrame:
+    """Runs a stream over all that is there and returns its table: the last state, or all rows if appended.
+
+    With ``ends`` (see ``read_to_end``) what still waits for the watermark comes out too.  Each
+    batch has a folder of its own, written anew if the batch is run again.
+    """
+    spark = df.sparkSession
+    at = f"{_shared(spark)}/stream-{uuid.uuid4().hex}"
 
     def put(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{at}/out" if mode == "complete" else f"{at}/out/__epoch={epoch}")
 
     to_batches(df, mode, put, f"{at}/state").awaitTermination()
+    for _ in range(2 if ends else 0):  # the first end moves the watermark, the next batch goes by it
+        ends.add()
+        to_batches(df, mode, put, f"{at}/state").awaitTermination()
     # a path that says which folders to read, so that names beginning with two underscores are read too
     return spark.read.schema(df.schema).parquet(f"{at}/out" if mode == "complete" else f"{at}/out/__epoch=*")

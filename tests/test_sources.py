@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from granary.sources import formats
-from granary.streaming import events
 
 
 def write(tmp_path, name, text):
@@ -72,15 +71,6 @@ def test_file_selection(spark):
     assert sorted(r[0] for r in formats.selected_files(f, [r"\.bam", r"\.tmp$"], [r"\.tmp$", "bai"], ["keep"]).collect()) == ["a.bam", "keep.tmp"]
 
 
-def test_stream_of_shuffled_rows_is_given_out_in_order(spark, tmp_path):
-    schema = "ts timestamp, k long, pos long, id long"
-    for part, values in enumerate(([5, 3, 9], [7, 20, 1], [40])):
-        spark.createDataFrame([(None, 1, v, v) for v in values], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = events.read(spark, str(tmp_path / "in"), "ts", files_per_trigger=100)
-    got = events.materialised(events.released(stream, "k", "pos", "id", 5), "append")
-    assert sorted(r["pos"] for r in got.filter("not late").collect()) == [1, 3, 5, 7, 9, 20]
-
-
 def test_sorted_store_reads_a_range(spark, tmp_path):
     from granary.sources import stores
 
