@@ -54,3 +54,22 @@ def detection_limit(depth: Column, error: float, score: float) -> Column:
         return F.greatest(x - f / F.ln(x / error), F.lit(error * 1.000001))
 
     return F.least(F.aggregate(F.sequence(F.lit(1), F.lit(40)), zero, step), F.lit(1.0))
+
+
+def fisher_exact(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """Two-sided p-value of a 2x2 table: the chance of tables with its margins that are no likelier, worked out in logarithms.
+
+    The work grows with the least margin.  Null where a count is null or negative.
+    """
+    a, b, c, d = (x.cast("long") for x in (a, b, c, d))
+    row, column, n = a + b, a + c, a + b + c + d
+    low, high = F.greatest(F.lit(0).cast("long"), row + column - n), F.least(row, column)
+    fixed = log_factorial(row) + log_factorial(n - row) + log_factorial(column) + log_factorial(n - column) - log_factorial(n)
+
+    def log_chance(x: Column) -> Column:
+        return fixed - log_factorial(x) - log_factorial(row - x) - log_factorial(column - x) - log_factorial(n - row - column + x)
+
+    good = (a >= 0) & (b >= 0) & (c >= 0) & (d >= 0)
+    logs = F.transform(F.sequence(low, high), log_chance)
+    p = F.aggregate(F.filter(logs, lambda x: x <= log_chance(a) + 1e-7), F.lit(0.0), lambda s, x: s + F.exp(x))
+    return F.when(good, F.least(p, F.lit(1.0)))

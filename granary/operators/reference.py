@@ -102,3 +102,30 @@ def _shifted(rows: DataFrame, reference: DataFrame, reach: int, size: int) -> Da
 def annotated(calls: DataFrame, hints: DataFrame, reference: DataFrame, by: list[str] | None = None, size: int = BLOCK) -> DataFrame:
     """Calls with the columns of the hints of the same change, wherever in a repeat either is written."""
     return left_aligned(calls, reference, size).join(left_aligned(hints, reference, size), [*(by or ["contig"]), "pos", "ref", "alt"], "left")
+
+
+#: Homopolymers of these lengths or more, and how long insertions and deletions in them may be.
+HRUN, INSERTED, DELETED = (7, 8), (0, 0), (0, 0)
+
+
+def homopolymer_context(variants: DataFrame, reference: DataFrame, longest: int = 64, size: int = BLOCK) -> DataFrame:
+    """Adds ``hrun`` and ``change``: of an insertion or deletion of one kind of base, how long the run of that base behind its place is, and by how much it changes.
+
+    ``change`` is negative for a deletion, 0 where the variant is none of this kind; runs are
+    looked at up to ``longest`` bases.  Variants are shifted left first, so a run begins behind its place.
+    """
+    x = left_aligned(variants, reference, size)
+    moved = F.when(F.length("ref") > 1, F.substr("ref", F.lit(2))).otherwise(F.substr("alt", F.lit(2)))
+    kind = F.upper(F.substr(moved, F.lit(1), F.lit(1)))
+    indel = (F.least(F.length("ref"), F.length("alt")) == 1) & (F.length("ref") != F.length("alt")) & (F.length(F.replace(F.upper(moved), kind, F.lit(""))) == 0)
+    seen = with_window(x, reference, F.col("pos") + 1, F.col("pos") + 1 + longest, longest, "__behind", size)
+    run = F.length("__behind") - F.length(F.ltrim(F.upper("__behind"), kind))
+    return seen.withColumns({"change": F.when(indel, F.length("alt") - F.length("ref")).otherwise(0), "hrun": F.when(indel, run).otherwise(0)}).drop("__behind")
+
+
+def passes_homopolymer(hrun: tuple[int, ...] = HRUN, inserted: tuple[int, ...] = INSERTED, deleted: tuple[int, ...] = DELETED) -> Column:
+    """Whether the change is no longer than allowed for every run length that its run reaches (see ``homopolymer_context``)."""
+    good = F.lit(True)
+    for n, put, gone in zip(hrun, inserted, deleted, strict=True):
+        good = good & ~((F.col("hrun") >= n) & ((F.col("change") > put) | (-F.col("change") > gone)))
+    return good

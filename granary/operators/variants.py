@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.functions.probability import fisher_exact
 from granary.functions.trims import trimmed_alleles
 
 
@@ -47,3 +48,15 @@ def normalised(df: DataFrame, pos: str = "pos", ref: str = "ref", alt: str = "al
 def annotated(calls: DataFrame, hints: DataFrame, by: list[str]) -> DataFrame:
     """Calls with the columns of the hints of the same change, however either is written; ``by`` and pos, ref and alt are the key."""
     return normalised(calls).join(normalised(hints), [*by, "pos", "ref", "alt"], "left")
+
+
+def strand_bias(df: DataFrame, fwd: str = "fwd", rev: str = "rev", other_fwd: str = "other_fwd", other_rev: str = "other_rev") -> DataFrame:
+    """Adds ``bias`` (how far the allele's share of forward reads is from that of all other reads) and ``bias_p``, its exact p-value."""
+    share = F.coalesce(F.try_divide(fwd, F.col(fwd) + F.col(rev)), F.lit(0.5))
+    other = F.coalesce(F.try_divide(other_fwd, F.col(other_fwd) + F.col(other_rev)), F.lit(0.5))
+    return df.withColumns({"bias": F.abs(share - other), "bias_p": fisher_exact(F.col(fwd), F.col(rev), F.col(other_fwd), F.col(other_rev))})
+
+
+def unbiased(max_bias: float, max_p: float) -> Column:
+    """A variant is biased if its bias is over the threshold and no chance: p is no more than ``max_p`` (see ``strand_bias``)."""
+    return ~((F.col("bias") > max_bias) & (F.col("bias_p") <= max_p))

@@ -43,27 +43,31 @@ def top_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CALLS_SQL = f"""calls AS (SELECT 'C' || (l_partkey % {CONTIGS}) AS contig, l_partkey // {CONTIGS} AS pos, 1 + l_suppkey % 3 AS n, l_linenumber % 2 = 0 AS del, l_linenumber AS kind FROM lineitem)"""
 
 
-@query(
-    f"""WITH RECURSIVE {SEQUENCED_SQL.split("seqs AS")[0].rstrip().rstrip(",")}, {_CALLS_SQL},
+#: ``aligned``: all calls, each where it can be written leftmost.
+LEFT_ALIGNED_SQL = f"""WITH RECURSIVE {SEQUENCED_SQL.split("seqs AS")[0].rstrip().rstrip(",")}, {_CALLS_SQL},
 seen AS (SELECT c.contig, c.pos, c.del, c.n, string_agg(b.base, '' ORDER BY b.pos) AS s, count(*) AS m FROM (SELECT DISTINCT contig, pos, del, n FROM calls) c JOIN bases b ON b.contig = c.contig AND b.pos > c.pos AND b.pos <= c.pos + c.n GROUP BY ALL),
 moved AS (SELECT contig, pos AS from_pos, del, n, pos, s FROM seen WHERE m = n
   UNION ALL SELECT v.contig, from_pos, del, n, v.pos - 1, b.base || substr(s, 1, CAST(n - 1 AS BIGINT)) FROM moved v JOIN bases b ON b.contig = v.contig AND b.pos = v.pos WHERE v.pos > 0 AND b.base = substr(s, CAST(n AS BIGINT), 1)),
-least_ AS (SELECT contig, from_pos, del, n, min(pos) AS pos, arg_min(s, pos) AS s FROM moved GROUP BY ALL)
-SELECT l.contig, l.pos, CASE WHEN l.del THEN b.base || s ELSE b.base END AS ref, CASE WHEN l.del THEN b.base ELSE b.base || s END AS alt, count(*) AS n
-FROM calls c JOIN least_ l ON c.contig = l.contig AND c.pos = l.from_pos AND c.del = l.del AND c.n = l.n JOIN bases b ON b.contig = l.contig AND b.pos = l.pos GROUP BY ALL"""
-)
-def left_aligned_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deletions and repeated bases put in after every place that line items name, each where it can be written leftmost."""
-    bases = base_table(spark, sf_dir)
-    blocks = reference.blocks(bases)
+least_ AS (SELECT contig, from_pos, del, n, min(pos) AS pos, arg_min(s, pos) AS s FROM moved GROUP BY ALL),
+aligned AS (SELECT l.contig, l.pos, CASE WHEN l.del THEN b.base || s ELSE b.base END AS ref, CASE WHEN l.del THEN b.base ELSE b.base || s END AS alt, count(*) AS n
+  FROM calls c JOIN least_ l ON c.contig = l.contig AND c.pos = l.from_pos AND c.del = l.del AND c.n = l.n JOIN bases b ON b.contig = l.contig AND b.pos = l.pos GROUP BY ALL)"""
+
+
+def shifted_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletions and repeated bases put in after every place that line items name, with how many name each: contig, pos, ref, alt, n."""
     x = load(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("C"), (F.col("l_partkey") % CONTIGS).cast("string")).alias("contig"), F.floor(F.col("l_partkey") / CONTIGS).cast("long").alias("pos"), (1 + F.col("l_suppkey") % 3).cast("int").alias("w"), (F.col("l_linenumber") % 2 == 0).alias("del")
     )
     each = x.groupBy("contig", "pos", "w", "del").agg(F.count("*").alias("n"))  # one change is shifted once
-    seen = reference.with_window(each, blocks, F.col("pos"), F.col("pos") + 1 + F.col("w"), 8).filter(F.length("ref") == F.col("w") + 1)
-    anchor = F.substr("ref", F.lit(1), F.lit(1))
-    calls = seen.withColumn("alt", F.when(F.col("del"), anchor).otherwise(F.col("ref"))).withColumn("ref", F.when(F.col("del"), F.col("ref")).otherwise(anchor))
-    return reference.left_aligned(calls, blocks).groupBy("contig", "pos", "ref", "alt").agg(F.sum("n").alias("n"))
+    seen = reference.with_window(each, reference.blocks(base_table(spark, sf_dir)), F.col("pos"), F.col("pos") + 1 + F.col("w"), 8).filter(F.length("ref") == F.col("w") + 1)
+    anchor, whole = F.substr("ref", F.lit(1), F.lit(1)), F.col("ref")
+    return seen.select("contig", "pos", F.when(F.col("del"), whole).otherwise(anchor).alias("ref"), F.when(F.col("del"), anchor).otherwise(whole).alias("alt"), "n")
+
+
+@query(f"{LEFT_ALIGNED_SQL} SELECT contig, pos, ref, alt, CAST(sum(n) AS BIGINT) AS n FROM aligned GROUP BY ALL")
+def left_aligned_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calls where they can be written leftmost."""
+    return reference.left_aligned(shifted_calls(spark, sf_dir), reference.blocks(base_table(spark, sf_dir))).groupBy("contig", "pos", "ref", "alt").agg(F.sum("n").alias("n"))
 
 
 @query(

@@ -249,11 +249,11 @@ def family_size_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALLELE = "substr('ACGT', CAST(l_linenumber % 4 AS INTEGER) + 1, 1)"
 _REF = "substr('ACGT', CAST(l_suppkey % 4 AS INTEGER) + 1, 1)"
-_ALLELES_SQL = f"""a AS (SELECT l_suppkey AS locus, {_REF} AS ref, {_ALLELE} AS alt, count(*) AS n, count(*) FILTER (l_linestatus = 'F') AS fwd, count(*) FILTER (l_linestatus <> 'F') AS rev FROM lineitem GROUP BY ALL),
+ALLELES_SQL = f"""a AS (SELECT l_suppkey AS locus, {_REF} AS ref, {_ALLELE} AS alt, count(*) AS n, count(*) FILTER (l_linestatus = 'F') AS fwd, count(*) FILTER (l_linestatus <> 'F') AS rev FROM lineitem GROUP BY ALL),
 c AS (SELECT *, CAST(sum(n) OVER p AS BIGINT) AS depth, n / sum(n) OVER p AS share, sum(fwd) OVER p AS fwd_depth, sum(rev) OVER p AS rev_depth FROM a WINDOW p AS (PARTITION BY locus))"""
 
 
-def _alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     x = load(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("locus"), F.expr(_REF).alias("ref"), F.expr(_ALLELE).alias("alt"), (F.col("l_linestatus") == "F").alias("forward"))
@@ -262,14 +262,14 @@ def _alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumns({"fwd_depth": F.sum("fwd").over(w), "rev_depth": F.sum("rev").over(w)})
 
 
-@query(f"WITH {_ALLELES_SQL} SELECT locus, ref, alt, n, fwd, rev, depth, round(share, 6) AS share FROM c")
+@query(f"WITH {ALLELES_SQL} SELECT locus, ref, alt, n, fwd, rev, depth, round(share, 6) AS share FROM c")
 def allele_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _alleles(spark, sf_dir).select("locus", "ref", "alt", "n", "fwd", "rev", "depth", _r("share").alias("share"))
+    return alleles(spark, sf_dir).select("locus", "ref", "alt", "n", "fwd", "rev", "depth", _r("share").alias("share"))
 
 
-@query(f"WITH {_ALLELES_SQL} SELECT ref, alt, count(*) AS loci, CAST(sum(n) AS BIGINT) AS reads FROM c WHERE fwd_depth >= 30 AND rev_depth >= 30 AND share > 0.001 AND share < 0.15 AND ref <> alt GROUP BY ref, alt")
+@query(f"WITH {ALLELES_SQL} SELECT ref, alt, count(*) AS loci, CAST(sum(n) AS BIGINT) AS reads FROM c WHERE fwd_depth >= 30 AND rev_depth >= 30 AND share > 0.001 AND share < 0.15 AND ref <> alt GROUP BY ref, alt")
 def substitution_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return variants.spectrum(_alleles(spark, sf_dir), "ref", "alt")
+    return variants.spectrum(alleles(spark, sf_dir), "ref", "alt")
 
 
 _CLASSES = [("snp", 20, 5, 0.7, 0.1), ("mnp", 40, 8, 0.6, 0.2), ("hotspot", 10, 2, 0.9, 0.02)]
@@ -277,12 +277,12 @@ _CLASS = "CASE WHEN locus % 10 = 0 THEN 'hotspot' WHEN locus % 3 = 0 THEN 'mnp'
 
 
 @query(
-    f"""WITH {_ALLELES_SQL}, t AS (SELECT * FROM (VALUES {", ".join(map(str, _CLASSES))}) AS v(class, min_cov, min_cov_strand, max_bias, min_share)), k AS (SELECT *, {_CLASS} AS class FROM c)
+    f"""WITH {ALLELES_SQL}, t AS (SELECT * FROM (VALUES {", ".join(map(str, _CLASSES))}) AS v(class, min_cov, min_cov_strand, max_bias, min_share)), k AS (SELECT *, {_CLASS} AS class FROM c)
 SELECT class, count(*) AS alleles, count(*) FILTER (depth >= min_cov AND least(fwd, rev) >= min_cov_strand AND greatest(fwd, rev) / n <= max_bias AND share >= min_share) AS passed FROM k LEFT JOIN t USING (class) GROUP BY class"""
 )
 def variant_filter_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = spark.createDataFrame(_CLASSES, "class string, min_cov int, min_cov_strand int, max_bias double, min_share double")
-    x = variants.by_class(_alleles(spark, sf_dir).withColumn("class", F.expr(_CLASS)), t)
+    x = variants.by_class(alleles(spark, sf_dir).withColumn("class", F.expr(_CLASS)), t)
     return x.groupBy("class").agg(F.count("*").alias("alleles"), F.count_if("passes").alias("passed"))
 
 
@@ -299,9 +299,9 @@ def priority_union_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_ALLELES_SQL}, h AS (SELECT DISTINCT p_partkey AS locus, substr('ACGT', CAST(p_size % 4 AS INTEGER) + 1, 1) AS alt, p_brand AS hint FROM part)
+    f"""WITH {ALLELES_SQL}, h AS (SELECT DISTINCT p_partkey AS locus, substr('ACGT', CAST(p_size % 4 AS INTEGER) + 1, 1) AS alt, p_brand AS hint FROM part)
 SELECT c.locus, c.ref, c.alt, c.n, h.hint FROM c LEFT JOIN h ON c.locus = h.locus AND c.alt = h.alt"""
 )
 def hotspot_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     hints = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("locus"), F.expr("substr('ACGT', CAST(p_size % 4 AS INTEGER) + 1, 1)").alias("alt"), F.col("p_brand").alias("hint")).distinct()
-    return _alleles(spark, sf_dir).join(hints, ["locus", "alt"], "left").select("locus", "ref", "alt", "n", "hint")
+    return alleles(spark, sf_dir).join(hints, ["locus", "alt"], "left").select("locus", "ref", "alt", "n", "hint")
