@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.operators import models, reference, sketches, variants
+from granary.operators import matches, models, reference, sketches, variants
 from granary.plans.base_queries import LEFT_ALIGNED_SQL, shifted_calls
 from granary.plans.catalog import query
 from granary.plans.read_queries import ALLELES_SQL, alleles
@@ -80,3 +80,15 @@ def merged_block_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = x.groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("parts"), F.median("l_quantity").alias("median"))
     near = (F.abs(F.col("distinct") - F.col("parts")) <= F.greatest(0.06 * F.col("parts"), F.lit(2))) & (F.abs(F.col("q50") - F.col("median")) <= 3)
     return said.join(exact, "l_returnflag").select("l_returnflag", "n", _r("mean").alias("mean"), _r("var_pop", 4).alias("var_pop"), "least", "most", F.size("bins").cast("long").alias("bins"), sketches.bins_at_least(F.col("bins"), 5).alias("large"), near.alias("near"))
+
+
+@query(
+    """WITH i AS (SELECT item_id, p, substr(text, CAST(p + 1 AS BIGINT), 32) AS s FROM (SELECT item_id, text, unnest(range(length(text) - 31)) AS p FROM benchmark WHERE length(text) >= 32)),
+d AS (SELECT doc_id, q, substr(text, CAST(q + 1 AS BIGINT), 32) AS s FROM (SELECT doc_id, text, unnest(range(length(text) - 31)) AS q FROM documents WHERE length(text) >= 32)),
+m AS (SELECT item_id, doc_id, p, q, p - row_number() OVER (PARTITION BY item_id, doc_id, q - p ORDER BY p) AS run FROM i JOIN d USING (s))
+SELECT item_id, doc_id AS contig, min(p) AS read_start, min(q) AS ref_start, count(*) + 31 AS length FROM m GROUP BY item_id, doc_id, q - p, run"""
+)
+def maximal_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of 32 characters or more of benchmark items in documents, as long as they go."""
+    docs = matches.text_blocks(load(spark, sf_dir, "documents"), "doc_id", "text")
+    return matches.maximal(load(spark, sf_dir, "benchmark"), docs, "item_id", "text", 32, 20, unknown=None)
