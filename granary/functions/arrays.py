@@ -72,16 +72,16 @@ def weighted_edit(swap: int | None = None, substitute: int = 2, insert: int = 1,
         def one(s: str | None, t: str | None) -> int | None:
             if s is None or t is None:
                 return None
-            before2, before = None, [j * insert for j in range(len(t) + 1)]
-            for i, x in enumerate(s, 1):
-                row = [i * delete]
-                for j, y in enumerate(t, 1):
-                    best = min(before[j - 1] + (0 if x == y else substitute), before[j] + delete, row[j - 1] + insert)
-                    if swap is not None and i > 1 and j > 1 and x == t[j - 2] and y == s[i - 2]:
-                        best = min(best, before2[j - 2] + swap)
-                    row.append(best)
-                before2, before = before, row
-            return before[-1]
+            y = np.array([ord(c) for c in t], np.int64)
+            puts = np.arange(len(t) + 1) * insert
+            before2, before, last = None, puts.copy(), -1
+            for i, c in enumerate(map(ord, s), 1):
+                base = before + delete
+                base[1:] = np.minimum(base[1:], before[:-1] + np.where(y == c, 0, substitute))
+                if swap is not None and i > 1:
+                    base[2:] = np.where((y[:-1] == c) & (y[1:] == last), np.minimum(base[2:], before2[:-2] + swap), base[2:])
+                before2, before, last = before, np.minimum.accumulate(base - puts) + puts, c
+            return int(before[-1])
 
         return pd.Series([one(s, t) for s, t in zip(a, b, strict=True)], dtype="Int32")
 

@@ -241,3 +241,35 @@ def merged(parts: list[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.repartitionByRange("contig", "start").sortWithinPartitions("contig", "start")
+
+
+def disorder(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: ``rows`` and ``disorder``, how many rows are less than the one before them, within partitions and at their borders.
+
+    Looks at the rows where they lie; one row a partition is compared in the end.
+    """
+    kinds = [df.schema[k] for k in keys]
+    ends = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("wrong", T.LongType()), *(T.StructField(f"{e}{k}", f.dataType) for e in ("low", "high") for k, f in enumerate(kinds))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        n, wrong, low, high = 0, 0, None, None
+        for b in batches:
+            rows = list(zip(*(c.to_pylist() for c in b.columns), strict=True))
+            if rows:
+                low = rows[0] if low is None else low
+                wrong += sum(x > y for x, y in zip([high or rows[0], *rows], rows, strict=False))
+                n, high = n + len(rows), rows[-1]
+        if n:
+            values = [TaskContext.get().partitionId(), n, wrong, *low, *high]
+            yield pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(values, kept, strict=True)], ends.names)
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kept = [to_arrow_type(f.dataType) for f in ends]
+    parts = df.select(*keys).mapInArrow(run, ends)
+    over = Window.orderBy("part")  # one row a partition
+    lows, highs = (F.struct(*(F.col(f"{e}{k}") for k in range(len(keys)))) for e in ("low", "high"))
+    bad = F.coalesce(F.lag(highs).over(over) > lows.cast(T.StructType([T.StructField(f"high{k}", f.dataType) for k, f in enumerate(kinds)])), F.lit(False))
+    return parts.withColumn("bad", bad.cast("long")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum("wrong") + F.sum("bad"), F.lit(0)).alias("disorder"))

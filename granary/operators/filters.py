@@ -114,3 +114,21 @@ def clip_and_bin(df: DataFrame, rank: str, total: Column, low: float, high: floa
     count = F.floor(total * high) - first
     place = F.col(rank) - 1 - first
     return df.filter((place >= 0) & (place < count)).withColumn("bin", F.floor(place * bins / count).cast("long"))
+
+
+#: Rows of a table of cuts at most: it goes into each row's expression.
+TABLE_ROWS = 10_000
+
+
+def looked_up(df: DataFrame, table: DataFrame, order: str, cuts: dict[str, str], value: str, other: int) -> DataFrame:
+    """Adds ``value`` of the first row of ``table`` by ``order`` all of whose cuts are no less than the predictors, ``other`` where there is none.
+
+    ``cuts``: predictor column to the table's column.
+    """
+    rows = table.orderBy(order).limit(TABLE_ROWS + 1).collect()
+    if len(rows) > TABLE_ROWS:
+        raise ValueError(f"a table of cuts has {TABLE_ROWS} rows at most")
+    one = F.broadcast(df.sparkSession.createDataFrame([([tuple(float(r[c]) for c in cuts.values()) + (int(r[value]),) for r in rows],)], f"__table array<struct<{', '.join(f'c{k}:double' for k in range(len(cuts)))}, v:int>>"))
+    fits = lambda t: F.forall(F.array(*(F.col(p).cast("double") <= t[f"c{k}"] for k, p in enumerate(cuts))), lambda x: x)
+    first = F.get(F.filter("__table", fits), F.lit(0))["v"]
+    return df.crossJoin(one).withColumn(value, F.coalesce(first, F.lit(other))).drop("__table")  # one row

@@ -58,18 +58,32 @@ def compare(df: DataFrame, by: list[str], a: str, b: str, epsilon: float) -> Dat
     return df.groupBy(*by).agg(F.count("*").alias("n"), F.count_if(~F.coalesce(same, F.lit(False))).alias("different"), F.max(F.abs(x - y)).alias("max_difference"), F.corr(x, y).alias("correlation"))
 
 
-def quantiles(df: DataFrame, by: list[str], value: str, shares: dict[str, float], chunks: int = 4096) -> DataFrame:
+def even_chunks(df: DataFrame, value: str, chunks: int = 128) -> Column:
+    """A number that rises with the value and gives about as many rows to each chunk, whatever the values' spread: for running sums."""
+    shares = [k / chunks for k in range(1, chunks)]
+    bounds = sorted(set(df.agg(F.percentile_approx(F.col(value).cast("double"), shares, 10 * chunks)).first()[0] or []))  # one number a chunk
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(value).cast("double")))
+
+
+def upper_median(hist: DataFrame, by: list[str], value: str, n: str) -> DataFrame:
+    """The value at place n // 2 (from 0) of each group, from how often each value occurs."""
+    ranked = running_sums(hist, by, value, even_chunks(hist, value), {"__upto": F.col(n)})
+    total = hist.groupBy(*by).agg(F.sum(n).alias("__all"))
+    joined = ranked.join(total, by) if by else ranked.crossJoin(F.broadcast(total))  # one row
+    return joined.filter(F.col("__upto") > F.floor(F.col("__all") / 2)).groupBy(*by).agg(F.min(value).alias(value))
+
+
+def quantiles(df: DataFrame, by: list[str], value: str, shares: dict[str, float], chunks: int = 128) -> DataFrame:
     """Exact quantiles of each group, between two values as by ``percentile``; nulls don't count.
 
-    Distinct values are counted first and then ranked in chunks of the column's
-    range, so neither a hot value nor a hot group is held by one task.
+    Distinct values are counted first and then ranked in chunks of about equally many
+    values, so neither a hot value nor a hot group nor a few far values put the work into one task.
     """
     known = df.select(*by, F.col(value).cast("double").alias("__v")).filter("__v IS NOT NULL")
-    low, high = known.agg(F.min("__v"), F.max("__v")).first()
-    width = (high - low) / chunks if low is not None and high > low else 1.0
     distinct = known.groupBy(*by, "__v").agg(F.count("*").alias("__n"))
-    chunk = F.floor((F.col("__v") - (low or 0.0)) / width)
-    ranked = running_sums(distinct, by, "__v", chunk, {"__upto": F.col("__n")})
+    ranked = running_sums(distinct, by, "__v", even_chunks(known, "__v", chunks), {"__upto": F.col("__n")})
     total = distinct.groupBy(*by).agg(F.sum("__n").alias("__all"))
 
     def at(place: Column) -> Column:

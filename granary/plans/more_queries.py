@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granary.functions import sequence, trims
-from granary.operators import coverage, intervals
+from granary.operators import coverage, filters, intervals
+from granary.operators.prefix import running_sums
 from granary.plans.catalog import query
 from granary.sources.tables import READS_SQL, load, reads, tiles, tiles_sql
 
@@ -73,15 +74,17 @@ def barcode_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("doc_id", F.when((first["d"] <= 4) & (second["d"] - first["d"] >= 1), first["code"]).alias("barcode"), first["d"].alias("distance"))
 
 
-_QV = ((40, 45000.0, 0.02), (25, 30000.0, 0.05), (10, 10000.0, 0.08), (1, 0.0, 0.1))
-
-
-@query(f"SELECT q, count(*) AS n FROM (SELECT CASE {' '.join(f'WHEN l_quantity >= {a} AND l_extendedprice >= {b} AND l_discount <= {c} THEN {len(_QV) - k}' for k, (a, b, c) in enumerate(_QV))} ELSE 0 END AS q FROM lineitem) GROUP BY q")
+@query(
+    """WITH t AS (SELECT n_nationkey AS row, 40 - n_nationkey AS quality, 50.0 - 2 * n_nationkey AS c1, 0.004 * (n_nationkey + 1) + 0.0005 AS c2, 0.0505 + 0.003 * (n_nationkey % 5) AS c3 FROM nation),
+q AS (SELECT id, arg_min(quality, row) AS q FROM (SELECT *, row_number() OVER () AS id FROM lineitem) LEFT JOIN t ON 50 - l_quantity <= c1 AND l_discount <= c2 AND l_tax <= c3 GROUP BY ALL)
+SELECT CAST(coalesce(q, 5) AS INTEGER) AS q, count(*) AS n FROM q GROUP BY 1"""
+)
 def quality_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = F.lit(0)
-    for k, (a, b, c) in reversed(list(enumerate(_QV))):  # the first row of the table whose cuts all hold
-        q = F.when((F.col("l_quantity") >= a) & (F.col("l_extendedprice") >= b) & (F.col("l_discount") <= c), len(_QV) - k).otherwise(q)
-    return load(spark, sf_dir, "lineitem").groupBy(q.alias("q")).agg(F.count("*").alias("n"))
+    """Of a table of cuts the quality of the first row whose cuts all hold, 5 where none does."""
+    k = F.col("n_nationkey")
+    cuts = load(spark, sf_dir, "nation").select(k.alias("row"), (40 - k).alias("quality"), (50.0 - 2 * k).alias("c1"), (0.004 * (k + 1) + 0.0005).alias("c2"), (0.0505 + 0.003 * (k % 5)).alias("c3"))
+    x = load(spark, sf_dir, "lineitem").select((50 - F.col("l_quantity")).alias("p1"), F.col("l_discount").alias("p2"), F.col("l_tax").alias("p3"))
+    return filters.looked_up(x, cuts, "row", {"p1": "c1", "p2": "c2", "p3": "c3"}, "quality", 5).groupBy(F.col("quality").cast("int").alias("q")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -185,11 +188,18 @@ def adapter_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("doc_id", trims.trimmed(F.col("s"), "ATCACC").alias("trimmed"))
 
 
-@query("SELECT o_orderpriority, count(*) AS runs, round(sum(best), 2) AS cumulative, round(max(best), 2) AS top FROM (SELECT o_orderpriority, o_custkey, max(o_totalprice) AS best FROM orders WHERE o_totalprice > 0 GROUP BY ALL) GROUP BY o_orderpriority")
+@query(
+    """WITH b AS (SELECT o_orderpriority, o_custkey, arg_max(CAST(date_trunc('week', o_orderdate) AS DATE), (o_totalprice, -o_orderkey)) AS week, max(o_totalprice) AS best FROM orders WHERE o_totalprice > 0 GROUP BY ALL),
+w AS (SELECT o_orderpriority, week, count(*) AS runs, sum(best) AS total FROM b GROUP BY ALL)
+SELECT o_orderpriority, week, runs, CAST(sum(runs) OVER o AS BIGINT) AS runs_so_far, round(sum(total) OVER o, 2) AS cumulative FROM w WINDOW o AS (PARTITION BY o_orderpriority ORDER BY week)"""
+)
 def cumulative_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the best result of each customer adds up to; results of zero or less do not count."""
-    best = load(spark, sf_dir, "orders").filter("o_totalprice > 0").groupBy("o_orderpriority", "o_custkey").agg(F.max("o_totalprice").alias("best"))
-    return best.groupBy("o_orderpriority").agg(F.count("*").alias("runs"), _r(F.sum("best"), 2).alias("cumulative"), _r(F.max("best"), 2).alias("top"))
+    """What the best results of the customers add up to by and by, in the week of each; results of zero or less do not count."""
+    x = load(spark, sf_dir, "orders").filter("o_totalprice > 0").withColumn("week", F.date_trunc("week", "o_orderdate").cast("date"))
+    best = x.groupBy("o_orderpriority", "o_custkey").agg(F.max(F.struct("o_totalprice", (-F.col("o_orderkey")).alias("k"), "week")).alias("b"))
+    weeks = best.groupBy("o_orderpriority", "b.week").agg(F.count("*").alias("runs"), F.sum("b.o_totalprice").alias("total"))
+    upto = running_sums(weeks, ["o_orderpriority"], "week", F.year("week"), {"runs_so_far": F.col("runs"), "cumulative": F.col("total")})
+    return upto.select("o_orderpriority", "week", "runs", "runs_so_far", _r("cumulative", 2).alias("cumulative"))
 
 
 @query("SELECT l_returnflag, l_linestatus, round(avg(l_extendedprice / l_quantity), 6) AS slope_mean, round(regr_slope(l_extendedprice, l_quantity), 6) AS gain, round(regr_intercept(l_extendedprice, l_quantity), 4) AS shift FROM lineitem GROUP BY ALL")

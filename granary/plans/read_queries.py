@@ -92,7 +92,7 @@ SELECT CAST(floor(p * 20 / c) AS BIGINT) AS bin, count(*) AS n, round(min(v), 6)
 )
 def clip_and_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    x = ranked(x, [], "o_totalprice", F.floor(F.col("o_totalprice") / 16), ["o_orderkey"])
+    x = ranked(x, [], "o_totalprice", metrics.even_chunks(x, "o_totalprice"), ["o_orderkey"])
     n = load(spark, sf_dir, "orders").count()
     y = filters.clip_and_bin(x, "rank", F.lit(n), 0.05, 0.95, 20)
     v = "o_totalprice"

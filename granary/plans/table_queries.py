@@ -125,13 +125,10 @@ SELECT count(*) AS targets, any_value(median) AS median, round(100.0 * count(*)
 )
 def median_uniformity_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = load(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("target"), "l_returnflag").agg(F.count("*").alias("size"))
-    t = f.groupBy("target").agg(F.sum("size").alias("depth"), relational.upper_median(F.collect_list("size")).alias("middle"))  # a target has one family a tag
-    h = t.groupBy("depth").agg(F.count("*").alias("n"))
-    total = t.count()
-    from pyspark.sql import Window
-
-    upto = h.withColumn("c", F.sum("n").over(Window.orderBy("depth")))  # one row a distinct depth
-    median = upto.filter(F.col("c") > total // 2).agg(F.min("depth")).first()[0]
+    sizes = f.groupBy("target", "size").agg(F.count("*").alias("n"))
+    t = f.groupBy("target").agg(F.sum("size").alias("depth")).join(metrics.upper_median(sizes, ["target"], "size", "n").withColumnRenamed("size", "middle"), "target")
+    depths = t.groupBy("depth").agg(F.count("*").alias("n"))
+    median = metrics.upper_median(depths, [], "depth", "n").first()[0]
     d = F.col("depth")
     return t.agg(
         F.count("*").alias("targets"),
@@ -260,9 +257,11 @@ def cube_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select(F.coalesce("l_returnflag", F.lit("all")).alias("flag"), F.coalesce("l_linestatus", F.lit("all")).alias("status"), "n", "quantity")
 
 
-@query()
+@query("SELECT event_type, count(DISTINCT user_id) AS users, true AS near FROM events GROUP BY event_type")
 def approx_distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("users"))
+    """Users by a sketch beside the exact number; ``near``: it is off by no more than three of its standard errors."""
+    x = load(spark, sf_dir, "events").groupBy("event_type").agg(F.count_distinct("user_id").alias("users"), F.approx_count_distinct("user_id", 0.02).alias("about"))
+    return x.select("event_type", "users", (F.abs(F.col("about") - F.col("users")) <= 0.06 * F.col("users") + 1).alias("near"))
 
 
 @query("SELECT o_custkey AS k FROM orders WHERE o_totalprice > 300000 INTERSECT SELECT user_id FROM events WHERE event_type = 'purchase'")
