@@ -276,12 +276,12 @@ def signatures(code: np.ndarray, first: np.ndarray, chosen: np.ndarray, size: in
 
 
 def _members(whole: DataFrame, order: Order, grams: Grams, min_words: int, bits: int) -> DataFrame:
-    """``bucket``, ``salt`` and the arrays ``sign`` (rest of the token, words, place) and ``cid``; a class once a task for each signature."""
+    """``bucket``, ``salt`` and the arrays ``sign`` (rest of the token, words, place), ``cid`` and ``odd`` (all parities in 64 bits); a class once a task for each signature."""
     shared = whole.sparkSession.sparkContext.broadcast(order)  # two small numbers a counter
     buckets = np.uint64((1 << bits) - 1)
 
     def packed(held: list[tuple]) -> pa.RecordBatch:
-        token, salt, words, place, cid = (np.concatenate(x) for x in zip(*held, strict=True))
+        token, salt, words, place, cid, odd = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
         bucket = (token & buckets).astype(np.int64)
         by = np.lexsort((salt, bucket))
@@ -289,8 +289,8 @@ def _members(whole: DataFrame, order: Order, grams: Grams, min_words: int, bits:
         sign = ((token >> np.uint64(bits)) << np.uint64(2 * _PLACE_BITS)) | (words.astype(np.uint64) << np.uint64(_PLACE_BITS)) | place.astype(np.uint64)
         heads = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])]))
         offsets = pa.array(np.concatenate([heads, [len(by)]]).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[by].view(np.int64))) for x in (sign, cid)]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[heads].astype(np.int32)), pa.array(salt[heads].astype(np.int32)), *lists], ["bucket", "salt", "sign", "cid"])
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[by].view(np.int64))) for x in (sign, cid, odd)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[heads].astype(np.int32)), pa.array(salt[heads].astype(np.int32)), *lists], ["bucket", "salt", "sign", "cid", "odd"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, many = np.zeros(0, np.uint64), [], 0
@@ -307,9 +307,10 @@ def _members(whole: DataFrame, order: Order, grams: Grams, min_words: int, bits:
                 chosen = full[(n[full] >= low) & (n[full] <= high)]
                 line, token, place = signatures(code, first, chosen, size, shared.value, grams)
                 own = cid[chosen][line]
+                odd = np.bitwise_xor(*_parities(code, first, chosen))[line]
                 salts = shared.value.salts[_counter(token)]
                 salt = np.where(salts > 1, (tb.mix(own) % salts.astype(np.uint64)).astype(np.int64), _NO_SALT)
-                held.append((token, salt, np.minimum(n[chosen], _NONE)[line], place, own))
+                held.append((token, salt, np.minimum(n[chosen], _NONE)[line], place, own, odd))
                 many += len(token)
             if many >= HELD_ROWS:
                 yield packed(held)
@@ -317,7 +318,7 @@ def _members(whole: DataFrame, order: Order, grams: Grams, min_words: int, bits:
         if many:
             yield packed(held)
 
-    return whole.select("text").mapInArrow(run, "bucket int, salt int, sign array<long>, cid array<long>")
+    return whole.select("text").mapInArrow(run, "bucket int, salt int, sign array<long>, cid array<long>, odd array<long>")
 
 
 def _possible(n: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
@@ -365,37 +366,42 @@ def candidates(members: DataFrame, similarity: float, bits: int) -> DataFrame:
     """
     names = ["a", "b", "token", "words", "place"]
 
-    def pairs_of(cid: np.ndarray, token: np.ndarray, n: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    def pairs_of(cid: np.ndarray, token: np.ndarray, n: np.ndarray, place: np.ndarray, odd: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        def good(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            out = _possible(n, place, a, b, similarity)
+            out[out] = _odd_enough(n[a[out]], n[b[out]], np.bitwise_count((odd[a[out]] ^ odd[b[out]]).view(np.uint64)).astype(np.int64), similarity)
+            return out
+
         heads = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.concatenate([heads, [len(cid)]]))
         number, many = np.arange(len(cid)) - np.repeat(heads, size), np.repeat(size, size)
         at = np.flatnonzero((many > SMALL) & (number > FIRST_LAGS))
         head = at - number[at]
-        good = _possible(n, place, at, head, similarity)
-        yield cid[head[good]], cid[at[good]]
+        fits = good(at, head)
+        yield cid[head[fits]], cid[at[fits]]
         lag, at = 1, np.flatnonzero(number >= 1)
         while len(at):
-            to = at[_possible(n, place, at, at - lag, similarity)]
+            to = at[good(at, at - lag)]
             yield cid[to - lag], cid[to]
             lag += 1
             at = at[(number[at] >= lag) & ((many[at] <= SMALL) | (lag <= FIRST_LAGS))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches, ["bucket", "salt"]):
-            sign, cid = (rows.column(c).flatten().to_numpy() for c in ("sign", "cid"))
+            sign, cid, odd = (rows.column(c).flatten().to_numpy() for c in ("sign", "cid", "odd"))
             token, n, place = _unpacked(sign)
             by = np.lexsort((cid, token))
-            cid, token, n, place = cid[by], token[by], n[by], place[by]
+            cid, token, n, place, odd = cid[by], token[by], n[by], place[by], odd[by]
             new = np.concatenate([[True], (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])])
-            cid, token, n, place = cid[new], token[new], n[new], place[new]
+            cid, token, n, place, odd = cid[new], token[new], n[new], place[new], odd[new]
             salted = rows.column("salt")[0].as_py() != _NO_SALT
             first = np.concatenate([[True], token[1:] != token[:-1]])
             several = ~(first & np.concatenate([first[1:], [True]]))  # signatures of one class have no pairs
             if not salted:
-                cid, token, n, place = cid[several], token[several], n[several], place[several]
+                cid, token, n, place, odd = cid[several], token[several], n[several], place[several], odd[several]
             if not len(cid):
                 continue
-            a, b = (np.concatenate(x) for x in zip(*pairs_of(cid, token, n, place), strict=True))
+            a, b = (np.concatenate(x) for x in zip(*pairs_of(cid, token, n, place, odd), strict=True))
             by = np.lexsort((b, a))
             a, b = a[by], b[by]
             new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)]
