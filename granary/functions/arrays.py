@@ -225,3 +225,54 @@ def neighbour_mean(df: DataFrame, x: str, y: str, value: Column) -> DataFrame:
         (F.sum("total") / F.sum("n")).alias("around"), F.sum(F.when((F.col("s.i") == 0) & (F.col("s.j") == 0), F.col("total"))).alias("total"), F.sum(F.when((F.col("s.i") == 0) & (F.col("s.j") == 0), F.col("n"))).alias("n")
     )
     return spread.filter(F.col("n").isNotNull())
+
+
+#: Predicted signals below this are zero, and those of one base are between the two.
+ZERO, ONE = 0.3, (0.5, 1.5)
+
+
+def window_drift(measured: Column, predicted: Column, window: int) -> Column:
+    """Of each window of places an (offset, gain): the mean of what is measured where nothing is predicted, and the slope through zero of the rest where one base is.
+
+    A window without such places has what the one before it has, the first ones 0 and 1.
+    """
+    pairs = F.arrays_zip(measured.alias("m"), predicted.alias("p"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size(measured), F.lit(1)), F.lit(window))
+
+    def mean(part: Column, what) -> Column:
+        return F.try_divide(F.aggregate(part, F.lit(0.0), lambda s, x: s + what(x)), F.size(part))
+
+    def found(part: Column) -> Column:
+        quiet = F.filter(part, lambda x: x["p"] < ZERO)
+        return F.struct(mean(quiet, lambda x: x["m"] - x["p"]).alias("offset"), F.filter(part, lambda x: (x["p"] >= ONE[0]) & (x["p"] <= ONE[1])).alias("ones"))
+
+    raw = F.transform(starts, lambda k: found(F.slice(pairs, k, F.lit(window))))
+    first = F.struct(F.lit(0.0).alias("offset"), F.lit(1.0).alias("gain"))
+
+    def step(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        offset = F.coalesce(x["offset"], last["offset"])
+        up = F.aggregate(x["ones"], F.lit(0.0), lambda s, y: s + (y["m"] - offset) * y["p"])
+        gain = F.coalesce(F.try_divide(up, F.aggregate(x["ones"], F.lit(0.0), lambda s, y: s + y["p"] * y["p"])), last["gain"])
+        return F.concat(done, F.array(F.struct(offset.alias("offset"), gain.alias("gain"))))
+
+    return F.aggregate(raw, F.array(first), step, lambda done: F.slice(done, 2, F.size(done) - 1))
+
+
+def windowed_normalised(df: DataFrame, measured: str, predicted: str, window: int, name: str = "normalised") -> DataFrame:
+    """Adds measured signals without the drift of their windows, which goes in a line from one window's begin to the next one's; null where a signal is.
+
+    A window's gain of zero or less changes nothing.
+    """
+    x = df.withColumn("__drift", window_drift(F.col(measured), F.col(predicted), window))
+
+    def at(i: Column, field: str) -> Column:
+        k = F.floor(i / window).cast("int")
+        here = F.get("__drift", k)[field]
+        return here + (F.coalesce(F.get("__drift", k + 1)[field], here) - here) * ((i % window) / F.lit(float(window)))
+
+    def corrected(m: Column, i: Column) -> Column:
+        gain = at(i, "gain")
+        return (m - at(i, "offset")) / F.when(gain > 0, gain).otherwise(1.0)
+
+    return x.withColumn(name, F.transform(measured, corrected)).drop("__drift")

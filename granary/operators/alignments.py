@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.functions import cigars, gapped
-from granary.operators import coverage
+from granary.functions import cigars, gapped, sequence
+from granary.operators import coverage, intervals
 from granary.operators.arrow import lists, with_arrays
 
 UNMAPPED, REVERSE, FAILED, DUPLICATE = 4, 16, 512, 1024
@@ -273,3 +273,44 @@ def disorder(df: DataFrame, keys: list[str]) -> DataFrame:
     lows, highs = (F.struct(*(F.col(f"{e}{k}") for k in range(len(keys)))) for e in ("low", "high"))
     bad = F.coalesce(F.lag(highs).over(over) > lows.cast(T.StructType([T.StructField(f"high{k}", f.dataType) for k, f in enumerate(kinds)])), F.lit(False))
     return parts.withColumn("bad", bad.cast("long")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum("wrong") + F.sum("bad"), F.lit(0)).alias("disorder"))
+
+
+def selected(df: DataFrame, required: int = 0, excluded: int = 0, min_mapq: int = 0, min_length: int = 0, max_length: int | None = None, regions: DataFrame | None = None) -> DataFrame:
+    """Alignments by flags, mapping quality, bases of the read, and overlap with any region (contig, lo, hi), each once.
+
+    ``length`` counts the bases that the CIGAR string aligns or puts in.
+    """
+    ops = sequence.cigar_ops(F.col("cigar"))
+    flag, bases = F.col("flag"), sequence.cigar_length(ops, "MI=X")
+    x = df.filter((flag.bitwiseAND(F.lit(required)) == required) & (flag.bitwiseAND(F.lit(excluded)) == 0))
+    if min_mapq:
+        x = x.filter(F.col("mapq") >= min_mapq)
+    if min_length:
+        x = x.filter(bases >= min_length)
+    if max_length is not None:
+        x = x.filter(bases <= max_length)
+    if regions is None:
+        return x
+    # regions that touch are one, so an alignment meets its regions in the stretches of their union
+    spans = x.withColumns({"__lo": F.col("start").cast("long"), "__hi": (F.col("start") + cigar_span(ops)).cast("long")})
+    return intervals.semi_overlapping(spans, intervals.union(regions.select("contig", "lo", "hi")), "__lo", "__hi").drop("__lo", "__hi")
+
+
+def cigar_span(ops: Column) -> Column:
+    return sequence.cigar_length(ops, "MDN=X")
+
+
+def filtered_and_merged(parts: list[DataFrame], **conditions: object) -> DataFrame:
+    """Several sets of alignments, each filtered (see ``selected``), as one in the order of contig and start."""
+    return merged([selected(p, **conditions) for p in parts])
+
+
+def spike_counts(df: DataFrame, names: DataFrame, over_mapq: int = 50, forward_only: bool = False) -> DataFrame:
+    """``contig``, ``n`` and ``mean_mapq`` of the named transcripts, from alignments of a mapping quality over ``over_mapq``; one with none is not there.
+
+    With ``forward_only`` flags other than 0 don't count.
+    """
+    good = df.filter(F.col("mapq") > over_mapq)
+    if forward_only:
+        good = good.filter("flag = 0")
+    return good.join(names.select("contig").distinct(), "contig", "left_semi").groupBy("contig").agg(F.count("*").alias("n"), F.avg("mapq").alias("mean_mapq"))

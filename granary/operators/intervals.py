@@ -67,3 +67,11 @@ def union(ranges: DataFrame) -> DataFrame:
 def gaps(ranges: DataFrame) -> DataFrame:
     """What lies between the ranges of each contig."""
     return coverage.steps(ranges).filter("depth = 0").select("contig", "lo", "hi")
+
+
+def semi_overlapping(rows: DataFrame, disjoint: DataFrame, lo: str = "lo", hi: str = "hi", size: int = 64) -> DataFrame:
+    """Rows that have a position in common with any of the disjoint ranges, each once: it meets the first of them alone."""
+    before = F.lag("hi").over(Window.partitionBy("contig").orderBy("lo"))  # of ranges, not of rows
+    left = rows.select("contig", F.col(lo).alias("lo"), F.col(hi).alias("hi"), F.struct(*rows.columns).alias("row"))
+    pairs = overlap_join(left, disjoint.select("contig", "lo", "hi").withColumn("before", before), size)
+    return pairs.filter("r_before IS NULL OR r_before <= l_lo").select("l_row.*")

@@ -186,3 +186,22 @@ def lag_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = running_sums(reads(spark, sf_dir), ["contig", "adapter"], "lo", coverage.chunk("lo", 256), {"n": F.lit(1)}, ["flow"])
     gap = F.col("__next") - F.col("lo")
     return x.groupBy("contig").agg(F.count_if(F.col("__next").isNull()).alias("firsts"), F.max(gap).alias("widest"), F.count_if(gap > 2).alias("jumps"))
+
+
+@query(
+    """WITH e AS (SELECT vec_id, i, CAST(v AS DOUBLE) * 10 + 0.2 + i * 0.01 AS m, abs(round(CAST(v AS DOUBLE) * 10)) AS p FROM (SELECT vec_id, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM embeddings)),
+w AS (SELECT vec_id, i // 8 AS k, avg(m - p) FILTER (p < 0.3) AS o FROM e GROUP BY ALL),
+f AS (SELECT vec_id, k, coalesce(last_value(o IGNORE NULLS) OVER (PARTITION BY vec_id ORDER BY k), 0) AS o FROM w),
+g AS (SELECT e.vec_id, f.k, f.o, sum((m - o) * p) FILTER (p >= 0.5 AND p <= 1.5) / sum(p * p) FILTER (p >= 0.5 AND p <= 1.5) AS g FROM e JOIN f ON f.vec_id = e.vec_id AND f.k = e.i // 8 GROUP BY e.vec_id, f.k, f.o),
+h AS (SELECT vec_id, k, o, coalesce(last_value(g IGNORE NULLS) OVER (PARTITION BY vec_id ORDER BY k), 1) AS g FROM (SELECT e.vec_id, g.k, g.o, g.g FROM (SELECT DISTINCT vec_id FROM e) e JOIN g ON g.vec_id = e.vec_id)),
+n AS (SELECT *, coalesce(lead(o) OVER (PARTITION BY vec_id ORDER BY k), o) AS o2, coalesce(lead(g) OVER (PARTITION BY vec_id ORDER BY k), g) AS g2 FROM h),
+c AS (SELECT e.vec_id, (m - (o + (o2 - o) * ((i % 8) / 8.0))) / CASE WHEN g + (g2 - g) * ((i % 8) / 8.0) > 0 THEN g + (g2 - g) * ((i % 8) / 8.0) ELSE 1 END AS c FROM e JOIN n ON n.vec_id = e.vec_id AND n.k = e.i // 8)
+SELECT vec_id, round(sum(c), 4) AS total, round(min(c), 4) AS least, round(max(c), 4) AS most FROM c GROUP BY vec_id"""
+)
+def windowed_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals with a drift in time, set right by windows of eight places against their rounded values."""
+    x = load(spark, sf_dir, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda v, i: v.cast("double") * 10 + 0.2 + i * 0.01).alias("m"), F.transform("embedding", lambda v: F.abs(F.round(v.cast("double") * 10))).alias("p")
+    )
+    c = arrays.windowed_normalised(x, "m", "p", 8, "c")
+    return c.select("vec_id", _r(F.aggregate("c", F.lit(0.0), lambda s, v: s + v), 4).alias("total"), _r(F.array_min("c"), 4).alias("least"), _r(F.array_max("c"), 4).alias("most"))

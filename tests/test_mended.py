@@ -65,3 +65,32 @@ def test_weighted_edits_are_those_of_a_version_cell_by_cell(spark, swap):
     df = spark.createDataFrame([*rows, (None, "a")], "s string, t string")
     got = [r["d"] for r in df.select(arrays.weighted_edit(swap=swap)("s", "t").alias("d")).collect()]
     assert got == [*(plain(s, t) for s, t in rows), None]
+
+
+def test_planted_drift_is_removed_window_by_window(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(5):
+        p = rng.integers(0, 4, 200).astype(float)
+        t = np.arange(200) / 200
+        rows.append((k, (p * (1 - 0.3 * t) + 0.05 + 0.2 * t + rng.normal(0, 0.01, 200)).tolist(), p.tolist()))
+    rows += [(9, [], []), (10, [2.0], [2.0]), (11, None, [1.0])]
+    got = {r["k"]: r for r in arrays.windowed_normalised(spark.createDataFrame(rows, "k int, m array<double>, p array<double>"), "m", "p", 20, "c").collect()}
+    for k, m, p in rows[:5]:
+        before, after = np.abs(np.subtract(m, p)).max(), np.abs(np.subtract(got[k]["c"], p))
+        assert after.max() < 0.15 < before and after.mean() < 0.03
+    assert got[9]["c"] == [] and got[10]["c"] == [2.0] and got[11]["c"] is None
+
+
+def test_alignments_are_selected_once_however_many_regions_they_meet(spark):
+    rows = [("a", "c", 5, 0, "10M", 60), ("b", "c", 5, 0, "4M2I4M", 20), ("d", "c", 50, 0, "10M", 60), ("e", "x", 5, 4, "10M", 60), ("f", "c", 0, 0, "2M", 60)]
+    df = spark.createDataFrame(rows, "name string, contig string, start long, flag int, cigar string, mapq int").withColumn("lo", F.lit("own"))
+    regions = spark.createDataFrame([("c", 6, 8), ("c", 9, 12), ("c", 7, 10), ("c", 14, 16), ("y", 0, 99)], "contig string, lo long, hi long")
+    names = lambda **k: sorted(r["name"] for r in al.selected(df, **k).collect())
+    assert names(regions=regions) == ["a", "b"]
+    assert names(excluded=4, min_mapq=30) == ["a", "d", "f"]
+    assert names(required=4) == ["e"]
+    assert names(min_length=10, max_length=10, regions=regions) == ["a", "b"]
+    assert al.filtered_and_merged([df, df], regions=regions).count() == 4
+    spikes = al.spike_counts(df, spark.createDataFrame([("c",), ("c",), ("z",)], "contig string"), forward_only=True)
+    assert [tuple(r) for r in spikes.collect()] == [("c", 3, 60.0)]
