@@ -159,8 +159,8 @@ class PieceEncoder:
     """
 
     BLANK = "▁"
-    #: Longer stretches, in bytes, are not kept.
-    LONGEST = 64
+    #: Longer stretches, in characters, are not kept, and no more than so many.
+    LONGEST, KEPT = 64, 250_000
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -202,7 +202,7 @@ class PieceEncoder:
         new = [i for i, x in enumerate(found) if x is None]
         for i, x in zip(new, self.model.encode([parts[i][1:] for i in new], num_threads=1), strict=True):
             found[i] = np.array(x, np.uint32).tobytes()
-            if len(cache) < CACHE_WORDS and len(parts[i]) <= self.LONGEST:
+            if len(cache) < self.KEPT and len(parts[i]) <= self.LONGEST:
                 cache[parts[i]] = found[i]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return sizes, np.frombuffer(b"".join(found), np.uint32)
