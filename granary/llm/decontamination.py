@@ -199,33 +199,41 @@ def starts(stored: DataFrame, planned: DataFrame, slop: int) -> DataFrame:
     return found.mapInArrow(run, "uid long, window long, start long")
 
 
+#: Starts of a document that are looked at together.
+STARTS = 1 << 18
 FOUND = "uid long, n_words long, n_hit long, exact array<long>, near array<long>"
 
 
 def verified(whole: DataFrame, candidates: DataFrame, planned: DataFrame, slop: int) -> DataFrame:
     """Of each document with candidates ``uid``, ``n_words``, ``n_hit`` and the windows found as ``exact`` phrases and ``near``."""
-    full = candidates.join(_few(planned.select("window", "terms"), "windows"), "window")
-    by_row = _few(full.groupBy("uid").agg(F.collect_list(F.struct("window", "start", "terms")).alias("places")), "places", candidates.count())
+    # a window's terms come once for a document, its starts as numbers
+    full = candidates.groupBy("uid", "window").agg(F.collect_list("start").alias("starts")).join(_few(planned.select("window", "terms"), "windows"), "window")
+    by_row = _few(full.groupBy("uid").agg(F.collect_list(F.struct("window", "starts", "terms")).alias("places")), "places", candidates.count())
 
-    def judged(codes: np.ndarray, window: np.ndarray, start: np.ndarray, terms: np.ndarray, size: np.ndarray) -> tuple[int, list[int], list[int]]:
+    def judged(codes: np.ndarray, window: np.ndarray, owner: np.ndarray, starts: np.ndarray, terms: np.ndarray, sizes: np.ndarray) -> tuple[int, list[int], list[int]]:
+        """``owner``: to which of the document's windows each start belongs."""
         n, width = len(codes), terms.shape[1]
-        inside, near = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
-        for k in range(width):
-            used = k < size
-            there = np.zeros(len(start), bool)
-            for shift in range(-slop, slop + 1):
-                at = start + k + shift
-                same = used & (at >= 0) & (at < n) & (codes[np.clip(at, 0, n - 1)] == terms[:, k])
-                there |= same
-                if not shift:
-                    inside += same
-            near += there
-        exact = inside == size
-        cover = np.zeros(n + 1, np.int64)
-        np.add.at(cover, start[exact], 1)
-        np.add.at(cover, (start + size)[exact], -1)
-        close = (100 * near >= NEAR_PERCENT * size) & (size >= NEAR_WORDS)
-        return int((np.cumsum(cover)[:-1] > 0).sum()), np.unique(window[exact]).tolist(), np.unique(window[close]).tolist()
+        cover, is_exact, is_near = np.zeros(n + 1, np.int64), np.zeros(len(window), bool), np.zeros(len(window), bool)
+        for low in range(0, len(starts), STARTS):
+            own, start = owner[low : low + STARTS], starts[low : low + STARTS]
+            size = sizes[own]
+            inside, near = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+            for k in range(width):
+                used, term = k < size, terms[own, k]
+                there = np.zeros(len(start), bool)
+                for shift in range(-slop, slop + 1):
+                    at = start + k + shift
+                    same = used & (at >= 0) & (at < n) & (codes[np.clip(at, 0, n - 1)] == term)
+                    there |= same
+                    if not shift:
+                        inside += same
+                near += there
+            exact = inside == size
+            np.add.at(cover, start[exact], 1)
+            np.add.at(cover, (start + size)[exact], -1)
+            is_exact[own[exact]] = True
+            is_near[own[(100 * near >= NEAR_PERCENT * size) & (size >= NEAR_WORDS)]] = True
+        return int((np.cumsum(cover)[:-1] > 0).sum()), np.unique(window[is_exact]).tolist(), np.unique(window[is_near]).tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tb.slices(batches, "text"):
@@ -235,11 +243,17 @@ def verified(whole: DataFrame, candidates: DataFrame, planned: DataFrame, slop:
             places = part.column("places")
             edge = np.concatenate([[0], np.cumsum(places.value_lengths().to_numpy())])
             flat = places.flatten()
-            window, start, lists = flat.field("window").to_numpy(), flat.field("start").to_numpy(), flat.field("terms")
+            window, starts, lists = flat.field("window").to_numpy(), flat.field("starts"), flat.field("terms")
             size = lists.value_lengths().to_numpy().astype(np.int64)
             terms = np.zeros((len(size), int(size.max(initial=1))), np.int64)
             terms[np.arange(terms.shape[1]) < size[:, None]] = lists.flatten().to_numpy()
-            rows = [judged(hashed[first[i] : first[i + 1]].view(np.int64), *(x[edge[i] : edge[i + 1]] for x in (window, start, terms, size))) for i in range(len(found))]
+            upto = np.concatenate([[0], np.cumsum(starts.value_lengths().to_numpy())]).astype(np.int64)
+            start, owner = starts.flatten().to_numpy(), np.repeat(np.arange(len(size)), np.diff(upto))
+            rows = []
+            for i in range(len(found)):
+                low, high = edge[i], edge[i + 1]
+                own = slice(upto[low], upto[high])
+                rows.append(judged(hashed[first[i] : first[i + 1]].view(np.int64), window[low:high], owner[own] - low, start[own], terms[low:high], size[low:high]))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([part.column("uid"), pa.array(np.diff(first), pa.int64()), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), longs, longs)))], ["uid", "n_words", "n_hit", "exact", "near"])
 
