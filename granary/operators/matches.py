@@ -10,8 +10,6 @@ reference that it covers, once, and its runs of equal letters are the matches.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
