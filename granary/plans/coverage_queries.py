@@ -219,7 +219,8 @@ def smallest_enclosing_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.groupBy("contig", F.col("r_lo").alias("lo"), F.col("r_hi").alias("hi")).agg(F.sum("l_n").alias("points"))
 
 
-_UNION_SQL = """r AS (SELECT l_returnflag || ':' || l_suppkey AS contig, s AS lo, s + 1 + CAST(l_quantity AS BIGINT) // 5 AS hi FROM (SELECT *, date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS s FROM lineitem)),
+#: Ranges are distinct, so that both windows over them have one order.
+_UNION_SQL = """r AS (SELECT DISTINCT l_returnflag || ':' || l_suppkey AS contig, s AS lo, s + 1 + CAST(l_quantity AS BIGINT) // 5 AS hi FROM (SELECT *, date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS s FROM lineitem)),
 m AS (SELECT contig, lo, hi, max(hi) OVER (PARTITION BY contig ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r),
 g AS (SELECT *, count(*) FILTER (before IS NULL OR lo > before) OVER (PARTITION BY contig ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS island FROM m),
 u AS (SELECT contig, min(lo) AS lo, max(hi) AS hi FROM g GROUP BY contig, island)"""
