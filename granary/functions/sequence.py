@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,11 @@ def cigar_length(ops: Column, kinds: str) -> Column:
     return F.aggregate(F.filter(ops, lambda x: x["op"].isin(*kinds)), F.lit(0), lambda n, x: n + x["len"])
 
 
+def cigar_sum(cigar: Column, kinds: str, finish: Callable[[Column], Column] | None = None) -> Column:
+    """Sum of the lengths of some operations of a CIGAR string, by one pass over it, or what ``finish`` makes of it."""
+    return F.aggregate(F.regexp_extract_all(cigar, F.lit(rf"(\d+)[{kinds}]"), F.lit(1)), F.lit(0), lambda n, x: n + x.cast("int"), finish)
+
+
 def covered_blocks(start: Column, ops: Column) -> Column:
     """Reference ranges (lo, hi) that M, N, = and X cover from ``start`` on; D breaks them, I, S, H and P take no room."""
     zero = F.struct(F.array().cast("array<struct<lo:bigint,hi:bigint>>").alias("out"), start.cast("long").alias("at"))

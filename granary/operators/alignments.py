@@ -280,19 +280,16 @@ def selected(df: DataFrame, required: int = 0, excluded: int = 0, min_mapq: int
 
     ``length`` counts the bases that the CIGAR string aligns or puts in.
     """
-    ops = sequence.cigar_ops(F.col("cigar"))
-    flag, bases = F.col("flag"), sequence.cigar_length(ops, "MI=X")
+    flag = F.col("flag")
     x = df.filter((flag.bitwiseAND(F.lit(required)) == required) & (flag.bitwiseAND(F.lit(excluded)) == 0))
     if min_mapq:
         x = x.filter(F.col("mapq") >= min_mapq)
-    if min_length:
-        x = x.filter(bases >= min_length)
-    if max_length is not None:
-        x = x.filter(bases <= max_length)
+    if min_length or max_length is not None:
+        x = x.filter(sequence.cigar_sum(F.col("cigar"), "MI=X", lambda n: (n >= min_length) & (n <= max_length) if max_length is not None else n >= min_length))
     if regions is None:
         return x
     # regions that touch are one, so an alignment meets its regions in the stretches of their union
-    spans = x.withColumns({"__lo": F.col("start").cast("long"), "__hi": (F.col("start") + cigar_span(ops)).cast("long")})
+    spans = x.withColumns({"__lo": F.col("start").cast("long"), "__hi": (F.col("start") + sequence.cigar_sum(F.col("cigar"), "MDN=X")).cast("long")})
     return intervals.semi_overlapping(spans, intervals.union(regions.select("contig", "lo", "hi")), "__lo", "__hi").drop("__lo", "__hi")
 
 

@@ -18,27 +18,40 @@ from granary.operators.prefix import running_sums
 LEVELS, FACTOR, SPAN = 7, 8, 8
 
 
-def _binned(df: DataFrame, size: int, prefix: str) -> DataFrame:
-    widths = [size * FACTOR**k for k in range(LEVELS)]
-    lo, hi = F.col("lo"), F.greatest(F.col("hi"), F.col("lo") + 1)
-
-    def bins(width: int) -> tuple[Column, Column]:
-        return F.floor(lo / width).cast("long"), F.floor((hi - 1) / width).cast("long")
-
+def _own_level(size: int) -> Column:
+    """The finest level on which a range spans few bins."""
     own = F.lit(LEVELS - 1)
     for k in reversed(range(LEVELS - 1)):
-        first, last = bins(widths[k])
+        first, last = _bins(size * FACTOR**k)
         own = F.when(last - first < SPAN, F.lit(k)).otherwise(own)
-    levels = F.array(*(F.struct(F.lit(k).alias("level"), *(x.alias(n) for x, n in zip(bins(w), ("first", "last"), strict=True))) for k, w in enumerate(widths)))
-    kept = F.filter(levels, lambda x: x["level"] >= F.col("__own"))
+    return own
+
+
+def _bins(width: int) -> tuple[Column, Column]:
+    lo, hi = F.col("lo"), F.greatest(F.col("hi"), F.col("lo") + 1)
+    return F.floor(lo / width).cast("long"), F.floor((hi - 1) / width).cast("long")
+
+
+def _binned(df: DataFrame, size: int, prefix: str, others: list[int] | None = None) -> DataFrame:
+    """A row for each bin in which a range can meet another one; ``others``: the levels of all those, if known."""
+    own = _own_level(size)
+    most = range(LEVELS) if others is None else range(min(others, default=LEVELS - 1), LEVELS)
+    levels = F.array(*(F.struct(F.lit(k).alias("level"), *(x.alias(n) for x, n in zip(_bins(size * FACTOR**k), ("first", "last"), strict=True))) for k in most))
+    # a pair meets on the coarser of its two levels
+    kept = F.filter(levels, lambda x: (x["level"] == F.col("__own")) | ((x["level"] > F.col("__own")) & (F.lit(True) if others is None else x["level"].isin(others))))
     cells = F.flatten(F.transform(kept, lambda x: F.transform(F.sequence(x["first"], x["last"]), lambda b: F.struct(x["level"].alias("level"), b.alias("bin")))))
     named = df.withColumn("__own", own).withColumn("__cell", F.explode(cells))
     return named.select(*(F.col(c).alias(f"{prefix}{c}") for c in df.columns), F.col("__own").alias(f"{prefix}own"), F.col("__cell.level").alias("__level"), F.col("__cell.bin").alias("__bin"))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, size: int = 64) -> DataFrame:
-    """All pairs with a common position, as columns ``l_*`` and ``r_*``."""
-    a, b = _binned(left, size, "l_"), _binned(right, size, "r_")
+def levels_of(ranges: DataFrame, size: int = 64) -> list[int]:
+    """The levels on which the ranges are, a few numbers."""
+    return sorted(r[0] for r in ranges.select(_own_level(size).alias("level")).distinct().collect())
+
+
+def overlap_join(left: DataFrame, right: DataFrame, size: int = 64, right_levels: list[int] | None = None) -> DataFrame:
+    """All pairs with a common position, as columns ``l_*`` and ``r_*``; with ``right_levels`` (see ``levels_of``) the left side is fewer rows."""
+    a, b = _binned(left, size, "l_", right_levels), _binned(right, size, "r_")
     a = a.withColumnRenamed("l_contig", "__contig")
     b = b.withColumnRenamed("r_contig", "__contig")
     joined = a.join(b, ["__contig", "__level", "__bin"]).filter(
@@ -73,5 +86,5 @@ def semi_overlapping(rows: DataFrame, disjoint: DataFrame, lo: str = "lo", hi: s
     """Rows that have a position in common with any of the disjoint ranges, each once: it meets the first of them alone."""
     before = F.lag("hi").over(Window.partitionBy("contig").orderBy("lo"))  # of ranges, not of rows
     left = rows.select("contig", F.col(lo).alias("lo"), F.col(hi).alias("hi"), F.struct(*rows.columns).alias("row"))
-    pairs = overlap_join(left, disjoint.select("contig", "lo", "hi").withColumn("before", before), size)
+    pairs = overlap_join(left, disjoint.select("contig", "lo", "hi").withColumn("before", before), size, levels_of(disjoint, size))
     return pairs.filter("r_before IS NULL OR r_before <= l_lo").select("l_row.*")

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from granary.plans import coverage_queries
+from pyspark.sql import functions as F
+
+from granary.functions import sequence
+from granary.operators import alignments as al
+from granary.operators import intervals
+from granary.plans import base_queries, coverage_queries, table_queries
+from granary.sources import tables
 from tests.compare import sql_rows
 
 SF = "/root/testdata/sf0.001"
@@ -11,3 +17,50 @@ SF = "/root/testdata/sf0.001"
 def test_windows_of_the_union_have_no_ties():
     sql = f"WITH {coverage_queries._UNION_SQL} SELECT contig, lo, hi FROM m GROUP BY ALL HAVING count(*) > 1"
     assert sql_rows(sql, SF)[2] == []
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_short_ranges_meet_short_ones_in_few_bins(spark):
+    rows = spark.createDataFrame([("c", 60 * k, 60 * k + 30) for k in range(200)], "contig string, lo long, hi long")
+    near = spark.createDataFrame([("c", 100 * k, 100 * k + 5) for k in range(40)], "contig string, lo long, hi long")
+    far = near.union(spark.createDataFrame([("c", 5000, 9000), ("d", 0, 10**6)], near.schema))
+    assert intervals.levels_of(near) == [0] and len(intervals.levels_of(far)) > 1
+    assert intervals._binned(rows, 64, "l_", [0]).count() <= 2 * 200
+    for ranges in (near, far):
+        want = {(a, b) for c, a, b in rows.collect() if any(c == d and a < y and x < b for d, x, y in ranges.collect())}
+        got = [(r.lo, r.hi) for r in intervals.semi_overlapping(rows, ranges).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert intervals.semi_overlapping(rows, near.limit(0)).count() == 0
+
+
+def test_lengths_of_operations_in_one_pass(spark):
+    texts = ["3M1D2M", "4S3=2X1I7N5H", "*", "", "M3", None]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    for kinds in ("MI=X", "MDN=X"):
+        a, b = sequence.cigar_sum(F.col("c"), kinds), sequence.cigar_length(sequence.cigar_ops(F.col("c")), kinds)
+        assert df.filter(~a.eqNullSafe(b)).count() == 0
+
+
+def test_bases_of_reads_are_made_in_batches_or_left_out(spark):
+    assert "CATG" not in _plan(tables.sequenced(spark, SF))
+    short = tables.sequenced(spark, SF, bases=False)
+    whole = tables.sequenced(spark, SF)
+    assert short.columns == ["name", "contig", "start", "flag", "cigar"]
+    assert short.exceptAll(whole.select(*short.columns)).count() == 0 and short.count() == whole.count()
+
+
+def test_piled_reads_are_sorted_before_they_are_summed(spark):
+    plan = _plan(al.pileup(tables.sequenced(spark, SF)))
+    assert "Sort [contig" in plan
+
+
+def test_top_alleles_are_found_without_sorting_arrays(spark):
+    assert not [x for x in _plan(base_queries.top_alleles(spark, SF)).splitlines() if "fwd_a" in x and "array_sort" in x]
+
+
+def test_no_sketch_is_kept_for_every_user(spark):
+    plan = table_queries.approx_distinct_users(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "user_id" in x.split("functions=")[0] and "approx_count" in x and "keys=" in x]
