@@ -69,27 +69,30 @@ def pileup(df: DataFrame) -> DataFrame:
     """contig, pos, coverage and counts of bases by strand, of deletions, of discounted bases and of insertions behind the place.
 
     A read with an insertion on either side of its base there is discounted: it counts in
-    ``coverage`` and ``discounted`` alone.  Counts are summed in each batch and again map-side,
-    so a place under any number of reads is a few rows a task.
+    ``coverage`` and ``discounted`` alone.  A task's reads are sorted by place, so that those of a
+    batch lie over few places; counts are summed in each batch and again map-side, so a place
+    under any number of reads is a few rows a task.
     """
     names = [*cigars.PILED]
     schema = T.StructType([df.schema["contig"], T.StructField("pos", T.LongType()), *(T.StructField(n, T.LongType()) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 1024):
-                part = batch.slice(low, 1024)
+            for low in range(0, batch.num_rows, 4096):
+                part = batch.slice(low, 4096)
                 walk = cigars.walked(part.column("cigar"))
                 reverse = (part.column("flag").to_numpy(zero_copy_only=False) & REVERSE) != 0
                 whose, where, column = cigars.piled(walk, part.column("start").to_numpy(zero_copy_only=False).astype(np.int64), reverse, part.column("seq"))
                 contigs = part.column("contig").dictionary_encode()
                 which = contigs.indices.to_numpy(zero_copy_only=False)[whose]
-                places, at = np.unique(np.stack([which.astype(np.int64), where]), axis=1, return_inverse=True)
-                counts = np.bincount(at.ravel() * len(names) + column, minlength=places.shape[1] * len(names)).reshape(-1, len(names))
-                yield pa.RecordBatch.from_arrays([contigs.dictionary.take(pa.array(places[0])), pa.array(places[1]), *(pa.array(counts[:, k]) for k in range(len(names)))], schema.names)
+                low_place, width = (int(where.min()), int(np.ptp(where)) + 1) if len(where) else (0, 1)
+                places, at = np.unique(which.astype(np.int64) * width + where - low_place, return_inverse=True)
+                contig, pos = np.divmod(places, width)
+                counts = np.bincount(at.ravel() * len(names) + column, minlength=len(places) * len(names)).reshape(-1, len(names))
+                yield pa.RecordBatch.from_arrays([contigs.dictionary.take(pa.array(contig)), pa.array(pos + low_place), *(pa.array(counts[:, k]) for k in range(len(names)))], schema.names)
 
     known = df.filter("contig is not null and start is not null and flag is not null").select("contig", "start", "flag", "cigar", "seq")
-    summed = known.mapInArrow(run, schema).groupBy("contig", "pos").agg(*(F.sum(n).alias(n) for n in names))
+    summed = known.sortWithinPartitions("contig", "start").mapInArrow(run, schema).groupBy("contig", "pos").agg(*(F.sum(n).alias(n) for n in names))
     covered = sum((F.col(n) for n in names[1:-1]), F.col(names[0]))
     return summed.select("contig", "pos", covered.alias("coverage"), *names)
 
