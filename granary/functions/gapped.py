@@ -20,8 +20,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-#: Cells of pairs that are worked out together.
-CELLS = 8_000_000
+#: Cells of pairs that are worked out together, and those of one row of the matrix, which stay in the processor's cache.
+CELLS, ROW_CELLS = 8_000_000, 16_384
 STOP, PAIR, GONE, PUT = 0, 1, 2, 3
 _GONE_ON, _PUT_ON = 4, 8
 LOW = -1e30
@@ -60,13 +60,32 @@ def run_lengths(x: np.ndarray) -> np.ndarray:
     return np.repeat(size, size)
 
 
+def flat_runs(parts: Sequence[np.ndarray]) -> np.ndarray:
+    """``run_lengths`` of all parts behind one another, worked out together."""
+    sizes = np.array([len(x) for x in parts], np.int64)
+    x = np.concatenate([np.asarray(p) for p in parts]) if len(parts) else np.zeros(0)
+    if not len(x):
+        return np.zeros(0, np.int64)
+    new = np.concatenate([[True], x[1:] != x[:-1], [False]])
+    new[np.cumsum(sizes) - sizes] = True  # a part without bases begins where the next one does
+    starts = np.flatnonzero(new[: len(x)])
+    size = np.diff(np.append(starts, len(x)))
+    return np.repeat(size, size)
+
+
 def _padded(parts: Sequence[np.ndarray], width: int, fill: float) -> np.ndarray:
     out = np.full((len(parts), width), fill, np.asarray(parts[0]).dtype if len(parts) else float)
-    for k, p in enumerate(parts):
-        out[k, : len(p)] = p
+    if len(parts):
+        sizes = np.array([len(p) for p in parts], np.int64)
+        out[np.arange(width)[None, :] < sizes[:, None]] = np.concatenate([np.asarray(p) for p in parts])
     return out
 
 
+def _taken(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``at[k]`` numbers of the columns of row k."""
+    return table.take(at + (np.arange(len(table)) * table.shape[1])[:, None])
+
+
 def align(queries: Sequence[np.ndarray], references: Sequence[np.ndarray], scores: Scores = Scores(), mode: str = "local", centres: Sequence[np.ndarray] | None = None, band: int | None = None) -> Alignment:
     """The best alignment of each pair (arrays of bytes).
 
@@ -85,7 +104,7 @@ def align(queries: Sequence[np.ndarray], references: Sequence[np.ndarray], score
         high, most = low + 1, int(width[order[low]])
         while high < n:
             wider = max(most, int(width[order[high]]))
-            if (high + 1 - low) * (int(sizes[order[high], 0]) + 1) * wider > CELLS:
+            if (high + 1 - low) * (int(sizes[order[high], 0]) + 1) * wider > CELLS or (high + 1 - low) * wider > ROW_CELLS:
                 break
             high, most = high + 1, wider
         some = order[low:high]
@@ -100,9 +119,9 @@ def _slice(queries: list, references: list, s: Scores, mode: str, centres: list
     rows, width = int(nq.max()), int(nr.max()) + 1
     if band is not None:
         width = min(width, 2 * band + 1)
-        first = _padded([np.clip(np.asarray(c, np.int64) - band, 0, None) for c in centres], rows + 1, 0)
-        for k in range(count):
-            first[k, len(centres[k]) :] = first[k, len(centres[k]) - 1]
+        first = np.clip(_padded([np.asarray(c, np.int64) for c in centres], rows + 1, 0) - band, 0, None)
+        last = np.array([len(c) for c in centres], np.int64)[:, None] - 1
+        first = np.take_along_axis(first, np.minimum(np.arange(rows + 1)[None, :], last), 1)
         first = np.minimum(first, np.maximum(nr[:, None] + 1 - width, 0))
     else:
         first = np.zeros((count, rows + 1), np.int64)
@@ -110,15 +129,21 @@ def _slice(queries: list, references: list, s: Scores, mode: str, centres: list
     top = int(nr.max())
     R = _padded([np.asarray(r, np.uint8) for r in references], max(top, 1), 1)
 
-    def costs(parts: list, size: int, part: str, base: float) -> np.ndarray:
-        scaled = s.scale == "both" or (s.scale == "extend" and part == "extend")
-        return _padded([base / run_lengths(np.asarray(p)) if scaled else np.full(len(p), float(base)) for p in parts], max(size, 1), float(base))
-
-    put_open, put_on = costs(queries, rows, "open", s.open), costs(queries, rows, "extend", s.extend)
-    gone_open, gone_on = costs(references, top, "open", s.open), costs(references, top, "extend", s.extend)
+    def costs(parts: list, size: int) -> list[np.ndarray]:
+        """Of each base what a gap that begins or goes on there costs."""
+        runs = flat_runs(parts) if s.scale != "none" else None
+        inside = np.arange(max(size, 1))[None, :] < np.array([len(p) for p in parts], np.int64)[:, None]
+        out = []
+        for base, scaled in ((s.open, s.scale == "both"), (s.extend, s.scale != "none")):
+            cost = np.full(inside.shape, float(base))
+            if scaled:
+                cost[inside] = base / runs
+            out.append(cost)
+        return out
+
+    (put_open, put_on), (gone_open, gone_on) = costs(queries, rows), costs(references, top)
     spent = np.concatenate([np.zeros((count, 1)), np.cumsum(gone_on, axis=1)], axis=1)
     steps = np.zeros((rows + 1, count, width), np.uint8)
-    pairs = np.arange(count)[:, None]
     place = np.arange(width)[None, :]
     final = np.full(count, LOW)
     end_i, end_j = np.zeros(count, np.int64), np.zeros(count, np.int64)
@@ -127,34 +152,40 @@ def _slice(queries: list, references: list, s: Scores, mode: str, centres: list
 
     def along(best: np.ndarray, j: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores that end in deleted bases, and whether a gap goes on there, from the row's scores without them."""
-        at = np.clip(j, 0, top)
-        gap = np.clip(j, 0, max(top - 1, 0))  # the base that is deleted first from here on
-        begun = np.where(inside, best - gone_open[pairs, gap] + spent[pairs, at], LOW)
+        begun = np.where(inside, best - opening + passed, LOW)
         run = np.maximum.accumulate(begun, axis=1)
         gone = np.full(best.shape, LOW)
-        gone[:, 1:] = run[:, :-1] - spent[pairs, at][:, 1:]
+        gone[:, 1:] = run[:, :-1] - passed[:, 1:]
         on = np.zeros(best.shape, bool)
         on[:, 2:] = run[:, :-2] > begun[:, 1:-1]
         return np.where(inside, gone, LOW), on
 
     H = put = None
+    fixed = not first.any()  # all rows lie over the same places
     for i in range(rows + 1):
-        j = first[:, i][:, None] + place
-        inside = j <= nr[:, None]
+        if i == 0 or not fixed:
+            j = first[:, i][:, None] + place
+            inside = j <= nr[:, None]
+            passed = _taken(spent, np.clip(j, 0, top))
+            opening = _taken(gone_open, np.clip(j, 0, max(top - 1, 0)))  # the base that is deleted first from here on
+            under = _taken(R, np.clip(j - 1, 0, max(top - 1, 0)))
         if i == 0:
             base = np.where(inside, 0.0 if mode != "global" else np.where(j == 0, 0.0, LOW), LOW)
             how = np.zeros((count, width), np.uint8)
             new_put, put_more = np.full((count, width), LOW), np.zeros((count, width), bool)
         else:
-            shift = (first[:, i] - first[:, i - 1])[:, None]
-            above = np.clip(place + shift, 0, width - 1)
-            seen = place + shift < width
-            up = np.where(seen, np.take_along_axis(H, above, 1), LOW)
-            up_put = np.where(seen, np.take_along_axis(put, above, 1), LOW)
-            before = place + shift - 1
-            corner = np.where((before >= 0) & (before < width), np.take_along_axis(H, np.clip(before, 0, width - 1), 1), LOW)
+            if fixed:
+                up, up_put = H, put
+                corner = np.concatenate([np.full((count, 1), LOW), H[:, :-1]], axis=1)
+            else:
+                shift = (first[:, i] - first[:, i - 1])[:, None]
+                above = np.minimum(place + shift, width - 1)
+                seen = place + shift < width
+                up, up_put = (np.where(seen, _taken(x, above), LOW) for x in (H, put))
+                before = place + shift - 1
+                corner = np.where((before >= 0) & (before < width), _taken(H, np.clip(before, 0, width - 1)), LOW)
             q = Q[:, i - 1][:, None]
-            equal = R[pairs, np.clip(j - 1, 0, max(top - 1, 0))] == q
+            equal = under == q
             diagonal = np.where((j > 0) & (corner > LOW / 2), corner + np.where(equal, s.match, s.mismatch), LOW)
             opened, went = up - put_open[:, i - 1][:, None] - put_on[:, i - 1][:, None], up_put - put_on[:, i - 1][:, None]
             new_put = np.maximum(opened, went)
@@ -192,10 +223,13 @@ def _slice(queries: list, references: list, s: Scores, mode: str, centres: list
         state = np.where((how == GONE) & ((cell & _GONE_ON) > 0), GONE, np.where((how == PUT) & ((cell & _PUT_ON) > 0), PUT, 0))
         i, j = i - ((how == PAIR) | (how == PUT)), j - ((how == PAIR) | (how == GONE))
     track = np.stack(taken[::-1], axis=1) if taken else np.zeros((count, 0), np.uint8)
-    for k in range(count):
-        own = track[k][track[k] > 0]
-        starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
-        out.ops[where[k]] = [(chr(own[a]), int(n)) for a, n in zip(starts.tolist(), np.diff(np.append(starts, len(own))).tolist(), strict=True)]
+    owner, column = np.nonzero(track)
+    own = track[owner, column]
+    starts = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (owner[1:] != owner[:-1])])[: len(own)])
+    steps_of = list(zip(own[starts].tobytes().decode(), np.diff(np.append(starts, len(own))).tolist(), strict=True))
+    edges = np.searchsorted(owner[starts], np.arange(count + 1)).tolist()
+    for k, a, b in zip(where.tolist(), edges, edges[1:], strict=False):
+        out.ops[k] = steps_of[a:b]
     good = final > LOW / 2
     out.score[where] = np.where(good, final, np.nan)
     for name, value in (("q_lo", i), ("q_hi", end_i), ("r_lo", j), ("r_hi", end_j)):
@@ -219,6 +253,38 @@ def path_score(query: np.ndarray, reference: np.ndarray, ops: list[tuple[str, in
     return float(total)
 
 
+def path_scores(queries: Sequence[np.ndarray], references: Sequence[np.ndarray], paths: Sequence[list[tuple[str, int]]], s: Scores) -> np.ndarray:
+    """``path_score`` of many pairs together."""
+    n = len(paths)
+    owner = np.repeat(np.arange(n), [len(p) for p in paths])
+    kind = np.array([ord(o) for p in paths for o, _ in p], np.int64)
+    size = np.array([m for p in paths for _, m in p], np.int64)
+    if not len(kind):
+        return np.zeros(n)
+    put, gone = kind == ord("I"), kind == ord("D")
+    first = np.searchsorted(owner, np.arange(n + 1))
+    inner = (np.arange(len(kind)) > first[owner]) & (np.arange(len(kind)) < first[owner + 1] - 1)
+    total = np.zeros(n)
+    places = []
+    for parts, takes in ((queries, ~gone), (references, ~put)):
+        begin = np.cumsum([0, *(len(p) for p in parts)])
+        moved = np.cumsum(size * takes) - size * takes
+        places.append((np.concatenate([np.asarray(p) for p in parts]), begin[owner] + moved - moved[first[:-1].clip(max=len(kind) - 1)][owner], flat_runs(parts)))
+
+    def spread(at: np.ndarray, many: np.ndarray) -> np.ndarray:
+        return np.repeat(at - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+
+    pair = ~put & ~gone
+    (q, q_at, q_runs), (r, r_at, r_runs) = places
+    same = q[spread(q_at[pair], size[pair])] == r[spread(r_at[pair], size[pair])]
+    total += np.bincount(np.repeat(owner[pair], size[pair]), np.where(same, s.match, s.mismatch), n)
+    for some, at, runs in ((put & (size > 0), q_at, q_runs), (gone & inner & (size > 0), r_at, r_runs)):
+        total -= np.bincount(owner[some], s.open / (runs[at[some]] if s.scale == "both" else np.ones(int(some.sum()))), n)
+        each = spread(at[some], size[some])
+        total -= np.bincount(np.repeat(owner[some], size[some]), s.extend / (runs[each] if s.scale != "none" else np.ones(len(each))), n)
+    return total
+
+
 def cigar(ops: list[tuple[str, int]], before: int = 0, after: int = 0) -> str:
     """With what is clipped at both ends."""
     return "".join(f"{n}{op}" for op, n in [("S", before), *ops, ("S", after)] if n)
@@ -231,12 +297,11 @@ def gapped_alignment(scores: Scores = Scores(), mode: str = "local"):
         known = (query.notna() & reference.notna()).to_numpy()
         sides = [[np.frombuffer(x.encode(), np.uint8) for x in c[known]] for c in (query, reference)]
         found = align(*sides, scores, mode)
-        rows = pd.DataFrame(index=range(len(query)), columns=["score", "q_start", "q_end", "r_start", "r_end", "cigar"], dtype=object)
-        at = np.flatnonzero(known)
-        for k, row in enumerate(at.tolist()):
-            good = not np.isnan(found.score[k])
-            text = cigar(found.ops[k], int(found.q_lo[k]), len(sides[0][k]) - int(found.q_hi[k])) if mode == "local" and found.ops[k] else cigar(found.ops[k])
-            rows.iloc[row] = [float(found.score[k]) if good else None, int(found.q_lo[k]), int(found.q_hi[k]), int(found.r_lo[k]), int(found.r_hi[k]), text]
-        return rows
+        clips = ((lo, len(q) - hi) if mode == "local" and o else (0, 0) for o, q, lo, hi in zip(found.ops, sides[0], found.q_lo.tolist(), found.q_hi.tolist(), strict=True))
+        texts = [cigar(o, *c) for o, c in zip(found.ops, clips, strict=True)]
+        columns = {"score": found.score, "q_start": found.q_lo, "q_end": found.q_hi, "r_start": found.r_lo, "r_end": found.r_hi, "cigar": texts}
+        # whole numbers as objects, so that rows without a pair can be null beside them
+        said = pd.DataFrame({n: pd.Series(c, index=np.flatnonzero(known), dtype="float64" if n == "score" else object) for n, c in columns.items()})
+        return said.reindex(range(len(query))).astype(object).where(lambda x: x.notna(), None)
 
     return aligned

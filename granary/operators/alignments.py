@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from granary.functions import cigars, gapped, sequence
 from granary.operators import coverage, intervals
-from granary.operators.arrow import lists, with_arrays
+from granary.operators.arrow import dealt, lists, with_arrays
 
 UNMAPPED, REVERSE, FAILED, DUPLICATE = 4, 16, 512, 1024
 #: Errors a base at most, as one in so many bases, for lengths at quality 7, 10, 17 and 20.
@@ -160,10 +160,11 @@ def realigned(df: DataFrame, scores: gapped.Scores = CONTEXT, band: int = 10) ->
             clips.append((before, after))
             paths.append(inner)
         found = gapped.align(queries, references, scores, "read", centres, band)
+        known_score = gapped.path_scores(queries, references, paths, scores) if rows else []
         changed, seqs, refs = np.zeros(walk.n, bool), c["seq"].to_pylist(), [None] * walk.n
         hard = [(x[: len(x) - len(x.lstrip("0123456789")) + 1] if x and x.lstrip("0123456789")[:1] == "H" else "", x[len(x[:-1].rstrip("0123456789")) :] if x and x.endswith("H") else "") for x in old]
         for k, row in enumerate(rows):
-            if np.isnan(found.score[k]) or not found.ops[k] or found.score[k] <= gapped.path_score(queries[k], references[k], paths[k], scores) + 1e-9:
+            if np.isnan(found.score[k]) or not found.ops[k] or found.score[k] <= known_score[k] + 1e-9:
                 continue
             lead, tail = hard[row]
             fresh = lead + gapped.cigar(found.ops[k], *clips[k]) + tail
@@ -178,7 +179,7 @@ def realigned(df: DataFrame, scores: gapped.Scores = CONTEXT, band: int = 10) ->
             md[k] = text
         return [pa.array(start, pa.int64()), pa.array(old, pa.string()), pa.array(md, pa.string()), pa.array(changed)]
 
-    return with_arrays(df, [T.StructField("start", T.LongType()), T.StructField("cigar", T.StringType()), T.StructField("md", T.StringType()), T.StructField("changed", T.BooleanType())], work)
+    return with_arrays(dealt(df), [T.StructField("start", T.LongType()), T.StructField("cigar", T.StringType()), T.StructField("md", T.StringType()), T.StructField("changed", T.BooleanType())], work)
 
 
 def homopolymer_errors(df: DataFrame, by: list[str], longest: int = 10) -> DataFrame:

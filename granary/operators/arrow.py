@@ -32,6 +32,11 @@ def with_arrays(df: DataFrame, fields: list[T.StructField], work: Callable[[dict
     return df.toDF(*(f"c{k}" for k in range(len(names)))).mapInArrow(run, schema).toDF(*(names[k] for k in kept), *new)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows over as many tasks as a shuffle has, for work that takes long for a row: a file of few row groups is few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def lists(offsets, *columns: tuple[str, pa.Array]) -> pa.Array:
     """A list column of structs from flat columns."""
     inner = pa.StructArray.from_arrays([a for _, a in columns], names=[n for n, _ in columns])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from granary.functions import sequence
+from granary.functions import gapped, sequence
 from granary.operators import alignments as al
 from granary.operators import intervals
 from granary.plans import base_queries, coverage_queries, table_queries
@@ -64,3 +66,34 @@ def test_top_alleles_are_found_without_sorting_arrays(spark):
 def test_no_sketch_is_kept_for_every_user(spark):
     plan = table_queries.approx_distinct_users(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in plan.splitlines() if "user_id" in x.split("functions=")[0] and "approx_count" in x and "keys=" in x]
+
+
+def test_scores_of_many_paths_are_those_of_each():
+    rng = np.random.default_rng(5)
+    letters = np.frombuffer(b"ACGT", np.uint8)
+    paths = [[("M", 3), ("D", 2), ("M", 2), ("I", 3), ("M", 1)], [("D", 1), ("M", 4), ("D", 2)], [("I", 2), ("M", 2)], [("M", 1)], [], [("I", 3)], [("=", 2), ("X", 1), ("D", 1), ("M", 1)]]
+    queries = [letters[rng.integers(0, 4, sum(n for o, n in p if o != "D"))] for p in paths]
+    references = [letters[rng.integers(0, 2, sum(n for o, n in p if o != "I"))] for p in paths]
+    for scale in ("none", "extend", "both"):
+        s = gapped.Scores(4, -6, 5, 2, scale)
+        assert gapped.path_scores(queries, references, paths, s) == pytest.approx([gapped.path_score(*x, s) for x in zip(queries, references, paths, strict=True)])
+    assert gapped.flat_runs(queries).tolist() == [n for q in queries for n in gapped.run_lengths(q).tolist()]
+
+
+def test_alignments_do_not_depend_on_how_pairs_are_cut_into_slices(monkeypatch):
+    rng = np.random.default_rng(6)
+    letters = np.frombuffer(b"ACGT", np.uint8)
+    pairs = [tuple(letters[rng.integers(0, 4, rng.integers(0, 25))] for _ in "ab") for _ in range(60)]
+    queries, references = zip(*pairs, strict=True)
+    found = []
+    for cells in (1, 200, gapped.ROW_CELLS):
+        monkeypatch.setattr(gapped, "ROW_CELLS", cells)
+        out = gapped.align(queries, references, mode="read")
+        found.append((np.nan_to_num(out.score).tolist(), out.r_lo.tolist(), out.ops))
+    assert found[0] == found[1] == found[2]
+
+
+def test_a_file_of_one_group_is_aligned_by_many_tasks(spark):
+    assert tables.sequenced(spark, SF).rdd.getNumPartitions() == 1
+    for df in (base_queries.read_alignments(spark, SF), al.realigned(al.with_md(tables.sequenced(spark, SF)))):
+        assert "RepartitionByExpression" in _plan(df) or "Repartition 8" in _plan(df)
