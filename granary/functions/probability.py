@@ -66,10 +66,15 @@ def fisher_exact(a: Column, b: Column, c: Column, d: Column) -> Column:
     low, high = F.greatest(F.lit(0).cast("long"), row + column - n), F.least(row, column)
     fixed = log_factorial(row) + log_factorial(n - row) + log_factorial(column) + log_factorial(n - column) - log_factorial(n)
 
-    def log_chance(x: Column) -> Column:
-        return fixed - log_factorial(x) - log_factorial(row - x) - log_factorial(column - x) - log_factorial(n - row - column + x)
+    def log_share(x: Column) -> Column:
+        return -log_factorial(x) - log_factorial(row - x) - log_factorial(column - x) - log_factorial(n - row - column + x)
+
+    def total(s: Column) -> Column:
+        logs = F.transform(F.sequence(low, high), lambda x: s["fixed"] + log_share(x))
+        return F.aggregate(F.filter(logs, lambda x: x <= s["most"]), F.lit(0.0), lambda t, x: t + F.exp(x))
 
     good = (a >= 0) & (b >= 0) & (c >= 0) & (d >= 0)
-    logs = F.transform(F.sequence(low, high), log_chance)
-    p = F.aggregate(F.filter(logs, lambda x: x <= log_chance(a) + 1e-7), F.lit(0.0), lambda s, x: s + F.exp(x))
+    # an array of one, so that what is the same for all tables is worked out once for a row
+    once = F.struct(fixed.alias("fixed"), (fixed + log_share(a) + 1e-7).alias("most"))
+    p = F.when(good, F.transform(F.array(once), total)[0])
     return F.when(good, F.least(p, F.lit(1.0)))

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.functions import gapped, sequence
+from granary.functions.probability import fisher_exact
 from granary.operators import alignments as al
-from granary.operators import intervals
+from granary.operators import intervals, reference, variants
 from granary.plans import base_queries, coverage_queries, table_queries
 from granary.sources import tables
 from tests.compare import sql_rows
@@ -97,3 +98,22 @@ def test_a_file_of_one_group_is_aligned_by_many_tasks(spark):
     assert tables.sequenced(spark, SF).rdd.getNumPartitions() == 1
     for df in (base_queries.read_alignments(spark, SF), al.realigned(al.with_md(tables.sequenced(spark, SF)))):
         assert "RepartitionByExpression" in _plan(df) or "Repartition 8" in _plan(df)
+
+
+def test_what_is_the_same_for_all_tables_of_the_exact_test_is_worked_out_once(spark):
+    df = spark.createDataFrame([(3, 1, 1, 3), (0, 5, 5, 0), (-1, 2, 2, 2), (10, 0, 2, 9)], "a int, b int, c int, d int")
+    p = fisher_exact(*(F.col(x) for x in "abcd"))
+    got = [r[0] for r in df.select(p).collect()]
+    assert got[2] is None and [got[k] for k in (0, 1, 3)] == pytest.approx([0.48571428571, 2 / 252, 78 / 352716], rel=1e-3)
+    assert "AS fixed" in df.select(p)._jdf.queryExecution().analyzed().toString()
+
+
+def test_alleles_are_trimmed_and_shifted_in_batches(spark):
+    calls = spark.createDataFrame([("c", 2, "AAT", "AAGT"), ("c", 1, None, "A"), ("c", 5, "CAC", "C")], "contig string, pos long, ref string, alt string")
+    assert [tuple(r) for r in variants.normalised(calls).collect()] == [("c", 3, "A", "AG"), ("c", 1, None, "A"), ("c", 5, "CAC", "C")]
+    assert "MapInArrow" in _plan(variants.normalised(calls))
+    bases = spark.createDataFrame([("c", k, b) for k, b in enumerate("GTACACACG") if k != 1], "contig string, pos long, base string")
+    blocks = reference.blocks(bases, 4)
+    assert {r.block: r.seq for r in blocks.collect()} == {0: "GNAC", 1: "ACAC", 2: "G"}
+    moved = reference.left_aligned(spark.createDataFrame([("c", 5, "CAC", "C")], calls.schema), blocks, 4)
+    assert [tuple(r[c] for c in calls.columns) for r in moved.collect()] == [("c", 1, "NAC", "N")]
