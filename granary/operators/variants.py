@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.functions.probability import fisher_exact
-from granary.functions.trims import trimmed_alleles
+from granary.operators.arrow import with_arrays
 
 
 def allele_counts(df: DataFrame, locus: list[str], allele: str, forward: Column) -> DataFrame:
@@ -42,7 +44,27 @@ def priority_union(sources: list[DataFrame], key: list[str], tie: list[str]) ->
 
 def normalised(df: DataFrame, pos: str = "pos", ref: str = "ref", alt: str = "alt") -> DataFrame:
     """Alleles without the bases that both share, so that one change is written in one way."""
-    return df.withColumn("__a", trimmed_alleles(F.col(pos), F.col(ref), F.col(alt))).withColumns({c: F.col(f"__a.{n}") for c, n in ((pos, "pos"), (ref, "ref"), (alt, "alt"))}).drop("__a")
+
+    def shared(a: str, b: str, most: int) -> int:
+        n = 0
+        while n < most and a[n] == b[n]:
+            n += 1
+        return n
+
+    def work(c: dict[str, pa.Array]) -> list[pa.Array]:
+        at, a, b = c[pos].to_pylist(), c[ref].to_pylist(), c[alt].to_pylist()
+        for k, (x, y) in enumerate(zip(a, b, strict=True)):
+            if x and y and min(len(x), len(y)) > 1:
+                room = min(len(x), len(y)) - 1
+                tail = shared(x[::-1], y[::-1], room)
+                head = shared(x, y, room - tail)
+                a[k], b[k] = x[head : len(x) - tail], y[head : len(y) - tail]
+                at[k] = None if at[k] is None else at[k] + head
+        return [pa.array(at, c[pos].type), pa.array(a, pa.string()), pa.array(b, pa.string())]
+
+    # in a batch, as Spark would put copies of so deep an expression wherever one of its columns is used
+    fields = [T.StructField(n, t) for n, t in ((pos, df.schema[pos].dataType), (ref, T.StringType()), (alt, T.StringType()))]
+    return with_arrays(df, fields, work).select(*df.columns)
 
 
 def annotated(calls: DataFrame, hints: DataFrame, by: list[str]) -> DataFrame:
