@@ -5,9 +5,13 @@ Blocks: ``contig``, ``block``, ``seq``; block k holds the bases from ``k * size`
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from granary.operators.arrow import with_arrays
 from granary.operators.variants import normalised
 
 BLOCK = 4096
@@ -19,8 +23,13 @@ def blocks(bases: DataFrame, size: int = BLOCK) -> DataFrame:
     """Blocks from one row a base: ``contig``, ``pos`` (from 0), ``base``; a place without a row is ``N``."""
     # a block is at most ``size`` bases, whatever the contig
     keyed = bases.select("contig", F.floor(F.col("pos") / size).cast("long").alias("block"), F.struct((F.col("pos") % size).cast("int").alias("at"), F.col("base").alias("base")).alias("b"))
-    held = keyed.groupBy("contig", "block").agg(F.map_from_entries(F.collect_list("b")).alias("m"), F.max("b.at").alias("top"))
-    return held.select("contig", "block", F.array_join(F.transform(F.sequence(F.lit(0), "top"), lambda k: F.coalesce(F.try_element_at("m", k), F.lit("N"))), "").alias("seq"))
+    held = keyed.groupBy("contig", "block").agg(F.array_sort(F.collect_list("b")).alias("m"))
+
+    def filled(b: Column, k: Column) -> Column:
+        gap = b["at"] - F.coalesce(F.get("m", k - 1)["at"], F.lit(-1)) - 1
+        return F.concat(F.when(gap < 0, F.raise_error(F.lit("two bases at one place"))).otherwise(F.repeat(F.lit("N"), gap)), F.coalesce(b["base"], F.lit("N")))
+
+    return held.select("contig", "block", F.array_join(F.transform("m", filled), "").alias("seq"))
 
 
 def lengthened(reference: DataFrame, over: int, size: int = BLOCK) -> DataFrame:
@@ -45,11 +54,21 @@ def with_window(rows: DataFrame, reference: DataFrame, lo: Column, hi: Column, o
     return keyed.join(long, ["contig", "block"], "left").withColumn(name, F.coalesce(found, F.lit(""))).drop("__lo", "__hi", "__seq", "block")
 
 
-def _common_tail(a: Column, b: Column) -> Column:
-    """How many characters at the ends of two strings of one length are equal."""
-    differ = F.zip_with(F.split(F.reverse(a), ""), F.split(F.reverse(b), ""), lambda x, y: x != y)
-    at = F.array_position(differ, True)
-    return F.when(F.length(a) == 0, 0).when(at > 0, at - 1).otherwise(F.length(a)).cast("int")
+def _periodic_tails(c: dict[str, pa.Array]) -> list[pa.Array]:
+    """How many letters at the end of ``__upper`` are equal to the one ``__length`` letters before; ``N`` equals nothing."""
+    from granary.operators.matches import letters
+
+    code, first = letters(c["__upper"])
+    period, n = c["__length"].to_numpy(zero_copy_only=False).astype(np.int64), np.diff(first)
+    room = np.maximum(n - period, 0)
+    row = np.repeat(np.arange(len(n)), room)
+    at = np.repeat(first[1:] - room - (np.cumsum(room) - room), room) + np.arange(len(row))
+    before = code[at - period[row]]
+    differs = np.flatnonzero((code[at] != before) | (before == ord("N")))
+    # of each row the last place that differs, or the one before its first
+    last = first[1:] - room - 1
+    np.maximum.at(last, row[differs], at[differs])
+    return [pa.array((first[1:] - 1 - last).astype(np.int32))]
 
 
 def left_aligned(variants: DataFrame, reference: DataFrame, size: int = BLOCK, first_reach: int = FIRST_REACH) -> DataFrame:
@@ -82,11 +101,11 @@ def _shifted(rows: DataFrame, reference: DataFrame, reach: int, size: int) -> Da
     # the window ends with the base before the change
     seen = with_window(rows, reference, F.col("pos") + 1 - reach, F.col("pos") + 1, reach, "__before", size)
     seen = seen.withColumn("__own", own).withColumn("__all", F.concat("__before", "__own"))
-    length, upper = F.length("__own"), F.upper("__all")
-    left = F.translate(F.substr(upper, F.lit(1), F.length("__all") - length), "N", "#")
+    seen = with_arrays(seen.withColumns({"__upper": F.upper("__all"), "__length": F.length("__own")}), [T.StructField("__same", T.IntegerType())], _periodic_tails)
+    length = F.col("__length")
     # the base before the change stays one of the reference
     most = F.greatest(F.length("__before") - 1, F.lit(0))
-    seen = seen.withColumn("__most", most).withColumn("__k", F.least(_common_tail(left, F.substr(upper, length + 1)), "__most"))
+    seen = seen.withColumn("__most", most).withColumn("__k", F.least("__same", "__most"))
     end = F.length("__all") - F.col("__k")
     moved, anchor = F.substr("__all", end - length + 1, length), F.substr("__all", end - length, F.lit(1))
     deletion, shift = F.length("ref") > 1, F.col("__k") > 0
