@@ -60,8 +60,8 @@ SIMILARITY = 0.8
 SMALL, FIRST_LAGS = 32, 8
 #: Classes in a chunk of a signature that has more than SMALL, and candidates of a class in another chunk that are verified first.
 CHUNK, BEST = 2048, 3
-#: Documents whose grams are counted, about, and counters of them; any order of grams is right, rare ones first is quick.
-SAMPLE_ROWS, COUNTERS = 8_000, 1 << 22
+#: Counters of grams; any order of grams is right, rare ones first is quick.
+COUNTERS = 1 << 22
 #: A signature that is counted more often is dealt over so many more buckets.
 SALT_CLASSES = 200_000
 #: Lines of more words take a number of signatures that is enough wherever they stand.
@@ -170,8 +170,8 @@ def _counter(gram: np.ndarray) -> np.ndarray:
     return (gram & np.uint64(COUNTERS - 1)).astype(np.int64)
 
 
-def gram_counts(whole: DataFrame, rows: int, grams: Grams, min_words: int) -> np.ndarray:
-    """How often the grams of each counter occur in the corpus, about."""
+def gram_counts(whole: DataFrame, grams: Grams, min_words: int) -> np.ndarray:
+    """How often the grams of each counter occur in the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
@@ -184,13 +184,11 @@ def gram_counts(whole: DataFrame, rows: int, grams: Grams, min_words: int) -> np
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["counter", "n"])
 
-    step = max(1, rows // SAMPLE_ROWS)
-    sample = whole.filter(F.pmod(F.xxhash64("uid"), F.lit(step)) == 0).select("text")
     # one row a counter at most, whatever the size of the corpus
-    got = sample.mapInArrow(run, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    got = whole.select("text").mapInArrow(run, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(COUNTERS, np.int64)
     total[got.column("counter").to_numpy()] = got.column("n").to_numpy()
-    return total * step
+    return total
 
 
 class Order:
@@ -532,7 +530,7 @@ def _groups(whole: DataFrame, classes: DataFrame, lines: int, min_words: int, si
     """``node`` and ``root`` of each class that is alike to another one, or to one that is, and so on."""
     grams = Grams(similarity, min_words)
     bits = max(12, int(20 * lines // BUCKET_ROWS).bit_length())
-    order = Order(gram_counts(whole, whole.count(), grams, min_words))
+    order = Order(gram_counts(whole, grams, min_words))
     found = cut(candidates(_members(whole, order, grams, min_words, bits), similarity, bits), "candidates")
     pairs = cut(_with_like_parities(found.filter("a IS NOT NULL").select("a", "b").distinct(), classes, similarity), "pairs")
     hot = cut(found.filter("a IS NULL").select("b", "token", "words", "place").join(classes.select(F.col("cid").alias("b"), "odd1", "odd2"), "b"), "hot")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import gapped, sequence
 from granary.functions.probability import fisher_exact
+from granary.llm import line_dedup
 from granary.operators import alignments as al
 from granary.operators import intervals, reference, variants
 from granary.plans import base_queries, coverage_queries, table_queries
@@ -117,3 +118,9 @@ def test_alleles_are_trimmed_and_shifted_in_batches(spark):
     assert {r.block: r.seq for r in blocks.collect()} == {0: "GNAC", 1: "ACAC", 2: "G"}
     moved = reference.left_aligned(spark.createDataFrame([("c", 5, "CAC", "C")], calls.schema), blocks, 4)
     assert [tuple(r[c] for c in calls.columns) for r in moved.collect()] == [("c", 1, "NAC", "N")]
+
+
+def test_all_grams_are_counted(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("uid"), F.lit("a b c d e f g h i j").alias("text"))
+    counts = line_dedup.gram_counts(docs, grams=line_dedup.Grams(0.8, 5), min_words=5)
+    assert set(counts[counts > 0].tolist()) == {20_000}
