@@ -90,5 +90,5 @@ SELECT item_id, doc_id AS contig, min(p) AS read_start, min(q) AS ref_start, cou
 )
 def maximal_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stretches of 32 characters or more of benchmark items in documents, as long as they go."""
-    docs = matches.text_blocks(load(spark, sf_dir, "documents"), "doc_id", "text")
-    return matches.maximal(load(spark, sf_dir, "benchmark"), docs, "item_id", "text", 32, 20, unknown=None)
+    docs = load(spark, sf_dir, "documents")
+    return matches.maximal(load(spark, sf_dir, "benchmark"), lambda over: matches.text_blocks(docs, "doc_id", "text", over=over), "item_id", "text", 32, 20, unknown=None)

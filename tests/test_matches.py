@@ -51,3 +51,21 @@ def test_texts_with_any_characters(spark):
     got = sorted(tuple(r)[2:] for r in matches.maximal(reads, matches.text_blocks(docs, "doc_id", "text", 8), "k", "t", 10, 6, 8, None).collect())
     assert got == [(1, 1, 17), (1, 26, 17)]
     assert matches.maximal(reads.limit(0), matches.text_blocks(docs, "doc_id", "text", 8), "k", "t", 10, 6, 8).count() == 0
+
+
+def test_few_seeds_and_blocks_of_the_reference_leave_their_tasks(spark):
+    rng = random.Random(1)
+    texts = {k: "".join(rng.choice("ACGT") for _ in range(3000)) for k in range(20)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    read = texts[3][1000:1100]
+    own = matches.seeds(spark.createDataFrame([(read,)], "text string"), "text", 12, 20, None)
+    every = matches.seeds(docs, "text", 12, 20, None)
+    few = matches.seeds(docs, "text", 12, 20, None, among=own)
+    assert own.count() <= few.count() < every.count() / 50
+    assert own.join(few, "seed", "left_anti").count() == 0
+    reads = spark.createDataFrame([(7, read), (7, read), (8, None)], "k int, t string")
+    got = matches.maximal(reads, lambda over: matches.text_blocks(docs, "doc_id", "text", 256, over), "k", "t", 20, 12, 256, None)
+    assert sorted(tuple(r) for r in got.collect()) == plain([(7, read)], texts, 20) == [(7, 3, 0, 1000, 100)]
+    blocks = matches.text_blocks(docs, "doc_id", "text", 256)
+    here = spark.createDataFrame([(3, 4)], "contig long, block long")
+    assert {(r["contig"], r["block"]) for r in matches.with_key_in(blocks, ["contig", "block"], here).collect()} == {(3, 4)}
