@@ -58,16 +58,28 @@ def block_of(flow: Column, blocks: list[tuple[int, int]]) -> Column:
     return out
 
 
-def consensus(df: DataFrame, family: list[str], sequence: str, least: int = 1) -> DataFrame:
+#: Reads of a family that are counted in one task, about.
+SALT_READS = 1_000_000
+
+
+def consensus(df: DataFrame, family: list[str], sequence: str, least: int = 1, salt_reads: int = SALT_READS) -> DataFrame:
     """``bases`` and ``reads`` of each family of at least ``least`` reads: the base that most have at each place, the smaller of two.
 
-    Counts are added up by family, place and base first, so a family of very many reads is few rows.
+    Whole reads are dealt by family, those of a very large one over salts, and taken apart there, so
+    that a read is shuffled once, whatever the order of the rows, and then the sums of each family.
     """
-    each = df.select(*family, F.posexplode(F.filter(F.split(sequence, ""), lambda b: b != "")).alias("place", "base"))
-    votes = each.groupBy(*family, "place", "base").agg(F.count("*").alias("n"))
+    counts = df.groupBy(*family).agg(F.count("*").alias("reads"))
+    # a row for each ``salt_reads`` reads at most
+    large = counts.filter(F.col("reads") > salt_reads).select(*family, F.ceil(F.col("reads") / salt_reads).cast("int").alias("__salts"))
+    salt = F.pmod(F.monotonically_increasing_id(), F.coalesce("__salts", F.lit(1)))
+    reads = df.select(*family, F.col(sequence).alias("__bases")).join(F.broadcast(large), family, "left").select(*family, "__bases", salt.alias("__salt"))
+    each = reads.repartition(*family, "__salt").select(*family, "__salt", F.posexplode(F.filter(F.split("__bases", ""), lambda b: b != "")).alias("place", "base"))
+    votes = each.groupBy(*family, "__salt", "place", "base").agg(F.count("*").alias("n"))
+    # all that follows goes by family, so this is the last shuffle of votes
+    votes = votes.repartition(*family).groupBy(*family, "place", "base").agg(F.sum("n").alias("n"))
     best = votes.groupBy(*family, "place").agg(F.min_by("base", F.struct(-F.col("n"), "base")).alias("base"))
     rows = best.groupBy(*family).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "base"))), lambda x: x["base"]), "").alias("bases"))
-    return rows.join(df.groupBy(*family).agg(F.count("*").alias("reads")).filter(F.col("reads") >= least), family)
+    return rows.join(counts.filter(F.col("reads") >= least), family)
 
 
 def parsed_time(text: Column, formats: list[str], fallback: Column) -> Column:

@@ -10,7 +10,7 @@ from granary.functions import gapped, sequence
 from granary.functions.probability import fisher_exact
 from granary.llm import line_dedup
 from granary.operators import alignments as al
-from granary.operators import intervals, reference, variants
+from granary.operators import intervals, reference, reports, variants
 from granary.plans import base_queries, coverage_queries, table_queries
 from granary.sources import tables
 from tests.compare import sql_rows
@@ -124,3 +124,14 @@ def test_all_grams_are_counted(spark):
     docs = spark.range(20_000).select(F.col("id").alias("uid"), F.lit("a b c d e f g h i j").alias("text"))
     counts = line_dedup.gram_counts(docs, grams=line_dedup.Grams(0.8, 5), min_words=5)
     assert set(counts[counts > 0].tolist()) == {20_000}
+
+
+def test_reads_are_dealt_before_they_are_taken_apart(spark):
+    rows = [(k % 3, "ACGT"[k % 4] + "AACC"[k % 4] + "T" * (k % 2)) for k in range(60)] + [(3, "A"), (4, ""), (5, None), (None, "A")]
+    df = spark.createDataFrame(rows, "f int, s string").repartition(4)
+    found = [reports.consensus(df, ["f"], "s", 2, salt_reads=n) for n in (7, 1000)]
+    plan = found[1]._jdf.queryExecution().executedPlan().toString()
+    # a read's bases are rows above the shuffle only
+    assert "REPARTITION_BY_COL" in plan[plan.index("Generate") :]
+    for got in found:
+        assert sorted(tuple(r) for r in got.select("f", "bases", "reads").collect()) == [(0, "AAT", 20), (1, "AAT", 20), (2, "AAT", 20)]
