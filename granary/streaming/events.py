@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-import bisect
-import heapq
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
+#: Buckets of keys whose rows wait for the watermark together; the number can't change between runs of one stream.
+BUCKETS = 512
+_NO_KEY = -1
+
+
 @dataclass
 class Ends:
     """A folder of rows far behind all others: once they are read, everything before them is closed."""
@@ -61,43 +65,52 @@ def deduplicated(df: DataFrame, time: str, key: list[str], late: str) -> DataFra
     return df.withWatermark(time, late).dropDuplicatesWithinWatermark(key)
 
 
-def in_order(df: DataFrame, key: str, time: str, row: str, late: int, grace: int = 30 * 86_400) -> DataFrame:
+def in_order(df: DataFrame, key: str, time: str, row: str, late: int, grace: int = 30 * 86_400, buckets: int = BUCKETS) -> DataFrame:
     """Rows of each key in the order of time, as the watermark (``late`` seconds behind the latest row of all) passes them.
 
-    Rows wait in the key's state until then; a timer at the earliest of them brings them out
-    although the key has no more rows, so a key's state is what is not yet passed, and none
-    when nothing waits.  A row that comes behind the watermark is given out at once as late;
-    one that comes more than ``grace`` seconds later than that is dropped and counted by Spark.
+    Rows wait in the state of their key's bucket until then, in arrays, as a call for each key takes
+    far longer than what is done for it; a timer at the earliest of them brings them out although
+    there are no more rows, so a bucket's state is what is not yet passed, and none when nothing
+    waits.  A row that comes behind the watermark is given out at once as late; one that comes more
+    than ``grace`` seconds later than that is dropped and counted by Spark.
     Columns: key, time, row, late.
     """
-    schema = f"{key} {df.schema[key].dataType.simpleString()}, at long, {row} long, late boolean"
+    kind = df.schema[key].dataType.simpleString()
+    schema = f"{key} {kind}, at long, {row} long, late boolean"
+    state_schema = f"keys array<{kind}>, codes binary, times binary, ids binary, nulls binary"
     more = grace * 1_000_000
 
-    def place(r: tuple[int, int | None]) -> tuple[int, bool, int]:
-        return r[0], r[1] is None, r[1] or 0
-
-    def walk(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def walk(bucket: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         watermark = state.getCurrentWatermarkMs() * 1000
         passed = watermark + more if watermark > 0 else -(1 << 62)
-        waiting = list(zip(*state.get, strict=True)) if state.exists else []
-        behind, fresh = [], []
-        for part in [] if state.hasTimedOut else parts:
-            for at, i in zip(part["at"].tolist(), part[row].tolist(), strict=True):
-                (behind if at <= passed else fresh).append((int(at), None if pd.isna(i) else int(i)))
-        waiting = list(heapq.merge(waiting, sorted(fresh, key=place), key=place))
-        n = bisect.bisect_right(waiting, passed, key=lambda r: r[0])
-        out, rest = waiting[:n], waiting[n:]
-        if rest:
-            state.update(([r[0] for r in rest], [r[1] for r in rest]))
+        kept = state.get if state.exists else ([], b"", b"", b"", b"")
+        n = len(kept[2]) // 8
+        new = [] if state.hasTimedOut else list(parts)
+        # rows without a key have a bucket of their own, so that no column of keys holds both
+        keys = [*kept[0], *(x for p in new for x in ([None] * len(p) if bucket[0] == _NO_KEY else p["__key"].tolist()))]
+        code, known = pd.factorize(pd.Series(keys, dtype=object), use_na_sentinel=False)
+        code = np.concatenate([code[: len(kept[0])][np.frombuffer(kept[1], np.int32)], code[len(kept[0]) :]]).astype(np.int32)
+        at, ids = (np.concatenate([np.frombuffer(x, np.int64), *(p[c].to_numpy(np.int64) for p in new)]) for c, x in (("at", kept[2]), ("__row", kept[3])))
+        null = np.concatenate([np.frombuffer(kept[4], bool), *(p["__null"].to_numpy(bool) for p in new)])
+        out, behind = at <= passed, at <= passed
+        behind = behind & (np.arange(len(at)) >= n)  # these come when the watermark has passed them
+        order = np.lexsort((ids, null, at))
+        said = np.concatenate([order[(out & ~behind)[order]], order[behind[order]]])
+        rest = order[~out[order]]
+        if len(rest):
+            own, codes = np.unique(code[rest], return_inverse=True)
+            state.update(([known[k] for k in own.tolist()], codes.astype(np.int32).tobytes(), at[rest].tobytes(), ids[rest].tobytes(), null[rest].tobytes()))
             # Spark's own watermark is behind this one by the grace
-            state.setTimeoutTimestamp(max((rest[0][0] - more) // 1000, watermark // 1000 + 1))
+            state.setTimeoutTimestamp(max((int(at[rest[0]]) - more) // 1000, watermark // 1000 + 1))
         elif state.exists:
             state.remove()
-        said = [(k[0], *r, False) for r in out] + [(k[0], *r, True) for r in sorted(behind, key=place)]
-        yield pd.DataFrame(said, columns=[key, "at", row, "late"])
+        if len(said):
+            yield pd.DataFrame({key: pd.Series([known[k] for k in code[said].tolist()], dtype=object), "at": at[said], row: pd.arrays.IntegerArray(ids[said], null[said]), "late": behind[said]})
 
-    rows = df.select(key, F.col(time), F.unix_micros(time).alias("at"), F.col(row).cast("long").alias(row)).withWatermark(time, f"{late + grace} seconds")
-    found = rows.groupBy(key).applyInPandasWithState(walk, schema, "times array<long>, ids array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+    bucket = F.when(F.col(key).isNull(), F.lit(_NO_KEY)).otherwise(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    number = F.col(row).cast("long")
+    rows = df.select(bucket.alias("__bucket"), F.col(key).alias("__key"), F.col(time), F.unix_micros(time).alias("at"), F.coalesce(number, F.lit(0).cast("long")).alias("__row"), number.isNull().alias("__null")).withWatermark(time, f"{late + grace} seconds")
+    found = rows.groupBy("__bucket").applyInPandasWithState(walk, schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
     return found.select(key, F.timestamp_micros("at").alias(time), row, "late")
 
 

@@ -79,3 +79,24 @@ def test_rows_come_in_order_late_ones_are_marked_and_the_state_is_freed(spark, t
     assert epochs[1] < epochs[3]  # not all at the end
     assert epochs[1] <= epochs[2] < epochs[7]  # user 2 had no more rows yet: the timer brings its row out
     assert kept[-1] <= 1  # the end's own row waits
+
+
+def test_keys_share_a_call_and_keep_their_order(spark, tmp_path):
+    rows = [(k if k % 7 else None, k * 4_000_000_000_000_007 if k % 5 else None, START + datetime.timedelta(seconds=(k * 7919) % 4000)) for k in range(2000)]
+    events_ = spark.createDataFrame(rows, "user_id long, event_id long, ts timestamp").repartition(3)
+    events_.write.parquet(str(tmp_path / "in"))
+    stream, ends = events.read_to_end(spark, str(tmp_path / "in"), "ts", 1)
+    given = []
+
+    df = events.in_order(stream, "user_id", "ts", "event_id", 5000, buckets=4)
+    query = events.to_batches(df, "append", lambda batch, _: given.extend(map(tuple, batch.collect())), str(tmp_path / "state"))
+    query.awaitTermination()
+    # rows of all keys wait in the four buckets, and in the one of rows without a key
+    assert [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]][-1] == 5
+    for _ in range(2):
+        ends.add()
+        events.to_batches(df, "append", lambda batch, _: given.extend(map(tuple, batch.collect())), str(tmp_path / "state")).awaitTermination()
+    wanted = sorted(rows, key=lambda r: (r[2], r[1] is None, r[1] or 0))
+    for user in (None, 1, 2, 1999):
+        assert [(u, i, t) for u, t, i, late in given if u == user and not late] == [(u, i, t) for u, i, t in wanted if u == user]
+    assert len(given) == 2000
