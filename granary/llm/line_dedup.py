@@ -62,6 +62,8 @@ SMALL, FIRST_LAGS = 32, 8
 CHUNK, BEST = 2048, 3
 #: Counters of grams; any order of grams is right, rare ones first is quick.
 COUNTERS = 1 << 22
+#: Counters in one row on the way.
+COUNTED_TOGETHER = 1 << 16
 #: A signature that is counted more often is dealt over so many more buckets.
 SALT_CLASSES = 200_000
 #: Lines of more words take a number of signatures that is enough wherever they stand.
@@ -171,7 +173,15 @@ def _counter(gram: np.ndarray) -> np.ndarray:
 
 
 def gram_counts(whole: DataFrame, grams: Grams, min_words: int) -> np.ndarray:
-    """How often the grams of each counter occur in the corpus."""
+    """How often the grams of each counter occur in the corpus.
+
+    A task for each core counts in arrays, so that what is shuffled is a number a core and counter
+    at most, whatever the size of the corpus.
+    """
+    schema = "part int, counts binary"
+
+    def rows(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array([x.tobytes() for x in counts.values()], pa.binary())], ["part", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
@@ -181,13 +191,24 @@ def gram_counts(whole: DataFrame, grams: Grams, min_words: int) -> np.ndarray:
             for size, low, high in ((2, min_words, grams.two), (3, grams.three, n.max(initial=0))):
                 _, at, _ = _places(first, np.flatnonzero((n >= low) & (n <= high)), size)
                 total += np.bincount(_counter(tb.window_hashes(code, size)[at]), minlength=COUNTERS)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["counter", "n"])
-
-    # one row a counter at most, whatever the size of the corpus
-    got = whole.select("text").mapInArrow(run, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+        for part, counts in enumerate(total.reshape(-1, COUNTED_TOGETHER)):
+            if counts.any():
+                yield rows({part: counts})
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
+                some = np.frombuffer(counts.as_buffer(), np.int64)
+                total[part] = total[part] + some if part in total else some.copy()
+        for part, counts in total.items():
+            yield rows({part: counts})
+
+    counted = whole.select("text").coalesce(whole.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, schema)
+    got = counted.repartition("part").mapInArrow(added, schema).toArrow()
     total = np.zeros(COUNTERS, np.int64)
-    total[got.column("counter").to_numpy()] = got.column("n").to_numpy()
+    for part, counts in zip(got.column("part").to_pylist(), got.column("counts").to_pylist(), strict=True):
+        total[part * COUNTED_TOGETHER :][:COUNTED_TOGETHER] = np.frombuffer(counts, np.int64)
     return total
 
 

@@ -135,3 +135,17 @@ def test_reads_are_dealt_before_they_are_taken_apart(spark):
     assert "REPARTITION_BY_COL" in plan[plan.index("Generate") :]
     for got in found:
         assert sorted(tuple(r) for r in got.select("f", "bases", "reads").collect()) == [(0, "AAT", 20), (1, "AAT", 20), (2, "AAT", 20)]
+
+
+def test_counts_of_grams_travel_in_few_rows(spark):
+    docs = spark.range(2_000, numPartitions=60).select(F.col("id").alias("uid"), F.concat(F.lit("a b c d e f g h "), F.col("id").cast("string")).alias("text"))
+    grams = line_dedup.Grams(0.8, 5)
+    frame, sent = type(docs), []
+    repartition = frame.repartition
+    frame.repartition = lambda self, *a: sent.append(self.count()) or repartition(self, *a)
+    try:
+        counts = line_dedup.gram_counts(docs, grams, 5)
+    finally:
+        frame.repartition = repartition
+    assert sent and sent[0] <= spark.sparkContext.defaultParallelism * line_dedup.COUNTERS // line_dedup.COUNTED_TOGETHER
+    assert counts.max() >= 2_000
