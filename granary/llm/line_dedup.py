@@ -24,11 +24,14 @@ one group are verified, so no pair that could join two groups is left out.  A
 signature with more than ``SMALL`` classes gives but a few candidates at first;
 later all its classes that are in different groups are compared, in pairs of
 chunks dealt over the cluster: first each with the few likest ones, then, when
-groups have grown by these, all that are still apart.  Of each group the line of
-the smallest document stays.
+groups have grown by these, all that are still apart.  A pair is looked at under
+the first of its frequent signatures alone, and its words are compared there, so
+that only links that join two groups come out.  Of each group the line of the
+smallest document stays.
 
-Signatures travel as arrays, one row for each task and bucket of signatures; very
-frequent signatures are dealt over several buckets.
+Signatures travel as packed arrays, one row for each task and bucket of signatures;
+very frequent signatures are dealt over several buckets.  Shuffled files of a step
+are let go of when its result is written.
 
 Defined cases: null texts stay null, empty texts stay empty, lines of fewer
 than ``min_words`` words are never touched; a repeated row loses the lines that
@@ -52,12 +55,12 @@ from pyspark.sql import types as T
 
 from granary.llm import textbatch as tb
 from granary.llm.components import components
-from granary.llm.storage import col, cut, discard, free_name
+from granary.llm.storage import col, cut, discard, free_name, let_go
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
 #: Up to so many classes of a signature are all candidates at once; of more, each with so many before it first.
-SMALL, FIRST_LAGS = 32, 8
+SMALL, FIRST_LAGS = 128, 8
 #: Classes in a chunk of a signature that has more than SMALL, and candidates of a class in another chunk that are verified first.
 CHUNK, BEST = 2048, 3
 #: Counters of grams; any order of grams is right, rare ones first is quick.
@@ -69,15 +72,21 @@ SALT_CLASSES = 200_000
 #: Lines of more words take a number of signatures that is enough wherever they stand.
 COUNTED_WORDS = 1024
 #: Signatures in a bucket, about, and in the arrays that a task holds before it passes them on.
-BUCKET_ROWS, HELD_ROWS = 1 << 24, 1 << 19
+BUCKET_ROWS, HELD_ROWS = 1 << 24, 1 << 20
 #: Rows of up to 100 bytes that are broadcast at most; beyond it the same join shuffles.
 BROADCAST_ROWS = 200_000
 #: Classes (8 bytes each) that are broadcast at most.
 BROADCAST_NODES = 500_000
 #: Bits that say which classes' words are wanted; what they let through in error falls away in a join.
 WANTED_BITS = 24
-#: Pairs that a task looks at together.
-PAIRS = 1 << 18
+#: Pairs that a task looks at together, and numbers of the edit distances that it works out together.
+PAIRS, CELLS = 1 << 18, 1 << 21
+#: Lines of so many words carry twice 64 parities: in 64, lines that have nothing in common differ in about as many as are allowed.
+LONG = 90
+#: Sets of 64 parities by which classes of a frequent signature are told apart.
+PARITIES = 4
+#: Grams that are counted together.
+GRAMS = 1 << 22
 
 _LINES = 1 << 16  # sorted together
 _TOKEN_BITS, _PLACE_BITS, _NONE = 48, 14, (1 << 14) - 1
@@ -97,8 +106,8 @@ def _line_numbers(rows: tb.Spans, n: int) -> np.ndarray:
 
 
 def line_table(whole: DataFrame, min_words: int) -> DataFrame:
-    """One row a line with enough words: ``uid``, ``line``, ``key``, class hashes ``h1`` and ``h2``, ``words``, parities ``odd1`` and ``odd2``."""
-    longs = ("h1", "h2", "words", "odd1", "odd2")
+    """One row a line with enough words: ``uid``, ``line``, ``key``, class hashes ``h1`` and ``h2``."""
+    longs = ("h1", "h2")
     schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("line", T.LongType()), T.StructField("key", whole.schema["key"].dataType), *(T.StructField(c, T.LongType()) for c in longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +118,7 @@ def line_table(whole: DataFrame, min_words: int) -> DataFrame:
             full = np.flatnonzero(np.diff(first) >= min_words)
             h1, h2 = (tb.sequence_hashes(code, first, s) for s in (1, 2))
             owner = pa.array(rows.owner[full])
-            found = (h1[full], h2[full], (first[full + 1] - first[full]), *_parities(code, first, full))
+            found = (h1[full], h2[full])
             yield pa.RecordBatch.from_arrays([part.column("uid").take(owner), pa.array(number[full]), part.column("key").take(owner), *(pa.array(x.view(np.int64)) for x in found)], schema.names)
 
     return whole.select("uid", "key", "text").mapInArrow(run, schema)
@@ -181,16 +190,27 @@ def gram_counts(whole: DataFrame, grams: Grams, min_words: int) -> np.ndarray:
     schema = "part int, counts binary"
 
     def rows(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array([x.tobytes() for x in counts.values()], pa.binary())], ["part", "counts"])
+        short = (x.astype(np.min_scalar_type(x.max())).tobytes() for x in counts.values())  # their bytes go by the greatest
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(short), pa.binary())], ["part", "counts"])
+
+    def unpacked(counts: pa.Scalar) -> np.ndarray:
+        data = counts.as_buffer()
+        return np.frombuffer(data, f"u{data.size // COUNTED_TOGETHER}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
+        total, held, many = np.zeros(COUNTERS, np.int64), [np.zeros(0, np.int64)], 0
         for part in tb.slices(batches, "text"):
             _, first, code = normalised(tb.texts(part.column("text")))
             n = np.diff(first)
             for size, low, high in ((2, min_words, grams.two), (3, grams.three, n.max(initial=0))):
                 _, at, _ = _places(first, np.flatnonzero((n >= low) & (n <= high)), size)
-                total += np.bincount(_counter(tb.window_hashes(code, size)[at]), minlength=COUNTERS)
+                held.append(_counter(tb.window_hashes(code, size)[at]))
+                many += len(at)
+            if many >= GRAMS:
+                total += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                held, many = held[:1], 0
+        total += np.bincount(np.concatenate(held), minlength=COUNTERS)
+        del held[1:]
         for part, counts in enumerate(total.reshape(-1, COUNTED_TOGETHER)):
             if counts.any():
                 yield rows({part: counts})
@@ -199,16 +219,16 @@ def gram_counts(whole: DataFrame, grams: Grams, min_words: int) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
-                some = np.frombuffer(counts.as_buffer(), np.int64)
-                total[part] = total[part] + some if part in total else some.copy()
+                some = unpacked(counts)
+                total[part] = total[part] + some if part in total else some.astype(np.int64)
         for part, counts in total.items():
             yield rows({part: counts})
 
     counted = whole.select("text").coalesce(whole.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, schema)
     got = counted.repartition("part").mapInArrow(added, schema).toArrow()
     total = np.zeros(COUNTERS, np.int64)
-    for part, counts in zip(got.column("part").to_pylist(), got.column("counts").to_pylist(), strict=True):
-        total[part * COUNTED_TOGETHER :][:COUNTED_TOGETHER] = np.frombuffer(counts, np.int64)
+    for part, counts in zip(got.column("part").to_pylist(), got.column("counts"), strict=True):
+        total[part * COUNTED_TOGETHER :][:COUNTED_TOGETHER] = unpacked(counts)
     return total
 
 
@@ -217,9 +237,18 @@ class Order:
 
     def __init__(self, counts: np.ndarray) -> None:
         usual = max(1.0, float(counts.mean()))
-        # 0 to 13, 0 for what is not much more frequent than usual
-        self.level = np.clip(np.ceil(np.log2(np.maximum(counts, 1) / usual)) - 2, 0, 13).astype(np.uint8)
-        self.salts = np.clip(-(-counts // SALT_CLASSES), 1, 1 << 20).astype(np.int32)
+        # 0 to 13, 0 for what is not much more frequent than usual; a few at a time, as the driver does this
+        parts = np.split(counts, range(COUNTED_TOGETHER, len(counts), COUNTED_TOGETHER))
+        self.level = np.concatenate([np.clip(np.ceil(np.log2(np.maximum(x, 1) / usual)) - 2, 0, 13).astype(np.uint8) for x in parts])
+        self.often = np.concatenate([np.flatnonzero(x > SALT_CLASSES) + k * COUNTED_TOGETHER for k, x in enumerate(parts)])
+        self.many = np.minimum(-(-counts[self.often] // SALT_CLASSES), 1 << 20)
+
+    def salts(self, counter: np.ndarray) -> np.ndarray:
+        out = np.ones(len(counter), np.int64)
+        if len(self.often):
+            at = np.minimum(np.searchsorted(self.often, counter), len(self.often) - 1)
+            out = np.where(self.often[at] == counter, self.many[at], out)
+        return out
 
     def tokens(self, code: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
         """48 bits for each gram: its level, whether it is the lesser choice there, its hash."""
@@ -294,22 +323,49 @@ def signatures(code: np.ndarray, first: np.ndarray, chosen: np.ndarray, size: in
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+_PACKED = {"low": np.uint32, "top": np.uint8, "words": np.uint8, "words_top": np.uint8, "place": np.uint8, "place_top": np.uint8, "cid": np.int64, "odd": np.int64, "odd2": np.int64}
+
+
+def _packed(bucket: np.ndarray, salt: np.ndarray, token: np.ndarray, words: np.ndarray, place: np.ndarray, cid: np.ndarray, odd: np.ndarray, odd2: np.ndarray) -> pa.RecordBatch:
+    """One row for each stretch of equal ``bucket`` and ``salt``; bytes of a kind lie together, and only long lines have ``odd2``."""
+    heads = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])]))
+    ends = np.concatenate([heads, [len(bucket)]])
+    long = words >= LONG
+    columns = {"low": token, "top": token >> np.uint64(32), "words": words, "words_top": words >> 8, "place": place, "place_top": place >> 8, "cid": cid, "odd": odd, "odd2": odd2[long]}
+    out = [pa.array(bucket[heads].astype(np.int32)), pa.array(salt[heads].astype(np.int32))]
+    for name, kind in _PACKED.items():
+        offsets = ends if name != "odd2" else np.concatenate([[0], np.cumsum(long)])[ends]
+        data = np.ascontiguousarray(columns[name].astype(kind))
+        out.append(pa.BinaryArray.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer((offsets * data.itemsize).astype(np.int32)), pa.py_buffer(data)]))
+    return pa.RecordBatch.from_arrays(out, ["bucket", "salt", *_PACKED])
+
+
+def _unpacked(rows: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Rest of the token, words, place, class, parities: all in the first 64 bits of short lines, half in either of long ones."""
+
+    def values(name: str) -> np.ndarray:
+        column = rows.column(name)
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
+        return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(_PACKED[name])
+
+    low, top, words, words_top, place, place_top, cid, odd, some = (values(name) for name in _PACKED)
+    words, place = (x.astype(np.int64) | y.astype(np.int64) << 8 for x, y in ((words, words_top), (place, place_top)))
+    odd2 = np.zeros(len(cid), np.int64)
+    odd2[words >= LONG] = some
+    return low.astype(np.uint64) | top.astype(np.uint64) << np.uint64(32), words, place, cid, odd, odd2
+
+
 def _members(whole: DataFrame, order: Order, grams: Grams, min_words: int, bits: int) -> DataFrame:
-    """``bucket``, ``salt`` and the arrays ``sign`` (rest of the token, words, place), ``cid`` and ``odd`` (all parities in 64 bits); a class once a task for each signature."""
-    shared = whole.sparkSession.sparkContext.broadcast(order)  # two small numbers a counter
+    """``bucket``, ``salt`` and packed arrays (``_PACKED``) of the rest of the token, words, place, class and parities; a class once a task for each signature."""
+    shared = whole.sparkSession.sparkContext.broadcast(order)  # a byte a counter
     buckets = np.uint64((1 << bits) - 1)
 
     def packed(held: list[tuple]) -> pa.RecordBatch:
-        token, salt, words, place, cid, odd = (np.concatenate(x) for x in zip(*held, strict=True))
+        token, salt, words, place, cid, odd, odd2 = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
         bucket = (token & buckets).astype(np.int64)
-        by = np.lexsort((salt, bucket))
-        bucket, salt = bucket[by], salt[by]
-        sign = ((token >> np.uint64(bits)) << np.uint64(2 * _PLACE_BITS)) | (words.astype(np.uint64) << np.uint64(_PLACE_BITS)) | place.astype(np.uint64)
-        heads = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])]))
-        offsets = pa.array(np.concatenate([heads, [len(by)]]).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[by].view(np.int64))) for x in (sign, cid, odd)]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[heads].astype(np.int32)), pa.array(salt[heads].astype(np.int32)), *lists], ["bucket", "salt", "sign", "cid", "odd"])
+        by = np.lexsort((salt, bucket)) if (salt != _NO_SALT).any() else np.argsort(bucket, kind="stable")
+        return _packed(*(x[by] for x in (bucket, salt, token >> np.uint64(bits), words, place, cid.view(np.int64), odd.view(np.int64), odd2.view(np.int64))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, many = np.zeros(0, np.uint64), [], 0
@@ -326,10 +382,11 @@ def _members(whole: DataFrame, order: Order, grams: Grams, min_words: int, bits:
                 chosen = full[(n[full] >= low) & (n[full] <= high)]
                 line, token, place = signatures(code, first, chosen, size, shared.value, grams)
                 own = cid[chosen][line]
-                odd = np.bitwise_xor(*_parities(code, first, chosen))[line]
-                salts = shared.value.salts[_counter(token)]
+                odd, odd2 = _parities(code, first, chosen)
+                odd = np.where(n[chosen] >= LONG, odd, odd ^ odd2)
+                salts = shared.value.salts(_counter(token))
                 salt = np.where(salts > 1, (tb.mix(own) % salts.astype(np.uint64)).astype(np.int64), _NO_SALT)
-                held.append((token, salt, np.minimum(n[chosen], _NONE)[line], place, own, odd))
+                held.append((token, salt, np.minimum(n[chosen], _NONE)[line], place, own, odd[line], odd2[line]))
                 many += len(token)
             if many >= HELD_ROWS:
                 yield packed(held)
@@ -337,7 +394,7 @@ def _members(whole: DataFrame, order: Order, grams: Grams, min_words: int, bits:
         if many:
             yield packed(held)
 
-    return whole.select("text").mapInArrow(run, "bucket int, salt int, sign array<long>, cid array<long>, odd array<long>")
+    return whole.select("text").mapInArrow(run, f"bucket int, salt int, {', '.join(f'{x} binary' for x in _PACKED)}")
 
 
 def _possible(n: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
@@ -349,11 +406,6 @@ def _possible(n: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray, si
     return apart <= most
 
 
-def _unpacked(sign: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rest of the token, words, place."""
-    return sign.view(np.uint64) >> np.uint64(2 * _PLACE_BITS), (sign >> _PLACE_BITS) & _NONE, sign & _NONE
-
-
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
     """The rows of each stretch of equal keys, in one batch; a task holds one stretch and one batch at a time."""
     held: list[pa.RecordBatch] = []
@@ -374,65 +426,67 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Rec
         yield pa.concat_batches(held)
 
 
-CANDIDATES = "a long, b long, token long, words int, place int"
+CANDIDATES = "a long, b long, differ int, token long"
 
 
 def candidates(members: DataFrame, similarity: float, bits: int) -> DataFrame:
-    """Rows ``a``, ``b``: all possible pairs of few classes, the first ones of many.
+    """Rows ``a``, ``b`` and how much they ``differ``, about: all possible pairs of few classes, the first ones of many.
 
     Of signatures with many classes, or dealt over several buckets, the classes
-    come too: ``a`` is null, ``b`` is the class, ``token``, ``words`` and ``place`` follow.
+    come too: ``a`` is null, ``b`` is the class, ``token`` follows.
     """
-    names = ["a", "b", "token", "words", "place"]
-
-    def pairs_of(cid: np.ndarray, token: np.ndarray, n: np.ndarray, place: np.ndarray, odd: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        def good(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            out = _possible(n, place, a, b, similarity)
-            out[out] = _odd_enough(n[a[out]], n[b[out]], np.bitwise_count((odd[a[out]] ^ odd[b[out]]).view(np.uint64)).astype(np.int64), similarity)
-            return out
+    names = ["a", "b", "differ", "token"]
+
+    def pairs_of(cid: np.ndarray, token: np.ndarray, n: np.ndarray, place: np.ndarray, odd: np.ndarray, odd2: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        def good(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+            keep = _possible(n, place, a, b, similarity)
+            a, b = a[keep], b[keep]
+            x, y = odd[a] ^ odd[b], odd2[a] ^ odd2[b]
+            # of a short line and a long one all are put together
+            one, both = (np.bitwise_count(v.view(np.uint64)).astype(np.int64) for v in (np.where((n[a] >= LONG) == (n[b] >= LONG), x, x ^ y), y))
+            differ = one + np.where((n[a] >= LONG) & (n[b] >= LONG), both, 0)
+            keep = _odd_enough(n[a], n[b], differ, similarity)
+            return cid[a][keep], cid[b][keep], differ[keep]
 
         heads = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.concatenate([heads, [len(cid)]]))
         number, many = np.arange(len(cid)) - np.repeat(heads, size), np.repeat(size, size)
         at = np.flatnonzero((many > SMALL) & (number > FIRST_LAGS))
-        head = at - number[at]
-        fits = good(at, head)
-        yield cid[head[fits]], cid[at[fits]]
-        lag, at = 1, np.flatnonzero(number >= 1)
-        while len(at):
-            to = at[good(at, at - lag)]
-            yield cid[to - lag], cid[to]
-            lag += 1
-            at = at[(number[at] >= lag) & ((many[at] <= SMALL) | (lag <= FIRST_LAGS))]
+        yield good(at - number[at], at)
+        before = np.where(many <= SMALL, number, np.minimum(number, FIRST_LAGS))
+        block = np.cumsum(before) // PAIRS
+        for k in np.unique(block[before > 0]).tolist():
+            some = np.flatnonzero((block == k) & (before > 0))
+            b = np.repeat(some, before[some])
+            lag = np.arange(len(b)) - np.repeat(np.cumsum(before[some]) - before[some], before[some]) + 1
+            yield good(b - lag, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches, ["bucket", "salt"]):
-            sign, cid, odd = (rows.column(c).flatten().to_numpy() for c in ("sign", "cid", "odd"))
-            token, n, place = _unpacked(sign)
-            by = np.lexsort((cid, token))
-            cid, token, n, place, odd = cid[by], token[by], n[by], place[by], odd[by]
-            new = np.concatenate([[True], (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])])
-            cid, token, n, place, odd = cid[new], token[new], n[new], place[new], odd[new]
+            token, n, place, cid, odd, odd2 = _unpacked(rows)
             salted = rows.column("salt")[0].as_py() != _NO_SALT
-            first = np.concatenate([[True], token[1:] != token[:-1]])
-            several = ~(first & np.concatenate([first[1:], [True]]))  # signatures of one class have no pairs
-            if not salted:
-                cid, token, n, place, odd = cid[several], token[several], n[several], place[several], odd[several]
+            if not salted:  # signatures of one class have no pairs
+                at = np.sort(token)
+                several = tb.among(token, np.unique(at[1:][at[1:] == at[:-1]]))
+                token, n, place, cid, odd, odd2 = (x[several] for x in (token, n, place, cid, odd, odd2))
+            by = np.lexsort((cid, token))
+            token, n, place, cid, odd, odd2 = (x[by] for x in (token, n, place, cid, odd, odd2))
+            new = np.concatenate([[True], (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])])[: len(cid)]
+            token, n, place, cid, odd, odd2 = (x[new] for x in (token, n, place, cid, odd, odd2))
             if not len(cid):
                 continue
-            a, b = (np.concatenate(x) for x in zip(*pairs_of(cid, token, n, place, odd), strict=True))
-            by = np.lexsort((b, a))
-            a, b = a[by], b[by]
+            a, b, differ = (np.concatenate(x) for x in zip(*pairs_of(cid, token, n, place, odd, odd2), strict=True))
+            by = np.lexsort((differ, b, a))
+            a, b, differ = a[by], b[by], differ[by]
             new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)]
-            none = [pa.nulls(int(new.sum()), t) for t in (pa.int64(), pa.int32(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), *none], names)
+            yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(differ[new].astype(np.int32)), pa.nulls(int(new.sum()), pa.int64())], names)
             if salted:
                 hot = np.arange(len(cid))
             else:
                 _, which, many = np.unique(token, return_inverse=True, return_counts=True)
                 hot = np.flatnonzero(many[which] > SMALL)
             whole = ((token[hot] << np.uint64(bits)) | np.uint64(rows.column("bucket")[0].as_py())).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(hot), pa.int64()), pa.array(cid[hot]), pa.array(whole), pa.array(n[hot].astype(np.int32)), pa.array(place[hot].astype(np.int32))], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(hot), pa.int64()), pa.array(cid[hot]), pa.nulls(len(hot), pa.int32()), pa.array(whole)], names)
 
     return members.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt").mapInArrow(run, CANDIDATES)
 
@@ -443,50 +497,124 @@ def _looked_up(few: DataFrame, name: str) -> DataFrame:
     return F.broadcast(few) if few.count() <= BROADCAST_ROWS else few
 
 
-def other_pairs(hot: DataFrame, roots: DataFrame, similarity: float, best: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """``a``, ``b``: all possible pairs of classes of a frequent signature that stand in different groups, or the ``best`` of each class; and a table that they are read from."""
-    rows = cut(hot.join(roots.withColumnRenamed("node", "b"), "b", "left").select("token", "b", "words", "place", "odd1", "odd2", F.coalesce("root", "b").alias("root")), "members")
+def other_links(hot: DataFrame, roots: DataFrame, symbols: DataFrame, similarity: float, best: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``a``, ``b``: links that join all alike classes of a frequent signature that stand in different groups, or each class and those of its ``best`` that are alike; and a table that they are read from.
+
+    Two classes are looked at under the first of the frequent signatures that they share.
+    """
+    rows = cut(hot.join(roots.withColumnRenamed("node", "b"), "b", "left").select("token", "b", F.coalesce("root", "b").alias("root")), "members")
     split = rows.groupBy("token").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token", "many")
-    chunks = F.ceil(F.col("many") / CHUNK).cast("int")
-    own = rows.join(_looked_up(split, "split"), "token").withColumn("own", F.pmod(F.xxhash64("b"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    dealt = own.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "b", "words", "place", "root", "odd1", "odd2")
+    classes = rows.join(_looked_up(split, "split"), "token").groupBy("b").agg(F.max("root").alias("root"), F.sort_array(F.collect_list(F.struct("token", "many"))).alias("tokens"))
+    each = classes.join(symbols.withColumnRenamed("cid", "b"), "b").select("b", "root", "symbols", "tokens", F.posexplode("tokens").alias("place", "at"))
+    chunks = F.ceil(F.col("at.many") / CHUNK).cast("int")
+    own = each.withColumn("own", F.pmod(F.xxhash64("b"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    dealt = own.select(F.col("at.token").alias("token"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "b", "root", "symbols", F.slice(F.col("tokens.token"), F.lit(1), F.col("place")).alias("earlier"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches, ["token", "i", "j"]):
-            own, cid, n, place, root, odd1, odd2 = (rows.column(c).to_numpy().astype(np.int64) for c in ("own", "b", "words", "place", "root", "odd1", "odd2"))
-            by = np.lexsort((cid, n))
-            own, cid, n, place, root, odd1, odd2 = (x[by] for x in (own, cid, n, place, root, odd1, odd2))
+            words = [np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in rows.column("symbols").to_pylist()]
+            n = np.array([len(x) for x in words])
+            by = np.lexsort((rows.column("b").to_numpy(), n))
+            own, cid, root, n = (x[by] for x in (*(rows.column(c).to_numpy() for c in ("own", "b", "root")), n))
+            words = [words[k] for k in by]
+            earlier = _marks([rows.column("earlier")[int(k)].values.to_numpy() for k in by])
+            symbol, begin = np.concatenate(words), np.cumsum(n) - n
+            bit, kind = np.uint64(1) << (symbol & np.uint32(63)).astype(np.uint64), (symbol >> np.uint32(6)) % np.uint32(PARITIES)
+            odd = np.stack([np.bitwise_xor.reduceat(np.where(kind == k, bit, np.uint64(0)), begin) for k in range(PARITIES)])
             i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
             # of two chunks the classes of the first meet those of the second, in one chunk each meets those behind it
             left, right = (np.flatnonzero(own == k) for k in (i, j))
-            low = np.searchsorted(n[right], np.where(n[left] == _NONE, 0, np.ceil(n[left] * similarity - 1e-9)))
-            high = np.searchsorted(n[right], np.where(n[left] >= _NONE * similarity, _NONE, np.floor(n[left] / similarity + 1e-9)), side="right")
+            low = np.searchsorted(n[right], np.ceil(n[left] * similarity - 1e-6))
+            high = np.searchsorted(n[right], np.floor(n[left] / similarity + 1e-6), side="right")
             if i == j:
                 low = np.maximum(low, np.arange(len(left)) + 1)
             many = np.maximum(high - low, 0)
             block = np.cumsum(many) // PAIRS
-            found = []
             for k in np.unique(block[many > 0]).tolist():
-                some = np.flatnonzero(block == k)
+                some = np.flatnonzero((block == k) & (many > 0))
                 a = np.repeat(left[some], many[some])
                 b = right[np.arange(len(a)) - np.repeat(np.cumsum(many[some]) - many[some] - low[some], many[some])]
-                for good in (lambda: root[a] != root[b], lambda: _possible(n, place, a, b, similarity), lambda: _odd_enough(n[a], n[b], _differ(odd1, odd2, a, b), similarity)):
-                    keep = good()
-                    a, b = a[keep], b[keep]
+                keep = root[a] != root[b]
+                a, b = a[keep], b[keep]
+                differ = sum(np.bitwise_count(x[a] ^ x[b]).astype(np.int64) for x in odd)
+                keep = differ <= 2 * _edits(np.maximum(n[a], n[b]), similarity)
+                a, b, differ = a[keep], b[keep], differ[keep]
+                for x in earlier:
+                    keep = (x[a] & x[b]) == 0
+                    a, b, differ = a[keep], b[keep], differ[keep]
                 if best:
-                    differ = _differ(odd1, odd2, a, b)
                     keep = _likest(a, differ, best) | _likest(b, differ, best)
                     a, b = a[keep], b[keep]
-                found.append(np.stack([np.minimum(cid[a], cid[b]), np.maximum(cid[a], cid[b])]))
-            if found:
-                a, b = np.concatenate(found, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                found = _alike(symbol, begin, n, a, b, similarity)
+                links = []
+                for x, y in zip(a[found].tolist(), b[found].tolist(), strict=True):
+                    if root[x] != root[y]:
+                        root = np.where(root == root[y], root[x], root)
+                        links.append((x, y))
+                if links:
+                    a, b = np.array(links).T
+                    yield pa.RecordBatch.from_arrays([pa.array(cid[a]), pa.array(cid[b])], ["a", "b"])
 
     return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long"), rows
 
 
-def _differ(odd1: np.ndarray, odd2: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return sum(np.bitwise_count((x[a] ^ x[b]).view(np.uint64)).astype(np.int64) for x in (odd1, odd2))
+def _marks(lists: list[np.ndarray]) -> list[np.ndarray]:
+    """For each list 64 bits at a time: which of the values that stand in several lists are in it."""
+    values, number, many = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    shared = np.flatnonzero(many > 1)
+    rank = np.full(len(values), -1)
+    rank[shared] = np.arange(len(shared))
+    at, owner = rank[number][rank[number] >= 0], owner[rank[number] >= 0]
+    out = np.zeros((-(-len(shared) // 64), len(lists)), np.uint64)
+    np.bitwise_or.at(out, (at // 64, owner), np.uint64(1) << (at % 64).astype(np.uint64))
+    return list(out)
+
+
+def _alike(symbol: np.ndarray, begin: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs of lines have the edit similarity: a band of the matrix, row by row, of many pairs of about the same length at once."""
+    out = np.zeros(len(a), bool)
+    a, b = np.where(n[a] <= n[b], a, b), np.where(n[a] <= n[b], b, a)
+    edits = _edits(n[b], similarity)
+    by = np.lexsort((n[a], edits))
+    low = 0
+    while low < len(by):
+        # a stretch whose bands are at most a quarter wider than that of its first pair
+        high = int(np.searchsorted(edits[by], edits[by[low]] * 5 // 4, side="right"))
+        high = min(high, low + max(1, CELLS // (2 * int(edits[by[high - 1]]) + 1)))
+        at = by[low:high]
+        out[at] = _in_band(symbol, begin[a[at]], begin[b[at]], n[a[at]], n[b[at]], edits[at])
+        low = high
+    return out
+
+
+def _in_band(symbol: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    """Whether ``n`` symbols at ``x`` become ``m`` (no fewer) at ``y`` by so many edits."""
+    out = np.zeros(len(x), bool)
+    most = int(edits.max(initial=0))
+    step = np.arange(2 * most + 1, dtype=np.int32)
+    far = np.int32(1 << 29)
+    live = np.arange(len(x))
+    row = np.broadcast_to(np.where(step >= most, step - most, far), (len(x), len(step))).astype(np.int32)  # column step - most + the row's number
+    for i in range(int(n.max(initial=0)) + 1):
+        if i:
+            column = i + step - most
+            at = np.minimum(y[live, None] + np.clip(column - 1, 0, None), len(symbol) - 1)
+            new = row + (symbol[at] != symbol[np.minimum(x[live] + i - 1, len(symbol) - 1)][:, None])
+            np.minimum(new[:, :-1], row[:, 1:] + 1, out=new[:, :-1])
+            new[:, column < 0] = far
+            new[:, column == 0] = i
+            row = np.minimum.accumulate(new - step, axis=1) + step
+        over = n[live] == i
+        if over.any():
+            done = live[over]
+            out[done] = row[over, np.minimum(m[done] - n[done] + most, 2 * most)] <= edits[done]
+        if over.any() or i % 8 == 0:
+            going = ~over & (row.min(axis=1) <= edits[live])
+            live, row = live[going], row[going]
+            if not len(live):
+                break
+    return out
 
 
 def _odd_enough(n: np.ndarray, m: np.ndarray, differ: np.ndarray, similarity: float) -> np.ndarray:
@@ -504,14 +632,6 @@ def _likest(of: np.ndarray, differ: np.ndarray, best: int) -> np.ndarray:
     return out
 
 
-def _with_like_parities(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose parities differ in no more than two for each edit that the similarity allows, and how much they ``differ``."""
-    a, b = (classes.select(F.col("cid").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("words", "odd1", "odd2"))) for c in "ab")
-    differ = F.bit_count(F.col("a_odd1").bitwiseXOR(F.col("b_odd1"))) + F.bit_count(F.col("a_odd2").bitwiseXOR(F.col("b_odd2")))
-    both = pairs.join(a, "a").join(b, "b").withColumn("differ", differ)
-    return both.filter(F.col("differ") <= 2 * F.floor(F.greatest("a_words", "b_words") * (1 - similarity) + 1e-9)).select("a", "b", "differ")
-
-
 def _symbols(whole: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
     """``cid`` and the words of its line, one character for each distinct word, of all that are wanted and perhaps a few more."""
     low = np.int64((1 << WANTED_BITS) - 1)
@@ -547,37 +667,49 @@ def _verified(pairs: DataFrame, symbols: DataFrame, similarity: float) -> DataFr
     return close.filter(F.expr("levenshtein(a_symbols, b_symbols, allowed) >= 0")).select("a", "b")
 
 
-def _groups(whole: DataFrame, classes: DataFrame, lines: int, min_words: int, similarity: float) -> DataFrame:
+def _groups(whole: DataFrame, lines: int, min_words: int, similarity: float) -> DataFrame:
     """``node`` and ``root`` of each class that is alike to another one, or to one that is, and so on."""
     grams = Grams(similarity, min_words)
     bits = max(12, int(20 * lines // BUCKET_ROWS).bit_length())
+    spark = whole.sparkSession
     order = Order(gram_counts(whole, grams, min_words))
+    let_go(spark)
     found = cut(candidates(_members(whole, order, grams, min_words, bits), similarity, bits), "candidates")
-    pairs = cut(_with_like_parities(found.filter("a IS NOT NULL").select("a", "b").distinct(), classes, similarity), "pairs")
-    hot = cut(found.filter("a IS NULL").select("b", "token", "words", "place").join(classes.select(F.col("cid").alias("b"), "odd1", "odd2"), "b"), "hot")
+    let_go(spark)
+    pairs = cut(found.filter("a IS NOT NULL").groupBy("a", "b").agg(F.min("differ").alias("differ")), "pairs")
+    hot = cut(found.filter("a IS NULL").select("b", "token"), "hot")
+    discard(found)
     symbols = cut(_symbols(whole, pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(hot.select(F.col("b").alias("cid"))), min_words), "symbols")
+    let_go(spark)
 
-    def grown(linked: DataFrame | None, more: DataFrame) -> DataFrame:
-        """The groups with what is verified of further pairs."""
-        more = cut(more.select("a", "b").distinct(), "more")
-        if linked is not None and more.isEmpty():
-            discard(more)
-            return linked
-        edges = _verified(more, symbols, similarity)
+    def grown(linked: DataFrame | None, edges: DataFrame) -> DataFrame:
+        """The groups with further links."""
         out = cut(components(edges if linked is None else linked.select(F.col("node").alias("a"), F.col("root").alias("b")).union(edges)), "groups")
-        discard(more, *([] if linked is None else [linked]))
+        if linked is not None:
+            discard(linked)
+        let_go(spark)
         return out
 
+    def verified(linked: DataFrame | None, more: DataFrame) -> DataFrame:
+        """The groups with what is verified of further pairs."""
+        more = cut(more.select("a", "b").distinct(), "more")
+        if linked is None or not more.isEmpty():
+            linked = grown(linked, _verified(more, symbols, similarity))
+        discard(more)
+        return linked
+
     likest = pairs.groupBy("b").agg(F.min_by("a", "differ").alias("a")).select("a", "b").union(pairs.groupBy("a").agg(F.min_by("b", "differ").alias("b")).select("a", "b"))
-    linked = grown(None, likest)
+    linked = verified(None, likest)
     a, b = (linked.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "ab")
-    linked = grown(linked, pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")))
-    discard(found, pairs)
+    linked = verified(linked, pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")))
+    discard(pairs)
     if not hot.isEmpty():
         for best in (BEST, None):
-            others, members = other_pairs(hot, linked, similarity, best)
-            linked = grown(linked, others)
-            discard(members)
+            others, members = other_links(hot, linked, symbols, similarity, best)
+            links = cut(others, "links")
+            if not links.isEmpty():
+                linked = grown(linked, links)
+            discard(links, members)
     discard(hot, symbols)
     return linked
 
@@ -586,8 +718,8 @@ def dropped_lines(whole: DataFrame, min_words: int = MIN_WORDS, similarity: floa
     """Lines of ``whole`` (``uid``, ``key``, ``text``) that go: ``uid``, ``line``, and ``stays``, the place of the one that stays for it."""
     lines = cut(line_table(whole, min_words), "lines")
     place = F.struct(F.col("key").isNull().alias("none"), "key", "uid", "line")
-    classes = cut(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *(F.min(c).alias(c) for c in ("words", "odd1", "odd2"))).withColumn("cid", F.col("h1")), "classes")
-    linked = _groups(whole, classes, lines.count(), min_words, similarity)
+    classes = cut(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).withColumn("cid", F.col("h1")), "classes")
+    linked = _groups(whole, lines.count(), min_words, similarity)
     grouped = cut(classes.join(linked.withColumnRenamed("node", "cid"), "cid", "left").filter("n > 1 OR root IS NOT NULL").select("h1", "h2", "n", "first", F.coalesce("root", "cid").alias("root")), "grouped")
     stays = cut(grouped.groupBy("root").agg(F.min("first").alias("stays")), "stays")
     several = cut(grouped.select("h1", "h2", "root").join(stays, "root").select("h1", "h2", "stays"), "several")

@@ -7,6 +7,7 @@ machine-local folder would be lost with its machine.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -97,3 +98,9 @@ def drop(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Has Spark delete the shuffled files of results that are written and no longer referred to, which else stay until the driver's garbage happens to be collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -149,3 +149,63 @@ def test_counts_of_grams_travel_in_few_rows(spark):
         frame.repartition = repartition
     assert sent and sent[0] <= spark.sparkContext.defaultParallelism * line_dedup.COUNTERS // line_dedup.COUNTED_TOGETHER
     assert counts.max() >= 2_000
+
+
+def test_signatures_are_packed_in_fewer_bytes():
+    rng = np.random.default_rng(1)
+    n = 5_000
+    bucket, salt = np.sort(rng.integers(0, 40, n)), np.full(n, -1)
+    token, words, place = rng.integers(0, 1 << 36, n).astype(np.uint64), rng.integers(5, 16_000, n), rng.integers(0, 1 << 14, n)
+    words[: n // 2] %= line_dedup.LONG
+    cid, odd, odd2 = (rng.integers(-(1 << 62), 1 << 62, n) for _ in range(3))
+    rows = line_dedup._packed(bucket, salt, token, words, place, cid, odd, odd2)
+    assert len(rows) == len(np.unique(bucket))
+    got = [x.tolist() for x in line_dedup._unpacked(rows.slice(3, 20))]
+    some = (bucket >= 3) & (bucket < 23)
+    assert got == [x[some].tolist() for x in (token, words, place, cid, odd, np.where(words >= line_dedup.LONG, odd2, 0))]
+
+
+def test_counts_of_grams_reach_the_driver_in_few_bytes(spark):
+    docs = spark.range(2_000).select(F.col("id").alias("uid"), F.concat(F.lit("a b c d e f g h "), F.col("id").cast("string")).alias("text"))
+    frame, sent = type(docs), []
+    to_arrow = frame.toArrow
+    frame.toArrow = lambda self: sent.append(to_arrow(self)) or sent[-1]
+    try:
+        counts = line_dedup.gram_counts(docs, line_dedup.Grams(0.8, 5), 5)
+    finally:
+        frame.toArrow = to_arrow
+    assert counts.max() == 2_000 and sum(t.nbytes for t in sent) < line_dedup.COUNTERS * 8 // 3
+
+
+def test_links_of_a_frequent_signature_are_verified_where_they_are_found(spark):
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(60):  # too many words are others in two of these, in some of them few
+        words = [f"w{k}" for k in range(30)]
+        for k in rng.choice(30, int(rng.integers(2, 6)), replace=False):
+            words[k] = f"other{rng.integers(1000)}"
+        texts.append(words)
+    symbols = [[hash(w) % 50_000 for w in t] for t in texts]
+    begin, n = np.cumsum([0] + [len(t) for t in texts])[:-1], np.array([len(t) for t in texts])
+    a, b = np.triu_indices(60, 1)
+    want = np.array([edit_distance(symbols[x], symbols[y]) <= 6 for x, y in zip(a, b)])
+    assert want.any() and not want.all()
+    assert line_dedup._alike(np.concatenate(symbols).astype(np.uint32), begin, n, a, b, 0.8).tolist() == want.tolist()
+    hot = spark.createDataFrame([(k, t) for k in range(60) for t in (7, 8)], "b long, token long")
+    table = spark.createDataFrame([(k, "".join(chr(0x10000 + x) for x in s)) for k, s in enumerate(symbols)], "cid long, symbols string")
+    links, _ = line_dedup.other_links(hot, spark.createDataFrame([], "node long, root long"), table, 0.8)
+    got = [(r.a, r.b) for r in links.collect()]
+    root = list(range(60))
+    for x, y in zip(a[want].tolist(), b[want].tolist()):
+        root = [root[x] if r == root[y] else r for r in root]
+    # links that join two groups and no more; the pairs that are not alike are no rows
+    assert len(got) == 60 - len(set(root)) and set(got) <= set(zip(a[want].tolist(), b[want].tolist())) | set(zip(b[want].tolist(), a[want].tolist()))
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
