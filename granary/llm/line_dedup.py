@@ -29,9 +29,13 @@ the first of its frequent signatures alone, and its words are compared there, so
 that only links that join two groups come out.  Of each group the line of the
 smallest document stays.
 
-Signatures travel as packed arrays, one row for each task and bucket of signatures;
-very frequent signatures are dealt over several buckets.  Shuffled files of a step
-are let go of when its result is written.
+Texts are taken apart once: lines, and the words of different lines as 32-bit codes, are
+written, and all later steps read these.  Most signatures are of one class only.  So four bytes
+of each are dealt to buckets first, and what occurs twice is marked in one table of bits for
+all tasks; only signatures that are marked there travel with their classes, places and
+parities, as packed arrays, one row for each task and bucket.  A bit can be set by another
+signature: then one travels in vain, and none is left out.  Very frequent signatures are
+dealt over several buckets.  Shuffled files of a step are let go of when its result is written.
 
 Defined cases: null texts stay null, empty texts stay empty, lines of fewer
 than ``min_words`` words are never touched; a repeated row loses the lines that
@@ -49,6 +53,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,12 +87,22 @@ BROADCAST_NODES = 500_000
 WANTED_BITS = 24
 #: Pairs that a task looks at together, and numbers of the edit distances that it works out together.
 PAIRS, CELLS = 1 << 18, 1 << 21
+#: Pairs of lines of so many words are compared one by one.
+LONG_PAIR = 400
 #: Lines of so many words carry twice 64 parities: in 64, lines that have nothing in common differ in about as many as are allowed.
-LONG = 90
+LONG = 45
+#: Lines of so many words carry four times 64.
+LONGER = 100
 #: Sets of 64 parities by which classes of a frequent signature are told apart.
 PARITIES = 4
 #: Grams that are counted together.
 GRAMS = 1 << 22
+#: Words in one row of codes, about, and words that a task looks at together.
+CODED_ROW, CODED_WORDS = 1 << 16, 1 << 19
+#: Bits, at most, that say which signatures occur twice: their number grows with the lines up to this.
+SHARED_BITS = 30
+#: Words that the edit distance tells apart.
+SYMBOLS = 0xE0000
 
 _LINES = 1 << 16  # sorted together
 _TOKEN_BITS, _PLACE_BITS, _NONE = 48, 14, (1 << 14) - 1
@@ -105,30 +121,98 @@ def _line_numbers(rows: tb.Spans, n: int) -> np.ndarray:
     return np.arange(len(rows.owner)) - rows.first_of(n)[:-1][rows.owner]
 
 
-def line_table(whole: DataFrame, min_words: int) -> DataFrame:
-    """One row a line with enough words: ``uid``, ``line``, ``key``, class hashes ``h1`` and ``h2``."""
-    longs = ("h1", "h2")
-    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("line", T.LongType()), T.StructField("key", whole.schema["key"].dataType), *(T.StructField(c, T.LongType()) for c in longs)])
+def read_lines(whole: DataFrame, min_words: int) -> DataFrame:
+    """Rows of three kinds, told by what is not null.
+
+    ``n_lines`` of each row (``uid``, ``key``); ``line`` with class hashes ``h1`` and ``h2`` of each line
+    with enough words; ``words``, the codes of the words of lines of ``sizes`` words and classes ``cids``,
+    a class once a task.
+    """
+    binary = ("words", "sizes", "cids")
+    key = whole.schema["key"].dataType
+    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("key", key), *(T.StructField(c, T.LongType()) for c in ("n_lines", "line", "h1", "h2")), *(T.StructField(c, T.BinaryType()) for c in binary)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, some = [np.zeros(0, np.uint64)], 0
         for part in tb.slices(batches, "text"):
+            kinds = {c: part.schema.field(c).type if c == "key" else pa.binary() if c in binary else pa.int64() for c in schema.names}
+
+            def rows(n: int, kinds: dict = kinds, **columns: pa.Array) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, t) for c, t in kinds.items()], list(kinds))
+
             found = tb.texts(part.column("text"))
-            rows, first, code = normalised(found)
-            number = _line_numbers(rows, len(found))
-            full = np.flatnonzero(np.diff(first) >= min_words)
-            h1, h2 = (tb.sequence_hashes(code, first, s) for s in (1, 2))
-            owner = pa.array(rows.owner[full])
-            found = (h1[full], h2[full])
-            yield pa.RecordBatch.from_arrays([part.column("uid").take(owner), pa.array(number[full]), part.column("key").take(owner), *(pa.array(x.view(np.int64)) for x in found)], schema.names)
+            lines, first, code = normalised(found)
+            yield rows(len(part), uid=part.column("uid"), key=part.column("key"), n_lines=pa.array(np.diff(lines.first_of(len(found)))))
+            number, n = _line_numbers(lines, len(found)), np.diff(first)
+            full = np.flatnonzero(n >= min_words)
+            h1, h2 = (tb.sequence_hashes(code, first, s)[full] for s in (1, 2))
+            owner = pa.array(lines.owner[full])
+            yield rows(len(full), uid=part.column("uid").take(owner), key=part.column("key").take(owner), line=pa.array(number[full]), **{c: pa.array(x.view(np.int64)) for c, x in (("h1", h1), ("h2", h2))})
+            cid, once = np.unique(h1, return_index=True)
+            new = np.ones(len(cid), bool)
+            for known in seen:
+                new &= ~tb.among(cid, known)
+            seen.append(cid[new])
+            while len(seen) > 1 and len(seen[-2]) <= 2 * len(seen[-1]):  # few sorted arrays, each at least twice as long as the next
+                seen[-2:] = [np.sort(np.concatenate(seen[-2:]))]
+            at = np.sort(once[new])
+            if len(at):
+                chosen, own = full[at], h1[at]
+                place, _ = _stretches(first[chosen], n[chosen])
+                short = _code(code[place])
+                ends = np.concatenate([[0], np.cumsum(n[chosen])])
+                cuts = np.flatnonzero(np.diff(ends[:-1] // CODED_ROW)) + 1
+                for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True):
+                    arrays = {"words": short[ends[low] : ends[high]], "sizes": n[chosen][low:high].astype(np.int32), "cids": own[low:high]}
+                    yield rows(1, **{c: pa.array([x.tobytes()], pa.binary()) for c, x in arrays.items()})
 
     return whole.select("uid", "key", "text").mapInArrow(run, schema)
 
 
+def _stretches(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the stretches one after the other, and where each stretch begins among them."""
+    first = np.concatenate([[0], np.cumsum(size)])
+    return np.arange(first[-1]) + np.repeat(start - first[:-1], size), first
+
+
+def _code(word: np.ndarray) -> np.ndarray:
+    """32 bits of a word's hash: its symbol, and as many further values as there is room for."""
+    return (word % np.uint64(SYMBOLS) + np.uint64(SYMBOLS) * ((word >> np.uint64(40)) % np.uint64((1 << 32) // SYMBOLS))).astype(np.uint32)
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Where lines begin (one more number than lines), codes of their words, their classes: of rows of codes, or of texts, then of all lines."""
+
+    def joined(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        code, size, cid = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        return np.concatenate([[0], np.cumsum(size.astype(np.int64))]), code, cid
+
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        if "text" in batch.schema.names:
+            for part in tb.slices(iter([batch]), "text"):
+                _, first, code = normalised(tb.texts(part.column("text")))
+                yield first, _code(code), tb.sequence_hashes(code, first, 1)
+            continue
+        for row in zip(*(batch.column(c) for c in ("words", "sizes", "cids")), strict=True):
+            held.append(tuple(np.frombuffer(x.as_buffer(), t) for x, t in zip(row, (np.uint32, np.int32, np.uint64), strict=True)))
+            if sum(len(x[0]) for x in held) >= CODED_WORDS:
+                yield joined(held)
+    if held:
+        yield joined(held)
+
+
+def _spread(code: np.ndarray) -> np.ndarray:
+    return tb.mix(code.astype(np.uint64) + np.uint64(1))
+
+
 def _parities(code: np.ndarray, first: np.ndarray, chosen: np.ndarray) -> Iterator[np.ndarray]:
-    """Twice 64 bits: of how many words with one value of seven hash bits a line has an odd number; an edit changes two at most."""
+    """Twice 64 bits: of how many words with one value of seven hash bits a line has an odd number; an edit changes two at most.  Then the same of the words with an eighth bit set."""
     bit, half = np.uint64(1) << (code >> np.uint64(58)), (code >> np.uint64(57)) & np.uint64(1)
-    for k in (0, 1):
-        upto = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(np.where(half == k, bit, np.uint64(0)))])
+    eighth = (code >> np.uint64(56)) & np.uint64(1) > 0
+    for k in (half == 0, half == 1, (half == 0) & eighth, (half == 1) & eighth):
+        upto = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(np.where(k, bit, np.uint64(0)))])
         yield upto[first[chosen + 1]] ^ upto[first[chosen]]
 
 
@@ -182,7 +266,7 @@ def _counter(gram: np.ndarray) -> np.ndarray:
 
 
 def gram_counts(whole: DataFrame, grams: Grams, min_words: int) -> np.ndarray:
-    """How often the grams of each counter occur in the corpus.
+    """How often the grams of each counter occur in the corpus: in texts, or in rows of codes.
 
     A task for each core counts in arrays, so that what is shuffled is a number a core and counter
     at most, whatever the size of the corpus.
@@ -199,9 +283,8 @@ def gram_counts(whole: DataFrame, grams: Grams, min_words: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, held, many = np.zeros(COUNTERS, np.int64), [np.zeros(0, np.int64)], 0
-        for part in tb.slices(batches, "text"):
-            _, first, code = normalised(tb.texts(part.column("text")))
-            n = np.diff(first)
+        for first, short, _ in _coded(batches):
+            n, code = np.diff(first), _spread(short)
             for size, low, high in ((2, min_words, grams.two), (3, grams.three, n.max(initial=0))):
                 _, at, _ = _places(first, np.flatnonzero((n >= low) & (n <= high)), size)
                 held.append(_counter(tb.window_hashes(code, size)[at]))
@@ -224,7 +307,8 @@ def gram_counts(whole: DataFrame, grams: Grams, min_words: int) -> np.ndarray:
         for part, counts in total.items():
             yield rows({part: counts})
 
-    counted = whole.select("text").coalesce(whole.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, schema)
+    read = whole.select("text") if "text" in whole.columns else whole
+    counted = read.coalesce(whole.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, schema)
     got = counted.repartition("part").mapInArrow(added, schema).toArrow()
     total = np.zeros(COUNTERS, np.int64)
     for part, counts in zip(got.column("part").to_pylist(), got.column("counts"), strict=True):
@@ -324,77 +408,141 @@ def signatures(code: np.ndarray, first: np.ndarray, chosen: np.ndarray, size: in
 
 
 _PACKED = {"low": np.uint32, "top": np.uint8, "words": np.uint8, "words_top": np.uint8, "place": np.uint8, "place_top": np.uint8, "cid": np.int64, "odd": np.int64, "odd2": np.int64}
+_MORE = ("odd3", "odd4")
+_COLUMNS = (*_PACKED, *_MORE)
 
 
-def _packed(bucket: np.ndarray, salt: np.ndarray, token: np.ndarray, words: np.ndarray, place: np.ndarray, cid: np.ndarray, odd: np.ndarray, odd2: np.ndarray) -> pa.RecordBatch:
-    """One row for each stretch of equal ``bucket`` and ``salt``; bytes of a kind lie together, and only long lines have ``odd2``."""
+def _packed(bucket: np.ndarray, salt: np.ndarray, token: np.ndarray, words: np.ndarray, place: np.ndarray, cid: np.ndarray, odd: np.ndarray, odd2: np.ndarray, *more: np.ndarray) -> pa.RecordBatch:
+    """One row for each stretch of equal ``bucket`` and ``salt``; bytes of a kind lie together, only long lines have ``odd2`` and only longer ones ``more``."""
     heads = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])]))
     ends = np.concatenate([heads, [len(bucket)]])
-    long = words >= LONG
-    columns = {"low": token, "top": token >> np.uint64(32), "words": words, "words_top": words >> 8, "place": place, "place_top": place >> 8, "cid": cid, "odd": odd, "odd2": odd2[long]}
+    long, longer = words >= LONG, words >= LONGER
+    columns = {"low": token, "top": token >> np.uint64(32), "words": words, "words_top": words >> 8, "place": place, "place_top": place >> 8, "cid": cid, "odd": odd, "odd2": odd2[long]} | {c: x[longer] for c, x in zip(_MORE, more, strict=False)}
     out = [pa.array(bucket[heads].astype(np.int32)), pa.array(salt[heads].astype(np.int32))]
-    for name, kind in _PACKED.items():
-        offsets = ends if name != "odd2" else np.concatenate([[0], np.cumsum(long)])[ends]
-        data = np.ascontiguousarray(columns[name].astype(kind))
+    for name, values in columns.items():
+        some = {"odd2": long}.get(name, longer if name in _MORE else None)
+        offsets = ends if some is None else np.concatenate([[0], np.cumsum(some)])[ends]
+        data = np.ascontiguousarray(values.astype(_PACKED.get(name, np.int64)))
         out.append(pa.BinaryArray.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer((offsets * data.itemsize).astype(np.int32)), pa.py_buffer(data)]))
-    return pa.RecordBatch.from_arrays(out, ["bucket", "salt", *_PACKED])
+    return pa.RecordBatch.from_arrays(out, ["bucket", "salt", *columns])
 
 
-def _unpacked(rows: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    """Rest of the token, words, place, class, parities: all in the first 64 bits of short lines, half in either of long ones."""
+def _values(rows: pa.RecordBatch, name: str) -> np.ndarray:
+    column = rows.column(name)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(_PACKED.get(name, np.int64))
+
 
-    def values(name: str) -> np.ndarray:
-        column = rows.column(name)
-        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
-        return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(_PACKED[name])
+def _more(rows: pa.RecordBatch, words: np.ndarray) -> Iterator[np.ndarray]:
+    """The further parities, zero for lines that have none."""
+    for name in _MORE:
+        out = np.zeros(len(words), np.int64)
+        out[words >= LONGER] = _values(rows, name)
+        yield out
 
-    low, top, words, words_top, place, place_top, cid, odd, some = (values(name) for name in _PACKED)
+
+def _unpacked(rows: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Rest of the token, words, place, class, parities: all in the first 64 bits of short lines, half in either of long ones."""
+    low, top, words, words_top, place, place_top, cid, odd, some = (_values(rows, name) for name in _PACKED)
     words, place = (x.astype(np.int64) | y.astype(np.int64) << 8 for x, y in ((words, words_top), (place, place_top)))
     odd2 = np.zeros(len(cid), np.int64)
     odd2[words >= LONG] = some
     return low.astype(np.uint64) | top.astype(np.uint64) << np.uint64(32), words, place, cid, odd, odd2
 
 
-def _members(whole: DataFrame, order: Order, grams: Grams, min_words: int, bits: int) -> DataFrame:
-    """``bucket``, ``salt`` and packed arrays (``_PACKED``) of the rest of the token, words, place, class and parities; a class once a task for each signature."""
-    shared = whole.sparkSession.sparkContext.broadcast(order)  # a byte a counter
+def _signed(batches: Iterator[pa.RecordBatch], order: Order, grams: Grams, min_words: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of some lines at a time: where words begin, their hashes, classes; the lines that signatures are of, and what ``signatures`` finds."""
+    for first, short, cid in _coded(batches):
+        n, code = np.diff(first), _spread(short)
+        for size, low, high in ((2, min_words, grams.two), (3, grams.three, n.max(initial=0))):
+            chosen = np.flatnonzero((n >= low) & (n <= high))
+            yield first, code, cid, chosen, *signatures(code, first, chosen, size, order, grams)
+
+
+class Shared:
+    """Which signatures occur twice or more, and perhaps a few more."""
+
+    def __init__(self, bits: int, width: int) -> None:
+        #: A signature's bucket is its lowest ``bits``, its place in the bucket's bits the next ``width``.
+        self.bits, self.width, self.marks = bits, width, np.zeros(1 << (bits + width - 3), np.uint8)
+
+    def has(self, token: np.ndarray) -> np.ndarray:
+        at = ((token & np.uint64((1 << self.bits) - 1)) << np.uint64(self.width)) | ((token >> np.uint64(self.bits)) & np.uint64((1 << self.width) - 1))
+        return (self.marks[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def shared_signatures(coded: DataFrame, order: Broadcast, grams: Grams, min_words: int, bits: int, width: int) -> Shared:
+    """Of all signatures but those that are dealt over several buckets, which occur twice; four bytes of each are shuffled."""
+
+    def sent(held: list[np.ndarray]) -> pa.RecordBatch:
+        token = np.concatenate(held)
+        held.clear()
+        key = np.sort(((token & np.uint64((1 << bits) - 1)) << np.uint64(32)) | ((token >> np.uint64(bits)) & np.uint64(0xFFFFFFFF)))
+        key = key[np.concatenate([np.ones(min(2, len(key)), bool), key[2:] != key[:-2]])]  # twice is enough
+        bucket = (key >> np.uint64(32)).astype(np.int32)
+        heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        offsets = np.concatenate([heads, [len(key)]]) * 4
+        rest = pa.BinaryArray.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(key.astype(np.uint32))])
+        return pa.RecordBatch.from_arrays([pa.array(bucket[heads]), rest], ["bucket", "rest"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, many = [], 0
+        for *_, token, _ in _signed(batches, order.value, grams, min_words):
+            held.append(token[order.value.salts(_counter(token)) == 1])
+            many += len(held[-1])
+            if many >= HELD_ROWS:
+                yield sent(held)
+                many = 0
+        if many:
+            yield sent(held)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, ["bucket"]):
+            rest = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in rows.column("rest")]))
+            twice = np.zeros(1 << width, bool)
+            twice[rest[1:][rest[1:] == rest[:-1]] & np.uint32((1 << width) - 1)] = True
+            yield pa.RecordBatch.from_arrays([rows.column("bucket")[:1], pa.array([np.packbits(twice, bitorder="little").tobytes()], pa.binary())], ["bucket", "rest"])
+
+    schema = "bucket int, rest binary"
+    dealt = coded.mapInArrow(run, schema).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(marked, schema)
+    out = Shared(bits, width)
+    for batch in dealt.toArrow().to_batches():
+        for bucket, marks in zip(batch.column("bucket").to_pylist(), batch.column("rest"), strict=True):
+            out.marks.reshape(1 << bits, -1)[bucket] = np.frombuffer(marks.as_buffer(), np.uint8)
+    return out
+
+
+def _members(coded: DataFrame, order: Broadcast, shared: Shared, grams: Grams, min_words: int, bits: int) -> DataFrame:
+    """``bucket``, ``salt`` and packed arrays (``_PACKED``) of the rest of the token, words, place, class and parities, of shared signatures; a class once a task for each."""
+    shared = coded.sparkSession.sparkContext.broadcast(shared)  # bounded by SHARED_BITS
     buckets = np.uint64((1 << bits) - 1)
 
     def packed(held: list[tuple]) -> pa.RecordBatch:
-        token, salt, words, place, cid, odd, odd2 = (np.concatenate(x) for x in zip(*held, strict=True))
+        token, salt, words, place, cid, *odd = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
         bucket = (token & buckets).astype(np.int64)
         by = np.lexsort((salt, bucket)) if (salt != _NO_SALT).any() else np.argsort(bucket, kind="stable")
-        return _packed(*(x[by] for x in (bucket, salt, token >> np.uint64(bits), words, place, cid.view(np.int64), odd.view(np.int64), odd2.view(np.int64))))
+        return _packed(*(x[by] for x in (bucket, salt, token >> np.uint64(bits), words, place, *(v.view(np.int64) for v in (cid, *odd)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, held, many = np.zeros(0, np.uint64), [], 0
-        for part in tb.slices(batches, "text", 4 * tb.SLICE_BYTES):
-            _, first, code = normalised(tb.texts(part.column("text")))
-            n = np.diff(first)
-            cid = tb.sequence_hashes(code, first, 1)
-            full = np.flatnonzero(n >= min_words)
-            _, once = np.unique(cid[full], return_index=True)
-            full = full[once]
-            full = np.sort(full[~tb.among(cid[full], seen)])
-            seen = np.union1d(seen, cid[full])
-            for size, low, high in ((2, min_words, grams.two), (3, grams.three, n.max(initial=0))):
-                chosen = full[(n[full] >= low) & (n[full] <= high)]
-                line, token, place = signatures(code, first, chosen, size, shared.value, grams)
-                own = cid[chosen][line]
-                odd, odd2 = _parities(code, first, chosen)
-                odd = np.where(n[chosen] >= LONG, odd, odd ^ odd2)
-                salts = shared.value.salts(_counter(token))
-                salt = np.where(salts > 1, (tb.mix(own) % salts.astype(np.uint64)).astype(np.int64), _NO_SALT)
-                held.append((token, salt, np.minimum(n[chosen], _NONE)[line], place, own, odd[line], odd2[line]))
-                many += len(token)
+        held, many = [], 0
+        for first, code, cid, chosen, line, token, place in _signed(batches, order.value, grams, min_words):
+            salts = order.value.salts(_counter(token))
+            keep = np.flatnonzero((salts > 1) | shared.value.has(token))
+            line, token, place, salts = line[keep], token[keep], place[keep], salts[keep]
+            own, n = cid[chosen][line], np.diff(first)[chosen]
+            odd, odd2, *more = _parities(code, first, chosen)
+            odd = np.where(n >= LONG, odd, odd ^ odd2)
+            salt = np.where(salts > 1, (tb.mix(own) % salts.astype(np.uint64)).astype(np.int64), _NO_SALT)
+            held.append((token, salt, np.minimum(n, _NONE)[line], place, own, *(x[line] for x in (odd, odd2, *more))))
+            many += len(token)
             if many >= HELD_ROWS:
                 yield packed(held)
                 many = 0
         if many:
             yield packed(held)
 
-    return whole.select("text").mapInArrow(run, f"bucket int, salt int, {', '.join(f'{x} binary' for x in _PACKED)}")
+    return coded.mapInArrow(run, f"bucket int, salt int, {', '.join(f'{x} binary' for x in _COLUMNS)}")
 
 
 def _possible(n: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
@@ -437,14 +585,16 @@ def candidates(members: DataFrame, similarity: float, bits: int) -> DataFrame:
     """
     names = ["a", "b", "differ", "token"]
 
-    def pairs_of(cid: np.ndarray, token: np.ndarray, n: np.ndarray, place: np.ndarray, odd: np.ndarray, odd2: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    def pairs_of(cid: np.ndarray, token: np.ndarray, n: np.ndarray, place: np.ndarray, odd: np.ndarray, odd2: np.ndarray, *more: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         def good(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
             keep = _possible(n, place, a, b, similarity)
             a, b = a[keep], b[keep]
             x, y = odd[a] ^ odd[b], odd2[a] ^ odd2[b]
             # of a short line and a long one all are put together
-            one, both = (np.bitwise_count(v.view(np.uint64)).astype(np.int64) for v in (np.where((n[a] >= LONG) == (n[b] >= LONG), x, x ^ y), y))
+            one, both = (_ones(v) for v in (np.where((n[a] >= LONG) == (n[b] >= LONG), x, x ^ y), y))
             differ = one + np.where((n[a] >= LONG) & (n[b] >= LONG), both, 0)
+            k = np.flatnonzero((n[a] >= LONGER) & (n[b] >= LONGER))
+            differ[k] = sum(_ones(u) + _ones(u ^ v) for u, v in zip((m[a[k]] ^ m[b[k]] for m in more), (x[k], y[k]), strict=True))
             keep = _odd_enough(n[a], n[b], differ, similarity)
             return cid[a][keep], cid[b][keep], differ[keep]
 
@@ -463,19 +613,20 @@ def candidates(members: DataFrame, similarity: float, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches, ["bucket", "salt"]):
-            token, n, place, cid, odd, odd2 = _unpacked(rows)
+            token, n, place, cid, *odd = _unpacked(rows)
+            odd = (*odd, *_more(rows, n))
             salted = rows.column("salt")[0].as_py() != _NO_SALT
             if not salted:  # signatures of one class have no pairs
                 at = np.sort(token)
                 several = tb.among(token, np.unique(at[1:][at[1:] == at[:-1]]))
-                token, n, place, cid, odd, odd2 = (x[several] for x in (token, n, place, cid, odd, odd2))
+                token, n, place, cid, *odd = (x[several] for x in (token, n, place, cid, *odd))
             by = np.lexsort((cid, token))
-            token, n, place, cid, odd, odd2 = (x[by] for x in (token, n, place, cid, odd, odd2))
+            token, n, place, cid, *odd = (x[by] for x in (token, n, place, cid, *odd))
             new = np.concatenate([[True], (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])])[: len(cid)]
-            token, n, place, cid, odd, odd2 = (x[new] for x in (token, n, place, cid, odd, odd2))
+            token, n, place, cid, *odd = (x[new] for x in (token, n, place, cid, *odd))
             if not len(cid):
                 continue
-            a, b, differ = (np.concatenate(x) for x in zip(*pairs_of(cid, token, n, place, odd, odd2), strict=True))
+            a, b, differ = (np.concatenate(x) for x in zip(*pairs_of(cid, token, n, place, *odd), strict=True))
             by = np.lexsort((differ, b, a))
             a, b, differ = a[by], b[by], differ[by]
             new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)]
@@ -504,7 +655,10 @@ def other_links(hot: DataFrame, roots: DataFrame, symbols: DataFrame, similarity
     """
     rows = cut(hot.join(roots.withColumnRenamed("node", "b"), "b", "left").select("token", "b", F.coalesce("root", "b").alias("root")), "members")
     split = rows.groupBy("token").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token", "many")
-    classes = rows.join(_looked_up(split, "split"), "token").groupBy("b").agg(F.max("root").alias("root"), F.sort_array(F.collect_list(F.struct("token", "many"))).alias("tokens"))
+    classes = cut(rows.join(_looked_up(split, "split"), "token").groupBy("b").agg(F.max("root").alias("root"), F.sort_array(F.collect_list(F.struct("token", "many"))).alias("tokens")), "classes")
+    discard(rows)
+    if classes.count() <= BROADCAST_NODES:
+        symbols = symbols.join(F.broadcast(classes.select(F.col("b").alias("cid"))), "cid", "left_semi")  # so that only words of these lines are shuffled
     each = classes.join(symbols.withColumnRenamed("cid", "b"), "b").select("b", "root", "symbols", "tokens", F.posexplode("tokens").alias("place", "at"))
     chunks = F.ceil(F.col("at.many") / CHUNK).cast("int")
     own = each.withColumn("own", F.pmod(F.xxhash64("b"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
@@ -519,8 +673,7 @@ def other_links(hot: DataFrame, roots: DataFrame, symbols: DataFrame, similarity
             words = [words[k] for k in by]
             earlier = _marks([rows.column("earlier")[int(k)].values.to_numpy() for k in by])
             symbol, begin = np.concatenate(words), np.cumsum(n) - n
-            bit, kind = np.uint64(1) << (symbol & np.uint32(63)).astype(np.uint64), (symbol >> np.uint32(6)) % np.uint32(PARITIES)
-            odd = np.stack([np.bitwise_xor.reduceat(np.where(kind == k, bit, np.uint64(0)), begin) for k in range(PARITIES)])
+            odd = _symbol_parities(symbol, begin)
             i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
             # of two chunks the classes of the first meet those of the second, in one chunk each meets those behind it
             left, right = (np.flatnonzero(own == k) for k in (i, j))
@@ -555,7 +708,7 @@ def other_links(hot: DataFrame, roots: DataFrame, symbols: DataFrame, similarity
                     a, b = np.array(links).T
                     yield pa.RecordBatch.from_arrays([pa.array(cid[a]), pa.array(cid[b])], ["a", "b"])
 
-    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long"), rows
+    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long"), classes
 
 
 def _marks(lists: list[np.ndarray]) -> list[np.ndarray]:
@@ -573,10 +726,44 @@ def _marks(lists: list[np.ndarray]) -> list[np.ndarray]:
 
 def _alike(symbol: np.ndarray, begin: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
     """Which pairs of lines have the edit similarity: a band of the matrix, row by row, of many pairs of about the same length at once."""
-    out = np.zeros(len(a), bool)
     a, b = np.where(n[a] <= n[b], a, b), np.where(n[a] <= n[b], b, a)
     edits = _edits(n[b], similarity)
-    by = np.lexsort((n[a], edits))
+    out, some = np.zeros(len(a), bool), 2
+    for k in np.flatnonzero(n[b] >= LONG_PAIR).tolist():
+        x, y = (symbol[begin[i] : begin[i] + n[i]].tolist() for i in (a[k], b[k]))
+        out[k] = _within_edits(x, y, int(edits[k]))
+    left = np.flatnonzero(n[b] < LONG_PAIR)
+    while len(left):  # narrow bands first: the time grows with the edits that there are, not with those allowed
+        out[left] = _within(symbol, begin, n, a[left], b[left], np.minimum(edits[left], some))
+        left = left[~out[left] & (edits[left] > some)]
+        some *= 4
+    return out
+
+
+def _within_edits(x: list[int], y: list[int], edits: int) -> bool:
+    """The same of one pair of long lines: a column of the matrix is the bits of whole numbers, by Hyyro's recurrences."""
+    at: dict[int, int] = {}
+    for k, c in enumerate(x):
+        at[c] = at.get(c, 0) | 1 << k
+    every, last = (1 << len(x)) - 1, 1 << (len(x) - 1)
+    more, less, distance = every, 0, len(x)
+    for left, c in zip(range(len(y) - 1, -1, -1), y, strict=True):
+        same = at.get(c, 0)
+        zero = ((((same & more) + more) ^ more) | same | less) & every
+        up, down = less | (every & ~(zero | more)), zero & more
+        distance += (1 if up & last else 0) - (1 if down & last else 0)
+        if distance - left > edits:
+            return False
+        up, down = (up << 1 | 1) & every, down << 1 & every
+        more, less = down | (every & ~(zero | up)), up & zero
+    return distance <= edits
+
+
+def _within(symbol: np.ndarray, begin: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    """Which lines ``a`` become their ``b``, which are no shorter, by so many edits."""
+    out = np.zeros(len(a), bool)
+    by = np.flatnonzero(n[b] - n[a] <= edits)
+    by = by[np.lexsort((n[a[by]], edits[by]))]
     low = 0
     while low < len(by):
         # a stretch whose bands are at most a quarter wider than that of its first pair
@@ -617,6 +804,16 @@ def _in_band(symbol: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray, m:
     return out
 
 
+def _ones(x: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
+
+
+def _symbol_parities(symbol: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """``PARITIES`` times 64 bits of each line."""
+    bit, kind = np.uint64(1) << (symbol & np.uint32(63)).astype(np.uint64), (symbol >> np.uint32(6)) % np.uint32(PARITIES)
+    return np.stack([np.bitwise_xor.reduceat(np.where(kind == k, bit, np.uint64(0)), begin) for k in range(PARITIES)])
+
+
 def _odd_enough(n: np.ndarray, m: np.ndarray, differ: np.ndarray, similarity: float) -> np.ndarray:
     longer = np.maximum(n, m)
     return (differ <= 2 * _edits(longer, similarity)) | (longer == _NONE)
@@ -632,26 +829,23 @@ def _likest(of: np.ndarray, differ: np.ndarray, best: int) -> np.ndarray:
     return out
 
 
-def _symbols(whole: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
+def _symbols(coded: DataFrame, wanted: DataFrame) -> DataFrame:
     """``cid`` and the words of its line, one character for each distinct word, of all that are wanted and perhaps a few more."""
     low = np.int64((1 << WANTED_BITS) - 1)
     bits = np.zeros(1 << WANTED_BITS, bool)
     bits[wanted.select(F.col("cid").bitwiseAND(F.lit(int(low))).cast("int").alias("bit")).distinct().toArrow().column(0).to_numpy()] = True  # bounded by the number of bits
-    shared = whole.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    shared = coded.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value).view(bool)
-        for part in tb.slices(batches, "text"):
-            _, first, code = normalised(tb.texts(part.column("text")))
-            symbol = (code % np.uint64(0xE0000)).astype(np.uint32) + np.uint32(0x10000)
-            cid = tb.sequence_hashes(code, first, 1).view(np.int64)
-            full = np.flatnonzero((np.diff(first) >= min_words) & bits[cid & low])
-            own, once = np.unique(cid[full], return_index=True)
-            k = full[once]
-            lines = [symbol[a:b].tobytes().decode("utf-32-le") for a, b in zip(first[k].tolist(), first[k + 1].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(lines, pa.string())], ["cid", "symbols"])
+        for first, code, cid in _coded(batches):
+            k = np.flatnonzero(bits[cid.view(np.int64) & low])
+            place, begin = _stretches(first[k], first[k + 1] - first[k])
+            symbol = code[place] % np.uint32(SYMBOLS) + np.uint32(0x10000)
+            lines = [symbol[a:b].tobytes().decode("utf-32-le") for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(cid.view(np.int64)[k]), pa.array(lines, pa.string())], ["cid", "symbols"])
 
-    return whole.select("text").mapInArrow(run, "cid long, symbols string").dropDuplicates(["cid"])
+    return coded.mapInArrow(run, "cid long, symbols string").dropDuplicates(["cid"])
 
 
 def _verified(pairs: DataFrame, symbols: DataFrame, similarity: float) -> DataFrame:
@@ -660,26 +854,41 @@ def _verified(pairs: DataFrame, symbols: DataFrame, similarity: float) -> DataFr
     if nodes.count() <= BROADCAST_NODES:
         symbols = symbols.join(F.broadcast(nodes), "cid", "left_semi")  # so that only words of these lines are shuffled
     left, right = (symbols.select(F.col("cid").alias(c), F.col("symbols").alias(f"{c}_symbols")) for c in "ab")
-    most = F.greatest(F.length("a_symbols"), F.length("b_symbols"))
-    allowed = F.floor(most * (1 - similarity) + 1e-9).cast("int")
-    close = pairs.join(left, "a").join(right, "b").withColumn("allowed", allowed).filter(F.abs(F.length("a_symbols") - F.length("b_symbols")) <= F.col("allowed"))
-    # -1 beyond what is allowed, so that only a band of the matrix is worked out
-    return close.filter(F.expr("levenshtein(a_symbols, b_symbols, allowed) >= 0")).select("a", "b")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            lines = pa.concat_arrays([batch.column("a_symbols"), batch.column("b_symbols")])
+            symbol = np.frombuffer("".join(lines.to_pylist()).encode("utf-32-le"), np.uint32)
+            n = pc.utf8_length(lines).to_numpy().astype(np.int64)
+            begin, a = np.cumsum(n) - n, np.arange(len(batch))
+            b, odd = a + len(batch), _symbol_parities(symbol, begin)
+            keep = np.abs(n[a] - n[b]) <= _edits(np.maximum(n[a], n[b]), similarity)
+            keep &= sum(_ones(x[a] ^ x[b]) for x in odd) <= 2 * _edits(np.maximum(n[a], n[b]), similarity)
+            a, b = a[keep], b[keep]
+            good = batch.select(["a", "b"]).take(pa.array(a[_alike(symbol, begin, n, a, b, similarity)]))
+            yield good
 
-def _groups(whole: DataFrame, lines: int, min_words: int, similarity: float) -> DataFrame:
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "a_symbols", "b_symbols").mapInArrow(run, "a long, b long")
+
+
+def _groups(coded: DataFrame, lines: int, min_words: int, similarity: float) -> DataFrame:
     """``node`` and ``root`` of each class that is alike to another one, or to one that is, and so on."""
     grams = Grams(similarity, min_words)
     bits = max(12, int(20 * lines // BUCKET_ROWS).bit_length())
-    spark = whole.sparkSession
-    order = Order(gram_counts(whole, grams, min_words))
+    width = max(3, min(SHARED_BITS, int(20 * lines).bit_length()) - bits)
+    spark = coded.sparkSession
+    order = spark.sparkContext.broadcast(Order(gram_counts(coded, grams, min_words)))  # a byte a counter
+    let_go(spark)
+    shared = shared_signatures(coded, order, grams, min_words, bits, width)
     let_go(spark)
-    found = cut(candidates(_members(whole, order, grams, min_words, bits), similarity, bits), "candidates")
+    found = cut(candidates(_members(coded, order, shared, grams, min_words, bits), similarity, bits), "candidates")
     let_go(spark)
     pairs = cut(found.filter("a IS NOT NULL").groupBy("a", "b").agg(F.min("differ").alias("differ")), "pairs")
     hot = cut(found.filter("a IS NULL").select("b", "token"), "hot")
     discard(found)
-    symbols = cut(_symbols(whole, pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(hot.select(F.col("b").alias("cid"))), min_words), "symbols")
+    symbols = cut(_symbols(coded, pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(hot.select(F.col("b").alias("cid")))), "symbols")
     let_go(spark)
 
     def grown(linked: DataFrame | None, edges: DataFrame) -> DataFrame:
@@ -714,27 +923,27 @@ def _groups(whole: DataFrame, lines: int, min_words: int, similarity: float) ->
     return linked
 
 
-def dropped_lines(whole: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """Lines of ``whole`` (``uid``, ``key``, ``text``) that go: ``uid``, ``line``, and ``stays``, the place of the one that stays for it."""
-    lines = cut(line_table(whole, min_words), "lines")
+def dropped_lines(read: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """Lines of a written table of ``read_lines`` that go: ``uid``, ``line``, and ``stays``, the place of the one that stays for it."""
+    lines = read.filter("line IS NOT NULL").select("uid", "line", "key", "h1", "h2")
+    coded = read.filter("words IS NOT NULL").select("words", "sizes", "cids")
+    twice = cut(lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1"), "twice")
+    linked = _groups(coded, lines.count(), min_words, similarity)
+    roots, twice = (F.broadcast(x) if x.count() <= BROADCAST_NODES else x for x in (linked.withColumnRenamed("node", "h1"), twice))
+    grouped = cut(lines.join(roots, "h1", "left").join(twice, ["h1", "h2"], "left").filter("n > 1 OR root IS NOT NULL").select("uid", "line", "key", F.coalesce("root", "h1").alias("root")), "grouped")
     place = F.struct(F.col("key").isNull().alias("none"), "key", "uid", "line")
-    classes = cut(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).withColumn("cid", F.col("h1")), "classes")
-    linked = _groups(whole, lines.count(), min_words, similarity)
-    grouped = cut(classes.join(linked.withColumnRenamed("node", "cid"), "cid", "left").filter("n > 1 OR root IS NOT NULL").select("h1", "h2", "n", "first", F.coalesce("root", "cid").alias("root")), "grouped")
-    stays = cut(grouped.groupBy("root").agg(F.min("first").alias("stays")), "stays")
-    several = cut(grouped.select("h1", "h2", "root").join(stays, "root").select("h1", "h2", "stays"), "several")
-    found = lines.select("uid", "line", "h1", "h2").join(several, ["h1", "h2"])
+    stays = cut(grouped.groupBy("root").agg(F.min(place).alias("stays")), "stays")
+    found = grouped.drop("key").join(stays, "root")
     return found.filter((F.col("uid") != F.col("stays.uid")) | (F.col("line") != F.col("stays.line"))).select("uid", "line", "stays")
 
 
 def report(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """One row a document: key, its lines, how many go, and each of them with the place of the line that stays."""
-    whole = cut(docs.select(F.monotonically_increasing_id().alias("uid"), col(key).alias("key"), col(text).alias("text")), "documents")
-    gone = dropped_lines(whole, min_words, similarity)
+    read = cut(read_lines(docs.select(F.monotonically_increasing_id().alias("uid"), col(key).alias("key"), col(text).alias("text")), min_words), "lines")
+    gone = dropped_lines(read, min_words, similarity)
     said = F.format_string("%d:%s:%d", "line", F.col("stays.key").cast("string"), F.col("stays.line"))
     by_row = gone.groupBy("uid").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", said.alias("said")))), lambda x: x["said"]), ",").alias("removed"))
-    lines = F.length(F.coalesce("text", F.lit(""))) - F.length(F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(""))) + 1
-    all_rows = whole.select("uid", "key", lines.cast("long").alias("n_lines"))
+    all_rows = read.filter("n_lines IS NOT NULL").select("uid", "key", "n_lines")
     return all_rows.join(by_row, "uid", "left").select(F.col("key").alias(key), "n_lines", F.coalesce("n", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", F.lit("")).alias("removed"))
 
 
@@ -742,7 +951,8 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", min_w
     """The rows of ``docs`` without the lines that go; the columns as they were."""
     uid = free_name(docs, "__uid")
     whole = cut(docs.withColumn(uid, F.monotonically_increasing_id()), "documents")
-    gone = dropped_lines(whole.select(F.col(uid).alias("uid"), col(key).alias("key"), col(text).alias("text")), min_words, similarity)
+    read = cut(read_lines(whole.select(F.col(uid).alias("uid"), col(key).alias("key"), col(text).alias("text")), min_words), "lines")
+    gone = dropped_lines(read, min_words, similarity)
     by_row = cut(gone.groupBy(F.col("uid").alias(uid)).agg(F.collect_list("line").alias("gone")), "gone")
     if by_row.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0] <= BROADCAST_ROWS * 10:
         by_row = F.broadcast(by_row)  # 8 bytes a line

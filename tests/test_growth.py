@@ -209,3 +209,45 @@ def edit_distance(a, b):
         for j, y in enumerate(b, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
     return row[-1]
+
+
+def _distance(x, y):
+    row = list(range(len(y) + 1))
+    for i, c in enumerate(x, 1):
+        before, row = row, [i]
+        for j, d in enumerate(y, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (c != d)))
+    return row[-1]
+
+
+def test_long_pairs_are_told_by_whole_numbers():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        x = rng.integers(0, 30, rng.integers(1, 90)).tolist()
+        y = [int(rng.integers(0, 30)) if rng.random() < 0.2 else c for c in x if rng.random() < 0.9] + [1]
+        d = _distance(x, y)
+        assert [line_dedup._within_edits(x, y, e) for e in (d - 1, d, d + 3)] == [False, True, True]
+
+
+def test_only_shared_signatures_travel_with_their_classes(spark):
+    words = [f"{a}{b}" for a in "bcdfghklmn" for b in ("a", "e", "i", "o", "u", "an", "en", "in", "on", "un")]
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(words, 30).tolist()) for _ in range(300)]
+    near = texts[:20]
+    docs = spark.createDataFrame([(k, k, t) for k, t in enumerate([*texts, *(" ".join(t.split()[1:]) for t in near)])], "uid long, key long, text string").repartition(4)
+    grams = line_dedup.Grams(0.8, 5)
+    coded = line_dedup.read_lines(docs, 5).filter("words IS NOT NULL").select("words", "sizes", "cids").cache()
+    counts = line_dedup.gram_counts(coded, grams, 5)
+    assert counts.sum() == line_dedup.gram_counts(docs, grams, 5).sum()
+    order = spark.sparkContext.broadcast(line_dedup.Order(counts))
+    shared = line_dedup.shared_signatures(coded, order, grams, 5, 12, 8)
+    sent, every = (line_dedup._members(coded, order, marks, grams, 5, 12) for marks in (shared, _All()))
+    found = [{(r.a, r.b) for r in line_dedup.candidates(m, 0.8, 12).filter("a IS NOT NULL").collect()} for m in (sent, every)]
+    assert found[0] == found[1] and len(found[0]) >= len(near)
+    size = [m.agg(F.sum(F.length("cid"))).first()[0] for m in (sent, every)]
+    assert size[0] < size[1] / 3
+
+
+class _All:
+    def has(self, token):
+        return np.ones(len(token), bool)
