@@ -43,7 +43,7 @@ an earlier one holds (so that a text can become empty); ties go to the smaller
 key, then to the earlier row and line, null keys last; empty tables give empty
 results; a text of any length is held whole by one task; columns of any name pass
 through.  Lines are equal by 64-bit hashes of their words; the edit distance compares
-words by 20 bits of their hashes, behind parities by seven other bits, so that two lines
+words by 20 bits of their hashes, behind parities by seven or eight other bits, so that two lines
 at the very edge of the similarity can be taken for a little more alike than they are.
 """
 
