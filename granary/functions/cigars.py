@@ -35,6 +35,24 @@ def strings(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))).cast(pa.string())
 
 
+def written(number: np.ndarray, text: np.ndarray, sizes: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
+    """``n`` strings of pieces, each a number and behind it ``sizes[k]`` bytes of ``text``; owners rise."""
+    digits = np.ones(len(number), np.int64)
+    most = int(number.max(initial=0))
+    power = 10
+    while power <= most:
+        digits += number >= power
+        power *= 10
+    begin = np.cumsum(digits + sizes) - digits - sizes
+    out = np.empty(int((digits + sizes).sum()), np.uint8)
+    out[begin + digits - 1] = 0x30 + number % 10
+    for k in range(1, int(digits.max(initial=0))):
+        long = np.flatnonzero(digits > k)
+        out[(begin + digits)[long] - 1 - k] = 0x30 + number[long] // 10**k % 10
+    out[spread(begin + digits, sizes)] = text
+    return strings(out, np.bincount(owner, digits + sizes, n).astype(np.int64))
+
+
 def before(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """Of each value the sum of those before it with the same owner; owners rise."""
     total = np.cumsum(values) - values
@@ -103,18 +121,19 @@ def walked(column: pa.Array) -> Walk:
 
 @dataclass
 class Letters:
-    """Letters of MD strings: which base, whose, its place (bases of the alignment's reference before it, skips left out), and if it is deleted."""
+    """Letters of MD strings: which base, whose, its place (bases of the alignment's reference before it, skips left out), and if it is deleted; ``lengths``: reference bases of each string."""
 
     base: np.ndarray
     owner: np.ndarray
     place: np.ndarray
     gone: np.ndarray
+    lengths: np.ndarray
 
 
 def _md(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of MD strings, whose each is, and how far each moves on the reference (a number at its last digit)."""
     data, offsets = flat(column)
-    owner = np.searchsorted(offsets, np.arange(len(data)), side="right") - 1
+    owner = np.repeat(np.arange(len(column)), np.diff(offsets))
     moves = _LETTER[data].astype(np.int64)
     if len(data):
         digit = _DIGIT[data]
@@ -128,8 +147,7 @@ def _md(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def md_lengths(column: pa.Array) -> np.ndarray:
     """Reference bases of each MD string."""
-    _, owner, moves = _md(column)
-    return np.bincount(owner, moves, len(column)).astype(np.int64)
+    return letters(column).lengths
 
 
 def letters(column: pa.Array) -> Letters:
@@ -138,7 +156,7 @@ def letters(column: pa.Array) -> Letters:
     lead = np.maximum.accumulate(np.where(_LETTER[data], -1, np.arange(len(data)))) if len(data) else moves
     at = np.flatnonzero(_LETTER[data])
     gone = (lead[at] >= 0) & (data[np.maximum(lead[at], 0)] == 0x5E) & (owner[np.maximum(lead[at], 0)] == owner[at])
-    return Letters(data[at], owner[at], place[at], gone)
+    return Letters(data[at], owner[at], place[at], gone, np.bincount(owner, moves, len(column)).astype(np.int64))
 
 
 @dataclass
@@ -149,8 +167,8 @@ class Rebuilt:
     first: np.ndarray
 
 
-def reference(walk: Walk, seq: pa.Array, md: pa.Array) -> Rebuilt:
-    """The reference from the reads' bases, with what the MD strings say otherwise; ``N`` where neither says anything."""
+def reference(walk: Walk, seq: pa.Array, md: pa.Array, said: Letters | None = None) -> Rebuilt:
+    """The reference from the reads' bases, with what the MD strings say otherwise (``said``, their letters, if known); ``N`` where neither says anything."""
     data, offsets = flat(seq)
     skip = walk.kind == ord("N")
     skipped = before(walk.size * skip, walk.owner, walk.n)
@@ -162,7 +180,7 @@ def reference(walk: Walk, seq: pa.Array, md: pa.Array) -> Rebuilt:
     to, source = spread(first[owner] + ref - skipped[ops], size), spread(offsets[owner] + read, size)
     inside = source < np.repeat(offsets[owner + 1], size)
     out[to[inside]] = data[source[inside]]
-    said = letters(md)
+    said = said or letters(md)
     at = first[said.owner] + said.place
     fits = at < first[said.owner + 1]
     out[at[fits]] = said.base[fits]
@@ -176,22 +194,35 @@ def md_strings(walk: Walk, seq: pa.Array, ref: pa.Array) -> pa.Array:
     ops = walk.aligned
     owner, at_ref, at_read, size = walk.take(ops)
     own, r, q = np.repeat(owner, size), spread(at_ref, size), spread(at_read, size)
-    differs = known[begins[own] + r] != data[offsets[own] + q]
-    gone = np.flatnonzero(walk.kind == ord("D"))
+    under = known[begins[own] + r]
+    differs = np.flatnonzero(under != data[offsets[own] + q])
     skips = walk.kind == ord("N")
     skipped = before(walk.size * skips, walk.owner, walk.n)
-    place_sub = (r - np.repeat(skipped[ops], size))[differs]
-    events = [(o, p, 1, chr(known[begins[o] + x])) for o, p, x in zip(own[differs].tolist(), place_sub.tolist(), r[differs].tolist(), strict=True)]
-    for k in gone.tolist():
-        o, x, n = int(walk.owner[k]), int(walk.ref[k]), int(walk.size[k])
-        events.append((o, x - int(skipped[k]), n, "^" + known[begins[o] + x : begins[o] + x + n].tobytes().decode()))
-    events.sort(key=lambda e: e[:2])
-    total = (walk.on_ref - np.bincount(walk.owner, walk.size * skips, walk.n).astype(np.int64)).tolist()
-    out, done = [[] for _ in range(walk.n)], [0] * walk.n
-    for o, p, n, text in events:
-        out[o].append(f"{p - done[o]}{text}")
-        done[o] = p + n
-    return pa.array(["".join(x) + str(t - d) for x, t, d in zip(out, total, done, strict=True)])
+    gone = walk.kind == ord("D")
+    low = begins[walk.owner[gone]] + walk.ref[gone]
+    shown = np.clip(len(known) - low, 0, walk.size[gone])
+    # letters that differ, and deleted stretches with a mark before them, in their order
+    who = np.concatenate([own[differs], walk.owner[gone]])
+    place = np.concatenate([(r - np.repeat(skipped[ops], size))[differs], (walk.ref - skipped)[gone]])
+    long = np.concatenate([np.ones(len(differs), np.int64), walk.size[gone]])
+    sizes = np.concatenate([np.ones(len(differs), np.int64), shown + 1])
+    text = np.full(int(sizes.sum()), ord("^"), np.uint8)
+    text[: len(differs)] = under[differs]
+    text[spread(len(differs) + np.cumsum(shown + 1) - shown, shown)] = known[spread(low, shown)]
+    order = np.lexsort((place, who))
+    text = text[spread((np.cumsum(sizes) - sizes)[order], sizes[order])]
+    who, place, long, sizes = who[order], place[order], long[order], sizes[order]
+    # before each stands how far it is from the end of the one before it, and behind the last one what is left
+    first = np.concatenate([[True], who[1:] != who[:-1]])[: len(who)]
+    number = place - np.where(first, 0, np.concatenate([[0], (place + long)[:-1]])[: len(who)])
+    done = np.zeros(walk.n, np.int64)
+    done[who] = place + long
+    total = walk.on_ref - np.bincount(walk.owner, walk.size * skips, walk.n).astype(np.int64)
+    at, end = np.arange(len(who)) + who, np.arange(walk.n) + np.cumsum(np.bincount(who, minlength=walk.n))
+    numbers, widths, owners = (np.zeros(len(who) + walk.n, np.int64) for _ in range(3))
+    numbers[at], widths[at], owners[at] = number, sizes, who
+    numbers[end], owners[end] = total - done, np.arange(walk.n)
+    return written(numbers, text, widths, owners, walk.n)
 
 
 @dataclass

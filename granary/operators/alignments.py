@@ -9,13 +9,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions import cigars, gapped, sequence
 from granary.operators import coverage, intervals
-from granary.operators.arrow import dealt, lists, with_arrays
+from granary.operators.arrow import Work, dealt, lists, with_arrays
 
 UNMAPPED, REVERSE, FAILED, DUPLICATE = 4, 16, 512, 1024
 #: Errors a base at most, as one in so many bases, for lengths at quality 7, 10, 17 and 20.
@@ -97,9 +98,14 @@ def pileup(df: DataFrame) -> DataFrame:
     return summed.select("contig", "pos", covered.alias("coverage"), *names)
 
 
+def telling(ref: str = "ref") -> tuple[list[T.StructField], Work]:
+    """``with_md`` as a step of ``with_arrays``."""
+    return [T.StructField("md", T.StringType())], lambda c: [cigars.md_strings(cigars.walked(c["cigar"]), c["seq"], c[ref])]
+
+
 def with_md(df: DataFrame, ref: str = "ref") -> DataFrame:
     """Adds ``md`` from ``cigar``, ``seq`` and the reference bases from the alignment's start on (see ``reference.with_window``)."""
-    return with_arrays(df, [T.StructField("md", T.StringType())], lambda c: [cigars.md_strings(cigars.walked(c["cigar"]), c["seq"], c[ref])])
+    return with_arrays(df, *telling(ref))
 
 
 def rebuilt(df: DataFrame) -> DataFrame:
@@ -116,6 +122,10 @@ def rebuilt(df: DataFrame) -> DataFrame:
 CONTEXT = gapped.Scores(4, -6, 5, 2, "both")
 
 
+#: Reads that are realigned together, and their bases at most: the more, the fewer the calls for each.
+READS, BASES = 10_000, 2_000_000
+
+
 def realigned(df: DataFrame, scores: gapped.Scores = CONTEXT, band: int = 10) -> DataFrame:
     """Alignments with gaps where they cost least in their context: new ``start``, ``cigar`` and ``md``, and ``changed``.
 
@@ -124,62 +134,81 @@ def realigned(df: DataFrame, scores: gapped.Scores = CONTEXT, band: int = 10) ->
     (no bases or MD string, skips or pads, an MD string of another length, or errors at both ends
     of what the band reaches) stay as they are, and so do those whose new path scores no more.
     """
+    return with_arrays(dealt(df), *realigning(scores, band), rows=READS)
+
+
+def realigning(scores: gapped.Scores = CONTEXT, band: int = 10) -> tuple[list[T.StructField], Work]:
+    """``realigned`` as a step of ``with_arrays``."""
+
+    def bounded(c: dict[str, pa.Array]) -> list[pa.Array]:
+        n = len(c["seq"])
+        if n < 2 or (pc.sum(pc.binary_length(c["seq"])).as_py() or 0) <= BASES:
+            return work(c)
+        halves = (bounded({name: c[name].slice(low, size) for name in ("cigar", "seq", "md", "start")}) for low, size in ((0, n // 2), (n // 2, n - n // 2)))
+        return [pa.concat_arrays(x) for x in zip(*halves, strict=True)]
 
     def work(c: dict[str, pa.Array]) -> list[pa.Array]:
         walk = cigars.walked(c["cigar"])
-        known = cigars.reference(walk, c["seq"], c["md"])
-        data, begins = cigars.flat(c["seq"])
-        old, md, start = c["cigar"].to_pylist(), c["md"].to_pylist(), c["start"].to_pylist()
-        first = np.searchsorted(walk.owner, np.arange(walk.n + 1))
-        on_read = walk.total(np.isin(np.arange(256), list(b"MIS=X")))
+        kind, size, owner, n = walk.kind, walk.size, walk.owner, walk.n
         said = cigars.letters(c["md"])
-        length = cigars.md_lengths(c["md"])
-        gone = np.bincount(walk.owner, walk.size * (walk.kind == ord("D")), walk.n).astype(np.int64)
-        deleted = np.bincount(said.owner, said.gone, walk.n).astype(np.int64)
-        rows, queries, references, centres, clips, paths = [], [], [], [], [], []
-        for k in range(walk.n):
-            ops = [(chr(o), int(n)) for o, n in zip(walk.kind[first[k] : first[k + 1]].tolist(), walk.size[first[k] : first[k + 1]].tolist(), strict=True) if o != ord("H")]
-            own = data[begins[k] : begins[k + 1]]
-            ref = known.base[known.first[k] : known.first[k + 1]]
-            if not ops or md[k] is None or start[k] is None or len(own) != on_read[k] or length[k] != len(ref) or gone[k] != deleted[k] or any(o in "NP" for o, _ in ops):
-                continue
-            before, after = (ops[0][1] if ops[0][0] == "S" else 0), (ops[-1][1] if ops[-1][0] == "S" and len(ops) > 1 else 0)
-            inner = [x for x in ops if x[0] != "S"]
-            path, j = [0], 0
-            for o, n in inner:
-                if o == "D":
-                    j += n
-                    path[-1] = j
-                else:
-                    path += [j] * n if o == "I" else range(j + 1, j + n + 1)
-                    j += n if o != "I" else 0
-            rows.append(k)
-            queries.append(own[before : len(own) - after])
-            references.append(ref)
-            centres.append(np.array(path))
-            clips.append((before, after))
-            paths.append(inner)
-        found = gapped.align(queries, references, scores, "read", centres, band)
-        known_score = gapped.path_scores(queries, references, paths, scores) if rows else []
-        changed, seqs, refs = np.zeros(walk.n, bool), c["seq"].to_pylist(), [None] * walk.n
-        hard = [(x[: len(x) - len(x.lstrip("0123456789")) + 1] if x and x.lstrip("0123456789")[:1] == "H" else "", x[len(x[:-1].rstrip("0123456789")) :] if x and x.endswith("H") else "") for x in old]
-        for k, row in enumerate(rows):
-            if np.isnan(found.score[k]) or not found.ops[k] or found.score[k] <= known_score[k] + 1e-9:
-                continue
-            lead, tail = hard[row]
-            fresh = lead + gapped.cigar(found.ops[k], *clips[k]) + tail
-            if fresh == old[row] and not found.r_lo[k]:
-                continue
-            old[row], changed[row] = fresh, True
-            start[row] += int(found.r_lo[k])
-            refs[row] = references[k][found.r_lo[k] : found.r_hi[k]].tobytes().decode()
-        at = np.flatnonzero(changed)
-        new_md = cigars.md_strings(cigars.walked(pa.array([old[k] for k in at], pa.string())), pa.array([seqs[k] for k in at], pa.string()), pa.array([refs[k] for k in at], pa.string())).to_pylist()
-        for k, text in zip(at.tolist(), new_md, strict=True):
-            md[k] = text
-        return [pa.array(start, pa.int64()), pa.array(old, pa.string()), pa.array(md, pa.string()), pa.array(changed)]
-
-    return with_arrays(dealt(df), [T.StructField("start", T.LongType()), T.StructField("cigar", T.StringType()), T.StructField("md", T.StringType()), T.StructField("changed", T.BooleanType())], work)
+        known = cigars.reference(walk, c["seq"], c["md"], said)
+        data, begins = cigars.flat(c["seq"])
+        hard, soft, deleted = (kind == ord(o) for o in "HSD")
+
+        def many(rows: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+            return np.bincount(rows, sizes, n).astype(np.int64)
+
+        there = ~(c["md"].is_null().to_numpy(zero_copy_only=False) | c["start"].is_null().to_numpy(zero_copy_only=False)) & (many(owner[~hard]) > 0) & (many(owner[np.isin(kind, list(b"NP"))]) == 0)
+        fits = (np.diff(begins) == walk.total(np.isin(np.arange(256), list(b"MIS=X")))) & (said.lengths == np.diff(known.first)) & (many(owner, size * deleted) == many(said.owner, said.gone))
+        rows = np.flatnonzero(there & fits)
+        m = len(rows)
+        # what is clipped at both ends
+        ops = np.flatnonzero(~hard)
+        head, tail = (np.searchsorted(owner[ops], rows, side) for side in ("left", "right"))
+        before, after = (np.where(soft[ops[x]] & ok, size[ops[x]], 0) for x, ok in ((head, True), (tail - 1, tail - head > 1)))
+        # the steps between them, and where they lead: of each base the reference place behind it
+        rank = np.full(n, -1)
+        rank[rows] = np.arange(m)
+        inner = np.flatnonzero((rank[owner] >= 0) & ~hard & ~soft)
+        whose, step, long = rank[owner[inner]], kind[inner], size[inner]
+        put, gone = step == ord("I"), step == ord("D")
+        at_read, at_ref = cigars.before(long * ~gone, whose, m), cigars.before(long * ~put, whose, m)
+        edges = np.concatenate([[0], np.cumsum(np.bincount(whose, long * ~gone, m).astype(np.int64) + 1)])
+        path = np.zeros(int(edges[-1]), np.int64)
+        bases = long * ~gone
+        each = np.repeat(at_ref, bases)
+        path[cigars.spread(edges[whose] + at_read + 1, bases)] = each + np.where(np.repeat(put, bases), 0, cigars.spread(np.ones(len(bases), np.int64), bases))
+        path[(edges[whose] + at_read)[gone]] = (at_ref + long)[gone]
+
+        def cut(data: np.ndarray, low: np.ndarray, sizes: np.ndarray) -> gapped.Flat:
+            return gapped.Flat(data[cigars.spread(low, sizes)], np.concatenate([[0], np.cumsum(sizes)]))
+
+        query, ref = cut(data, begins[rows] + before, np.diff(begins)[rows] - before - after), cut(known.base, known.first[rows], np.diff(known.first)[rows])
+        found = gapped.aligned(query, ref, scores, "read", gapped.Flat(path, edges), band, gapped.flat_path_scores(query, ref, whose, step, long, scores))
+        # those with a better path: its steps between what was clipped
+        new = np.flatnonzero(np.diff(found.first))
+        steps = np.diff(found.first)[new]
+        first_op, last_op = (np.searchsorted(owner, rows[new], side) for side in ("left", "right"))
+        begin = np.cumsum(steps + 4) - steps - 4
+        sizes, letters = np.zeros(int((steps + 4).sum()), np.int64), np.full(int((steps + 4).sum()), ord("S"), np.uint8)
+        own = cigars.spread(begin + 2, steps)
+        sizes[own], letters[own] = found.size, found.kind
+        for at, letter, clipped in ((begin, "H", size[first_op] * hard[first_op]), (begin + 1, "S", before[new]), (begin + steps + 2, "S", after[new]), (begin + steps + 3, "H", size[last_op - 1] * hard[last_op - 1])):
+            sizes[at], letters[at] = clipped, ord(letter)
+        some = np.flatnonzero(sizes)
+        fresh = cigars.written(sizes[some], letters[some], np.ones(len(some), np.int64), np.repeat(np.arange(len(new)), steps + 4)[some], len(new))
+        same = pc.equal(fresh, c["cigar"].take(pa.array(rows[new]))).to_numpy(zero_copy_only=False) & (found.r_lo[new] == 0)
+        new, fresh = new[~same], fresh.filter(pa.array(~same))
+        at = rows[new]
+        changed, shift = np.zeros(n, bool), np.zeros(n, np.int64)
+        changed[at], shift[at] = True, found.r_lo[new]
+        under = cut(ref.data, ref.first[new] + found.r_lo[new], found.r_hi[new] - found.r_lo[new])
+        md = cigars.md_strings(cigars.walked(fresh), c["seq"].take(pa.array(at)), cigars.strings(under.data, under.sizes))
+        mask = pa.array(changed)
+        start = pc.add(c["start"].cast(pa.int64()), pa.array(shift))
+        return [start, *(pc.replace_with_mask(c[name].cast(pa.string()), mask, x) for name, x in (("cigar", fresh), ("md", md))), mask]
+
+    return [T.StructField("start", T.LongType()), T.StructField("cigar", T.StringType()), T.StructField("md", T.StringType()), T.StructField("changed", T.BooleanType())], bounded
 
 
 def homopolymer_errors(df: DataFrame, by: list[str], longest: int = 10) -> DataFrame:

@@ -265,3 +265,18 @@ def test_numbers_at_the_border_of_two_strings_stay_apart():
     found = cigars.letters(pa.array(["3A10", "5C2", None, "", "7", "12G0"]))
     assert list(zip(found.owner.tolist(), found.place.tolist(), found.base.tobytes().decode(), strict=True)) == [(0, 3, "A"), (1, 5, "C"), (5, 12, "G")]
     assert np.array_equal(cigars.walked(pa.array(["3M", None, "*", "2D1M"])).on_ref, [3, 0, 0, 3])
+
+
+def test_numbers_and_texts_are_written_behind_one_another():
+    text = np.frombuffer(b"M^ACGTI", np.uint8)
+    got = cigars.written(np.array([7, 10, 0, 1234567]), text, np.array([1, 5, 0, 1]), np.array([0, 0, 2, 2]), 4)
+    assert got.to_pylist() == ["7M10^ACGT", "", "01234567I", ""]
+    assert cigars.written(*(np.zeros(0, np.int64) for _ in range(4)), 1).to_pylist() == [""]
+
+
+def test_md_strings_of_long_stretches_and_of_none():
+    ref = "ACGTACGTACGT" * 20
+    seq = ref[:99] + "T" + ref[103:120] + "GG" + ref[120:200]
+    strings = ["100M3D17M2I80M", None, "*", "2S3N1M", "3D", "4M"]
+    got = cigars.md_strings(cigars.walked(pa.array(strings)), pa.array([seq, "A", "A", "GGA", "", "ACGT"]), pa.array([ref, ref, ref, "CCCA", "ACG", "TCGA"]))
+    assert got.to_pylist() == [f"100^{ref[100:103]}97" if ref[99] == "T" else f"99{ref[99]}0^{ref[100:103]}97", "0", "0", "1", "0^ACG0", "0T2A0"]

@@ -150,3 +150,38 @@ def test_realigned_reads_keep_their_bases_and_reference(spark):
     assert changed > 20
     for name, _, start, _, cigar, _, md in odd:
         assert (got[name]["start"], got[name]["cigar"], got[name]["md"], got[name]["changed"]) == (start, cigar, md, False)
+
+
+def test_bands_that_lie_apart_and_long_pairs_keep_their_scores(monkeypatch):
+    rng = random.Random(31)
+    some, centres = pairs(rng, 30), []
+    for k in range(30):
+        r = "".join(rng.choice("ACGT") for _ in range(rng.randrange(20, 60)))
+        low, high = sorted(rng.sample(range(len(r)), 2))
+        some.append((r[:low] + r[high:], r) if k % 2 else (r[:low] + "".join(rng.choice("ACGT") for _ in range(12)) + r[low:], r))
+    for q, r in some:
+        # paths that jump to and fro
+        at = sorted(rng.randrange(len(r) + 1) for _ in range(len(q) + 1))
+        centres.append(np.array(at if rng.random() < 0.7 else rng.sample(at, len(at))))
+    sides, s = [[coded(p[k]) for p in some] for k in (0, 1)], g.Scores(scale="both")
+    for apart, cells in ((g.APART, g.CELLS), (1, 1), (10**6, 3000)):
+        monkeypatch.setattr(g, "APART", apart)
+        monkeypatch.setattr(g, "CELLS", cells)
+        for mode in ("read", "global", "local"):
+            a = g.align(*sides, s, mode, centres, 4)
+            for k, (q, r) in enumerate(some):
+                best = plain(q, r, s, mode, centres[k], 4)
+                assert np.isnan(a.score[k]) if best < LOW / 2 else a.score[k] == pytest.approx(best) == pytest.approx(walked(q, r, s, a, k))
+
+
+def test_realignments_do_not_depend_on_what_is_done_together(spark, monkeypatch):
+    _, rows = made(random.Random(13), 80)
+    df = spark.createDataFrame(rows, SCHEMA).select("cigar", "seq", "md", "start").toArrow().combine_chunks()
+    columns = {n: df[n].chunk(0) for n in df.column_names}
+    want = [x.to_pylist() for x in al.realigning()[1](columns)]
+    assert 10 < sum(want[3]) < 80
+    for bases in (1, 300):
+        monkeypatch.setattr(al, "BASES", bases)
+        assert [x.to_pylist() for x in al.realigning()[1](columns)] == want
+    none = [x.slice(0, 0) for x in columns.values()]
+    assert [len(x) for x in al.realigning()[1](dict(zip(columns, none, strict=True)))] == [0] * 4

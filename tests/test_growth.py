@@ -101,6 +101,27 @@ def test_a_file_of_one_group_is_aligned_by_many_tasks(spark):
         assert "RepartitionByExpression" in _plan(df) or "Repartition 8" in _plan(df)
 
 
+def test_reads_are_realigned_in_one_pass_and_dealt_while_narrow(spark):
+    df = base_queries.realigned_reads(spark, SF)
+    plan = _plan(df)
+    assert plan.count("MapInArrow") == 1
+    # neither bases nor windows are dealt, but what is read of the line items
+    below = plan.split("Repartition 8")[1].split("parquet")[0]
+    assert "l_orderkey" in below and "Join" not in below and "MapInArrow" not in below
+    x = al.realigned(al.with_md(tables.sequenced(spark, SF)))
+    want = x.groupBy("contig", "flag").agg(F.count("*"), F.count_if("changed"), F.sum(F.length("cigar")), F.sum("start"))
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_paths_that_score_no_more_than_known_ones_are_not_followed():
+    sides = [gapped.Flat.of([np.frombuffer(x, np.uint8) for x in side]) for side in ((b"ACGT", b"AATTT", b""), (b"ACGT", b"AATTTT", b"A"))]
+    free = gapped.aligned(*sides, mode="read")
+    assert np.diff(free.first).tolist() == [1, 1, 0] and free.score.tolist()[:2] == [16, 20]
+    held = gapped.aligned(*sides, mode="read", known=np.array([16.0, 19.0, 0.0]))
+    assert np.diff(held.first).tolist() == [0, 1, 0] and held.score.tolist() == free.score.tolist()
+    assert (held.kind.tobytes(), held.size.tolist(), held.r_hi.tolist()[1]) == (b"M", [5], 5)
+
+
 def test_what_is_the_same_for_all_tables_of_the_exact_test_is_worked_out_once(spark):
     df = spark.createDataFrame([(3, 1, 1, 3), (0, 5, 5, 0), (-1, 2, 2, 2), (10, 0, 2, 9)], "a int, b int, c int, d int")
     p = fisher_exact(*(F.col(x) for x in "abcd"))
