@@ -28,8 +28,8 @@ CELLS, ROW_CELLS = 8_000_000, 24_000
 #: Cells of a row whose bands lie apart: fewer cost no more than the calls they take.
 APART = 6_000
 STOP, PAIR, GONE, PUT = 0, 1, 2, 3
-#: What a cell's byte says: a base put in is best, a deleted one is better than both, the gap of either kind goes on, and the path begins.
-_PUT, _GONE, _GONE_ON, _PUT_ON, _STOP = 1, 2, 4, 8, 16
+#: What a cell's byte says: a deleted base is best, its gap goes on, else a base put in is, its gap goes on, and the path begins.
+_GONE, _GONE_ON, _PUT, _PUT_ON, _STOP = 1, 2, 4, 8, 16
 LOW = -1e30
 OPS = np.array([0, ord("M"), ord("D"), ord("I")], np.uint8)
 
@@ -231,12 +231,13 @@ class _Slices:
 
     def reach(self, some: np.ndarray, rows: int, nr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The first and last place of the reference that each row of each pair meets."""
+        kind = np.int16 if nr.max() < 2**15 - 1 else np.int64
         if self.band is None:
-            return np.zeros((rows + 1, len(some)), np.int64), np.broadcast_to(nr, (rows + 1, len(some)))
+            return np.zeros((rows + 1, len(some)), kind), np.broadcast_to(nr.astype(kind), (rows + 1, len(some)))
         begin, most = self.centres.first[some], self.centres.sizes[some] - 1
         centre = self.centres.data[begin[None, :] + np.minimum(np.arange(rows + 1)[:, None], most[None, :])]
         first = np.minimum(np.maximum(centre - self.band, 0), np.maximum(nr - 2 * self.band, 0)[None, :])
-        return first, np.minimum(first + 2 * self.band, nr)
+        return first.astype(kind), np.minimum(first + 2 * self.band, nr).astype(kind)
 
     def buffers(self, cells: int, count: int) -> list[np.ndarray]:
         if self.room.size < count * cells:
@@ -265,36 +266,35 @@ class _Slices:
         np.cumsum(going[:top], axis=0, out=passed[1:])
         # row j + 1 is place j; cells out of the band are low
         H, P = np.full((top + 2, count), LOW), np.full((top + 2, count), LOW)
-        largest = int(size.max())
-        rooms = self.buffers(largest, 3)
-        flags = [np.empty(largest, np.uint8) for _ in range(2)]
+        highest = int(size.max()) // count
+        bases, spares, runs = (x.reshape(highest, count) for x in self.buffers(highest * count, 3))
+        equals, flags = (np.empty((highest, count), np.bool_) for _ in range(2))
+        spare_rows, run_rows = list(spares), list(runs)
+        forth = bool((first[1:] >= first[:-1]).all())  # bands never go back
         final = np.full(count, 0.0 if mode == "local" else LOW)
         small = all(float(x).is_integer() and abs(x) < 60 for x in (s.match, s.mismatch))
         prior_lo = prior_hi = None
         for i in range(rows + 1):
             lo, hi = least[i], most[i]
-            high, cells = hi - lo + 1, at[i + 1] - at[i]
-            base, spare, run = (x[:cells].reshape(high, count) for x in rooms)
-            equal, more = (x[:cells].view(np.bool_).reshape(high, count) for x in flags)
-            step, bits = made.steps[at[i] : at[i + 1]].reshape(high, count), more.view(np.uint8)
-            here = H[lo + 1 : hi + 2]
+            high = hi - lo + 1
+            base, spare, run, equal, more = bases[:high], spares[:high], runs[:high], equals[:high], flags[:high]
+            step, bits, here = made.steps[at[i] : at[i + 1]].reshape(high, count), more.view(np.uint8), H[lo + 1 : hi + 2]
             # places at which some pairs' bands have not begun or have ended
-            edges = []
-            if left[i] > lo:
-                edges.append((slice(0, left[i] - lo), np.arange(lo, left[i])[:, None] < first[i]))
-            if right[i] < hi:
-                edges.append((slice(right[i] + 1 - lo, high), np.arange(right[i] + 1, hi + 1)[:, None] > last[i]))
+            early, late = left[i] - lo, right[i] + 1 - lo
+            before = np.arange(lo, left[i], dtype=first.dtype)[:, None] < first[i] if early > 0 else None
+            behind = np.arange(right[i] + 1, hi + 1, dtype=last.dtype)[:, None] > last[i] if late < high else None
             if i == 0:
                 base[:] = 0.0 if mode != "global" else LOW
                 if lo == 0:
                     base[0] = 0
-                step[:] = _STOP
+                step[:] = 0
             else:
                 put = P[lo + 1 : hi + 2]
                 np.equal(R[lo : hi + 1], Q[i - 1], out=equal)
                 if small:
                     scored = equal.view(np.int8)
-                    scored *= np.int8(s.match - s.mismatch)
+                    np.negative(scored, out=scored)
+                    scored &= np.int8(s.match - s.mismatch)
                     scored += np.int8(s.mismatch)
                     base[:] = scored
                 else:
@@ -303,42 +303,49 @@ class _Slices:
                 np.subtract(here, put_open[i - 1], out=spare)
                 spare -= put_on[i - 1]
                 put -= put_on[i - 1]
-                np.greater(put, spare, out=more)
+                # a cell's byte is written bit by bit, from the highest on
+                np.greater(put, spare, out=step.view(np.bool_))
                 np.maximum(put, spare, out=put)
-                np.multiply(bits, _PUT_ON, out=step)
                 np.greater(put, base, out=more)
-                step |= bits
+                step += step
+                step += bits
                 np.maximum(base, put, out=base)
                 if mode == "local":
-                    np.less_equal(base, 0, out=more)
-                    step |= bits * np.uint8(_STOP)
                     np.maximum(base, 0, out=base)
-                for part, mask in edges:
-                    np.putmask(put[part], mask, LOW)
-            for part, mask in edges:
-                np.putmask(base[part], mask, LOW)
+                if before is not None and not forth:
+                    np.putmask(put[:early], before, LOW)
+                if behind is not None:
+                    np.putmask(put[late:], behind, LOW)
+            if before is not None:
+                np.putmask(base[:early], before, LOW)
+            step += step
             here[:1] = base[:1]
             if mode == "read" and i == 0:
                 here[:] = base  # the reference before the read costs nothing
-            elif high > 1:
+                step += step
+            elif high == 1:
+                step += step
+            else:
                 # deleted bases: from the row's scores without them, what a gap begun at each place costs by then
                 np.subtract(base, opening[lo : hi + 1], out=spare)
                 spare += passed[lo : hi + 1]
                 run[0] = spare[0]
-                lines = list(run)
-                for x, y, z in zip(lines, list(spare)[1:], lines[1:], strict=False):
+                for x, y, z in zip(run_rows, spare_rows[1:high], run_rows[1:], strict=False):
                     np.maximum(x, y, z)
-                more, bits, gone = more[1:], bits[1:], spare[1:]
+                more, bits, gone, behind_first = more[1:], bits[1:], spare[1:], step[1:]
                 np.greater(run[:-1], spare[:-1], out=more)
-                bits *= _GONE_ON
-                step[1:] |= bits
+                behind_first += bits
+                step += step
                 np.subtract(run[:-1], passed[lo + 1 : hi + 1], out=gone)
                 np.greater(gone, base[1:], out=more)
-                bits *= _GONE
-                step[1:] |= bits
+                behind_first += bits
                 np.maximum(base[1:], gone, out=here[1:])
-                for part, mask in edges:
-                    np.putmask(here[part], mask, LOW)
+            if behind is not None:
+                np.putmask(here[late:], behind, LOW)
+            if i == 0:
+                step |= np.uint8(_STOP)
+            elif mode == "local":
+                step |= (base <= 0).view(np.uint8) * np.uint8(_STOP)
             if prior_lo is not None:
                 for x, y in ((prior_lo, min(lo, prior_hi + 1)), (max(hi + 1, prior_lo), prior_hi + 1)):
                     if x < y:

@@ -98,14 +98,9 @@ def pileup(df: DataFrame) -> DataFrame:
     return summed.select("contig", "pos", covered.alias("coverage"), *names)
 
 
-def telling(ref: str = "ref") -> tuple[list[T.StructField], Work]:
-    """``with_md`` as a step of ``with_arrays``."""
-    return [T.StructField("md", T.StringType())], lambda c: [cigars.md_strings(cigars.walked(c["cigar"]), c["seq"], c[ref])]
-
-
 def with_md(df: DataFrame, ref: str = "ref") -> DataFrame:
     """Adds ``md`` from ``cigar``, ``seq`` and the reference bases from the alignment's start on (see ``reference.with_window``)."""
-    return with_arrays(df, *telling(ref))
+    return with_arrays(df, [T.StructField("md", T.StringType())], lambda c: [cigars.md_strings(cigars.walked(c["cigar"]), c["seq"], c[ref])])
 
 
 def rebuilt(df: DataFrame) -> DataFrame:
@@ -137,30 +132,40 @@ def realigned(df: DataFrame, scores: gapped.Scores = CONTEXT, band: int = 10) ->
     return with_arrays(dealt(df), *realigning(scores, band), rows=READS)
 
 
-def realigning(scores: gapped.Scores = CONTEXT, band: int = 10) -> tuple[list[T.StructField], Work]:
-    """``realigned`` as a step of ``with_arrays``."""
+def realigning(scores: gapped.Scores = CONTEXT, band: int = 10, ref: str | None = None) -> tuple[list[T.StructField], Work]:
+    """``realigned`` as a step of ``with_arrays``.
+
+    With ``ref``, a column of the reference bases from the alignment's start on (none fewer than
+    the CIGAR string takes, or the read stays as it is), MD strings are neither read nor made.
+    """
 
     def bounded(c: dict[str, pa.Array]) -> list[pa.Array]:
         n = len(c["seq"])
         if n < 2 or (pc.sum(pc.binary_length(c["seq"])).as_py() or 0) <= BASES:
             return work(c)
-        halves = (bounded({name: c[name].slice(low, size) for name in ("cigar", "seq", "md", "start")}) for low, size in ((0, n // 2), (n // 2, n - n // 2)))
+        halves = (bounded({name: c[name].slice(low, size) for name in ("cigar", "seq", ref or "md", "start")}) for low, size in ((0, n // 2), (n // 2, n - n // 2)))
         return [pa.concat_arrays(x) for x in zip(*halves, strict=True)]
 
     def work(c: dict[str, pa.Array]) -> list[pa.Array]:
         walk = cigars.walked(c["cigar"])
         kind, size, owner, n = walk.kind, walk.size, walk.owner, walk.n
-        said = cigars.letters(c["md"])
-        known = cigars.reference(walk, c["seq"], c["md"], said)
         data, begins = cigars.flat(c["seq"])
-        hard, soft, deleted = (kind == ord(o) for o in "HSD")
+        hard, soft = kind == ord("H"), kind == ord("S")
 
         def many(rows: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
             return np.bincount(rows, sizes, n).astype(np.int64)
 
-        there = ~(c["md"].is_null().to_numpy(zero_copy_only=False) | c["start"].is_null().to_numpy(zero_copy_only=False)) & (many(owner[~hard]) > 0) & (many(owner[np.isin(kind, list(b"NP"))]) == 0)
-        fits = (np.diff(begins) == walk.total(np.isin(np.arange(256), list(b"MIS=X")))) & (said.lengths == np.diff(known.first)) & (many(owner, size * deleted) == many(said.owner, said.gone))
-        rows = np.flatnonzero(there & fits)
+        if ref is None:
+            said = cigars.letters(c["md"])
+            known = cigars.reference(walk, c["seq"], c["md"], said)
+            under, first, spans = known.base, known.first, np.diff(known.first)
+            told = (said.lengths == spans) & (many(owner, size * (kind == ord("D"))) == many(said.owner, said.gone))
+        else:
+            under, first = cigars.flat(c[ref])
+            spans = walk.on_ref
+            told = np.diff(first) >= spans
+        there = ~(c[ref or "md"].is_null().to_numpy(zero_copy_only=False) | c["start"].is_null().to_numpy(zero_copy_only=False)) & (many(owner[~hard]) > 0) & (many(owner[np.isin(kind, list(b"NP"))]) == 0)
+        rows = np.flatnonzero(there & told & (np.diff(begins) == walk.total(np.isin(np.arange(256), list(b"MIS=X")))))
         m = len(rows)
         # what is clipped at both ends
         ops = np.flatnonzero(~hard)
@@ -183,8 +188,8 @@ def realigning(scores: gapped.Scores = CONTEXT, band: int = 10) -> tuple[list[T.
         def cut(data: np.ndarray, low: np.ndarray, sizes: np.ndarray) -> gapped.Flat:
             return gapped.Flat(data[cigars.spread(low, sizes)], np.concatenate([[0], np.cumsum(sizes)]))
 
-        query, ref = cut(data, begins[rows] + before, np.diff(begins)[rows] - before - after), cut(known.base, known.first[rows], np.diff(known.first)[rows])
-        found = gapped.aligned(query, ref, scores, "read", gapped.Flat(path, edges), band, gapped.flat_path_scores(query, ref, whose, step, long, scores))
+        query, base = cut(data, begins[rows] + before, np.diff(begins)[rows] - before - after), cut(under, first[rows], spans[rows])
+        found = gapped.aligned(query, base, scores, "read", gapped.Flat(path, edges), band, gapped.flat_path_scores(query, base, whose, step, long, scores))
         # those with a better path: its steps between what was clipped
         new = np.flatnonzero(np.diff(found.first))
         steps = np.diff(found.first)[new]
@@ -202,13 +207,16 @@ def realigning(scores: gapped.Scores = CONTEXT, band: int = 10) -> tuple[list[T.
         at = rows[new]
         changed, shift = np.zeros(n, bool), np.zeros(n, np.int64)
         changed[at], shift[at] = True, found.r_lo[new]
-        under = cut(ref.data, ref.first[new] + found.r_lo[new], found.r_hi[new] - found.r_lo[new])
-        md = cigars.md_strings(cigars.walked(fresh), c["seq"].take(pa.array(at)), cigars.strings(under.data, under.sizes))
         mask = pa.array(changed)
+        texts = {"cigar": fresh}
+        if ref is None:
+            now = cut(base.data, base.first[new] + found.r_lo[new], found.r_hi[new] - found.r_lo[new])
+            texts["md"] = cigars.md_strings(cigars.walked(fresh), c["seq"].take(pa.array(at)), cigars.strings(now.data, now.sizes))
         start = pc.add(c["start"].cast(pa.int64()), pa.array(shift))
-        return [start, *(pc.replace_with_mask(c[name].cast(pa.string()), mask, x) for name, x in (("cigar", fresh), ("md", md))), mask]
+        return [start, *(pc.replace_with_mask(c[name].cast(pa.string()), mask, x) for name, x in texts.items()), mask]
 
-    return [T.StructField("start", T.LongType()), T.StructField("cigar", T.StringType()), T.StructField("md", T.StringType()), T.StructField("changed", T.BooleanType())], bounded
+    strings = ["cigar"] if ref else ["cigar", "md"]
+    return [T.StructField("start", T.LongType()), *(T.StructField(name, T.StringType()) for name in strings), T.StructField("changed", T.BooleanType())], bounded
 
 
 def homopolymer_errors(df: DataFrame, by: list[str], longest: int = 10) -> DataFrame:

@@ -185,3 +185,17 @@ def test_realignments_do_not_depend_on_what_is_done_together(spark, monkeypatch)
         assert [x.to_pylist() for x in al.realigning()[1](columns)] == want
     none = [x.slice(0, 0) for x in columns.values()]
     assert [len(x) for x in al.realigning()[1](dict(zip(columns, none, strict=True)))] == [0] * 4
+
+
+def test_realignments_by_the_reference_are_those_by_md_strings():
+    ref, rows = made(random.Random(14), 80)
+    columns = {n: al.pa.array([r[k] for r in rows]) for k, n in ((2, "start"), (4, "cigar"), (5, "seq"), (6, "md"))}
+    start, cigar, _, changed = (x.to_pylist() for x in al.realigning()[1](columns))
+    fields, work = al.realigning(ref="ref")
+    assert [f.name for f in fields] == ["start", "cigar", "changed"] and sum(changed) > 10
+    # longer than needed, too short, and none
+    windows = [ref[r[2] : r[2] + 150] for r in rows]
+    assert [x.to_pylist() for x in work(columns | {"ref": al.pa.array(windows)})] == [start, cigar, changed]
+    for none in ("", None):
+        got = work(columns | {"ref": al.pa.array([none] * len(rows), al.pa.string())})
+        assert [x.to_pylist() for x in got] == [columns["start"].to_pylist(), columns["cigar"].to_pylist(), [False] * len(rows)]
